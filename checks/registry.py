@@ -422,11 +422,12 @@ def json_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(roles.conform_sql(CRASHES, roles.CRASHES_TABLE))
 def csv_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "csv")
+    layout = plans.Layout(f"{folder}/mart")
     crashes = roles.crashes(spark, sf_dir)
     text = crashes.withColumn("crash_date", F.col("crash_date").cast("string"))
-    text.write.option("header", True).csv(folder)
-    conformed = files.read_csv(spark, folder, CRASHES.conformed_schema, check_header=True)
-    return plans.widen(conformed, CRASHES)
+    files.append_csv(text, f"{folder}/csv")
+    plans.conform_csv(spark, f"{folder}/csv", CRASHES, layout)
+    return plans.widen(spark.read.parquet(layout.conformed(CRASHES)), CRASHES)
 
 
 @query(roles.conform_sql(CRASHES, roles.CRASHES_TABLE))
@@ -443,7 +444,7 @@ def sample_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ checks
 
-_PERSON_CONTRACT = [c for c in STAGING_CONTRACTS["stg_persons_data"]]
+_PERSON_CONTRACT = STAGING_CONTRACTS["stg_persons_data"]
 
 
 def _report_sql(source: str, contract: list, needed: list[str]) -> str:

@@ -27,6 +27,10 @@ def page_ledger(
     return df.groupBy(page).agg(broken.alias("bad"))
 
 
+def _mark(number: Column, found: Column, bad: Column) -> Column:
+    return F.struct(number.alias("stop"), found.alias("found"), bad.alias("bad"))
+
+
 def page_prefix(
     df: DataFrame, ledger: DataFrame, page: str, first_page: int | None = None
 ) -> DataFrame:
@@ -36,15 +40,25 @@ def page_prefix(
     and the first gap ends the load. The limit is one number, read as a scalar
     subquery; the pages are never listed on the driver.
     """
-    stops = ledger.filter("bad").select(F.col(page).cast("bigint").alias("stop"))
-    if first_page is not None:
-        present = ledger.select(F.col(page).cast("bigint").alias("stop"))
-        start = df.sparkSession.range(first_page, first_page + 1).toDF("stop")
-        followers = present.filter(F.col("stop") >= first_page).select(
-            (F.col("stop") + 1).alias("stop")
+    number = F.col(page).cast("bigint")
+    if first_page is None:
+        stops = ledger.filter("bad").select(number.alias("stop"))
+    else:
+        # Each page vouches for itself and asks for the next one; a number asked for
+        # that no page vouches for is a gap.
+        here = _mark(number, F.lit(True), F.col("bad"))
+        following = _mark(number + 1, F.lit(False), F.lit(False))
+        start = df.sparkSession.range(first_page, first_page + 1).select(
+            _mark(F.col("id"), F.lit(False), F.lit(False)).alias("mark")
+        )
+        wanted = (
+            ledger.filter(number >= first_page)
+            .select(F.explode(F.array(here, following)).alias("mark"))
+            .unionByName(start)
+            .select("mark.*")
         )
-        gaps = start.unionByName(followers).join(present, "stop", "left_anti")
-        stops = stops.unionByName(gaps)
+        pages = wanted.groupBy("stop").agg(F.max("found").alias("found"), F.max("bad").alias("bad"))
+        stops = pages.filter(~F.col("found") | F.col("bad"))
     limit = stops.agg(F.coalesce(F.min("stop"), F.lit(_NO_PAGE)).alias("stop")).scalar()
     kept = F.col(page) < limit
     if first_page is not None:

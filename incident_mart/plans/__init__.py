@@ -1,6 +1,16 @@
 """What the operators are strung into: feed loads, models, and the whole refresh."""
 
-from .feeds import Layout, clean_pages, conform, keyed_rows, load_pages, stage_pages, widen
+from .feeds import (
+    Layout,
+    clean_pages,
+    conform,
+    conform_csv,
+    keyed_rows,
+    load_conformed,
+    load_pages,
+    stage_pages,
+    widen,
+)
 from .models import (
     age_distri,
     build_models,
@@ -18,10 +28,12 @@ __all__ = [
     "build_models",
     "clean_pages",
     "conform",
+    "conform_csv",
     "crashes_location",
     "fact_traffic_accidents",
     "full_refresh",
     "keyed_rows",
+    "load_conformed",
     "load_pages",
     "publish_models",
     "read_tables",

@@ -16,7 +16,7 @@ from ..operators.keys import with_surrogate_key
 from ..operators.paging import first_page_wins, page_ledger, page_prefix
 from ..operators.projection import assert_columns, keep_columns
 from ..schemas import BROKEN, PAGE, Feed
-from ..sources.files import read_parquet_as, replace_rows
+from ..sources.files import read_csv, read_parquet_as, replace_rows
 from ..sources.tables import insert_only_merge
 
 #: Why a staged row is where it is: kept, dropped as incomplete, or ending the load.
@@ -149,7 +149,9 @@ def widen(conformed: DataFrame, feed: Feed) -> DataFrame:
 def keyed_rows(
     wide: DataFrame, feed: Feed, separator: str = "", timestamp_suffix: str = ""
 ) -> DataFrame:
-    """Rows of the table's form, surrogate key first."""
+    """Rows of the table's form, surrogate key first.
+
+    The defaults give the published keys."""
     return with_surrogate_key(
         wide, feed.hash_columns, separator=separator, timestamp_suffix=timestamp_suffix
     )
@@ -189,6 +191,11 @@ def _load_rows(
     return seen.get["rows"]
 
 
+def conform_csv(spark: SparkSession, path: str, feed: Feed, layout: Layout) -> None:
+    """A feed's CSV, read by position under the file types, as conformed parquet."""
+    replace_rows(read_csv(spark, path, feed.conformed_schema), layout.conformed(feed))
+
+
 def load_conformed(spark: SparkSession, feed: Feed, layout: Layout, load_id: str) -> None:
     """Merge the conformed files into the feed's table."""
     wide = read_parquet_as(spark, layout.conformed(feed), feed.wide_schema)

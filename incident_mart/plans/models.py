@@ -26,20 +26,20 @@ from ..schemas import ROW_KEY
 # The excluded person type, the age bound, and the columns of the core tables.
 PASSENGER = "PASSENGER"
 MINOR_AGE = 15
-FACT_PERSON_COLUMNS = [
+FACT_COLUMNS = [
     "person_type",
     "traffic_crash_date",
     "crash_month",
     "crash_year",
     "safety_equipment",
-]
-FACT_CRASH_COLUMNS = [
     "weather_condition",
     "lighting_condition",
     "road_defect",
     "injuries_total",
     "injuries_fatal",
 ]
+FACT_PERSON_COLUMNS = ["person_type", "traffic_crash_date", "safety_equipment"]
+FACT_CRASH_COLUMNS = FACT_COLUMNS[5:]
 AGE_COLUMNS = ["traffic_crash_date", "age", "sex", "safety_equipment", "airbag_deployed"]
 
 
@@ -98,7 +98,13 @@ def fact_traffic_accidents(persons: DataFrame, crashes: DataFrame) -> DataFrame:
         "traffic_crash_date",
         ties,
     )
-    return join_on_key(latest, crashes, "crash_record_id", FACT_PERSON_COLUMNS, FACT_CRASH_COLUMNS)
+    joined = join_on_key(
+        latest, crashes, "crash_record_id", FACT_PERSON_COLUMNS, FACT_CRASH_COLUMNS
+    )
+    # Month and year follow from the date; made here, they are not shuffled twice.
+    when = F.col("traffic_crash_date")
+    calendar = {"crash_month": month_name(month_number(when)), "crash_year": year_number(when)}
+    return with_computed(joined, calendar).select(*FACT_COLUMNS)
 
 
 def age_distri(persons: DataFrame) -> DataFrame:

@@ -1,16 +1,19 @@
 """Readers and writers."""
 
-from .files import append_rows, preview, read_csv, read_parquet_as, replace_rows, save_table
-from .pages import explode_bodies, read_json_pages, read_json_stream
-from .tables import (
-    as_view,
-    create_table_if_absent,
-    insert_only_merge,
-    read_table,
-    table_exists,
+from .files import (
+    append_csv,
+    append_rows,
+    preview,
+    read_csv,
+    read_parquet_as,
+    replace_rows,
+    save_table,
 )
+from .pages import explode_bodies, read_json_pages, read_json_stream
+from .tables import as_view, create_table_if_absent, insert_only_merge, read_table
 
 __all__ = [
+    "append_csv",
     "append_rows",
     "as_view",
     "create_table_if_absent",
@@ -24,5 +27,4 @@ __all__ = [
     "read_table",
     "replace_rows",
     "save_table",
-    "table_exists",
 ]

@@ -32,6 +32,11 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_csv(df: DataFrame, path: str) -> None:
+    """Add rows to a CSV folder; each file has one header line."""
+    df.write.mode("append").option("header", True).csv(path)
+
+
 def replace_rows(df: DataFrame, path: str) -> None:
     """Replace a parquet folder. ``df`` must not read from it."""
     df.write.mode("overwrite").parquet(path)

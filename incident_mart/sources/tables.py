@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,20 +21,10 @@ _CREATED = "created"
 _LOAD_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("load_id string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty table, unless there is one."""
-    if not table_exists(spark, path):
-        spark.createDataFrame([], schema).write.parquet(f"{path}/{LOAD_ID}={_CREATED}")
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").parquet(f"{path}/{LOAD_ID}={_CREATED}")
 
 
 def read_table(

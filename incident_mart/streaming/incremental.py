@@ -23,15 +23,17 @@ def _load_name(stream_name: str, batch_id: int) -> str:
 
 
 def _start(
-    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, name: str
+    stream: DataFrame,
+    each: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    name: str,
+    every: str | None,
 ) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .queryName(name)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(each).queryName(name)
+    writer = writer.option("checkpointLocation", checkpoint)
+    if every:
+        return writer.trigger(processingTime=every).start()
+    return writer.trigger(availableNow=True).start()
 
 
 def merge_stream(
@@ -43,10 +45,12 @@ def merge_stream(
     key: str = ROW_KEY,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     target_filter: Column | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Merge each batch of new rows into a keyed table, then stop.
+    """Merge each batch of new rows into a keyed table.
 
-    A batch that is run again replaces its own load and so leaves each row once.
+    Stops when all that has landed is merged, or with ``every`` (``"10 minutes"``)
+    goes on looking. A batch that is run again replaces its own load and so leaves each row once.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -54,7 +58,7 @@ def merge_stream(
             prepare(batch), path, schema, _load_name(name, batch_id), key, target_filter
         )
 
-    return _start(stream, each, checkpoint, name)
+    return _start(stream, each, checkpoint, name, every)
 
 
 def start_feed_stream(
@@ -67,8 +71,12 @@ def start_feed_stream(
     page_layout: str = "lines",
     pattern: str = FILE_PAGE,
     max_files: int | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Load the pages of ``landing`` that no earlier run has loaded, then stop."""
+    """Load the pages of ``landing`` that no earlier run has loaded.
+
+    Stops when all are loaded, or with ``every`` goes on looking.
+    """
     pages = read_json_stream(
         spark, landing, feed.column_names, page_from, page_layout, pattern, max_files
     )
@@ -77,4 +85,4 @@ def start_feed_stream(
     def each(batch: DataFrame, batch_id: int) -> None:
         load_pages(batch, feed, Layout(root), _load_name(name, batch_id))
 
-    return _start(pages, each, checkpoint, name)
+    return _start(pages, each, checkpoint, name, every)
