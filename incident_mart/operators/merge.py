@@ -5,39 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_KEY, _SALT = "__key", "__salt"
+_KEY, _ROWS, _HOT, _SALT = "__key", "__rows", "__hot", "__salt"
+
+#: A key with more rows than this is spread over tasks.
+HOT_ROWS = 10_000_000
+#: Over how many.
+SALTS = 1024
 
 
 def unmatched_rows(
-    source: DataFrame, target: DataFrame, key: str, salts: int = 8
+    source: DataFrame,
+    target: DataFrame,
+    key: str,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Every source row whose key the target lacks, repeats of a key included.
 
-    Both key sets are made distinct before they are shuffled, so neither side can
-    send a hot key to one task. The new keys then select the source rows; a third of
-    the source may share one of them, so the rows carry a salt taken from the task
-    that read them and each new key is repeated once per salt. The salt does not
-    depend on row order, so a task that runs again gives the same rows. With
-    ``salts=1`` the rows of a key stay together.
+    Both key sets shrink to one row per key before they are shuffled, so a key that
+    fills a third of either side sends one row per task. The new keys then select the
+    source rows. Rows of a key with more than ``hot_rows`` rows carry a salt, and only
+    those keys are repeated, once per salt; all other keys travel once. The list of
+    hot keys is broadcast: it holds at most one key per ``hot_rows`` source rows.
 
-    A NULL key matches nothing and is therefore new.
+    The salt is the number of the task that reads the row, so a task that runs again
+    gives the same rows whatever their order. A NULL key matches nothing and is new.
     """
-    source_keys = source.select(F.col(key).alias(_KEY)).distinct()
+    source_keys = source.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias(_ROWS))
     target_keys = target.select(F.col(key).alias(_KEY)).distinct()
-    new_keys = source_keys.join(target_keys, _KEY, "left_anti")
-    same_key = F.col(f"rows.{key}").eqNullSafe(F.col(f"new.{_KEY}"))
-    if salts <= 1:
-        return source.alias("rows").join(new_keys.alias("new"), same_key, "left_semi")
-    salted = source.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = new_keys.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    same_salt = F.col(f"rows.{_SALT}") == F.col(f"new.{_SALT}")
-    return (
-        salted.alias("rows")
-        .join(repeated.alias("new"), same_key & same_salt, "left_semi")
-        .drop(_SALT)
+    is_hot = F.col(_ROWS) > hot_rows
+
+    hot_keys = source_keys.filter(is_hot).select(_KEY, F.lit(True).alias(_HOT))
+    rows = source.alias("rows").join(
+        F.broadcast(hot_keys), F.col(f"rows.{key}").eqNullSafe(F.col(_KEY)), "left"
+    )
+    salt = F.when(F.col(_HOT), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+    salted = rows.select("rows.*", salt.alias(_SALT))
+
+    last_salt = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
+    new_keys = source_keys.join(target_keys, _KEY, "left_anti").select(
+        _KEY, F.explode(F.sequence(F.lit(0), last_salt)).alias(_SALT)
+    )
+    same = F.col(f"rows.{key}").eqNullSafe(F.col(f"new.{_KEY}")) & (
+        F.col(f"rows.{_SALT}") == F.col(f"new.{_SALT}")
     )
+    return salted.alias("rows").join(new_keys.alias("new"), same, "left_semi").drop(_SALT)
 
 
-def merged(source: DataFrame, target: DataFrame, key: str, salts: int = 8) -> DataFrame:
+def merged(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """The target after the merge, as a frame. Matched rows keep their old values."""
-    return target.unionByName(unmatched_rows(source, target, key, salts))
+    return target.unionByName(unmatched_rows(source, target, key))

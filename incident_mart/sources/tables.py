@@ -45,11 +45,11 @@ def insert_only_merge(
     load_id: str,
     key: str = ROW_KEY,
     target_filter: Column | None = None,
-    salts: int = 8,
 ) -> None:
     """Insert the source rows whose key the table lacks; change and delete nothing.
 
-    Only the key column of the table is read. ``target_filter`` narrows the rows of
+    Only the key column of the table is read, and nothing is shuffled while the table
+    is empty. ``target_filter`` narrows the rows of
     the table that can match (say, to the dates of the batch) and must hold for every
     row that shares a key with the source.
     """
@@ -61,7 +61,8 @@ def insert_only_merge(
     target = read_table(spark, path, schema, without_load=load_id)
     if target_filter is not None:
         target = target.filter(target_filter)
-    fresh = unmatched_rows(source.select(*schema.fieldNames()), target, key, salts)
+    rows = source.select(*schema.fieldNames())
+    fresh = rows if target.isEmpty() else unmatched_rows(rows, target, key)
     needed = [f.name for f in schema.fields if not f.nullable]
     checked = required(fresh, needed) if needed else fresh
     checked.write.mode("overwrite").parquet(f"{path}/{LOAD_ID}={load_id}")

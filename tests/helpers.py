@@ -13,5 +13,10 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in picked.collect()), key=repr)
 
 
+def same(df, want, *columns):
+    """Whether the rows are ``want``, in any order."""
+    return rows(df, *columns) == sorted(want, key=repr)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()

@@ -117,18 +117,19 @@ def test_join_keeps_fan_out(spark):
     assert rows(ops.join_on_key(left, right, "k", ["x"], ["y"])) == [(1, 10), (1, 11)]
 
 
-@pytest.mark.parametrize("salts", [1, 2, 8])
-def test_unmatched_rows(spark, salts):
+@pytest.mark.parametrize(("hot_rows", "salts"), [(0, 4), (1, 2), (100, 8)])
+def test_unmatched_rows(spark, hot_rows, salts):
     source = spark.createDataFrame(
         [(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k int, x string"
     ).repartition(3)
     target = spark.createDataFrame([(1,), (None,), (1,)], "k int")
-    got = ops.unmatched_rows(source, target, "k", salts)
+    got = ops.unmatched_rows(source, target, "k", hot_rows, salts)
     assert got.columns == ["k", "x"]
     assert rows(got) == sorted([(2, "b"), (2, "c"), (None, "d")], key=repr)
 
 
-def test_unmatched_rows_by_brute_force_with_hot_keys(spark):
+@pytest.mark.parametrize("hot_rows", [50, 1000])
+def test_unmatched_rows_by_brute_force_with_hot_keys(spark, hot_rows):
     rng = random.Random(5)
     # A third of the source is one new key, a third of the target one old key.
     source = [(rng.choice([7] * 10 + list(range(20))), i) for i in range(900)]
@@ -137,6 +138,8 @@ def test_unmatched_rows_by_brute_force_with_hot_keys(spark):
         spark.createDataFrame(source, "k int, i int").repartition(6),
         spark.createDataFrame(target, "k int").repartition(6),
         "k",
+        hot_rows,
+        4,
     )
     old = {k for (k,) in target}
     assert rows(got) == sorted((r for r in source if r[0] not in old), key=repr)

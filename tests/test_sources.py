@@ -1,0 +1,200 @@
+import json
+
+import pytest
+from helpers import plan_of, rows, same
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from incident_mart.schemas import BROKEN, PAGE, schema_of
+from incident_mart.session import scratch_dir, shuffle_partitions_for
+from incident_mart.sources import files, pages, tables
+
+
+def put(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+def test_pages_from_directories(spark, tmp_path):
+    put(tmp_path / "page_no=0" / "a.json", '{"k": 1, "x": "a", "z": true}\n{"x": null}\n')
+    put(tmp_path / "page_no=12" / "a.json", '{"k": "7"}\nnot json\n')
+    got = pages.read_json_pages(spark, str(tmp_path), ["x", "k"])
+    assert got.columns == [PAGE, "x", "k", BROKEN]
+    assert rows(got) == sorted(
+        [
+            (0, "a", "1", False),
+            (0, None, None, False),
+            (12, None, "7", False),
+            (12, None, None, True),
+        ],
+        key=repr,
+    )
+
+
+def test_page_filter_prunes_directories(spark, tmp_path):
+    for n in range(4):
+        put(tmp_path / f"page_no={n}" / "a.json", '{"k": 1}\n')
+    got = pages.read_json_pages(spark, str(tmp_path), ["k"]).filter(F.col(PAGE) < 2)
+    assert "PartitionFilters: [isnotnull(page_no" in plan_of(got)
+    assert got.count() == 2
+
+
+def test_pages_from_file_names_holding_arrays(spark, tmp_path):
+    put(tmp_path / "page-000003.json", json.dumps([{"k": 1}, {"k": 2}], indent=1))
+    put(tmp_path / "page-000010.json", json.dumps([{"k": 3}]))
+    put(tmp_path / "page-000011.json", "[]")
+    got = pages.read_json_pages(spark, str(tmp_path), ["k"], "file_name", "array")
+    assert same(got, [(3, "1"), (3, "2"), (10, "3")], PAGE, "k")
+
+
+def test_file_without_page_number_fails(spark, tmp_path):
+    put(tmp_path / "page.json", '{"k": 1}')
+    with pytest.raises(PySparkException, match="not a whole number"):
+        pages.read_json_pages(spark, str(tmp_path), ["k"], "file_name").collect()
+
+
+def test_explode_bodies(spark):
+    bodies = [(0, '[{"k": 1}, {"k": "b", "x": 2}]'), (1, "[]"), (2, "<html>"), (3, None)]
+    df = spark.createDataFrame(bodies, "page_no bigint, body string")
+    assert rows(pages.explode_bodies(df, "body", ["k", "x"])) == [
+        (0, "1", None, False),
+        (0, "b", "2", False),
+        (1, None, None, True),
+        (2, None, None, True),
+        (3, None, None, True),
+    ]
+
+
+SCHEMA = schema_of([("id", "string"), ("n", "int"), ("t", "timestamp")])
+
+
+def test_csv_is_read_by_position(spark, tmp_path):
+    put(tmp_path / "a.csv", 't,id,n\nr1,1,2024-01-02T03:04:05\n"",x,2024-01-02\n,3,bad\n')
+    got = files.read_csv(spark, str(tmp_path), SCHEMA)
+    shown = rows(got.select("id", "n", F.col("t").cast("string")))
+    assert shown == sorted(
+        [
+            ("r1", 1, "2024-01-02 03:04:05"),
+            (None, None, "2024-01-02 00:00:00"),
+            (None, 3, None),
+        ],
+        key=repr,
+    )
+
+
+def test_csv_header_check(spark, tmp_path):
+    put(tmp_path / "a.csv", "t,id,n\nr1,1,2024-01-02\n")
+    with pytest.raises((PySparkException, Py4JJavaError), match="header does not conform"):
+        files.read_csv(spark, str(tmp_path), SCHEMA, check_header=True).collect()
+
+
+def test_parquet_under_wider_types(spark, tmp_path):
+    narrow = spark.sql("select 7 as i, cast(41.854120263 as float) as f")
+    files.replace_rows(narrow, str(tmp_path / "p"))
+    wide = files.read_parquet_as(
+        spark, str(tmp_path / "p"), schema_of([("i", "bigint"), ("f", "double")])
+    )
+    assert wide.dtypes == [("i", "bigint"), ("f", "double")]
+    assert tuple(wide.first()) == (7, 41.854122161865234)
+
+
+def test_append_and_replace(spark, tmp_path):
+    path = str(tmp_path / "p")
+    files.append_rows(spark.range(2), path)
+    files.append_rows(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 4
+    files.replace_rows(spark.range(1), path)
+    assert spark.read.parquet(path).count() == 1
+    files.append_csv(spark.range(2), str(tmp_path / "c"))
+    files.append_csv(spark.range(3), str(tmp_path / "c"))
+    assert files.read_csv(spark, str(tmp_path / "c"), schema_of([("id", "bigint")])).count() == 5
+
+
+def test_bucketed_tables_join_without_shuffle(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    files.save_table(spark.range(100), "left_bucketed", bucket_by=(4, ["id"]))
+    files.save_table(spark.range(50), "right_bucketed", bucket_by=(4, ["id"]))
+    joined = spark.table("left_bucketed").join(spark.table("right_bucketed"), "id")
+    assert "Exchange" not in plan_of(joined)
+    assert joined.count() == 50
+    files.save_table(spark.range(3), "plain")
+    assert spark.table("plain").count() == 3
+
+
+def test_preview_returns_its_input(spark, capsys):
+    df = spark.range(2)
+    assert files.preview(df) is df
+    assert "id: long" in capsys.readouterr().out
+
+
+TABLE = schema_of([("k", "bigint"), ("x", "string")])
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, TABLE)
+
+
+def test_merge_into_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.insert_only_merge(frame(spark, [(1, "a")]), path, TABLE, "one", key="k")
+    source = frame(spark, [(1, "b"), (2, "c"), (2, "d")])
+    for load in ("two", "three"):
+        tables.insert_only_merge(source, path, TABLE, load, key="k")
+    assert rows(tables.read_table(spark, path, TABLE)) == [(1, "a"), (2, "c"), (2, "d")]
+
+
+def test_load_run_again_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.insert_only_merge(frame(spark, [(1, "a")]), path, TABLE, "one", key="k")
+    tables.insert_only_merge(frame(spark, [(2, "part")]), path, TABLE, "two", key="k")
+    whole = frame(spark, [(1, "z"), (2, "whole"), (3, "whole")])
+    tables.insert_only_merge(whole, path, TABLE, "two", key="k")
+    assert rows(tables.read_table(spark, path, TABLE)) == [(1, "a"), (2, "whole"), (3, "whole")]
+
+
+def test_target_filter_narrows_the_lookup(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.insert_only_merge(frame(spark, [(1, "a"), (9, "b")]), path, TABLE, "one", key="k")
+    source = frame(spark, [(9, "c"), (10, "d")])
+    tables.insert_only_merge(source, path, TABLE, "two", key="k", target_filter=F.col("k") > 5)
+    assert same(tables.read_table(spark, path, TABLE), [(1, "a"), (9, "b"), (10, "d")])
+
+
+def test_required_key_is_checked_on_insert(spark, tmp_path):
+    schema = schema_of([("k", "string")])
+    schema.fields[0].nullable = False
+    source = spark.createDataFrame([(None,)], "k string")
+    with pytest.raises(PySparkException, match="k is required"):
+        tables.insert_only_merge(source, str(tmp_path / "t"), schema, "one", key="k")
+
+
+@pytest.mark.parametrize("load", ["created", "a/b", "a=b", ""])
+def test_bad_load_names(spark, tmp_path, load):
+    with pytest.raises(ValueError, match="load id"):
+        tables.insert_only_merge(frame(spark, []), str(tmp_path / "t"), TABLE, load, key="k")
+
+
+def test_create_table_if_absent(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.create_table_if_absent(spark, path, TABLE)
+    assert tables.read_table(spark, path, TABLE).count() == 0
+    tables.insert_only_merge(frame(spark, [(1, "a")]), path, TABLE, "one", key="k")
+    tables.create_table_if_absent(spark, path, TABLE)
+    assert tables.read_table(spark, path, TABLE).count() == 1
+
+
+def test_as_view(spark):
+    tables.as_view(spark.range(4), "four")
+    assert spark.sql("select count(*) from four").first()[0] == 4
+
+
+def test_scratch_is_under_the_checkpoint_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(f"{root}/x-") and first != second
+
+
+def test_shuffle_partitions_for():
+    assert shuffle_partitions_for(0) == 1
+    assert shuffle_partitions_for((256 << 20) + 1) == 2
