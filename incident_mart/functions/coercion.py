@@ -19,8 +19,12 @@ def _or_raise(text: Column, value: Column, kind: str) -> Column:
 
 
 def timestamp_or_null(text: Column) -> Column:
-    """Timestamp; text that is none gives NULL."""
-    return F.try_to_timestamp(text)
+    """Timestamp; text that is none gives NULL.
+
+    A time without a date is none: Spark would add the day the job runs on.
+    """
+    colon = F.instr(F.ltrim(text.cast("string")), ":")
+    return F.when(~colon.between(1, 4), F.try_to_timestamp(text))
 
 
 def int_or_zero(text: Column) -> Column:

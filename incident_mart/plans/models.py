@@ -126,8 +126,7 @@ def crashes_location(crashes: DataFrame) -> DataFrame:
     )
 
 
-#: Models other models and users read by name; they are views, the rest are tables.
-STAGING = ("stg_persons_data", "stg_traffic_data", "stg_vehicles_data")
+#: Models that are stored; the others are views.
 CORE = ("fact_traffic_accidents", "age_distri", "crashes_location")
 
 

@@ -8,7 +8,7 @@ from ..schemas import FEEDS
 from ..sources.files import replace_rows
 from ..sources.tables import as_view, create_table_if_absent, read_table
 from .feeds import Layout, load_pages
-from .models import CORE, STAGING, build_models
+from .models import CORE, build_models
 
 
 def read_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -21,17 +21,26 @@ def read_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def publish_models(
-    spark: SparkSession, layout: Layout, sample: int | None = None
+    spark: SparkSession,
+    layout: Layout,
+    sample: int | None = None,
+    select: list[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Staging models as views, core models as tables; the frames to read them by."""
-    tables = read_tables(spark, layout)
-    models = build_models(**tables, sample=sample)
-    for name in STAGING:
+    """Staging models as views, core models as tables; the frames to read them by.
+
+    ``select`` names the models to publish (default: all).
+    """
+    models = build_models(**read_tables(spark, layout), sample=sample)
+    wanted = list(models) if select is None else select
+    unknown = [name for name in wanted if name not in models]
+    if unknown:
+        raise ValueError(f"no such model: {', '.join(unknown)}")
+    for name in wanted:
+        if name in CORE:
+            replace_rows(models[name], layout.model(name))
+            models[name] = spark.read.parquet(layout.model(name))
         as_view(models[name], name)
-    for name in CORE:
-        replace_rows(models[name], layout.model(name))
-        models[name] = as_view(spark.read.parquet(layout.model(name)), name)
-    return models
+    return {name: models[name] for name in wanted}
 
 
 def full_refresh(

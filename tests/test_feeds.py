@@ -255,4 +255,13 @@ def test_full_refresh(spark, tmp_path):
 
 def test_models_of_a_mart_never_loaded_are_empty(spark, tmp_path):
     models = plans.publish_models(spark, plans.Layout(str(tmp_path)))
+    assert len(models) == 6
     assert all(model.count() == 0 for model in models.values())
+
+
+def test_publish_selected_models(spark, tmp_path):
+    layout = plans.Layout(str(tmp_path))
+    models = plans.publish_models(spark, layout, select=["age_distri", "stg_traffic_data"])
+    assert sorted(models) == ["age_distri", "stg_traffic_data"]
+    with pytest.raises(ValueError, match="nothing_such"):
+        plans.publish_models(spark, layout, select=["nothing_such"])

@@ -24,9 +24,9 @@ def test_int_or_zero_rejects_infinity(spark):
 
 
 def test_timestamp_or_null(spark):
-    texts = ["2023-09-05T19:05:00.000", "2023-09-05", "2023-09-05 19:05:00", "bad", None]
+    texts = ["2023-09-05T19:05:00.000", "2023-09-05", "2023-09-05 19:05:00", "bad", None, "19:05"]
     at = datetime(2023, 9, 5, 19, 5)
-    want = [at, datetime(2023, 9, 5), at, None, None]
+    want = [at, datetime(2023, 9, 5), at, None, None, None]
     assert apply(spark, "string", texts, X.timestamp_or_null) == want
 
 
