@@ -63,8 +63,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         start = time.perf_counter()
         try:
             got = run(spark, sf_dir).toPandas()
-            sql = registry.oracle_sql().get(name)
-            trouble = differences(got, con.execute(sql).df()) if sql else "no SQL"
+            trouble = differences(got, con.execute(registry.oracle_sql()[name]).df())
         except Exception as error:  # noqa: BLE001
             got, trouble = [], str(error)[:1500]
         failed += trouble is not None

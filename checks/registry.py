@@ -1,8 +1,9 @@
-"""Queries of the driver contract and, where SQL can say it, the SQL of each."""
+"""The registered queries, each with the SQL it must equal."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +36,27 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str) -> Callable[[Query], Query]:
+    """Register a query under its name, with the SQL it must equal."""
+
     def add(run: Query) -> Query:
-        _QUERIES[run.__name__] = run
-        if sql is not None:
-            _SQL[run.__name__] = sql
-        return run
+        @wraps(run)
+        def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return zoneless(run(spark, sf_dir))
+
+        _QUERIES[run.__name__] = plain
+        _SQL[run.__name__] = sql
+        return plain
 
     return add
 
 
+def zoneless(df: DataFrame) -> DataFrame:
+    """Timestamps as the UTC wall time the tables hold, whatever the reader's zone."""
+    instants = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in instants})
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

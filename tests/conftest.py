@@ -13,7 +13,6 @@ def spark(tmp_path_factory):
         {
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
-            "spark.checkpoint.dir": str(work / "checkpoints"),
             "spark.sql.warehouse.dir": str(work / "warehouse"),
         },
     )

@@ -1,4 +1,5 @@
 import json
+import tempfile
 
 import pytest
 from helpers import plan_of, rows, same
@@ -190,9 +191,9 @@ def test_as_view(spark):
 
 
 def test_scratch_is_under_the_checkpoint_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert first.startswith(f"{root}/x-") and first != second
+    assert first.startswith(f"{root}/") and "/x-" in first and first != second
 
 
 def test_shuffle_partitions_for():
