@@ -415,7 +415,7 @@ def _typed_events(raw: DataFrame, *before: str) -> DataFrame:
 def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_dir(spark, "json-pages")
     events = table(spark, sf_dir, "events").selectExpr(_EVENT_DAY, *_EVENT_TEXT)
-    events.write.partitionBy(PAGE).json(landing)
+    pages.write_json_pages(events, landing)
     return _typed_events(pages.read_json_pages(spark, landing, EVENTS.column_names), PAGE)
 
 
@@ -540,7 +540,8 @@ def merge_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_source_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines keyed by order, merged into customers: each line of a new key comes in."""
     target = table(spark, sf_dir, "customer").selectExpr("c_custkey as key", "-1 as line")
-    source = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey as key", "l_linenumber as line")
+    lines = table(spark, sf_dir, "lineitem")
+    source = lines.selectExpr("l_orderkey as key", "l_linenumber as line")
     return ops.merged(source, target, "key")
 
 
@@ -559,7 +560,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     events = table(spark, sf_dir, "events").selectExpr(_EVENT_DAY, *_EVENT_TEXT)
     for drop in (events.filter("event_type <> 'click'"), events):
-        drop.write.mode("append").partitionBy(PAGE).json(f"{root}/landing")
+        pages.write_json_pages(drop, f"{root}/landing")
         stream = pages.read_json_stream(spark, f"{root}/landing", EVENTS.column_names)
         run = merge_stream(
             stream,
@@ -578,7 +579,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The persons feed, landed as JSON pages and loaded by its stream."""
     root = scratch_dir(spark, "stream-persons")
-    roles.person_pages(spark, sf_dir).write.partitionBy(PAGE).json(f"{root}/landing")
+    pages.write_json_pages(roles.person_pages(spark, sf_dir), f"{root}/landing")
     run = start_feed_stream(
         spark, PERSONS, f"{root}/landing", f"{root}/mart", f"{root}/checkpoint"
     )
@@ -611,7 +612,7 @@ def feeds_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = {}
     for name, feed in FEEDS.items():
         landing = f"{root}/landing/{name}"
-        roles.PAGES[name](spark, sf_dir).write.partitionBy(PAGE).json(landing)
+        pages.write_json_pages(roles.PAGES[name](spark, sf_dir), landing)
         raw[name] = pages.read_json_pages(spark, landing, feed.column_names)
     _, models = plans.full_refresh(spark, raw, f"{root}/mart", "first")
     return models["fact_traffic_accidents"]

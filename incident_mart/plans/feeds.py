@@ -22,7 +22,7 @@ from ..sources.tables import insert_only_merge
 #: Why a staged row is where it is: kept, dropped as incomplete, or ending the load.
 STATE = "row_state"
 KEPT, DROPPED, BAD = "kept", "dropped", "bad"
-#: Columns that are not NULL on this row, though the row itself is dropped.
+#: Which of the columns a page must have are not NULL on this row.
 _PRESENT = "fields_present"
 
 
@@ -107,20 +107,25 @@ def complete_pages(raw: DataFrame, feed: Feed) -> DataFrame:
     )
 
 
+def _by_prefix(on_error: str) -> bool:
+    if on_error not in ("fail", "prefix"):
+        raise ValueError(f"on_error is 'fail' or 'prefix', not {on_error!r}")
+    return on_error == "prefix"
+
+
 def clean_pages(
     raw: DataFrame, feed: Feed, on_error: str = "fail", first_page: int | None = None
 ) -> DataFrame:
     """Text pages to typed rows: incomplete rows out, later repeats of a key out.
 
     ``on_error="prefix"`` keeps the pages before the first bad one (and, with
-    ``first_page``, before the first gap); ``"fail"`` stops at a bad field.
+    ``first_page``, before the first gap); ``"fail"`` fails the job that reads a bad
+    field.
     """
-    if on_error == "prefix":
+    if _by_prefix(on_error):
         rows = kept_pages(stage_pages(raw, feed), feed, first_page)
-    elif on_error == "fail":
-        rows = complete_pages(raw, feed)
     else:
-        raise ValueError(f"on_error is 'fail' or 'prefix', not {on_error!r}")
+        rows = complete_pages(raw, feed)
     return first_page_wins(rows, feed.page_key, PAGE)
 
 
@@ -132,7 +137,8 @@ def _conformed_value(name: str, kind: str) -> Column:
         # Out of range reads as NULL, as any bad field of a typed file does.
         return value.try_cast("int")
     if kind == "float":
-        return F.when(~F.isnan(value), value).cast("float")
+        # Neither NaN nor an infinite value survives a text file.
+        return F.when(F.abs(value) < F.lit(float("inf")), value).cast("float")
     return value.cast(kind)
 
 
@@ -149,9 +155,7 @@ def widen(conformed: DataFrame, feed: Feed) -> DataFrame:
 def keyed_rows(
     wide: DataFrame, feed: Feed, separator: str = "", timestamp_suffix: str = ""
 ) -> DataFrame:
-    """Rows of the table's form, surrogate key first.
-
-    The defaults give the published keys."""
+    """Rows of the table's form, surrogate key first. The defaults give the published keys."""
     return with_surrogate_key(
         wide, feed.hash_columns, separator=separator, timestamp_suffix=timestamp_suffix
     )
@@ -164,30 +168,25 @@ def load_pages(
     load_id: str,
     on_error: str = "fail",
     first_page: int | None = None,
+    target_filter: Column | None = None,
 ) -> int:
     """Clean, conform and merge the pages into the feed's table; rows conformed.
 
     The pages are parsed once, into the staged files. The row count is observed while
-    the conformed files are written.
+    the conformed files are written. ``target_filter`` is that of ``insert_only_merge``.
     """
     spark = raw.sparkSession
-    if on_error == "prefix":
+    if _by_prefix(on_error):
         replace_rows(stage_pages(raw, feed), layout.staged(feed))
         rows = kept_pages(spark.read.parquet(layout.staged(feed)), feed, first_page)
     else:
         replace_rows(complete_pages(raw, feed), layout.staged(feed))
         rows = spark.read.parquet(layout.staged(feed))
-    return _load_rows(spark, rows, feed, layout, load_id)
-
-
-def _load_rows(
-    spark: SparkSession, rows: DataFrame, feed: Feed, layout: Layout, load_id: str
-) -> int:
     seen = Observation(f"{feed.name}-{load_id}")
     conformed = conform(first_page_wins(rows, feed.page_key, PAGE), feed)
     counted = conformed.observe(seen, F.count(F.lit(1)).alias("rows"))
     replace_rows(counted, layout.conformed(feed))
-    load_conformed(spark, feed, layout, load_id)
+    load_conformed(spark, feed, layout, load_id, target_filter)
     return seen.get["rows"]
 
 
@@ -196,10 +195,22 @@ def conform_csv(spark: SparkSession, path: str, feed: Feed, layout: Layout) -> N
     replace_rows(read_csv(spark, path, feed.conformed_schema), layout.conformed(feed))
 
 
-def load_conformed(spark: SparkSession, feed: Feed, layout: Layout, load_id: str) -> None:
+def load_conformed(
+    spark: SparkSession,
+    feed: Feed,
+    layout: Layout,
+    load_id: str,
+    target_filter: Column | None = None,
+) -> None:
     """Merge the conformed files into the feed's table."""
     wide = read_parquet_as(spark, layout.conformed(feed), feed.wide_schema)
-    insert_only_merge(keyed_rows(wide, feed), layout.table(feed), feed.table_schema, load_id)
+    insert_only_merge(
+        keyed_rows(wide, feed),
+        layout.table(feed),
+        feed.table_schema,
+        load_id,
+        target_filter=target_filter,
+    )
 
 
 def empty_pages(spark: SparkSession, feed: Feed) -> DataFrame:

@@ -9,7 +9,7 @@ from .files import (
     replace_rows,
     save_table,
 )
-from .pages import explode_bodies, read_json_pages, read_json_stream
+from .pages import explode_bodies, read_json_pages, read_json_stream, write_json_pages
 from .tables import as_view, create_table_if_absent, insert_only_merge, read_table
 
 __all__ = [
@@ -27,4 +27,5 @@ __all__ = [
     "read_table",
     "replace_rows",
     "save_table",
+    "write_json_pages",
 ]

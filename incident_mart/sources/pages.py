@@ -67,14 +67,25 @@ def read_json_stream(
     return _as_page_frame(df, columns, page_from, pattern)
 
 
+def write_json_pages(df: DataFrame, path: str, page: str = PAGE) -> None:
+    """Land rows as ``page_no=N`` folders of JSON lines.
+
+    Rows are first gathered by page into files of an even size: small pages share no
+    folder with others, and a page that holds much of the data gets several files.
+    """
+    df.hint("rebalance", page).write.mode("append").partitionBy(page).json(path)
+
+
 def explode_bodies(df: DataFrame, body: str, columns: list[str], page: str = PAGE) -> DataFrame:
     """Pages held as one JSON text per row: one output row per record.
 
     A body that is no array of records, or an empty one, gives a single row of NULLs
     marked as broken.
     """
+    blank = F.lit(" \t\r\n")
+    is_list = F.ltrim(body, blank).startswith("[") & F.rtrim(body, blank).endswith("]")
     records = F.from_json(F.col(body), T.ArrayType(_text_schema(columns)))
-    parsed = df.select(F.col(page).alias(PAGE), records.alias("__records"))
+    parsed = df.select(F.col(page).alias(PAGE), F.when(is_list, records).alias("__records"))
     broken = F.col("__records").isNull() | (F.size("__records") == 0)
     return parsed.select(PAGE, broken.alias(BROKEN), F.inline_outer("__records")).select(
         PAGE, *columns, BROKEN

@@ -125,7 +125,8 @@ def test_prefix_ends_where_a_whole_page_lacks_a_read_column(spark):
 
 
 def test_page_of_dropped_rows_does_not_end_the_load(spark):
-    pages = {0: [{}], 1: [{"crash_record_id": "b", "road_defect": None}], 2: [{"crash_record_id": "c"}]}
+    dropped = {"crash_record_id": "b", "road_defect": None}
+    pages = {0: [{}], 1: [dropped], 2: [{"crash_record_id": "c"}]}
     got = plans.clean_pages(raw(spark, CRASHES, pages), CRASHES, "prefix", first_page=0)
     assert ids(got, CRASHES) == [(0, "c1"), (2, "c")]
 
@@ -137,8 +138,11 @@ def test_missing_page_ends_the_load(spark):
 
 
 def test_unknown_error_mode(spark):
+    pages = empty_pages(spark, CRASHES)
     with pytest.raises(ValueError, match="on_error"):
-        plans.clean_pages(empty_pages(spark, CRASHES), CRASHES, on_error="skip")
+        plans.clean_pages(pages, CRASHES, on_error="skip")
+    with pytest.raises(ValueError, match="on_error"):
+        plans.load_pages(pages, CRASHES, plans.Layout("nowhere"), "one", on_error="skip")
 
 
 def test_broken_body(spark, tmp_path):
@@ -177,10 +181,14 @@ def test_conform_types_and_blanks(spark):
 
 
 def test_conformed_position_is_single_precision(spark):
-    page = {0: [{}, {"crash_record_id": "n", "latitude": "NaN"}]}
-    done = plans.conform(plans.clean_pages(raw(spark, CRASHES, page), CRASHES), CRASHES)
-    wide = plans.widen(done, CRASHES)
-    assert rows(wide, "crash_record_id", "latitude") == [("c1", 41.854122161865234), ("n", None)]
+    odd = [{"crash_record_id": c, "latitude": t} for c, t in (("n", "NaN"), ("i", "-inf"))]
+    pages = raw(spark, CRASHES, {0: [{}, *odd]})
+    done = plans.conform(plans.clean_pages(pages, CRASHES), CRASHES)
+    assert rows(plans.widen(done, CRASHES), "crash_record_id", "latitude") == [
+        ("c1", 41.854122161865234),
+        ("i", None),
+        ("n", None),
+    ]
 
 
 @pytest.mark.parametrize("name", list(FEEDS))

@@ -98,7 +98,8 @@ def test_calendar_parts_in_utc(spark):
 
 
 def points(spark, rows, expression):
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, lon double, lat double")
+    numbered = [(i, *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(numbered, "i int, lon double, lat double")
     shown = df.orderBy("i").select(expression(F.col("lon"), F.col("lat")))
     return [r[0] for r in shown.collect()]
 

@@ -89,9 +89,8 @@ def test_fact_takes_latest_person_per_type_and_crash(spark):
             ("p8", "BICYCLE", "c1", EARLY, "G", 0),
         ],
     )
-    fact = plans.fact_traffic_accidents(
-        plans.stg_persons_data(people), plans.stg_traffic_data(crashes(spark, [("c1", EARLY, 41.5)]))
-    )
+    traffic = plans.stg_traffic_data(crashes(spark, [("c1", EARLY, 41.5)]))
+    fact = plans.fact_traffic_accidents(plans.stg_persons_data(people), traffic)
     assert rows(fact, "person_type", "traffic_crash_date", "crash_month", "safety_equipment") == [
         ("DRIVER", LATE, "December", "C"),
         ("PEDESTRIAN", EARLY, "January", None),

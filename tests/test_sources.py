@@ -56,17 +56,38 @@ def test_file_without_page_number_fails(spark, tmp_path):
 
 
 def test_explode_bodies(spark):
-    bodies = [(0, '[{"k": 1}, {"k": "b", "x": 2}]'), (1, "[]"), (2, "<html>"), (3, None)]
+    bodies = [
+        (0, ' [{"k": 1}, {"k": "b", "x": 2}]\n'),
+        (1, "[]"),
+        (2, "<html>"),
+        (3, None),
+        (4, '[{"k": 1}, {"k": '),
+        (5, '{"k": 1}'),
+        (6, '[{"k": 1}] and more'),
+        (7, '[{"k": 1}, 5]'),
+    ]
     df = spark.createDataFrame(bodies, "page_no bigint, body string")
     assert rows(pages.explode_bodies(df, "body", ["k", "x"])) == [
         (0, "1", None, False),
         (0, "b", "2", False),
-        (1, None, None, True),
-        (2, None, None, True),
-        (3, None, None, True),
+        *[(n, None, None, True) for n in range(1, 8)],
     ]
 
 
+def test_written_pages_read_back(spark, tmp_path, conf):
+    """A page with most of the rows is cut into several files; a small one is one file."""
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    df = spark.range(0, 20000, 1, 8).selectExpr(
+        "case when id < 15000 then 0L else id div 1000 end as page_no", "uuid() as k"
+    )
+    pages.write_json_pages(df, str(tmp_path / "landing"))
+    cuts = [len(list((tmp_path / f"landing/page_no={n}").glob("*.json"))) for n in (0, 16)]
+    assert cuts[0] > 3 >= cuts[1]
+    got = pages.read_json_pages(spark, str(tmp_path / "landing"), ["k"])
+    assert got.groupBy(PAGE).count().orderBy(PAGE).first()[1] == 15000
+    assert got.count() == 20000
+
+
 SCHEMA = schema_of([("id", "string"), ("n", "int"), ("t", "timestamp")])
 
 
