@@ -44,8 +44,8 @@ def differences(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     if len(got) != len(want):
         return f"{len(got)} rows against {len(want)}"
     left, right = normal(got), normal(want)
-    if not left.equals(right):
-        unequal = (left != right).any(axis=1)
+    unequal = (left != right).any(axis=1)
+    if unequal.any():
         return f"{unequal.sum()} rows differ:\n{left[unequal].head(3)}\n{right[unequal].head(3)}"
     return None
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,12 +96,12 @@ FROM ({roles.PERSONS_TABLE}) WHERE age <> 0
 """
 
 
-def _fact_sql(persons: str, crashes: str) -> str:
+def _fact_sql(persons: str, crashes: str, ties: str) -> str:
     return f"""
     WITH p AS (
       SELECT *, row_number() OVER (
           PARTITION BY person_type, crash_record_id
-          ORDER BY crash_date DESC NULLS LAST, person_id, safety_equipment) AS rn
+          ORDER BY crash_date DESC NULLS LAST, {ties} NULLS FIRST) AS rn
       FROM ({persons}) WHERE person_type <> 'PASSENGER' AND age <> 0)
     SELECT p.person_type, p.crash_date AS traffic_crash_date,
            CASE WHEN p.crash_date IS NULL THEN 'Unknown' ELSE monthname(p.crash_date) END
@@ -112,7 +113,7 @@ def _fact_sql(persons: str, crashes: str) -> str:
     """
 
 
-@query(_fact_sql(roles.PERSONS_TABLE, roles.CRASHES_TABLE))
+@query(_fact_sql(roles.PERSONS_TABLE, roles.CRASHES_TABLE, "person_id, safety_equipment"))
 def fact_latest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     persons = plans.stg_persons_data(roles.persons(spark, sf_dir))
     crashes = plans.stg_traffic_data(roles.crashes(spark, sf_dir))
@@ -307,18 +308,23 @@ def page_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH p AS (SELECT event_id // 1000 AS page_no, event_id, value FROM events)
-       SELECT * FROM p WHERE page_no < coalesce(
-         (SELECT min(page_no) FROM p WHERE value > 365), 9223372036854775807)"""
+    """WITH p AS (SELECT event_id // 100 AS page_no, event_id, value FROM events)
+       SELECT * FROM p WHERE page_no < (
+         SELECT min(page_no) FROM p WHERE value > 0.9 * (SELECT max(value) FROM events))"""
 )
 def page_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first page with a value near the greatest of all ends the load."""
     rows = table(spark, sf_dir, "events").selectExpr(
-        "event_id div 1000 as page_no", "event_id", "value"
+        "event_id div 100 as page_no", "event_id", "value"
     )
-    ledger = ops.page_ledger(rows, PAGE, F.col("value") > 365)
+    ledger = ops.page_ledger(rows, PAGE, _near_greatest(rows))
     return ops.page_prefix(rows, ledger, PAGE)
 
 
+def _near_greatest(events: DataFrame) -> SparkColumn:
+    return F.col("value") > F.lit(0.9) * events.agg(F.max("value")).scalar()
+
+
 @query(
     """WITH p AS (SELECT DISTINCT l_orderkey AS k FROM lineitem),
             n AS (SELECT 0 AS k UNION ALL SELECT k + 1 FROM p)
@@ -357,9 +363,10 @@ for _feed in FEEDS.values():
 
 
 _EVENT_PAGES = """
-SELECT event_id // 1000 AS page_no, CAST(event_id AS VARCHAR) AS event_id,
+SELECT event_id // 100 AS page_no, CAST(event_id AS VARCHAR) AS event_id,
        CAST(ts AS VARCHAR) AS ts,
-       CASE WHEN value > 365 THEN 'unknown' ELSE CAST(user_id AS VARCHAR) END AS user_id,
+       CASE WHEN value > 0.9 * (SELECT max(value) FROM events) THEN 'unknown'
+            ELSE CAST(user_id AS VARCHAR) END AS user_id,
        nullif(event_type, 'error') AS event_type, CAST(value AS VARCHAR) AS value
 FROM events
 """
@@ -374,13 +381,15 @@ _EVENT_CLEAN = roles.clean_sql(
 @query(_EVENT_CLEAN)
 def clean_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unreadable id on a complete row ends the load; one on a dropped row does not."""
-    raw = table(spark, sf_dir, "events").selectExpr(
-        "event_id div 1000 as page_no",
-        "cast(event_id as string) as event_id",
-        "cast(ts as string) as ts",
-        "case when value > 365 then 'unknown' else cast(user_id as string) end as user_id",
-        "nullif(event_type, 'error') as event_type",
-        "cast(value as string) as value",
+    events = table(spark, sf_dir, "events")
+    user = F.when(_near_greatest(events), "unknown").otherwise(F.col("user_id").cast("string"))
+    raw = events.select(
+        F.expr("event_id div 100").alias(PAGE),
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("ts").cast("string").alias("ts"),
+        user.alias("user_id"),
+        F.nullif("event_type", F.lit("error")).alias("event_type"),
+        F.col("value").cast("string").alias("value"),
     )
     return plans.clean_pages(raw, EVENTS, on_error="prefix", first_page=0)
 
@@ -605,7 +614,13 @@ for _feed in FEEDS.values():
     query(roles.loaded_sql(_feed))(_load(_feed))
 
 
-@query(_fact_sql(roles.loaded_sql(PERSONS), roles.loaded_sql(CRASHES)))
+@query(
+    _fact_sql(
+        roles.loaded_sql(PERSONS),
+        roles.loaded_sql(CRASHES),
+        "person_id, unique_id, safety_equipment",
+    )
+)
 def feeds_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON pages of all three feeds to the published fact table."""
     root = scratch_dir(spark, "feeds")

@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 
 def _double_or_null(text: Column) -> Column:
     # Java reads a trailing d or f as part of a number ("1.5d"); feeds do not mean one.
-    trimmed = F.lower(F.rtrim(text.cast("string")))
-    suffixed = F.right(trimmed, F.lit(1)).isin("d", "f") & ~trimmed.endswith("inf")
-    return F.when(~suffixed, trimmed).try_cast("double")
+    trimmed = F.rtrim(text.cast("string"))
+    suffixed = F.right(trimmed, F.lit(1)).isin("d", "D", "f", "F")
+    infinite = F.lower(trimmed).endswith("inf")
+    return F.when(~suffixed | infinite, text.cast("string")).try_cast("double")
 
 
 def _or_raise(text: Column, value: Column, kind: str) -> Column:
     message = F.concat(F.lit(f"not a {kind}: "), text.cast("string"))
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message)))
+
+
+def _zero_if_none(text: Column) -> Column:
+    number = F.coalesce(_double_or_null(text), F.lit(float("nan")))
+    return F.nanvl(number, F.lit(0.0))
 
 
 def timestamp_or_null(text: Column) -> Column:
@@ -33,10 +39,7 @@ def int_or_zero(text: Column) -> Column:
     The text goes through double, so ``'2.9'`` is 2 and not NULL. An infinite value
     raises, as it has no whole part.
     """
-    number = _double_or_null(text)
-    return F.when(number.isNull() | F.isnan(number), F.lit(0).cast("bigint")).otherwise(
-        number.cast("bigint")
-    )
+    return _or_raise(text, _zero_if_none(text).try_cast("bigint"), "count")
 
 
 def strict_int(text: Column) -> Column:
@@ -54,9 +57,7 @@ def value_or_null(text: Column, reads_as: str) -> Column:
     if reads_as == "timestamp":
         return timestamp_or_null(text)
     if reads_as == "int_or_zero":
-        number = _double_or_null(text)
-        missing = number.isNull() | F.isnan(number)
-        return F.when(missing, F.lit(0).cast("bigint")).otherwise(number.try_cast("bigint"))
+        return _zero_if_none(text).try_cast("bigint")
     if reads_as == "int":
         return text.try_cast("bigint")
     if reads_as == "float":

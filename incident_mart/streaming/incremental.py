@@ -72,6 +72,7 @@ def start_feed_stream(
     pattern: str = FILE_PAGE,
     max_files: int | None = None,
     every: str | None = None,
+    target_filter: Column | None = None,
 ) -> StreamingQuery:
     """Load the pages of ``landing`` that no earlier run has loaded.
 
@@ -83,6 +84,7 @@ def start_feed_stream(
     name = f"{feed.name}-stream"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        load_pages(batch, feed, Layout(root), _load_name(name, batch_id))
+        load_id = _load_name(name, batch_id)
+        load_pages(batch, feed, Layout(root), load_id, target_filter=target_filter)
 
     return _start(pages, each, checkpoint, name, every)
