@@ -4,8 +4,15 @@ from .cleaning import drop_incomplete
 from .contract import contract_report, required, schema_contract
 from .keys import with_surrogate_key
 from .latest import join_on_key, latest_per_group
-from .merge import merged, unmatched_rows
-from .paging import first_page_wins, page_ledger, page_prefix, rows_kept
+from .merge import key_status, merged, rows_of_new_keys, unmatched_rows
+from .paging import (
+    drop_later_pages,
+    first_page_wins,
+    page_ledger,
+    page_prefix,
+    repeated_keys,
+    rows_kept,
+)
 from .projection import assert_columns, keep_columns, replace_columns, with_computed
 from .sampling import sample_rows
 
@@ -13,16 +20,20 @@ __all__ = [
     "assert_columns",
     "contract_report",
     "drop_incomplete",
+    "drop_later_pages",
     "first_page_wins",
     "join_on_key",
     "keep_columns",
+    "key_status",
     "latest_per_group",
     "merged",
     "page_ledger",
     "page_prefix",
+    "repeated_keys",
     "replace_columns",
     "required",
     "rows_kept",
+    "rows_of_new_keys",
     "sample_rows",
     "schema_contract",
     "unmatched_rows",

@@ -1,55 +1,64 @@
-"""Insert-only merge on a key: the rows to insert."""
+"""Insert-only merge on a key: the rows to insert.
+
+Two steps, so that the wide rows need not be shuffled to find out that most are known:
+``key_status`` decides on the keys alone, ``rows_of_new_keys`` filters the rows by the
+decision. A caller may store the decision in between; its size is then known, and Spark
+broadcasts it when it is small.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_KEY, _ROWS, _HOT, _SALT = "__key", "__rows", "__hot", "__salt"
+KEY, ROWS, NEW = "__key", "__rows", "__new"
 
-#: A key with more rows than this is spread over tasks.
+#: The rows of a key with more rows than this are not shuffled by key.
 HOT_ROWS = 10_000_000
-#: Over how many.
-SALTS = 1024
 
 
-def unmatched_rows(
-    source: DataFrame,
-    target: DataFrame,
-    key: str,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+def key_status(
+    source: DataFrame, target: DataFrame, key: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Every source row whose key the target lacks, repeats of a key included.
+    """``(key, rows in the source, new)`` of the keys the target lacks and of hot keys.
 
     Both key sets shrink to one row per key before they are shuffled, so a key that
-    fills a third of either side sends one row per task. The new keys then select the
-    source rows. Rows of a key with more than ``hot_rows`` rows carry a salt, and only
-    those keys are repeated, once per salt; all other keys travel once. The list of
-    hot keys is broadcast: it holds at most one key per ``hot_rows`` source rows.
+    fills a third of either side sends one row per task. A NULL key matches nothing
+    and is new.
+    """
+    source_keys = source.groupBy(F.col(key).alias(KEY)).agg(F.count(F.lit(1)).alias(ROWS))
+    target_keys = target.select(F.col(key).alias(KEY)).distinct().withColumn(NEW, F.lit(False))
+    known = source_keys.join(target_keys, KEY, "left")
+    status = known.withColumn(NEW, F.coalesce(NEW, F.lit(True)))
+    return status.filter(F.col(NEW) | (F.col(ROWS) > hot_rows))
+
+
+def rows_of_new_keys(
+    source: DataFrame, status: DataFrame, key: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Every source row of a new key, repeats of a key included.
 
-    The salt is the number of the task that reads the row, so a task that runs again
-    gives the same rows whatever their order. A NULL key matches nothing and is new.
+    Hot keys are broadcast, at most one per ``hot_rows`` source rows; their rows are
+    kept or left out where they are read. All other rows meet the new keys in a join
+    that is broadcast or shuffled by the size of the keys.
     """
-    source_keys = source.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias(_ROWS))
-    target_keys = target.select(F.col(key).alias(_KEY)).distinct()
-    is_hot = F.col(_ROWS) > hot_rows
-
-    hot_keys = source_keys.filter(is_hot).select(_KEY, F.lit(True).alias(_HOT))
-    rows = source.alias("rows").join(
-        F.broadcast(hot_keys), F.col(f"rows.{key}").eqNullSafe(F.col(_KEY)), "left"
-    )
-    salt = F.when(F.col(_HOT), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
-    salted = rows.select("rows.*", salt.alias(_SALT))
-
-    last_salt = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
-    new_keys = source_keys.join(target_keys, _KEY, "left_anti").select(
-        _KEY, F.explode(F.sequence(F.lit(0), last_salt)).alias(_SALT)
-    )
-    same = F.col(f"rows.{key}").eqNullSafe(F.col(f"new.{_KEY}")) & (
-        F.col(f"rows.{_SALT}") == F.col(f"new.{_SALT}")
-    )
-    return salted.alias("rows").join(new_keys.alias("new"), same, "left_semi").drop(_SALT)
+    is_hot = F.col(ROWS) > hot_rows
+    same = F.col(f"rows.{key}").eqNullSafe(F.col(f"keys.{KEY}"))
+
+    def matched(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.alias("rows").join(keys.select(KEY).alias("keys"), same, how)
+
+    hot = status.filter(is_hot)
+    usual = matched(source, F.broadcast(hot), "left_anti")
+    fresh = matched(usual, status.filter(~is_hot), "left_semi")
+    return fresh.unionByName(matched(source, F.broadcast(hot.filter(NEW)), "left_semi"))
+
+
+def unmatched_rows(
+    source: DataFrame, target: DataFrame, key: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Every source row whose key the target lacks, as one plan."""
+    return rows_of_new_keys(source, key_status(source, target, key, hot_rows), key, hot_rows)
 
 
 def merged(source: DataFrame, target: DataFrame, key: str) -> DataFrame:

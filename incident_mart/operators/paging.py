@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .merge import HOT_ROWS
+
 _NO_PAGE = (1 << 63) - 1
 
 
@@ -78,3 +80,32 @@ def first_page_wins(df: DataFrame, key: str, page: str) -> DataFrame:
         F.col(f"rows.{page}") == F.col("firsts.__page")
     )
     return df.alias("rows").join(firsts.alias("firsts"), same, "left_semi")
+
+
+def repeated_keys(df: DataFrame, key: str, page: str) -> DataFrame:
+    """``(key, first page, rows)`` of the keys that appear on more than one page."""
+    spans = df.groupBy(F.col(key).alias("__key")).agg(
+        F.min(page).alias("__first"),
+        F.max(page).alias("__last"),
+        F.count(F.lit(1)).alias("__rows"),
+    )
+    return spans.filter(F.col("__first") < F.col("__last")).drop("__last")
+
+
+def drop_later_pages(
+    df: DataFrame, repeats: DataFrame, key: str, page: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``first_page_wins``, given the stored ``repeated_keys``.
+
+    Few keys repeat across pages as a rule: Spark sees how small the stored list is,
+    broadcasts it, and the rows are not shuffled at all. A long list is joined by
+    key; the later rows of hot keys are gone by then, taken out by a broadcast of at
+    most one key per ``hot_rows`` rows.
+    """
+    is_hot = F.col("__rows") > hot_rows
+    later = F.col(f"rows.{key}").eqNullSafe(F.col("keys.__key")) & (
+        F.col(f"rows.{page}") > F.col("keys.__first")
+    )
+    hot = F.broadcast(repeats.filter(is_hot)).alias("keys")
+    usual = df.alias("rows").join(hot, later, "left_anti")
+    return usual.alias("rows").join(repeats.filter(~is_hot).alias("keys"), later, "left_anti")

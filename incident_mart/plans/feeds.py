@@ -13,10 +13,16 @@ from pyspark.sql import types as T
 from ..functions.coercion import strict_value, unreadable, value_or_null
 from ..functions.text import blank_to_null
 from ..operators.keys import with_surrogate_key
-from ..operators.paging import first_page_wins, page_ledger, page_prefix
+from ..operators.paging import (
+    drop_later_pages,
+    first_page_wins,
+    page_ledger,
+    page_prefix,
+    repeated_keys,
+)
 from ..operators.projection import assert_columns, keep_columns
 from ..schemas import BROKEN, PAGE, Feed
-from ..sources.files import read_csv, read_parquet_as, replace_rows
+from ..sources.files import read_csv, read_parquet_as, replace_rows, store
 from ..sources.tables import insert_only_merge
 
 #: Why a staged row is where it is: kept, dropped as incomplete, or ending the load.
@@ -35,6 +41,9 @@ class Layout:
     def staged(self, feed: Feed) -> str:
         return f"{self.root}/staged/{feed.name}"
 
+    def repeats(self, feed: Feed) -> str:
+        return f"{self.root}/staged/{feed.name}_repeats"
+
     def conformed(self, feed: Feed) -> str:
         return f"{self.root}/conformed/{feed.name}"
 
@@ -172,18 +181,20 @@ def load_pages(
 ) -> int:
     """Clean, conform and merge the pages into the feed's table; rows conformed.
 
-    The pages are parsed once, into the staged files. The row count is observed while
+    The pages are parsed once, into the staged files; the few keys on more than one page
+    are stored next, so that the rows need no shuffle. The row count is observed while
     the conformed files are written. ``target_filter`` is that of ``insert_only_merge``.
     """
     spark = raw.sparkSession
     if _by_prefix(on_error):
-        replace_rows(stage_pages(raw, feed), layout.staged(feed))
-        rows = kept_pages(spark.read.parquet(layout.staged(feed)), feed, first_page)
+        staged = store(stage_pages(raw, feed), layout.staged(feed))
+        rows = kept_pages(staged, feed, first_page)
     else:
-        replace_rows(complete_pages(raw, feed), layout.staged(feed))
-        rows = spark.read.parquet(layout.staged(feed))
+        rows = store(complete_pages(raw, feed), layout.staged(feed))
+    repeats = store(repeated_keys(rows, feed.page_key, PAGE), layout.repeats(feed))
+    first = drop_later_pages(rows, repeats, feed.page_key, PAGE)
     seen = Observation(f"{feed.name}-{load_id}")
-    conformed = conform(first_page_wins(rows, feed.page_key, PAGE), feed)
+    conformed = conform(first, feed)
     counted = conformed.observe(seen, F.count(F.lit(1)).alias("rows"))
     replace_rows(counted, layout.conformed(feed))
     load_conformed(spark, feed, layout, load_id, target_filter)

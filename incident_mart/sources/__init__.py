@@ -8,6 +8,7 @@ from .files import (
     read_parquet_as,
     replace_rows,
     save_table,
+    store,
 )
 from .pages import explode_bodies, read_json_pages, read_json_stream, write_json_pages
 from .tables import as_view, create_table_if_absent, insert_only_merge, read_table
@@ -27,5 +28,6 @@ __all__ = [
     "read_table",
     "replace_rows",
     "save_table",
+    "store",
     "write_json_pages",
 ]

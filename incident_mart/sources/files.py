@@ -42,6 +42,12 @@ def replace_rows(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame and read it back: its lineage ends here and its size is known."""
+    replace_rows(df, path)
+    return read_parquet_as(df.sparkSession, path, df.schema)
+
+
 def save_table(
     df: DataFrame,
     name: str,

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.contract import required
-from ..operators.merge import unmatched_rows
+from ..operators.merge import key_status, rows_of_new_keys
 from ..operators.projection import assert_columns
 from ..schemas import LOAD_ID, ROW_KEY
+from .files import store
 
 _CREATED = "created"
+#: Spark's readers skip folders whose name starts with an underscore.
+_KEYS = "_keys"
 _LOAD_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -49,7 +52,8 @@ def insert_only_merge(
     """Insert the source rows whose key the table lacks; change and delete nothing.
 
     Only the key column of the table is read, and nothing is shuffled while the table
-    is empty. ``target_filter`` narrows the rows of
+    is empty. Which keys are new is stored first, in a folder readers of the table skip;
+    if they are few, the rows are then filtered without a shuffle. ``target_filter`` narrows the rows of
     the table that can match (say, to the dates of the batch) and must hold for every
     row that shares a key with the source.
     """
@@ -62,7 +66,11 @@ def insert_only_merge(
     if target_filter is not None:
         target = target.filter(target_filter)
     rows = source.select(*schema.fieldNames())
-    fresh = rows if target.isEmpty() else unmatched_rows(rows, target, key)
+    if target.isEmpty():
+        fresh = rows
+    else:
+        status = store(key_status(rows, target, key), f"{path}/{_KEYS}/{load_id}")
+        fresh = rows_of_new_keys(rows, status, key)
     needed = [f.name for f in schema.fields if not f.nullable]
     checked = required(fresh, needed) if needed else fresh
     checked.write.mode("overwrite").parquet(f"{path}/{LOAD_ID}={load_id}")

@@ -2,7 +2,7 @@ import random
 from datetime import datetime
 
 import pytest
-from helpers import rows, values
+from helpers import rows, same, values
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -56,8 +56,16 @@ def test_first_page_wins_by_brute_force(spark, seed):
     for n, page in pages.items():
         want += [(n, k, i) for i, k in enumerate(page) if k not in seen]
         seen |= set(page)
-    got = rows(ops.first_page_wins(paged(spark, pages), "key", "page_no"))
-    assert got == sorted(want, key=repr)
+    df = paged(spark, pages)
+    assert same(ops.first_page_wins(df, "key", "page_no"), want)
+    repeats = ops.repeated_keys(df, "key", "page_no")
+    for hot_rows in (20, 10_000):
+        assert same(ops.drop_later_pages(df, repeats, "key", "page_no", hot_rows), want)
+
+
+def test_repeated_keys(spark):
+    df = paged(spark, {0: "aab", 1: "bcc", 2: "bd"})
+    assert rows(ops.repeated_keys(df, "key", "page_no")) == [("b", 0, 3)]
 
 
 def prefix(spark, numbers, bad, first=None):
@@ -117,13 +125,13 @@ def test_join_keeps_fan_out(spark):
     assert rows(ops.join_on_key(left, right, "k", ["x"], ["y"])) == [(1, 10), (1, 11)]
 
 
-@pytest.mark.parametrize(("hot_rows", "salts"), [(0, 4), (1, 2), (100, 8)])
-def test_unmatched_rows(spark, hot_rows, salts):
+@pytest.mark.parametrize("hot_rows", [0, 1, 100])
+def test_unmatched_rows(spark, hot_rows):
     source = spark.createDataFrame(
         [(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k int, x string"
     ).repartition(3)
     target = spark.createDataFrame([(1,), (None,), (1,)], "k int")
-    got = ops.unmatched_rows(source, target, "k", hot_rows, salts)
+    got = ops.unmatched_rows(source, target, "k", hot_rows)
     assert got.columns == ["k", "x"]
     assert rows(got) == sorted([(2, "b"), (2, "c"), (None, "d")], key=repr)
 
@@ -131,20 +139,26 @@ def test_unmatched_rows(spark, hot_rows, salts):
 @pytest.mark.parametrize("hot_rows", [50, 1000])
 def test_unmatched_rows_by_brute_force_with_hot_keys(spark, hot_rows):
     rng = random.Random(5)
-    # A third of the source is one new key, a third of the target one old key.
-    source = [(rng.choice([7] * 10 + list(range(20))), i) for i in range(900)]
+    # New key 7 and old key 3 fill much of the source, key 3 a third of the target.
+    source = [(rng.choice([7] * 10 + [3] * 10 + list(range(20))), i) for i in range(900)]
     target = [(rng.choice([3] * 10 + list(range(0, 20, 3))),) for _ in range(300)]
     got = ops.unmatched_rows(
         spark.createDataFrame(source, "k int, i int").repartition(6),
         spark.createDataFrame(target, "k int").repartition(6),
         "k",
         hot_rows,
-        4,
     )
     old = {k for (k,) in target}
     assert rows(got) == sorted((r for r in source if r[0] not in old), key=repr)
 
 
+def test_key_status_holds_new_and_hot_keys(spark):
+    source = spark.createDataFrame([(1,), (1,), (2,), (3,)], "k int")
+    target = spark.createDataFrame([(1,), (2,), (1,)], "k int")
+    assert rows(ops.key_status(source, target, "k", 1)) == [(1, 2, False), (3, 1, True)]
+    assert rows(ops.key_status(source, target, "k")) == [(3, 1, True)]
+
+
 def test_merged_never_updates(spark):
     target = spark.createDataFrame([(1, "old")], "k int, x string")
     source = spark.createDataFrame([(1, "new"), (2, "new")], "k int, x string")

@@ -70,11 +70,25 @@ def test_first_page_wins_shuffles_rows_on_key_and_page(spark, conf):
     assert wide and all("l_linenumber" in s or "__page" in s for s in wide)
 
 
-def test_merge_shrinks_both_key_sets_and_salts_the_rows(spark, conf):
+def test_merge_shrinks_both_key_sets(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = plan_of(registry.merge_source_dups(spark, SF))
     assert "partial_count" in plan and "HashAggregate(keys=[__key" in plan
-    assert "SPARK_PARTITION_ID" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    assert "LeftAnti, BuildRight" in plan and "LeftSemi" in plan
+
+
+def test_stored_decisions_spare_the_rows_a_shuffle(spark, tmp_path):
+    source = spark.range(1000).selectExpr("id as k", "id div 100 as page_no", "uuid() as x")
+    source.write.parquet(str(tmp_path / "s"))
+    rows = spark.read.parquet(str(tmp_path / "s"))
+    ops.key_status(rows, spark.range(990).toDF("k"), "k").write.parquet(str(tmp_path / "k"))
+    fresh = ops.rows_of_new_keys(rows, spark.read.parquet(str(tmp_path / "k")), "k")
+    ops.repeated_keys(rows, "k", "page_no").write.parquet(str(tmp_path / "r"))
+    first = ops.drop_later_pages(rows, spark.read.parquet(str(tmp_path / "r")), "k", "page_no")
+    for df in (fresh, first):
+        plan = plan_of(df)
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert (fresh.count(), first.count()) == (10, 1000)
 
 
 def test_merge_reads_only_the_key_of_the_table(spark, tmp_path):
@@ -105,7 +119,7 @@ def test_hot_key_of_a_join_is_split(spark, conf):
     assert "skew=true" in plan_of(joined)
 
 
-def test_hot_key_of_a_merge_is_split_without_salt_too(spark, conf):
+def test_hot_key_of_a_merge_is_split_below_the_hot_limit_too(spark, conf):
     rows = skewed(spark, conf)
     target = spark.range(0, 100, 1, 4).withColumnRenamed("id", "k")
     fresh = ops.unmatched_rows(rows, target, "k").agg(F.max("x"), F.count("x"))
@@ -113,16 +127,16 @@ def test_hot_key_of_a_merge_is_split_without_salt_too(spark, conf):
     assert "skew=true" in plan_of(fresh)
 
 
-def test_hot_key_of_a_merge_does_not_meet_in_one_task(spark, conf):
+@pytest.mark.parametrize("known", [True, False])
+def test_rows_of_a_hot_key_are_not_shuffled(spark, conf, known):
     rows = skewed(spark, conf)
     conf("spark.sql.adaptive.enabled", "false")
-    conf("spark.sql.shuffle.partitions", "64")
-    target = spark.range(0, 100, 1, 4).withColumnRenamed("id", "k")
-    fresh = ops.unmatched_rows(rows, target, "k", hot_rows=1000, salts=64)
+    target = spark.range(-1 if known else 0, 100, 1, 4).withColumnRenamed("id", "k")
+    fresh = ops.unmatched_rows(rows, target, "k", hot_rows=1000)
     hot = fresh.filter("k = -1").groupBy(F.spark_partition_id().alias("task")).count()
-    most, total = hot.agg(F.max("count"), F.sum("count")).first()
-    assert total == 20000
-    assert most <= total / 2
+    per_task = [r["count"] for r in hot.collect()]
+    assert per_task == ([] if known else [2500] * 8)
+    assert fresh.count() == 60000 - 66 - (20000 if known else 0)
 
 
 def test_hot_key_of_the_dedup_does_not_meet_in_one_task(spark, conf):
