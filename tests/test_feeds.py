@@ -3,6 +3,7 @@ from datetime import datetime
 
 import pytest
 from helpers import rows
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -261,6 +262,17 @@ def test_full_refresh(spark, tmp_path):
     assert rows(models["fact_traffic_accidents"]) == fact
 
 
+def test_failed_feed_fails_the_refresh(spark, tmp_path):
+    pages = {
+        "crashes": raw(spark, CRASHES, {0: [{}]}),
+        "vehicles": raw(spark, VEHICLES, {0: [{"vehicle_id": "x"}]}),
+    }
+    with pytest.raises((PySparkException, Py4JJavaError), match="not a whole number"):
+        plans.full_refresh(spark, pages, str(tmp_path), "one")
+    with pytest.raises(ValueError, match="boats"):
+        plans.full_refresh(spark, {"boats": pages["crashes"]}, str(tmp_path), "one")
+
+
 def test_models_of_a_mart_never_loaded_are_empty(spark, tmp_path):
     models = plans.publish_models(spark, plans.Layout(str(tmp_path)))
     assert len(models) == 6
