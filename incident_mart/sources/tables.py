@@ -53,9 +53,10 @@ def insert_only_merge(
 
     Only the key column of the table is read, and nothing is shuffled while the table
     is empty. Which keys are new is stored first, in a folder readers of the table skip;
-    if they are few, the rows are then filtered without a shuffle. ``target_filter`` narrows the rows of
-    the table that can match (say, to the dates of the batch) and must hold for every
-    row that shares a key with the source.
+    if they are few, the rows are then filtered without a shuffle.
+
+    ``target_filter`` narrows the rows of the table that can match (say, to the dates of
+    the batch) and must hold for every row that shares a key with the source.
     """
     if load_id == _CREATED or not _LOAD_NAME.fullmatch(load_id):
         raise ValueError(f"not usable as a load id: {load_id!r}")
