@@ -37,29 +37,19 @@ def text_bytes(text: str | Column) -> Column:
     return F.coalesce(F.octet_length(column), F.lit(0)).cast("long")
 
 
-def spread_cells(rows: DataFrame, group: list[str], weight: str, cells: int, share: float) -> DataFrame:
-    """Rows with ``cell``: from a hash of ``content_hash``, but rows of a heavy cell spread out.
+def cell_of(cells: int, heavy: Column) -> Column:
+    """A row's cell, from ``content_hash``; in the cells of ``heavy``, from ``row_no`` too."""
+    plain = F.pmod(F.col("content_hash"), F.lit(cells)).cast("int")
+    again = F.pmod(F.xxhash64("content_hash", "row_no"), F.lit(cells)).cast("int")
+    return F.when(F.array_contains(heavy, plain), again).otherwise(plain)
+
 
-    A cell is heavy when it holds more than ``share`` of its group's weight, which for
-    hashed rows means one large row or one row repeated over and over. Its rows are
-    hashed again together with ``row_no``, so that repeats part. There are at most
-    ``1 / share`` heavy cells in a group.
+def repeated(n: Column, all_rows: Column, share: float) -> Column:
+    """Whether a cell of ``n`` rows is crowded, which for hashed rows means repeated ones.
+
+    At most ``1 / share`` cells can be, so their list is short.
     """
-    hashed = rows.withColumn("cell", F.pmod(F.col("content_hash"), F.lit(cells)).cast("int"))
-    sums = hashed.groupBy(*group, "cell").agg(F.sum(weight).alias("cell_weight"))
-    if group:
-        limits = sums.groupBy(*group).agg((F.sum("cell_weight") * F.lit(share)).alias("limit"))
-        over = sums.join(limits, group).where(F.col("cell_weight") > F.col("limit"))
-    else:
-        total = sums.agg(F.sum("cell_weight")).first()[0] or 0
-        over = sums.where(F.col("cell_weight") > F.lit(share * total))
-    heavy = over.select(*group, "cell", F.lit(True).alias("heavy"))
-    again = F.pmod(F.xxhash64("content_hash", "row_no"), F.lit(cells)).cast("int")
-    return (
-        hashed.join(F.broadcast(heavy), [*group, "cell"], "left")
-        .withColumn("cell", F.when(F.col("heavy"), again).otherwise(F.col("cell")))
-        .drop("heavy")
-    )
+    return (n > 64) & (n > F.lit(share) * all_rows)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -4,19 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import virtual_slots
+from . import byte_bpe, chat, mixing, virtual_slots
 from .common import table
 
+#: The vocabulary of the registered queries.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
 
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return virtual_slots.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op9_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    more = [(-7, 0, "user", probe), (-7, 1, "assistant", probe)]
+    added = spark.createDataFrame(more, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_conversations(rows.unionByName(added)))
+
+
+OP9_SQL = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+    SELECT *,
+        '<|turn|>' || replace(replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), '%', '%25'), chr(10), '%0A')
+        || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|end|>' || chr(10) AS chunk
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, chunk)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, chunk) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length(chunk)) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_virtual_slots,)}
+    every = (op1_hypergeometric_mix, op3_virtual_slots, op8_byte_bpe, op9_chat_events)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_chat_events": OP9_SQL}

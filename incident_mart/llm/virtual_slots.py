@@ -16,7 +16,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import spread_cells, stored, text_bytes
+from .common import cell_of, repeated, stored, text_bytes
 
 SLOTS = 4096
 
@@ -108,7 +108,11 @@ def slotted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slots:
         F.xxhash64(F.col(doc_id), F.col(text)).alias("content_hash"),
         F.monotonically_increasing_id().alias("row_no"),
     )
-    return stored(spread_cells(stored(narrow, "slots"), [], "size", slots, 1 / 256), "slotted")
+    rows = stored(narrow, "records")
+    counts = rows.groupBy(F.pmod("content_hash", F.lit(slots)).cast("int").alias("cell")).count()
+    crowded = counts.where(repeated(F.col("count"), F.lit(rows.count()), 1 / 256)).collect()
+    heavy = F.array(*[F.lit(x.cell) for x in crowded]).cast("array<int>")
+    return stored(rows.withColumn("cell", cell_of(slots, heavy)), "slotted")
 
 
 def slot_weights(rows: DataFrame, slots: int = SLOTS) -> list[int]:
