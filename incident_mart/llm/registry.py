@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat, mixing, virtual_slots
+from . import byte_bpe, chat, mixing, toxicity, virtual_slots
 from .common import table
 
 #: The vocabulary of the registered queries.
@@ -34,6 +34,10 @@ def op9_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows.unionByName(added)))
 
 
+def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP9_SQL = r"""
 WITH rows AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -55,7 +59,7 @@ FROM turns GROUP BY conv_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_hypergeometric_mix, op3_virtual_slots, op8_byte_bpe, op9_chat_events)
+    every = (op1_hypergeometric_mix, op3_virtual_slots, op8_byte_bpe, op9_chat_events, op10_noisy_or_toxicity)
     return {f.__name__: f for f in every}
 
 
