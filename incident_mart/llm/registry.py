@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat, mixing, toxicity, virtual_slots
+from . import byte_bpe, chat, int8_tiles, mixing, pii, pivot_topk, toxicity, virtual_slots, warc
 from .common import table
 
 #: The vocabulary of the registered queries.
@@ -22,6 +22,22 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return virtual_slots.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return int8_tiles.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -58,10 +74,56 @@ FROM turns GROUP BY conv_id
 """
 
 
+OP4_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reached(a, b) AS (
+    SELECT a, b FROM links
+    UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(r.low, e.vec_id)) AS component_id,
+    e.vec_id = least(e.vec_id, coalesce(r.low, e.vec_id)) AS kept
+FROM embeddings e
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+LEFT JOIN (SELECT a, min(b) AS low FROM reached GROUP BY a) r ON r.a = e.vec_id
+"""
+
+OP5_SQL = """
+WITH usable AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(x.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM usable q JOIN usable x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_hypergeometric_mix, op3_virtual_slots, op8_byte_bpe, op9_chat_events, op10_noisy_or_toxicity)
+    """By name, in the order of the operators."""
+    every = (
+        op1_hypergeometric_mix,
+        op3_virtual_slots,
+        op4_int8_tiles,
+        op5_pivot_topk,
+        op6_warc_index,
+        op7_weak_pii,
+        op8_byte_bpe,
+        op9_chat_events,
+        op10_noisy_or_toxicity,
+    )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_events": OP9_SQL}
+    """Where SQL can express the whole result."""
+    return {"op4_int8_tiles": OP4_SQL, "op5_pivot_topk": OP5_SQL, "op9_chat_events": OP9_SQL}
