@@ -62,6 +62,7 @@ ACCEPTED = 0.9
 PRIOR_VOTES, PRIOR_ACCURACY = 20.0, 0.8
 ROUNDS = 40
 LABELERS = 4
+CONTEXT = 2
 
 _SPAN = "array<struct<start: int, end: int, said: string>>"
 
@@ -216,7 +217,9 @@ def learnt(candidates: DataFrame, column: str = "candidates") -> list[int]:
     accepted = []
     for kind, of_kind in counts.items():
         chance = classify(of_kind, estimate(of_kind))
-        accepted += [kind * 3**LABELERS + code for code, p in chance.items() if p >= ACCEPTED]
+        # Words before a span must speak for it: a bare number of the right length is not enough.
+        cued = {code: p for code, p in chance.items() if _split(code)[CONTEXT] == 2}
+        accepted += [kind * 3**LABELERS + code for code, p in cued.items() if p >= ACCEPTED]
     return sorted(accepted)
 
 
@@ -258,9 +261,11 @@ def span_report(docs: DataFrame) -> DataFrame:
             lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
         )
     )
-    counted = {
-        f"n_{name}": F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long") for k, name in enumerate(KINDS)
-    }
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counted = {f"n_{name}": count(kind) for kind, name in enumerate(KINDS)}
     return (
         found.withColumns({"base": base, "all": decided(learnt(found))})
         .withColumns(counted)
