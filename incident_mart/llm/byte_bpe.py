@@ -65,6 +65,8 @@ def _automaton() -> tuple[np.ndarray, np.ndarray]:
 
 AFTER, BEGINS = _automaton()
 WIDTH = 256
+#: Ids that are decoded in one step.
+DECODED_IDS = 1 << 17
 
 
 @lru_cache(maxsize=1)
@@ -240,7 +242,14 @@ def encode_block(data: np.ndarray, starts: np.ndarray, words: Vocabulary) -> tup
 
 def decode_ids(ids: np.ndarray, words: Vocabulary) -> np.ndarray:
     """The bytes of all ids, one after the other."""
-    return words.flat[_ranges(words.begins[ids], words.lengths[ids])]
+    lengths = words.lengths[ids]
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    out = np.empty(edges[-1], np.uint8)
+    for low in range(0, len(ids), DECODED_IDS):
+        high = min(low + DECODED_IDS, len(ids))
+        part = _ranges(words.begins[ids[low:high]], lengths[low:high])
+        out[edges[low] : edges[high]] = words.flat[part]
+    return out
 
 
 @lru_cache(maxsize=2)
