@@ -21,15 +21,17 @@ from .common import SliceHash, blocks, stored, utf8
 BUCKETS = 1 << 18
 EMPTY = BUCKETS
 #: Leading bytes of a word that are a feature of their own, for words with many endings.
-STEMS = (5,)
-#: Features of fewer training documents are not used.
+STEMS = (4, 5, 6)
+#: Only features of so many toxic training documents are used, and only those that are
+#: so many times as frequent in toxic documents as in all.
 LEAST_DOCUMENTS = 5
+LEAST_LIFT = 1.5
 #: At most so many labelled documents fit the model, those with the smallest hashes.
-TRAINING_ROWS = 20_000
+TRAINING_ROWS = 12_000
 ROUNDS = 120
 LEARNING_RATE = 0.25
 #: Pull of each weight towards 0, which only words that explain labels resist.
-PULL = 3e-4
+PULL = 1e-4
 #: The bias at the start: a sentence is clean unless its words say otherwise.
 START = -6.0
 
@@ -78,19 +80,13 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit(buckets: np.ndarray, sentence: np.ndarray, text: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias that make the labels likely; ``text`` is each sentence's document.
+def fit(feature: np.ndarray, sentence: np.ndarray, text: np.ndarray, toxic: np.ndarray, n_features: int) -> np.ndarray:
+    """Weights, the bias last, that make the labels likely; ``text`` is each sentence's document.
 
     Full gradients, Adam steps and a proximal step that sets small weights to 0; the same
     rows give the same model.
     """
-    seen = np.unique(np.stack([buckets, text[sentence]]), axis=1)[0]
-    used = np.flatnonzero(np.bincount(seen, minlength=BUCKETS + 1)[:BUCKETS] >= LEAST_DOCUMENTS)
-    place = np.full(BUCKETS + 1, -1)
-    place[used] = np.arange(len(used))
-    feature = place[buckets]
-    feature, sentence = feature[feature >= 0], sentence[feature >= 0]
-    weights = np.zeros(len(used) + 1)
+    weights = np.zeros(n_features + 1)
     weights[-1] = START
     mean, spread = np.zeros_like(weights), np.zeros_like(weights)
     n_sentences, n = len(text), max(len(toxic), 1)
@@ -99,19 +95,20 @@ def fit(buckets: np.ndarray, sentence: np.ndarray, text: np.ndarray, toxic: np.n
         clean = np.bincount(text, _softplus(z), n)  # -log of P(no sentence offends)
         odds = 1.0 / np.expm1(np.clip(clean, 1e-9, 700))  # (1 - P) / P
         pull = np.where(toxic == 1, odds, -1.0)[text] * _logistic(z) / n
-        gradient = np.append(np.bincount(feature, pull[sentence], len(used)), pull.sum())
+        gradient = np.append(np.bincount(feature, pull[sentence], n_features), pull.sum())
         mean = 0.9 * mean + 0.1 * gradient
         spread = 0.99 * spread + 0.01 * gradient**2
         rate = LEARNING_RATE * (1 - 0.9 * step / ROUNDS) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-7)
         weights += rate * mean / (1 - 0.9**step)
         words = weights[:-1]
         weights[:-1] = np.sign(words) * np.maximum(np.abs(words) - rate[:-1] * PULL, 0)
-    out = np.zeros(BUCKETS + 1, np.float32)
-    out[used] = weights[:-1]
-    return out, float(weights[-1])
+    return weights
 
 
-FEATURES = "doc_id long, toxic int, buckets array<int>, sentences array<int>"
+#: The first feature of a sentence is stored as ``-1 - bucket``.
+FEATURES = "doc_id long, toxic int, buckets array<int>"
+#: Documents whose features are counted in one step.
+COUNTED = 500
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,44 +118,58 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut = starts[low : high + 1]
             buckets, sentence, text, _, _ = words_of(data[cut[0] : cut[-1]], cut - cut[0])
             bounds = np.searchsorted(text, np.arange(high - low + 1)).astype(np.int32)
-            if len(sentence):
-                sentence = sentence - sentence[np.minimum(bounds[:-1], len(sentence) - 1)][text]
-            sentence, bounds = np.repeat(sentence, buckets.shape[1]), bounds * buckets.shape[1]
+            head = np.flatnonzero(np.diff(sentence, prepend=-1))
+            buckets[head, 0] = -1 - buckets[head, 0]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(low, high - low),
                     batch.column("toxic").slice(low, high - low),
-                    pa.ListArray.from_arrays(bounds, pa.array(buckets.ravel())),
-                    pa.ListArray.from_arrays(bounds, pa.array(sentence.astype(np.int32))),
+                    pa.ListArray.from_arrays(bounds * buckets.shape[1], pa.array(buckets.ravel())),
                 ],
-                names=["doc_id", "toxic", "buckets", "sentences"],
+                names=["doc_id", "toxic", "buckets"],
             )
 
 
+def _counted(buckets: np.ndarray, document: np.ndarray) -> np.ndarray:
+    """In how many documents each bucket occurs."""
+    pairs = np.unique(document.astype(np.int64) * (BUCKETS + 1) + buckets)
+    return np.bincount(pairs % (BUCKETS + 1), minlength=BUCKETS + 1)
+
+
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One task, over at most TRAINING_ROWS documents."""
-    buckets, sentences, texts, toxic, n_texts, n_sentences = [], [], [], [], 0, 0
+    parts, toxic, texts = [], [], []
+    n_sentences = n_texts = 0
+    seen, seen_toxic = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
     for batch in batches:
-        counts = batch.column("buckets").value_lengths().to_numpy()
-        local = batch.column("sentences").flatten().to_numpy().astype(np.int64)
-        ends = np.cumsum(counts)
-        many = np.zeros(len(counts), np.int64)
-        full = counts > 0
-        many[full] = local[ends[full] - 1] + 1
-        begins = np.cumsum(many) - many
-        sentences.append(local + np.repeat(begins, counts) + n_sentences)
-        texts.append(np.repeat(np.arange(len(counts)), many) + n_texts)
-        buckets.append(batch.column("buckets").flatten().to_numpy())
-        toxic.append(batch.column("toxic").to_numpy())
-        n_texts += len(counts)
-        n_sentences += int(many.sum())
+        for at in range(0, len(batch), COUNTED):
+            some = batch.slice(at, COUNTED)
+            label = some.column("toxic").to_numpy()
+            codes = some.column("buckets").flatten().to_numpy()
+            document = np.repeat(np.arange(len(some)), some.column("buckets").value_lengths().to_numpy())
+            head = codes < 0
+            buckets = np.where(head, -1 - codes, codes)
+            seen += _counted(buckets, document)
+            of_toxic = label[document] == 1
+            seen_toxic += _counted(buckets[of_toxic], document[of_toxic])
+            parts.append((buckets, (np.cumsum(head) - 1 + n_sentences).astype(np.int32)))
+            texts.append(document[head] + n_texts)
+            toxic.append(label)
+            n_texts += len(some)
+            n_sentences += int(head.sum())
     if not n_texts:
         return
-    weights, bias = fit(*map(np.concatenate, (buckets, sentences, texts, toxic)))
-    used = np.flatnonzero(weights)
+    labels = np.concatenate(toxic)
+    seen[EMPTY] = seen_toxic[EMPTY] = 0
+    lift = seen_toxic * n_texts >= LEAST_LIFT * seen * max(int(labels.sum()), 1)
+    used = np.flatnonzero((seen_toxic >= LEAST_DOCUMENTS) & lift)
+    place = np.full(BUCKETS + 1, -1, np.int32)
+    place[used] = np.arange(len(used))
+    chosen = [(place[b[place[b] >= 0]], s[place[b] >= 0]) for b, s in parts]
+    feature, sentence = (np.concatenate(x) for x in zip(*chosen))
+    weights = fit(feature, sentence.astype(np.int64), np.concatenate(texts), labels, len(used))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(weights[used], bias).astype(np.float32))],
-        names=["bucket", "weight"],
+        [pa.array(np.append(used, -1).astype(np.int32)), pa.array(weights.astype(np.float32))], names=["bucket", "weight"]
     )
 
 
