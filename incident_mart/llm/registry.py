@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat, int8_tiles, mixing, pii, pivot_topk, toxicity, virtual_slots, warc
+from . import byte_bpe, chat, int8_tiles, mixing, pii, pivot_topk, probminhash, toxicity, virtual_slots, warc
 from .common import table
 
 #: The vocabulary of the registered queries.
@@ -18,6 +18,10 @@ def op1_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return virtual_slots.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -112,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name, in the order of the operators."""
     every = (
         op1_hypergeometric_mix,
+        op2_probminhash,
         op3_virtual_slots,
         op4_int8_tiles,
         op5_pivot_topk,
