@@ -26,7 +26,7 @@ from incident_mart.schemas import (
 )
 from incident_mart.session import scratch_dir
 from incident_mart.sources import files, pages, tables
-from incident_mart.streaming import merge_stream, start_feed_stream
+from incident_mart.streaming import close_pull, merge_stream, start_feed_stream
 
 from . import roles
 from .roles import table
@@ -150,12 +150,16 @@ def age_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""SELECT longitude, latitude, injuries_total, injuries_fatal,
                longitude AS point_longitude, latitude AS point_latitude,
-               'POINT(' || CAST(longitude AS BIGINT) || ' ' || CAST(latitude AS BIGINT) || ')'
-                 AS geo_wkt
-        FROM ({roles.CRASHES_TABLE})"""
+               'POINT(' || longitude || ' ' || latitude || ')' AS geo_wkt
+        FROM (SELECT * REPLACE (0.25 - longitude AS longitude, 45.5 - latitude AS latitude)
+              FROM ({roles.CRASHES_TABLE}))"""
 )
 def location_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    located = plans.crashes_location(roles.crashes(spark, sf_dir))
+    """Fractional positions, west and east, north and south."""
+    crashes = roles.crashes(spark, sf_dir).withColumns(
+        {"longitude": 0.25 - F.col("longitude"), "latitude": 45.5 - F.col("latitude")}
+    )
+    located = plans.crashes_location(crashes)
     return located.select(
         "longitude",
         "latitude",
@@ -381,9 +385,14 @@ _EVENT_CLEAN = roles.clean_sql(
 @query(_EVENT_CLEAN)
 def clean_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unreadable id on a complete row ends the load; one on a dropped row does not."""
+    raw = _event_pages(spark, sf_dir)
+    return plans.clean_pages(raw, EVENTS, on_error="prefix", first_page=0)
+
+
+def _event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     user = F.when(_near_greatest(events), "unknown").otherwise(F.col("user_id").cast("string"))
-    raw = events.select(
+    return events.select(
         F.expr("event_id div 100").alias(PAGE),
         F.col("event_id").cast("string").alias("event_id"),
         F.col("ts").cast("string").alias("ts"),
@@ -391,7 +400,20 @@ def clean_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif("event_type", F.lit("error")).alias("event_type"),
         F.col("value").cast("string").alias("value"),
     )
-    return plans.clean_pages(raw, EVENTS, on_error="prefix", first_page=0)
+
+
+@query(
+    f"""SELECT page_no, count(*) AS rows_staged, coalesce(any_value(n), 0) AS rows_kept,
+               bool_or(user_id = 'unknown' AND event_type IS NOT NULL) AS is_bad
+        FROM ({_EVENT_PAGES}) LEFT JOIN
+             (SELECT page_no, count(*) AS n FROM ({_EVENT_CLEAN}) GROUP BY page_no) USING (page_no)
+        GROUP BY page_no"""
+)
+def prefix_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each page of a load gave that ended at a bad page."""
+    raw = _event_pages(spark, sf_dir)
+    loaded = plans.clean_pages(raw, EVENTS, on_error="prefix", first_page=0)
+    return plans.page_report(plans.stage_pages(raw, EVENTS), loaded, EVENTS)
 
 
 # ----------------------------------------------------------------- sources
@@ -429,23 +451,50 @@ def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT event_id AS page_no, CAST(CAST(props AS JSON)->>'k' AS BIGINT) AS k,
-              CAST(NULL AS VARCHAR) AS absent, false AS body_broken FROM events"""
+    """SELECT event_id AS page_no,
+              CASE WHEN event_id % 11 <> 3 THEN CAST(CAST(props AS JSON)->>'k' AS BIGINT) END AS k,
+              CAST(NULL AS VARCHAR) AS absent, event_id % 11 = 3 AS body_broken
+       FROM events WHERE event_id % 11 <> 5"""
 )
 def json_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias(PAGE), F.concat(F.lit("["), "props", F.lit("]")).alias("body")
+    """Bodies of one record, empty ones (the end of a pull) and ones that are no list."""
+    body = (
+        F.when(F.col("event_id") % 11 == 3, F.concat(F.lit("<html>"), "props"))
+        .when(F.col("event_id") % 11 == 5, F.lit(" [ ]"))
+        .otherwise(F.concat(F.lit("["), "props", F.lit("]")))
     )
+    bodies = table(spark, sf_dir, "events").select(F.col("event_id").alias(PAGE), body.alias("body"))
     rows = pages.explode_bodies(bodies, "body", ["k", "absent"])
     return rows.withColumn("k", X.strict_int(F.col("k")))
 
 
-@query(roles.conform_sql(CRASHES, roles.CRASHES_TABLE))
+@query(
+    roles.conform_sql(
+        CRASHES,
+        f"""SELECT * REPLACE (
+              CASE WHEN injuries_total <> 3 THEN injuries_total END AS injuries_total,
+              CASE WHEN latitude <> 7 THEN latitude END AS latitude,
+              CASE WHEN CAST(crash_record_id AS BIGINT) % 9 <> 4 THEN crash_date END AS crash_date)
+            FROM ({roles.CRASHES_TABLE})""",
+    )
+)
 def csv_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bad field of a line reads as NULL and its other fields stay."""
     folder = scratch_dir(spark, "csv")
     layout = plans.Layout(f"{folder}/mart")
     crashes = roles.crashes(spark, sf_dir)
-    text = crashes.withColumn("crash_date", F.col("crash_date").cast("string"))
+    late = F.col("crash_record_id").cast("bigint") % 9 == 4
+    text = crashes.withColumns(
+        {
+            "crash_date": F.when(late, "soon").otherwise(F.col("crash_date").cast("string")),
+            "injuries_total": F.when(F.col("injuries_total") == 3, "few").otherwise(
+                F.col("injuries_total").cast("string")
+            ),
+            "latitude": F.when(F.col("latitude") == 7, "north").otherwise(
+                F.col("latitude").cast("string")
+            ),
+        }
+    )
     files.append_csv(text, f"{folder}/csv")
     plans.conform_csv(spark, f"{folder}/csv", CRASHES, layout)
     return plans.widen(spark.read.parquet(layout.conformed(CRASHES)), CRASHES)
@@ -531,6 +580,17 @@ def insert_only_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hex_key(tables.read_table(spark, path, schema))
 
 
+@query(roles.key_sql(CRASHES, roles.CRASHES_TABLE))
+def merge_same_load_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two halves of the crashes, merged under one load id: the first one stays."""
+    path, schema = scratch_dir(spark, "merge-same"), CRASHES.table_schema
+    source = ops.with_surrogate_key(roles.crashes(spark, sf_dir), CRASHES.hash_columns)
+    odd = F.col("crash_record_id").cast("bigint") % 2 == 1
+    for half in (source.filter(odd), source.filter(~odd)):
+        tables.insert_only_merge(half, path, schema, "daily")
+    return hex_key(tables.read_table(spark, path, schema))
+
+
 @query(roles.key_sql(PERSONS, roles.PERSONS_TABLE))
 def merge_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows merged as two loads, and the second load run again."""
@@ -597,9 +657,57 @@ def stream_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hex_key(tables.read_table(spark, path, PERSONS.table_schema))
 
 
+@query(roles.loaded_sql(PERSONS))
+def stream_persons_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The persons feed in three pulls, loaded in a batch for each."""
+    root = scratch_dir(spark, "stream-split")
+    rows = roles.person_pages(spark, sf_dir)
+    for pull in range(3):
+        part = rows.filter(F.col("crash_record_id").cast("bigint") % 3 == pull)
+        pages.write_json_pages(part, f"{root}/landing/pull-{pull}")
+        close_pull(spark, f"{root}/closed", f"pull-{pull}")
+    run = start_feed_stream(
+        spark,
+        PERSONS,
+        f"{root}/landing",
+        f"{root}/mart",
+        f"{root}/checkpoint",
+        closed=f"{root}/closed",
+        max_files=1,
+    )
+    run.awaitTermination()
+    path = plans.Layout(f"{root}/mart").table(PERSONS)
+    return hex_key(tables.read_table(spark, path, PERSONS.table_schema))
+
+
+@query(roles.loaded_sql(CRASHES))
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings, each with a stream and a checkpoint of its own, into one table."""
+    root = scratch_dir(spark, "stream-two")
+    rows = roles.crash_pages(spark, sf_dir)
+    for part in range(2):
+        mine = rows.filter(F.col("crash_record_id").cast("bigint") % 2 == part)
+        pages.write_json_pages(mine, f"{root}/landing-{part}")
+        run = start_feed_stream(
+            spark, CRASHES, f"{root}/landing-{part}", f"{root}/mart", f"{root}/checkpoint-{part}"
+        )
+        run.awaitTermination()
+    path = plans.Layout(f"{root}/mart").table(CRASHES)
+    return hex_key(tables.read_table(spark, path, CRASHES.table_schema))
+
+
 # -------------------------------------------------------------- whole feeds
 
 
+@query(roles.loaded_sql(CRASHES, zone="+00"))
+def load_crashes_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys whose timestamp text carries the zone."""
+    layout = plans.Layout(scratch_dir(spark, "load-zoned"))
+    keys = plans.KeyForm(timestamp_suffix="+00")
+    plans.load_pages(roles.crash_pages(spark, sf_dir), CRASHES, layout, "first", keys=keys)
+    return hex_key(tables.read_table(spark, layout.table(CRASHES), CRASHES.table_schema))
+
+
 def _load(feed: Feed) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         layout = plans.Layout(scratch_dir(spark, f"load-{feed.name}"))

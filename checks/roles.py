@@ -247,37 +247,18 @@ def conform_sql(feed: Feed, cleaned: str) -> str:
     return f"SELECT {through} FROM ({cleaned})"
 
 
-def key_sql(feed: Feed, rows: str) -> str:
-    """Rows with their surrogate key as lower-case hex."""
-    joined = " || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in feed.hash_columns)
+def key_sql(feed: Feed, rows: str, zone: str = "") -> str:
+    """Rows with their surrogate key as lower-case hex; ``zone`` ends timestamp text."""
+    kinds = {c.name: c.loaded for c in feed.columns}
+    texts = [
+        f"CAST({c} AS VARCHAR)" + (f" || '{zone}'" if kinds[c] == "timestamp" else "")
+        for c in feed.hash_columns
+    ]
+    joined = " || ".join(f"coalesce({text}, '')" for text in texts)
     return f"SELECT md5({joined}) AS unique_id, * FROM ({rows})"
 
 
-def loaded_sql(feed: Feed) -> str:
+def loaded_sql(feed: Feed, zone: str = "") -> str:
     """The feed's loaded table, from its raw pages."""
-    return key_sql(feed, conform_sql(feed, clean_sql(feed, PAGES_SQL[feed.name])))
-
-
-__all__ = [
-    "CRASHES",
-    "CRASHES_TABLE",
-    "PAGES",
-    "PAGES_SQL",
-    "PERSONS",
-    "PERSONS_TABLE",
-    "TABLES_SQL",
-    "VEHICLES",
-    "VEHICLES_TABLE",
-    "clean_sql",
-    "conform_sql",
-    "crash_pages",
-    "crashes",
-    "key_sql",
-    "loaded_sql",
-    "person_pages",
-    "persons",
-    "table",
-    "typed_sql",
-    "vehicle_pages",
-    "vehicles",
-]
+    return key_sql(feed, conform_sql(feed, clean_sql(feed, PAGES_SQL[feed.name])), zone)
+

@@ -11,8 +11,9 @@ import argparse
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from .plans import Layout, full_refresh, publish_models
+from .plans import KeyForm, Layout, full_refresh, publish_models
 from .schemas import FEEDS
 from .session import build_session, configure
 from .sources import read_json_pages
@@ -36,25 +37,36 @@ def _arguments() -> argparse.ArgumentParser:
             sub.add_argument("--pages", type=_pair, action="append", required=True)
             sub.add_argument("--page-from", choices=["directory", "file_name"], default="directory")
             sub.add_argument("--layout", choices=["lines", "array"], default="lines")
+            sub.add_argument("--on-error", choices=["fail", "prefix"], default="fail")
+            sub.add_argument("--first-page", type=int)
+            sub.add_argument("--target-filter", help="SQL over the table's rows that can match")
+            sub.add_argument("--key-separator", default="")
+            sub.add_argument("--timestamp-suffix", default="", help="such as +00")
         if job != "stream":
             sub.add_argument("--sample", type=int, help="rows of persons and crashes to build on")
         if job == "refresh":
             sub.add_argument("--load-id", required=True)
-            sub.add_argument("--on-error", choices=["fail", "prefix"], default="fail")
-            sub.add_argument("--first-page", type=int)
         if job == "models":
             sub.add_argument("--select", nargs="*", help="models to publish")
         if job == "stream":
             sub.add_argument("--checkpoint", required=True)
+            sub.add_argument("--closed", type=_pair, action="append", help="marks of closed pulls")
             sub.add_argument("--every", help="keep looking this often, such as '10 minutes'")
     return parser
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, int]:
-    """Run one job; the rows conformed per feed (``refresh`` only)."""
+    """Run one job; the rows merged per feed (``refresh`` only)."""
     args = _arguments().parse_args(argv)
     spark = configure(spark) if spark else build_session()
     counts: dict[str, int] = {}
+    if args.job != "models":
+        options = {
+            "on_error": args.on_error,
+            "first_page": args.first_page,
+            "target_filter": F.expr(args.target_filter) if args.target_filter else None,
+            "keys": KeyForm(args.key_separator, args.timestamp_suffix),
+        }
     if args.job == "refresh":
         pages = {
             name: read_json_pages(
@@ -63,11 +75,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             for name, path in args.pages
         }
         counts, _ = full_refresh(
-            spark, pages, args.root, args.load_id, args.on_error, args.first_page, args.sample
+            spark, pages, args.root, args.load_id, sample=args.sample, **options
         )
     elif args.job == "models":
         publish_models(spark, Layout(args.root), args.sample, args.select)
     else:
+        closed = dict(args.closed or [])
         running = [
             start_feed_stream(
                 spark,
@@ -77,7 +90,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                 f"{args.checkpoint}/{name}",
                 args.page_from,
                 args.layout,
+                closed=closed.get(name),
                 every=args.every,
+                **options,
             )
             for name, path in args.pages
         ]

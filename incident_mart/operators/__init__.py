@@ -4,10 +4,18 @@ from .cleaning import drop_incomplete
 from .contract import contract_report, required, schema_contract
 from .keys import with_surrogate_key
 from .latest import join_on_key, latest_per_group
-from .merge import key_status, merged, rows_of_new_keys, unmatched_rows
+from .merge import (
+    counted_keys,
+    key_status,
+    merged,
+    rows_of_new_keys,
+    status_of,
+    unmatched_rows,
+)
 from .paging import (
     drop_later_pages,
     first_page_wins,
+    first_unusable,
     page_ledger,
     page_prefix,
     repeated_keys,
@@ -19,9 +27,11 @@ from .sampling import sample_rows
 __all__ = [
     "assert_columns",
     "contract_report",
+    "counted_keys",
     "drop_incomplete",
     "drop_later_pages",
     "first_page_wins",
+    "first_unusable",
     "join_on_key",
     "keep_columns",
     "key_status",
@@ -36,6 +46,7 @@ __all__ = [
     "rows_of_new_keys",
     "sample_rows",
     "schema_contract",
+    "status_of",
     "unmatched_rows",
     "with_computed",
     "with_surrogate_key",

@@ -13,8 +13,16 @@ from pyspark.sql import functions as F
 
 KEY, ROWS, NEW = "__key", "__rows", "__new"
 
-#: The rows of a key with more rows than this are not shuffled by key.
+#: The rows of a key with more rows than this are not shuffled by key. A plan parameter:
+#: results are the same for any value; lower it only in tests, hot keys are broadcast.
 HOT_ROWS = 10_000_000
+#: Up to so many source keys (32 MB at 32 bytes each) the target is cut by a broadcast.
+FEW_KEYS = 1_000_000
+
+
+def counted_keys(source: DataFrame, key: str) -> DataFrame:
+    """``(key, rows)`` of the source; shrinks before its shuffle."""
+    return source.groupBy(F.col(key).alias(KEY)).agg(F.count(F.lit(1)).alias(ROWS))
 
 
 def key_status(
@@ -26,8 +34,25 @@ def key_status(
     fills a third of either side sends one row per task. A NULL key matches nothing
     and is new.
     """
-    source_keys = source.groupBy(F.col(key).alias(KEY)).agg(F.count(F.lit(1)).alias(ROWS))
-    target_keys = target.select(F.col(key).alias(KEY)).distinct().withColumn(NEW, F.lit(False))
+    return status_of(counted_keys(source, key), target, key, hot_rows)
+
+
+def status_of(
+    source_keys: DataFrame,
+    target: DataFrame,
+    key: str,
+    hot_rows: int = HOT_ROWS,
+    few_keys: bool = False,
+) -> DataFrame:
+    """``key_status``, given the ``counted_keys`` of the source.
+
+    ``few_keys`` says that there are at most ``FEW_KEYS`` of them: the target is then cut
+    to them where it is read, and what is shuffled grows with the batch, not the table.
+    """
+    target_keys = target.select(F.col(key).alias(KEY))
+    if few_keys:
+        target_keys = target_keys.join(F.broadcast(source_keys.select(KEY)), KEY, "left_semi")
+    target_keys = target_keys.distinct().withColumn(NEW, F.lit(False))
     known = source_keys.join(target_keys, KEY, "left")
     status = known.withColumn(NEW, F.coalesce(NEW, F.lit(True)))
     return status.filter(F.col(NEW) | (F.col(ROWS) > hot_rows))

@@ -33,6 +33,31 @@ def _mark(number: Column, found: Column, bad: Column) -> Column:
     return F.struct(number.alias("stop"), found.alias("found"), bad.alias("bad"))
 
 
+def _stops(ledger: DataFrame, page: str, first_page: int | None) -> DataFrame:
+    """The numbers at which a load ends: bad pages and, with ``first_page``, missing ones.
+
+    The number after the last page is missing too.
+    """
+    number = F.col(page).cast("bigint")
+    if first_page is None:
+        return ledger.filter("bad").select(number.alias("stop"))
+    # Each page vouches for itself and asks for the next one; a number asked for
+    # that no page vouches for is a gap.
+    here = _mark(number, F.lit(True), F.col("bad"))
+    following = _mark(number + 1, F.lit(False), F.lit(False))
+    start = ledger.sparkSession.range(first_page, first_page + 1).select(
+        _mark(F.col("id"), F.lit(False), F.lit(False)).alias("mark")
+    )
+    wanted = (
+        ledger.filter(number >= first_page)
+        .select(F.explode(F.array(here, following)).alias("mark"))
+        .unionByName(start)
+        .select("mark.*")
+    )
+    pages = wanted.groupBy("stop").agg(F.max("found").alias("found"), F.max("bad").alias("bad"))
+    return pages.filter(~F.col("found") | F.col("bad")).select("stop")
+
+
 def page_prefix(
     df: DataFrame, ledger: DataFrame, page: str, first_page: int | None = None
 ) -> DataFrame:
@@ -42,25 +67,7 @@ def page_prefix(
     and the first gap ends the load. The limit is one number, read as a scalar
     subquery; the pages are never listed on the driver.
     """
-    number = F.col(page).cast("bigint")
-    if first_page is None:
-        stops = ledger.filter("bad").select(number.alias("stop"))
-    else:
-        # Each page vouches for itself and asks for the next one; a number asked for
-        # that no page vouches for is a gap.
-        here = _mark(number, F.lit(True), F.col("bad"))
-        following = _mark(number + 1, F.lit(False), F.lit(False))
-        start = df.sparkSession.range(first_page, first_page + 1).select(
-            _mark(F.col("id"), F.lit(False), F.lit(False)).alias("mark")
-        )
-        wanted = (
-            ledger.filter(number >= first_page)
-            .select(F.explode(F.array(here, following)).alias("mark"))
-            .unionByName(start)
-            .select("mark.*")
-        )
-        pages = wanted.groupBy("stop").agg(F.max("found").alias("found"), F.max("bad").alias("bad"))
-        stops = pages.filter(~F.col("found") | F.col("bad"))
+    stops = _stops(ledger, page, first_page)
     limit = stops.agg(F.coalesce(F.min("stop"), F.lit(_NO_PAGE)).alias("stop")).scalar()
     kept = F.col(page) < limit
     if first_page is not None:
@@ -68,6 +75,18 @@ def page_prefix(
     return df.filter(kept)
 
 
+def first_unusable(ledger: DataFrame, page: str, first_page: int | None = None) -> int | None:
+    """The first bad page, or with ``first_page`` the first missing one before the last.
+
+    Starts a job over the ledger and gives one number.
+    """
+    stop = _stops(ledger, page, first_page).agg(F.min("stop")).first()[0]
+    if stop is None or first_page is None:
+        return stop
+    last = ledger.agg(F.max(page)).first()[0]
+    return stop if last is not None and stop <= last else None
+
+
 def first_page_wins(df: DataFrame, key: str, page: str) -> DataFrame:
     """All rows of the first page a key appears on; its rows on later pages go.
 

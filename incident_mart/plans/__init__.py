@@ -1,6 +1,7 @@
 """What the operators are strung into: feed loads, models, and the whole refresh."""
 
 from .feeds import (
+    KeyForm,
     Layout,
     clean_pages,
     conform,
@@ -8,6 +9,7 @@ from .feeds import (
     keyed_rows,
     load_conformed,
     load_pages,
+    page_report,
     stage_pages,
     widen,
 )
@@ -23,6 +25,7 @@ from .models import (
 from .refresh import full_refresh, publish_models, read_tables
 
 __all__ = [
+    "KeyForm",
     "Layout",
     "age_distri",
     "build_models",
@@ -35,6 +38,7 @@ __all__ = [
     "keyed_rows",
     "load_conformed",
     "load_pages",
+    "page_report",
     "publish_models",
     "read_tables",
     "stage_pages",

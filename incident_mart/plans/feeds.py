@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,14 +17,20 @@ from ..operators.keys import with_surrogate_key
 from ..operators.paging import (
     drop_later_pages,
     first_page_wins,
+    first_unusable,
     page_ledger,
     page_prefix,
     repeated_keys,
+    rows_kept,
 )
 from ..operators.projection import assert_columns, keep_columns
 from ..schemas import BROKEN, PAGE, Feed
-from ..sources.files import read_csv, read_parquet_as, replace_rows, store
-from ..sources.tables import insert_only_merge
+from ..schemas import Column as FeedColumn
+from ..session import scratch_dir
+from ..sources.files import read_csv, read_parquet_as, remove, replace_rows, store
+from ..sources.pages import numbered
+from ..sources.tables import insert_only_merge, refresh_views
+from .models import MODELS
 
 #: Why a staged row is where it is: kept, dropped as incomplete, or ending the load.
 STATE = "row_state"
@@ -38,11 +45,11 @@ class Layout:
 
     root: str
 
-    def staged(self, feed: Feed) -> str:
-        return f"{self.root}/staged/{feed.name}"
+    def staged(self, feed: Feed, load_id: str) -> str:
+        return f"{self.root}/staged/{feed.name}/{load_id}"
 
-    def repeats(self, feed: Feed) -> str:
-        return f"{self.root}/staged/{feed.name}_repeats"
+    def report(self, feed: Feed, load_id: str) -> str:
+        return f"{self.root}/reports/{feed.name}/{load_id}"
 
     def conformed(self, feed: Feed) -> str:
         return f"{self.root}/conformed/{feed.name}"
@@ -54,6 +61,22 @@ class Layout:
         return f"{self.root}/models/{name}"
 
 
+@dataclass(frozen=True)
+class KeyForm:
+    """How the parts of a surrogate key are joined.
+
+    Tables that were published elsewhere have keys whose timestamp text carries the
+    zone: ``timestamp_suffix="+00"`` gives those. A ``separator`` keeps parts apart
+    where old keys need not be matched.
+    """
+
+    separator: str = ""
+    timestamp_suffix: str = ""
+
+
+PLAIN_KEYS = KeyForm()
+
+
 def _any(flags: list[Column]) -> Column:
     return reduce(or_, flags)
 
@@ -73,47 +96,62 @@ def _used_by_name(feed: Feed) -> list[str]:
     return [c.name for c in feed.columns if c.name == feed.page_key or c.reads_as != "text"]
 
 
-def stage_pages(raw: DataFrame, feed: Feed) -> DataFrame:
+def stage_pages(raw: DataFrame, feed: Feed, strict: bool = False) -> DataFrame:
     """Typed rows, none removed: a ``row_state`` says what the load does with each.
 
     Written once, this lets every later step read the few columns it needs instead of
-    parsing the pages again.
+    parsing the pages again. ``strict`` fails on a broken body or an unreadable field
+    of a complete row, where otherwise the row is marked as bad.
     """
     pages = _with_page_columns(raw, feed)
+    incomplete = _incomplete(feed)
     bad = _any([unreadable(F.col(c.name), c.reads_as) for c in feed.columns])
+    broken = F.lit(BAD)
+    if strict:
+        broken = F.raise_error(F.lit("a page body is no list of records")).cast("string")
+        bad = F.lit(False)
     state = (
-        F.when(F.col(BROKEN), F.lit(BAD))
-        .when(_incomplete(feed), F.lit(DROPPED))
+        F.when(F.col(BROKEN), broken)
+        .when(incomplete, F.lit(DROPPED))
         .when(bad, F.lit(BAD))
         .otherwise(F.lit(KEPT))
     )
     used = _used_by_name(feed)
     present = F.array(*[F.col(c).isNotNull() for c in used])
+
+    def value(column: FeedColumn) -> Column:
+        if not strict:
+            return value_or_null(F.col(column.name), column.reads_as)
+        return F.when(~incomplete, strict_value(F.col(column.name), column.reads_as))
+
     return pages.select(
-        PAGE,
+        numbered(F.col(PAGE)).alias(PAGE),
         state.alias(STATE),
         present.alias(_PRESENT),
-        *[value_or_null(F.col(c.name), c.reads_as).alias(c.name) for c in feed.columns],
+        *[value(c).alias(c.name) for c in feed.columns],
     )
 
 
+def _ledger(staged: DataFrame, feed: Feed) -> DataFrame:
+    """Every page and whether it is bad: a bad row, or a read column that no row has."""
+    needed = [F.element_at(_PRESENT, i + 1) for i in range(len(_used_by_name(feed)))]
+    return page_ledger(staged, PAGE, F.col(STATE) == BAD, needed)
+
+
 def kept_pages(staged: DataFrame, feed: Feed, first_page: int | None = None) -> DataFrame:
     """Kept rows of the pages before the first bad one, as ``(page_no, columns...)``."""
-    needed = [F.element_at(_PRESENT, i + 1) for i in range(len(_used_by_name(feed)))]
-    ledger = page_ledger(staged, PAGE, F.col(STATE) == BAD, needed)
-    rows = page_prefix(staged.filter(F.col(STATE) == KEPT), ledger, PAGE, first_page)
+    rows = page_prefix(staged.filter(F.col(STATE) == KEPT), _ledger(staged, feed), PAGE, first_page)
     return rows.select(PAGE, *feed.column_names)
 
 
-def complete_pages(raw: DataFrame, feed: Feed) -> DataFrame:
-    """Complete rows with their types; an unreadable field or body fails the job."""
-    pages = _with_page_columns(raw, feed)
-    whole = pages.filter(F.col(BROKEN) | ~_incomplete(feed))
-    page = F.when(F.col(BROKEN), F.raise_error(F.lit("a page body is no list of records")))
-    return whole.select(
-        page.otherwise(F.col(PAGE)).alias(PAGE),
-        *[strict_value(F.col(c.name), c.reads_as).alias(c.name) for c in feed.columns],
-    )
+def all_pages(staged: DataFrame, feed: Feed, first_page: int | None = None) -> DataFrame:
+    """Kept rows of all pages; a page that cannot be used, or a gap, is an error."""
+    stop = first_unusable(_ledger(staged, feed), PAGE, first_page)
+    if stop is not None:
+        raise ValueError(
+            f"{feed.name}: page {stop} is missing, or none of its rows has a column that is read"
+        )
+    return staged.filter(F.col(STATE) == KEPT).select(PAGE, *feed.column_names)
 
 
 def _by_prefix(on_error: str) -> bool:
@@ -122,19 +160,29 @@ def _by_prefix(on_error: str) -> bool:
     return on_error == "prefix"
 
 
+def _staged_rows(
+    raw: DataFrame, feed: Feed, path: str, on_error: str, first_page: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """The staged pages, stored, and the rows of them that a load may use."""
+    prefix = _by_prefix(on_error)
+    staged = store(stage_pages(raw, feed, strict=not prefix), path)
+    rows = (kept_pages if prefix else all_pages)(staged, feed, first_page)
+    return staged, rows
+
+
 def clean_pages(
     raw: DataFrame, feed: Feed, on_error: str = "fail", first_page: int | None = None
 ) -> DataFrame:
     """Text pages to typed rows: incomplete rows out, later repeats of a key out.
 
     ``on_error="prefix"`` keeps the pages before the first bad one (and, with
-    ``first_page``, before the first gap); ``"fail"`` fails the job that reads a bad
-    field.
+    ``first_page``, before the first gap); ``"fail"`` fails on a bad field, a broken
+    body, a page without a column that is read, and with ``first_page`` on a gap. The
+    pages are parsed once, into a scratch folder.
     """
-    if _by_prefix(on_error):
-        rows = kept_pages(stage_pages(raw, feed), feed, first_page)
-    else:
-        rows = complete_pages(raw, feed)
+    _by_prefix(on_error)
+    scratch = scratch_dir(raw.sparkSession, f"staged-{feed.name}")
+    _, rows = _staged_rows(raw, feed, scratch, on_error, first_page)
     return first_page_wins(rows, feed.page_key, PAGE)
 
 
@@ -161,12 +209,27 @@ def widen(conformed: DataFrame, feed: Feed) -> DataFrame:
     return conformed.select(*[F.col(c.name).cast(c.loaded).alias(c.name) for c in feed.columns])
 
 
-def keyed_rows(
-    wide: DataFrame, feed: Feed, separator: str = "", timestamp_suffix: str = ""
-) -> DataFrame:
-    """Rows of the table's form, surrogate key first. The defaults give the published keys."""
+def keyed_rows(wide: DataFrame, feed: Feed, keys: KeyForm = PLAIN_KEYS) -> DataFrame:
+    """Rows of the table's form, surrogate key first."""
     return with_surrogate_key(
-        wide, feed.hash_columns, separator=separator, timestamp_suffix=timestamp_suffix
+        wide,
+        feed.hash_columns,
+        separator=keys.separator,
+        timestamp_suffix=keys.timestamp_suffix,
+    )
+
+
+def page_report(staged: DataFrame, loaded: DataFrame, feed: Feed) -> DataFrame:
+    """``(page_no, rows_staged, rows_kept, is_bad)`` of every page.
+
+    ``loaded`` holds the rows that the load keeps; a page that it did not reach has no
+    rows kept.
+    """
+    staged_rows = rows_kept(staged, PAGE, "rows_staged")
+    ledger = _ledger(staged, feed).withColumnRenamed("bad", "is_bad")
+    found = staged_rows.join(ledger, PAGE).join(rows_kept(loaded, PAGE), PAGE, "left")
+    return found.select(
+        PAGE, "rows_staged", F.coalesce("rows_kept", F.lit(0)).alias("rows_kept"), "is_bad"
     )
 
 
@@ -178,27 +241,32 @@ def load_pages(
     on_error: str = "fail",
     first_page: int | None = None,
     target_filter: Column | None = None,
+    keys: KeyForm = PLAIN_KEYS,
+    keep_files: bool = False,
 ) -> int:
-    """Clean, conform and merge the pages into the feed's table; rows conformed.
+    """Clean, conform and merge the pages into the feed's table; the rows merged.
 
-    The pages are parsed once, into the staged files; the few keys on more than one page
-    are stored next, so that the rows need no shuffle. The row count is observed while
-    the conformed files are written. ``target_filter`` is that of ``insert_only_merge``.
+    The pages are parsed once, into staged files of this load; the few keys on more than
+    one page are stored next, so that the rows need no shuffle. What every page gave is
+    stored as the load's report (``page_report``), where a load that ended early shows.
+    ``keep_files`` also leaves the conformed rows as files of the layout.
+    ``target_filter`` is that of ``insert_only_merge``. Staged files go when the load ends.
     """
     spark = raw.sparkSession
-    if _by_prefix(on_error):
-        staged = store(stage_pages(raw, feed), layout.staged(feed))
-        rows = kept_pages(staged, feed, first_page)
-    else:
-        rows = store(complete_pages(raw, feed), layout.staged(feed))
-    repeats = store(repeated_keys(rows, feed.page_key, PAGE), layout.repeats(feed))
-    first = drop_later_pages(rows, repeats, feed.page_key, PAGE)
-    seen = Observation(f"{feed.name}-{load_id}")
-    conformed = conform(first, feed)
-    counted = conformed.observe(seen, F.count(F.lit(1)).alias("rows"))
-    replace_rows(counted, layout.conformed(feed))
-    load_conformed(spark, feed, layout, load_id, target_filter)
-    return seen.get["rows"]
+    _by_prefix(on_error)
+    folder = f"{layout.staged(feed, load_id)}-{uuid.uuid4().hex}"
+    try:
+        staged, rows = _staged_rows(raw, feed, f"{folder}/pages", on_error, first_page)
+        repeats = store(repeated_keys(rows, feed.page_key, PAGE), f"{folder}/repeats")
+        first = drop_later_pages(rows, repeats, feed.page_key, PAGE)
+        report = store(page_report(staged, first, feed), layout.report(feed, load_id))
+        conformed = conform(first, feed)
+        if keep_files:
+            conformed = store(conformed, layout.conformed(feed))
+        _merge(widen(conformed, feed), feed, layout, load_id, target_filter, keys)
+        return report.agg(F.coalesce(F.sum("rows_kept"), F.lit(0))).first()[0]
+    finally:
+        remove(spark, folder)
 
 
 def conform_csv(spark: SparkSession, path: str, feed: Feed, layout: Layout) -> None:
@@ -206,22 +274,35 @@ def conform_csv(spark: SparkSession, path: str, feed: Feed, layout: Layout) -> N
     replace_rows(read_csv(spark, path, feed.conformed_schema), layout.conformed(feed))
 
 
-def load_conformed(
-    spark: SparkSession,
+def _merge(
+    wide: DataFrame,
     feed: Feed,
     layout: Layout,
     load_id: str,
-    target_filter: Column | None = None,
+    target_filter: Column | None,
+    keys: KeyForm,
 ) -> None:
-    """Merge the conformed files into the feed's table."""
-    wide = read_parquet_as(spark, layout.conformed(feed), feed.wide_schema)
     insert_only_merge(
-        keyed_rows(wide, feed),
+        keyed_rows(wide, feed, keys),
         layout.table(feed),
         feed.table_schema,
         load_id,
         target_filter=target_filter,
     )
+    refresh_views(wide.sparkSession, list(MODELS))
+
+
+def load_conformed(
+    spark: SparkSession,
+    feed: Feed,
+    layout: Layout,
+    load_id: str,
+    target_filter: Column | None = None,
+    keys: KeyForm = PLAIN_KEYS,
+) -> None:
+    """Merge the conformed files into the feed's table."""
+    wide = read_parquet_as(spark, layout.conformed(feed), feed.wide_schema)
+    _merge(wide, feed, layout, load_id, target_filter, keys)
 
 
 def empty_pages(spark: SparkSession, feed: Feed) -> DataFrame:

@@ -130,6 +130,9 @@ def crashes_location(crashes: DataFrame) -> DataFrame:
 CORE = ("fact_traffic_accidents", "age_distri", "crashes_location")
 
 
+MODELS = ("stg_persons_data", "stg_traffic_data", "stg_vehicles_data", *CORE)
+
+
 def build_models(
     crashes: DataFrame, vehicles: DataFrame, persons: DataFrame, sample: int | None = None
 ) -> dict[str, DataFrame]:

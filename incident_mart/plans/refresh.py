@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..schemas import FEEDS
 from ..sources.files import replace_rows
 from ..sources.tables import as_view, create_table_if_absent, read_table
-from .feeds import Layout, load_pages
+from .feeds import PLAIN_KEYS, KeyForm, Layout, load_pages
 from .models import CORE, build_models
 
 
@@ -53,12 +53,15 @@ def full_refresh(
     on_error: str = "fail",
     first_page: int | None = None,
     sample: int | None = None,
+    target_filter: Column | None = None,
+    keys: KeyForm = PLAIN_KEYS,
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Load each feed's pages and publish the models.
 
     ``pages`` maps feed names to page frames; feeds left out keep their tables.
-    Running it again with the same pages adds nothing. Gives the rows conformed per
-    feed and the models.
+    Running it again with the same pages adds nothing. ``target_filter`` is that of
+    ``insert_only_merge`` and may name columns that all these feeds have. Gives the
+    rows merged per feed and the models.
     """
     unknown = [name for name in pages if name not in FEEDS]
     if unknown:
@@ -66,7 +69,9 @@ def full_refresh(
     layout = Layout(root)
 
     def load(name: str) -> int:
-        return load_pages(pages[name], FEEDS[name], layout, load_id, on_error, first_page)
+        return load_pages(
+            pages[name], FEEDS[name], layout, load_id, on_error, first_page, target_filter, keys
+        )
 
     # The feeds do not depend on each other; side by side, one fills the other's gaps.
     with ThreadPoolExecutor(max_workers=len(FEEDS)) as pool:

@@ -3,21 +3,30 @@
 from .files import (
     append_csv,
     append_rows,
+    exists,
     preview,
     read_csv,
     read_parquet_as,
+    remove,
     replace_rows,
     save_table,
     store,
 )
 from .pages import explode_bodies, read_json_pages, read_json_stream, write_json_pages
-from .tables import as_view, create_table_if_absent, insert_only_merge, read_table
+from .tables import (
+    as_view,
+    create_table_if_absent,
+    insert_only_merge,
+    read_table,
+    refresh_views,
+)
 
 __all__ = [
     "append_csv",
     "append_rows",
     "as_view",
     "create_table_if_absent",
+    "exists",
     "explode_bodies",
     "insert_only_merge",
     "preview",
@@ -26,6 +35,8 @@ __all__ = [
     "read_json_stream",
     "read_parquet_as",
     "read_table",
+    "refresh_views",
+    "remove",
     "replace_rows",
     "save_table",
     "store",

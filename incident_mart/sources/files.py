@@ -48,6 +48,23 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return read_parquet_as(df.sparkSession, path, df.schema)
 
 
+def _on_disk(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever store the path names."""
+    store_of, at = _on_disk(spark, path)
+    return store_of.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files."""
+    store_of, at = _on_disk(spark, path)
+    store_of.delete(at, True)
+
+
 def save_table(
     df: DataFrame,
     name: str,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,11 +23,18 @@ def _page_schema(columns: list[str], page_from: str) -> T.StructType:
     return schema.add(PAGE, T.LongType()) if page_from == "directory" else schema
 
 
+def numbered(page: Column) -> Column:
+    """The page number; a row without one cannot be placed and fails the job."""
+    return F.coalesce(page, F.raise_error(F.lit("a row has no page number")).cast("bigint"))
+
+
 def _as_page_frame(df: DataFrame, columns: list[str], page_from: str, pattern: str) -> DataFrame:
     page = F.col(PAGE)
     if page_from == "file_name":
         page = strict_int(F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
-    return df.select(page.alias(PAGE), *columns, F.col(_CORRUPT).isNotNull().alias(BROKEN))
+    # The check sits beside the page number, so that filters on pages still prune files.
+    broken = F.when(numbered(page).isNotNull(), F.col(_CORRUPT).isNotNull())
+    return df.select(page.alias(PAGE), *columns, broken.alias(BROKEN))
 
 
 def read_json_pages(
@@ -79,14 +86,15 @@ def write_json_pages(df: DataFrame, path: str, page: str = PAGE) -> None:
 def explode_bodies(df: DataFrame, body: str, columns: list[str], page: str = PAGE) -> DataFrame:
     """Pages held as one JSON text per row: one output row per record.
 
-    A body that is no array of records, or an empty one, gives a single row of NULLs
-    marked as broken.
+    A body that is no array of records gives a single row of NULLs marked as broken. An
+    empty array is the page after the last one and gives no row.
     """
     blank = F.lit(" \t\r\n")
     is_list = F.ltrim(body, blank).startswith("[") & F.rtrim(body, blank).endswith("]")
     records = F.from_json(F.col(body), T.ArrayType(_text_schema(columns)))
     parsed = df.select(F.col(page).alias(PAGE), F.when(is_list, records).alias("__records"))
-    broken = F.col("__records").isNull() | (F.size("__records") == 0)
-    return parsed.select(PAGE, broken.alias(BROKEN), F.inline_outer("__records")).select(
+    broken = F.col("__records").isNull()
+    full = parsed.filter(broken | (F.size("__records") > 0))
+    return full.select(PAGE, broken.alias(BROKEN), F.inline_outer("__records")).select(
         PAGE, *columns, BROKEN
     )

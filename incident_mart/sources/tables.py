@@ -1,26 +1,30 @@
 """Keyed tables: parquet, one ``load_id=...`` folder per load.
 
-A load replaces its own folder and no other, so a load that is run again after a
-failure leaves each row once. One writer per table at a time.
+A load writes a folder of its own and deletes no committed one, so a load that is run
+again, after a failure or not, leaves each row once. One writer per table at a time:
+loads that one driver runs side by side take turns, several drivers must not.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.contract import required
-from ..operators.merge import key_status, rows_of_new_keys
+from ..operators.merge import FEW_KEYS, NEW, counted_keys, rows_of_new_keys, status_of
 from ..operators.projection import assert_columns
 from ..schemas import LOAD_ID, ROW_KEY
-from .files import store
+from .files import exists, remove, store
 
 _CREATED = "created"
 #: Spark's readers skip folders whose name starts with an underscore.
 _KEYS = "_keys"
+_WRITERS: defaultdict[str, Lock] = defaultdict(Lock)
 _LOAD_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -41,6 +45,18 @@ def read_table(
     return df.drop(LOAD_ID)
 
 
+def _folder_for(spark: SparkSession, path: str, load_id: str) -> str:
+    """The load's folder name; a load that was committed before gets a further one.
+
+    Without its commit mark a folder is what a failed attempt left, to be replaced.
+    """
+    name, attempt = load_id, 1
+    while exists(spark, f"{path}/{LOAD_ID}={name}/_SUCCESS"):
+        attempt += 1
+        name = f"{load_id}.{attempt}"
+    return name
+
+
 def insert_only_merge(
     source: DataFrame,
     path: str,
@@ -51,33 +67,64 @@ def insert_only_merge(
 ) -> None:
     """Insert the source rows whose key the table lacks; change and delete nothing.
 
-    Only the key column of the table is read, and nothing is shuffled while the table
-    is empty. Which keys are new is stored first, in a folder readers of the table skip;
-    if they are few, the rows are then filtered without a shuffle.
+    A committed load stays, whatever comes later under its name: the rows that are still
+    missing then go to a further folder. Only what a failed attempt left is replaced.
+
+    The source's keys are counted and stored first, in a folder readers of the table
+    skip, then the decision which are new. Only the key column of the table is read.
+    While the keys are few, the table is not shuffled, nor while it is empty; if the new
+    keys are few, the rows are filtered without a shuffle.
 
     ``target_filter`` narrows the rows of the table that can match (say, to the dates of
     the batch) and must hold for every row that shares a key with the source.
     """
     if load_id == _CREATED or not _LOAD_NAME.fullmatch(load_id):
         raise ValueError(f"not usable as a load id: {load_id!r}")
-    spark = source.sparkSession
     assert_columns(source, schema.fieldNames())
+    with _WRITERS[path]:
+        _merge(source, path, schema, load_id, key, target_filter)
+
+
+def _merge(
+    source: DataFrame,
+    path: str,
+    schema: T.StructType,
+    load_id: str,
+    key: str,
+    target_filter: Column | None,
+) -> None:
+    spark = source.sparkSession
     create_table_if_absent(spark, path, schema)
-    target = read_table(spark, path, schema, without_load=load_id)
+    folder = _folder_for(spark, path, load_id)
+    target = read_table(spark, path, schema, without_load=folder)
     if target_filter is not None:
         target = target.filter(target_filter)
     rows = source.select(*schema.fieldNames())
+    notes = f"{path}/{_KEYS}/{folder}"
     if target.isEmpty():
         fresh = rows
     else:
-        status = store(key_status(rows, target, key), f"{path}/{_KEYS}/{load_id}")
+        keys = store(counted_keys(rows, key), f"{notes}/source")
+        few = keys.count() <= FEW_KEYS
+        status = store(status_of(keys, target, key, few_keys=few), f"{notes}/status")
         fresh = rows_of_new_keys(rows, status, key)
+        if folder != load_id and status.filter(NEW).isEmpty():
+            remove(spark, notes)
+            return
     needed = [f.name for f in schema.fields if not f.nullable]
     checked = required(fresh, needed) if needed else fresh
-    checked.write.mode("overwrite").parquet(f"{path}/{LOAD_ID}={load_id}")
+    checked.write.mode("overwrite").parquet(f"{path}/{LOAD_ID}={folder}")
+    remove(spark, notes)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
-    """Name a frame for SQL; nothing is stored."""
+    """Name a frame for SQL; nothing is stored. See ``refresh_views`` for later loads."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def refresh_views(spark: SparkSession, names: list[str]) -> None:
+    """Make the views that this session has under these names list their files anew."""
+    for name in names:
+        if spark.catalog.tableExists(name):
+            spark.catalog.refreshTable(name)

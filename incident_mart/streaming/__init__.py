@@ -1,5 +1,5 @@
 """Incremental loads."""
 
-from .incremental import merge_stream, start_feed_stream
+from .incremental import close_pull, merge_stream, start_feed_stream
 
-__all__ = ["merge_stream", "start_feed_stream"]
+__all__ = ["close_pull", "merge_stream", "start_feed_stream"]

@@ -6,20 +6,25 @@ so no state is kept between batches and nothing grows with the number of keys se
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.feeds import Layout, load_pages
+from ..plans.feeds import PLAIN_KEYS, KeyForm, Layout, load_pages
 from ..schemas import ROW_KEY, Feed
-from ..sources.pages import FILE_PAGE, read_json_stream
+from ..sources.files import remove, store
+from ..sources.pages import FILE_PAGE, read_json_pages, read_json_stream
 from ..sources.tables import insert_only_merge
 
 
-def _load_name(stream_name: str, batch_id: int) -> str:
-    return f"{stream_name}-{batch_id:09d}"
+def _load_name(stream_name: str, checkpoint: str, batch_id: int) -> str:
+    """Batches count from 0 in every checkpoint, so the checkpoint is part of the name."""
+    where = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+    return f"{stream_name}-{where}-{batch_id:09d}"
 
 
 def _start(
@@ -50,13 +55,18 @@ def merge_stream(
     """Merge each batch of new rows into a keyed table.
 
     Stops when all that has landed is merged, or with ``every`` (``"10 minutes"``)
-    goes on looking. A batch that is run again replaces its own load and so leaves each row once.
+    goes on looking. A batch that is run again adds only what is missing. A batch is
+    prepared once, into files that the merge's steps read.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        insert_only_merge(
-            prepare(batch), path, schema, _load_name(name, batch_id), key, target_filter
-        )
+        load_id = _load_name(name, checkpoint, batch_id)
+        folder = f"{path}/_batches/{load_id}"
+        try:
+            rows = store(prepare(batch), folder)
+            insert_only_merge(rows, path, schema, load_id, key, target_filter)
+        finally:
+            remove(batch.sparkSession, folder)
 
     return _start(stream, each, checkpoint, name, every)
 
@@ -70,21 +80,58 @@ def start_feed_stream(
     page_from: str = "directory",
     page_layout: str = "lines",
     pattern: str = FILE_PAGE,
+    closed: str | None = None,
     max_files: int | None = None,
     every: str | None = None,
     target_filter: Column | None = None,
+    on_error: str = "fail",
+    first_page: int | None = None,
+    keys: KeyForm = PLAIN_KEYS,
 ) -> StreamingQuery:
     """Load the pages of ``landing`` that no earlier run has loaded.
 
-    Stops when all are loaded, or with ``every`` goes on looking.
+    The page rules hold within a pull, so a pull must be loaded as a whole. Without
+    ``closed``, all that is new when the stream starts is one pull, and the stream
+    stops when it is loaded. With ``closed``, each pull has a folder of its own,
+    ``<landing>/<pull>/...``, and when it is complete a text file in the folder
+    ``closed`` names it, on a line of its own. Only then is it loaded, under a load id
+    of its own, so what ends up in the table depends neither on the time of a batch nor
+    on its size (``max_files`` marks). ``every`` goes on looking for pulls.
     """
-    pages = read_json_stream(
-        spark, landing, feed.column_names, page_from, page_layout, pattern, max_files
-    )
     name = f"{feed.name}-stream"
+    layout = Layout(root)
+
+    def load(pages: DataFrame, load_id: str) -> None:
+        load_pages(pages, feed, layout, load_id, on_error, first_page, target_filter, keys)
+
+    if closed is None:
+        if every or max_files:
+            raise ValueError("batches of a pull need marks of closed pulls: pass closed=")
+        pages = read_json_stream(spark, landing, feed.column_names, page_from, page_layout, pattern)
+
+        def whole(batch: DataFrame, batch_id: int) -> None:
+            load(batch, _load_name(name, checkpoint, batch_id))
+
+        return _start(pages, whole, checkpoint, name, None)
+
+    marks = spark.readStream.format("text")
+    if max_files:
+        marks = marks.option("maxFilesPerTrigger", max_files)
+
+    def pulls(batch: DataFrame, batch_id: int) -> None:
+        # As many names as pulls were closed since the last batch.
+        named = batch.select(F.trim("value").alias("pull")).filter("pull <> ''").distinct()
+        for (pull,) in sorted(named.collect()):
+            session = batch.sparkSession
+            folder = f"{landing}/{pull}"
+            pages = read_json_pages(
+                session, folder, feed.column_names, page_from, page_layout, pattern
+            )
+            load(pages, f"{name}-{pull}")
+
+    return _start(marks.load(closed), pulls, checkpoint, name, every)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        load_id = _load_name(name, batch_id)
-        load_pages(batch, feed, Layout(root), load_id, target_filter=target_filter)
 
-    return _start(pages, each, checkpoint, name, every)
+def close_pull(spark: SparkSession, closed: str, pull: str) -> None:
+    """Mark a pull as complete, once all its pages have landed."""
+    spark.createDataFrame([(pull,)], "value string").write.mode("append").text(closed)

@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -217,10 +218,79 @@ def test_staged_prefix_load_matches_the_lazy_one(spark, tmp_path):
     layout = plans.Layout(str(tmp_path))
     pages = raw(spark, PERSONS, {0: [{}], 1: [{"person_id": "b", "vehicle_id": "x"}], 2: [{}]})
     assert plans.load_pages(pages, PERSONS, layout, "one", on_error="prefix") == 1
-    staged = spark.read.parquet(layout.staged(PERSONS))
+    staged = plans.stage_pages(pages, PERSONS)
     assert staged.count() == 3
     assert staged.filter(F.col(STATE) == KEPT).count() == 2
     assert ids(kept_pages(staged, PERSONS), PERSONS) == [(0, "O1")]
+    report = spark.read.parquet(layout.report(PERSONS, "one"))
+    assert rows(report) == [(0, 1, 1, False), (1, 1, 0, True), (2, 1, 0, False)]
+    assert not list((tmp_path / "staged" / "persons").iterdir())
+
+
+@pytest.mark.parametrize(
+    "pages, first",
+    [
+        ({0: [{}], 1: [{"crash_record_id": "b", "latitude": None}], 2: [{}]}, None),
+        ({0: [{}], 5: [{"crash_record_id": "b"}]}, 0),
+        ({1: [{}]}, 0),
+    ],
+)
+def test_page_that_cannot_be_used_fails_the_strict_load(spark, tmp_path, pages, first):
+    frame = raw(spark, CRASHES, pages)
+    with pytest.raises(ValueError, match="crashes: page [01] is missing, or none"):
+        plans.clean_pages(frame, CRASHES, first_page=first)
+    with pytest.raises(ValueError, match="is missing, or none"):
+        plans.load_pages(frame, CRASHES, plans.Layout(str(tmp_path)), "one", first_page=first)
+    assert plans.clean_pages(frame, CRASHES, "prefix", first).count() <= 1
+
+
+def test_row_without_a_page_number_fails(spark):
+    frame = raw(spark, CRASHES, {None: [{}], 1: [{}]})
+    for mode in ("fail", "prefix"):
+        with pytest.raises((PySparkException, Py4JJavaError), match="no page number"):
+            plans.clean_pages(frame, CRASHES, mode).collect()
+
+
+def test_same_load_id_keeps_what_is_loaded(spark, tmp_path):
+    layout = plans.Layout(str(tmp_path))
+    for key in ("a", "b"):
+        pages = raw(spark, CRASHES, {0: [{"crash_record_id": key}]})
+        plans.load_pages(pages, CRASHES, layout, "daily")
+    loaded = read_table(spark, layout.table(CRASHES), CRASHES.table_schema)
+    assert rows(loaded, "crash_record_id") == [("a",), ("b",)]
+
+
+def test_two_loads_of_a_feed_at_once_do_not_share_files(spark, tmp_path):
+    layouts = [plans.Layout(str(tmp_path)), plans.Layout(str(tmp_path))]
+
+    def load(i):
+        pages = raw(spark, VEHICLES, {0: [{"crash_unit_id": str(10 * i + k)} for k in range(5)]})
+        return plans.load_pages(pages, VEHICLES, layouts[i], f"load{i}")
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(load, range(2))) == [5, 5]
+    table = read_table(spark, layouts[0].table(VEHICLES), VEHICLES.table_schema)
+    assert table.count() == 10
+
+
+def test_views_show_the_next_load(spark, tmp_path):
+    root = str(tmp_path)
+    plans.full_refresh(spark, {"crashes": raw(spark, CRASHES, {0: [{}]})}, root, "one")
+    assert spark.sql("select count(*) from stg_traffic_data").first()[0] == 1
+    pages = raw(spark, CRASHES, {0: [{"crash_record_id": "c2"}]})
+    plans.load_pages(pages, CRASHES, plans.Layout(root), "two")
+    assert spark.sql("select count(*) from stg_traffic_data").first()[0] == 2
+
+
+def test_key_form(spark, tmp_path):
+    pages = raw(spark, CRASHES, {0: [{}]})
+    keys = set()
+    for n, form in enumerate((plans.KeyForm(), plans.KeyForm("|"), plans.KeyForm("", "+00"))):
+        layout = plans.Layout(str(tmp_path / str(n)))
+        plans.full_refresh(spark, {"crashes": pages}, layout.root, "one", keys=form)
+        table = read_table(spark, layout.table(CRASHES), CRASHES.table_schema)
+        keys.add(bytes(table.first()[ROW_KEY]))
+    assert len(keys) == 3
 
 
 def test_csv_entry(spark, tmp_path):

@@ -99,6 +99,18 @@ def test_merge_reads_only_the_key_of_the_table(spark, tmp_path):
     assert "ReadSchema: struct<k:bigint>" in plan
 
 
+def test_small_batch_does_not_shuffle_the_table(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    path = str(tmp_path / "t")
+    spark.range(10000).selectExpr("id as k").write.parquet(path)
+    keys = ops.counted_keys(spark.range(9990, 10020).selectExpr("id as k"), "k")
+    status = ops.status_of(keys, spark.read.parquet(path), "k", few_keys=True)
+    assert status.count() == 20
+    table = plan_of(status).split("FileScan")[0]
+    assert "BroadcastHashJoin [k" in plan_of(status) or "LeftSemi, BuildRight" in table
+    assert ops.status_of(keys, spark.read.parquet(path), "k").count() == 20
+
+
 def skewed(spark, conf):
     """Sizes at which a third of 60,000 rows counts as skew."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")

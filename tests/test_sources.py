@@ -70,7 +70,7 @@ def test_explode_bodies(spark):
     assert rows(pages.explode_bodies(df, "body", ["k", "x"])) == [
         (0, "1", None, False),
         (0, "b", "2", False),
-        *[(n, None, None, True) for n in range(1, 8)],
+        *[(n, None, None, True) for n in range(2, 8)],
     ]
 
 
@@ -166,15 +166,51 @@ def test_merge_into_table(spark, tmp_path):
     assert rows(tables.read_table(spark, path, TABLE)) == [(1, "a"), (2, "c"), (2, "d")]
 
 
-def test_load_run_again_replaces_itself(spark, tmp_path):
+def test_failed_attempt_is_replaced(spark, tmp_path):
+    """An attempt that ended half-way left files, but no commit mark."""
     path = str(tmp_path / "t")
     tables.insert_only_merge(frame(spark, [(1, "a")]), path, TABLE, "one", key="k")
     tables.insert_only_merge(frame(spark, [(2, "part")]), path, TABLE, "two", key="k")
+    (tmp_path / "t" / "load_id=two" / "_SUCCESS").unlink()
     whole = frame(spark, [(1, "z"), (2, "whole"), (3, "whole")])
     tables.insert_only_merge(whole, path, TABLE, "two", key="k")
     assert rows(tables.read_table(spark, path, TABLE)) == [(1, "a"), (2, "whole"), (3, "whole")]
 
 
+def test_committed_load_stays_when_its_name_comes_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for load, keys in (("a", [1, 2]), ("b", [1, 2, 3]), ("a", [3]), ("a", [4, 4, 1]), ("a", [4])):
+        source = frame(spark, [(k, load) for k in keys])
+        tables.insert_only_merge(source, path, TABLE, load, key="k")
+    got = rows(tables.read_table(spark, path, TABLE))
+    assert got == [(1, "a"), (2, "a"), (3, "b"), (4, "a"), (4, "a")]
+    folders = sorted(p.name for p in (tmp_path / "t").glob("load_id=*"))
+    assert folders == ["load_id=a", "load_id=a.2", "load_id=b", "load_id=created"]
+    assert not list((tmp_path / "t" / "_keys").iterdir())
+
+
+def test_page_without_a_number_is_an_error(spark, tmp_path):
+    (tmp_path / "flat.json").write_text('{"a": "1"}\n')
+    with pytest.raises(PySparkException, match="no page number"):
+        pages.read_json_pages(spark, str(tmp_path), ["a"]).collect()
+
+
+def test_empty_body_ends_a_pull(spark):
+    bodies = spark.createDataFrame([(0, '[{"a": "1"}]'), (1, " [] "), (2, "{}")], "page_no long, b string")
+    got = pages.explode_bodies(bodies, "b", ["a"])
+    assert rows(got) == [(0, "1", False), (2, None, True)]
+
+
+def test_view_shows_later_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.insert_only_merge(frame(spark, [(1, "a")]), path, TABLE, "one", key="k")
+    tables.as_view(tables.read_table(spark, path, TABLE).filter("k > 0"), "later_rows")
+    assert spark.sql("select count(*) from later_rows").first()[0] == 1
+    tables.insert_only_merge(frame(spark, [(2, "b")]), path, TABLE, "two", key="k")
+    tables.refresh_views(spark, ["later_rows", "no_such_view"])
+    assert spark.sql("select count(*) from later_rows").first()[0] == 2
+
+
 def test_target_filter_narrows_the_lookup(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.insert_only_merge(frame(spark, [(1, "a"), (9, "b")]), path, TABLE, "one", key="k")

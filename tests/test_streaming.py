@@ -1,18 +1,19 @@
 import json
 
+import pytest
 from helpers import rows
 from test_feeds import PERSON
 
 from incident_mart import plans
 from incident_mart.schemas import PERSONS, schema_of
 from incident_mart.sources import read_table
-from incident_mart.streaming import merge_stream, start_feed_stream
+from incident_mart.streaming import close_pull, merge_stream, start_feed_stream
 
 
-def land(folder, page, ids):
+def land(folder, page, ids, **changes):
     path = folder / f"page_no={page}"
     path.mkdir(parents=True)
-    lines = [json.dumps({**PERSON, "person_id": i}) for i in ids]
+    lines = [json.dumps({**PERSON, "person_id": i, **changes}) for i in ids]
     (path / "a.json").write_text("\n".join(lines) + "\n")
 
 
@@ -39,10 +40,44 @@ def test_feed_stream_loads_only_new_pages(spark, tmp_path):
     assert run(spark, tmp_path) == [("a",), ("a",), ("b",), ("c",), ("d",)]
 
 
-def test_feed_stream_one_file_at_a_time(spark, tmp_path):
-    for page, ids in enumerate(["ab", "bc", "cd"]):
-        land(tmp_path / "landing", page, ids)
-    assert run(spark, tmp_path, max_files=1) == [("a",), ("b",), ("c",), ("d",)]
+def test_feed_stream_one_pull_at_a_time(spark, tmp_path):
+    """Repeats differ in a hash column: the rows of a pull depend on its pages alone."""
+    closed = str(tmp_path / "closed")
+    for pull in range(2):
+        for page, ids in enumerate(["ab", "bc", "cd"]):
+            land(tmp_path / "landing" / f"p{pull}", page, ids, vehicle_id=str(10 * pull + page))
+        close_pull(spark, closed, f"p{pull}")
+    (tmp_path / "landing" / "open").mkdir()
+    want = [(i, str(10 * pull + page)) for page, i in ((0, "a"), (0, "b"), (1, "c"), (2, "d")) for pull in (0, 1)]
+    run(spark, tmp_path, max_files=1, closed=closed)
+    path = plans.Layout(str(tmp_path / "mart")).table(PERSONS)
+    assert rows(read_table(spark, path, PERSONS.table_schema), "person_id", "vehicle_id") == sorted(want)
+
+
+def test_batches_of_a_pull_are_refused(spark, tmp_path):
+    for option in ({"max_files": 1}, {"every": "1 second"}):
+        with pytest.raises(ValueError, match="closed"):
+            run(spark, tmp_path, **option)
+
+
+def test_stream_goes_on_after_a_bad_page(spark, tmp_path):
+    land(tmp_path / "landing", 0, ["a"])
+    land(tmp_path / "landing", 1, ["b"], vehicle_id="x")
+    assert run(spark, tmp_path, on_error="prefix") == [("a",)]
+    land(tmp_path / "landing", 2, ["c"])
+    assert run(spark, tmp_path, on_error="prefix") == [("a",), ("c",)]
+
+
+def test_second_checkpoint_deletes_nothing(spark, tmp_path):
+    land(tmp_path / "landing", 0, ["a", "b"])
+    assert run(spark, tmp_path) == [("a",), ("b",)]
+    land(tmp_path / "other", 0, ["c"])
+    query = start_feed_stream(
+        spark, PERSONS, str(tmp_path / "other"), str(tmp_path / "mart"), str(tmp_path / "checkpoint2")
+    )
+    query.awaitTermination()
+    path = plans.Layout(str(tmp_path / "mart")).table(PERSONS)
+    assert rows(read_table(spark, path, PERSONS.table_schema), "person_id") == [("a",), ("b",), ("c",)]
 
 
 def test_batch_run_again_leaves_rows_once(spark, tmp_path):
