@@ -56,11 +56,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts of an Arrow column, and where each begins; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     column = column.cast(pa.large_binary()).fill_null(b"")
     _, offsets, data = column.buffers()
     starts = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    if not len(column):
-        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     body = np.frombuffer(data, dtype=np.uint8) if data else np.empty(0, np.uint8)
     return body[starts[0] : starts[-1]], starts - starts[0]
 

@@ -72,7 +72,7 @@ def choose_blocks(words: np.ndarray, order: np.ndarray, target: float) -> np.nda
     """Times each block is drawn, so that the words drawn come near the target.
 
     Whole rounds first; what is left is filled with blocks in random order that still
-    fit, and one more if that brings the sum nearer.
+    fit. Then one block more, or one in place of another, if that brings the sum nearer.
     """
     total = int(words.sum())
     if not total:
@@ -84,10 +84,20 @@ def choose_blocks(words: np.ndarray, order: np.ndarray, target: float) -> np.nda
             copies[i] += 1
             left -= words[i]
     unused = np.flatnonzero((copies == rounds) & (words > 0))
-    if left > 0 and len(unused) and rounds < 2:
-        smallest = unused[np.argmin(words[unused])]
-        if words[smallest] - left < left:
-            copies[smallest] += 1
+    if left <= 0 or not len(unused):
+        return copies
+    unused = unused[np.argsort(words[unused], kind="stable")]
+    # A block of no words in the place of one stands for taking one block more.
+    used = np.append(np.flatnonzero(copies > rounds), -1)
+    given = np.append(words[used[:-1]], 0)
+    at = np.searchsorted(words[unused], given + left)
+    gaps = [(abs(left + given - words[unused[np.clip(at + k, 0, len(unused) - 1)]])) for k in (-1, 0)]
+    best = np.argmin(np.minimum(*gaps))
+    if min(gaps[0][best], gaps[1][best]) < left:
+        choice = at[best] - 1 if gaps[0][best] <= gaps[1][best] else at[best]
+        copies[unused[np.clip(choice, 0, len(unused) - 1)]] += 1
+        if used[best] >= 0:
+            copies[used[best]] -= 1
     return copies
 
 

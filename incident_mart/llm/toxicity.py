@@ -34,6 +34,8 @@ LEARNING_RATE = 0.25
 PULL = 1e-4
 #: The bias at the start: a sentence is clean unless its words say otherwise.
 START = -6.0
+#: The bias of a model that has seen no labels.
+UNTAUGHT = -50.0
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -196,7 +198,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> tupl
     labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     features = labelled.mapInArrow(_features, FEATURES)
     fitted = features.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_train, "bucket int, weight float")
-    weights, bias = np.zeros(BUCKETS + 1, np.float32), START
+    weights, bias = np.zeros(BUCKETS + 1, np.float32), UNTAUGHT
     for bucket, weight in fitted.collect():
         if bucket < 0:
             bias = weight

@@ -2,9 +2,9 @@
 
 Every record hashes into one of thousands of virtual slots, for good. The bytes of each
 slot are summed (map-side, a row per slot), and a small map says which shard a slot is
-in. Balancing and growing edit that map; a record never hashes anew. Version 1 of a map
-deals the slots out evenly, version 2 moves slots until the shards' bytes are near
-equal, and every further edit is one more version.
+in. Version 1 places heavy slots first; when weights have changed or a shard is added,
+the map is edited, which moves as few slots as it takes and gives one more version. A
+record never hashes anew.
 """
 
 from __future__ import annotations
@@ -21,6 +21,17 @@ from .common import cell_of, repeated, stored, text_bytes
 SLOTS = 4096
 
 
+def _best_swap(full: list[tuple[int, int]], empty: list[tuple[int, int]], gap: int) -> tuple:
+    """The slots of two shards whose exchange narrows the gap most, or nothing."""
+    best, found = gap, ((0, 0), None)
+    for x in full:
+        at = bisect_right(empty, (x[0] - gap // 2, -1))
+        for y in empty[max(at - 1, 0) : at + 1]:
+            if 0 < x[0] - y[0] and abs(gap - 2 * (x[0] - y[0])) < best:
+                best, found = abs(gap - 2 * (x[0] - y[0])), (x, y)
+    return found
+
+
 @dataclass(frozen=True)
 class SlotMap:
     """``shard_of[slot]`` under a version, and the slot weights that it was made from."""
@@ -32,10 +43,23 @@ class SlotMap:
 
     @staticmethod
     def first(weights: list[int], n_shards: int) -> SlotMap:
-        return SlotMap(1, n_shards, tuple(s % n_shards for s in range(len(weights))), tuple(weights))
+        """Version 1, of a corpus that has no shards yet: heavy slots first, to the emptiest shard."""
+        shard_of, loads = [0] * len(weights), [(0, s) for s in range(n_shards)]
+        for slot in sorted(range(len(weights)), key=lambda s: (-weights[s], s)):
+            load, shard = loads[0]
+            shard_of[slot] = shard
+            heapq.heapreplace(loads, (load + weights[slot], shard))
+        return SlotMap(1, n_shards, tuple(shard_of), tuple(weights))
+
+    def weighed(self, weights: list[int]) -> SlotMap:
+        """The same places, with the slots' weights of today."""
+        return replace(self, weights=tuple(weights))
 
     def _edited(self, loads: list[int], slots: list[list[tuple[int, int]]], low: list, high: list) -> tuple[int, ...]:
-        """Move slots from the fullest to the emptiest shard while that narrows their gap."""
+        """Move slots from the fullest to the emptiest shard while that narrows their gap.
+
+        Where no slot is light enough to move, two slots change places.
+        """
         shard_of = list(self.shard_of)
         while True:
             while loads[low[0][1]] != low[0][0]:
@@ -48,13 +72,18 @@ class SlotMap:
             at = bisect_right(slots[source], (gap // 2, len(shard_of)))
             choices = [slots[source][i] for i in (at - 1, at) if 0 <= i < len(slots[source])]
             best = min(choices, key=lambda x: (abs(gap - 2 * x[0]), x), default=(0, 0))
+            back = None
             if not 0 < best[0] < gap:
-                return tuple(shard_of)
-            slots[source].remove(best)
-            insort(slots[to], best)
-            shard_of[best[1]] = to
-            loads[source] -= best[0]
-            loads[to] += best[0]
+                best, back = _best_swap(slots[source], slots[to], gap)
+                if back is None:
+                    return tuple(shard_of)
+            moves = [(best, source, to)] + ([(back, to, source)] if back else [])
+            for slot, here, there in moves:
+                slots[here].remove(slot)
+                insort(slots[there], slot)
+                shard_of[slot[1]] = there
+                loads[here] -= slot[0]
+                loads[there] += slot[0]
 
     def balanced(self) -> SlotMap:
         """The next version: shards' weights as near equal as moving slots makes them."""
@@ -81,10 +110,11 @@ class SlotMap:
         while True:
             source = max(range(n), key=lambda i: (loads[i], -i))
             at = bisect_right(slots[source], (fair - taken, len(shard_of)))
-            if not at or slots[source][at - 1][0] == 0 or loads[source] <= fair:
+            filled = bisect_right(slots[source], (0, len(shard_of)))
+            if at <= filled or loads[source] <= fair:
                 return replace(self, version=self.version + 1, n_shards=n + 1, shard_of=tuple(shard_of))
             # Of middling weight, so that no single shard gives all.
-            weight, slot = slots[source].pop(at // 2 if at > 1 else 0)
+            weight, slot = slots[source].pop((filled + at) // 2)
             shard_of[slot] = n
             loads[source] -= weight
             taken += weight
@@ -149,6 +179,7 @@ def shard_records(rows: DataFrame, slot_map: SlotMap, grown: SlotMap | None = No
 
 
 def balanced_map(rows: DataFrame, n_shards: int, slots: int = SLOTS) -> SlotMap:
+    """Version 1, and the edit that evens out what placing whole slots left."""
     return SlotMap.first(slot_weights(rows, slots), n_shards).balanced()
 
 

@@ -1,0 +1,82 @@
+import random
+import zlib
+
+import pytest
+from brute import warc_rows
+
+from incident_mart.llm import warc
+
+PAGES = "page_id long, url string, html string, digest string, record string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], PAGES)
+
+
+def html(i):
+    return [f"<p>{i}</p>", "same", None, "", "a\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nxyz\r\n\r\n", "é😀\r\n" * 40][i % 6]
+
+
+ROWS = [(i, f"https://h{i % 5}.Example.com/p{i % 3}?q=\r\n{i}", html(i)) for i in range(120)] + [(500, None, "lone")]
+
+
+def got_rows(out):
+    return sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out), key=str)
+
+
+def test_round_trip_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1000)
+    monkeypatch.setattr(warc, "RANGE_ROWS", 50)
+    out = warc.archive_round_trip(frame(spark, ROWS)).collect()
+    assert got_rows(out) == warc_rows([(i, h) for i, _, h in ROWS])
+    order = [(r.url_key, r.captured_at, r.page_id) for r in sorted(out, key=lambda r: (r.key_range, r.place))]
+    assert order == sorted(order) and len({r.run for r in out}) > 2 and len({r.key_range for r in out}) > 1
+
+
+def test_small_payloads_are_responses(spark):
+    out = warc.archive_round_trip(frame(spark, ROWS), least_bytes=5).collect()
+    assert {r.record_type for r in out if r.payload_bytes < 5} == {"response"}
+    assert any(r.record_type == "revisit" for r in out)
+
+
+def test_repeats_nulls_and_nothing(spark):
+    rows = [(1, "u", "same"), (1, "u", "same"), (None, "u", "same"), (None, None, "only"), (0, "u", "same")]
+    out = warc.archive_round_trip(frame(spark, rows)).collect()
+    kinds = sorted((r.page_id is None, r.page_id or 0, r.record_type, r.refers_to or -1) for r in out)
+    assert kinds == [
+        (False, 0, "revisit", 1),
+        (False, 1, "response", -1),
+        (False, 1, "response", -1),
+        (True, 0, "response", -1),
+        (True, 0, "revisit", 1),
+    ]
+    assert warc.archive_round_trip(frame(spark, [])).count() == 0
+
+
+def test_files_are_archives(spark, tmp_path):
+    warc.write_archives(frame(spark, ROWS), str(tmp_path / "a"))
+    keys = []
+    for file in sorted((tmp_path / "a").glob("*.gz")):
+        data = zlib.decompress(file.read_bytes(), wbits=31)
+        assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n")
+        keys += [r["page_id"] for r in warc.parse_archive(data)]
+    assert sorted(keys) == sorted(r[0] for r in ROWS)
+
+
+def test_damage_is_an_error():
+    body = b"HTTP/1.1 200 OK\r\nContent-Length: 2\r\n\r\nok"
+    record = (
+        b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x-page:1>\r\nWARC-Date: d\r\nWARC-Target-URI: u\r\n"
+        b"WARC-Payload-Digest: sha1:AAAA\r\nContent-Length: " + str(len(body)).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    )
+    with pytest.raises(ValueError, match="damaged"):
+        list(warc.parse_archive(record))
+    with pytest.raises(ValueError, match="record end"):
+        list(warc.parse_archive(record[:-2]))
+
+
+def test_loser_tree():
+    random.seed(2)
+    for k in range(9):
+        runs = [sorted(random.choices(range(20), k=random.randrange(7))) for _ in range(k)]
+        assert list(warc.LoserTree(runs, lambda x: x)) == sorted(x for r in runs for x in r)
