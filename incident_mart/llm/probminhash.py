@@ -9,10 +9,12 @@ their probability Jaccard similarity. A shingle stops as soon as its next arriva
 later than every component's earliest.
 
 Bands of components give buckets. Pairs from buckets are verified on the texts, with the
-exact similarity. Equal texts are compared once. A bucket does not list its pairs:
-its members are compared with few of them (hubs) at a time, members that are connected
-already are not compared, and rounds go on until no bucket holds two members that are
-neither connected nor compared.
+exact similarity. Equal texts are compared once. A bucket does not list its pairs: first
+each member meets the one it shares most buckets with. Members that are connected by
+then are not compared again. What is left of large buckets is dealt out anew by the
+members' rarest shingles (two near texts share one of them, see ``_by_rare_shingles``),
+with bounds that rule out most pairs unseen, and compared with some members (hubs) at a
+time, until no bucket holds two members that are neither connected nor compared.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SliceHash, blocks, mixed, stored, utf8, words
@@ -33,7 +35,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 40, 6
 #: Buckets of so many members, or fewer, compare all that are not connected at once.
 SMALL = 16
-#: Hubs of a larger bucket in its first round; the number doubles every round.
+#: Hubs of a larger bucket in its first round; each round has eight times as many.
 HUBS = 8
 
 _FACTORS = np.array([pow(0xD6E8FEB86659FD93, k, 1 << 64) for k in range(SHINGLE)], np.uint64)
@@ -165,52 +167,147 @@ def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _draw(round_no: int) -> Column:
+    """A number from 0 to 1 by which members become hubs, the same in all buckets."""
+    return F.pmod(F.xxhash64("node", F.lit(round_no)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
 def _first_pairs(live: DataFrame) -> DataFrame:
-    """Each member with the one smallest member of a bucket that it meets most often."""
-    hubs = live.groupBy("bucket").agg(F.min("node").alias("hub"))
-    met = live.join(hubs, "bucket").where("node <> hub").groupBy("node", "hub").count()
-    best = F.max(F.struct("count", (-F.col("hub")).alias("low")))
-    return met.groupBy("node").agg(best.alias("best")).select((-F.col("best.low")).alias("u"), F.col("node").alias("v"))
+    """Each member with the hub that it meets in most of its buckets."""
+    hubs = live.groupBy("bucket").agg(F.min(F.struct(_draw(0).alias("draw"), "node")).alias("hub"))
+    met = live.join(hubs, "bucket").select("node", F.col("hub.node").alias("hub")).where("node <> hub")
+    best = F.max(F.struct("count", "hub")).alias("best")
+    pairs = met.groupBy("node", "hub").count().groupBy("node").agg(best)
+    low, high = F.least("node", "best.hub"), F.greatest("node", "best.hub")
+    return pairs.select(low.alias("u"), high.alias("v")).distinct()
+
 
+def _placed(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their component."""
+    return live.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-def _open_buckets(live: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with their component, of the buckets whose members are not all connected."""
-    placed = live.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+def _open_buckets(placed: DataFrame) -> DataFrame:
+    """The members of buckets whose members are not all connected, with the bucket's size."""
     open_ = (
         placed.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"), F.min("node").alias("first"))
+        .agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
         .where("a <> b")
         .drop("a", "b")
     )
     return placed.join(open_, "bucket")
 
 
-def _links(live: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links that connect all near members of every bucket; see the module's rounds."""
+def _explode_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, starts = utf8(batch.column("text"))
+        nodes = batch.column("node").to_numpy()
+        for low, high in blocks(starts):
+            cut = starts[low : high + 1]
+            owner, value, weight = weighted_shingles(data[cut[0] : cut[-1]], cut - cut[0])
+            total = np.bincount(owner, weight, high - low)
+            excess = total - np.bincount(owner, minlength=high - low)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (value.view(np.int64), nodes[low:high][owner], weight, total[owner], excess[owner])],
+                names=["bucket", "node", "weight", "total", "excess"],
+            )
+
+
+def _by_rare_shingles(texts: DataFrame, threshold: float) -> DataFrame:
+    """Buckets of texts by their rarest shingles: bucket, node, before, total, excess.
+
+    The similarity of two texts is at most the share of either's weight that is in
+    common shingles. So if it reaches the threshold, the rarest common shingle has less
+    than ``1 - threshold`` of each text's weight on shingles rarer still: it is in both
+    texts' prefixes, whatever the order of shingles, as long as it is one order.
+    ``before`` is the weight on rarer shingles, ``excess`` the weight above 1 per shingle.
+    """
+    rows = stored(
+        texts.mapInArrow(_explode_shingles, "bucket long, node long, weight double, total double, excess double"), "shingles"
+    )
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("texts"))
+    order = Window.partitionBy("node").orderBy("texts", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("weight").over(order), F.lit(0.0))
+    return (
+        rows.join(counts, "bucket")
+        .withColumn("before", before)
+        .where((F.col("before") <= (1 - threshold) * F.col("total") + 1e-6) & (F.col("texts") > 1))
+        .select("bucket", "node", "before", "total", "excess")
+    )
+
+
+def _at_most(x: dict[str, Column], y: dict[str, Column]) -> Column:
+    """A bound of the similarity of two texts that have nothing in common before a shingle.
+
+    With ``c`` the weight that can be common, the sum of the larger weights is at least
+    ``X + Y - c``. Every common shingle adds at most its larger weight over that sum,
+    and larger weights exceed smaller ones by the excesses at most.
+    """
+    common = F.least(x["total"] - x["before"], y["total"] - y["before"])
+    return (common + x["excess"] + y["excess"]) / (x["total"] + y["total"] - common)
+
+
+def _possible(members: DataFrame, threshold: float) -> DataFrame:
+    """Without the members that no text as short as the bucket's shortest could be near to."""
+    least = members.groupBy("bucket").agg(F.min("total").alias("shortest"), F.max("excess").alias("most"))
+    known = members.join(least, "bucket")
+    common = F.col("total") - F.col("before")
+    bound = (common + F.col("excess") + F.col("most")) / (F.col("total") + F.col("shortest") - common)
+    keep = F.col("total").isNull() | (F.col("shortest") < common) | (bound >= threshold - 1e-6)
+    return known.where(keep).drop("shortest", "most")
+
+
+def _labels(live: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``node, component`` of all members that links connect; see the module's rounds."""
     tested = stored(_first_pairs(live), "pairs")
     links = stored(_linked(tested, texts, threshold), "links")
+    labels = stored(connected_components(links), "labels")
+    open_ = stored(_open_buckets(_placed(live, labels)), "open")
+    large = open_.where(F.col("n") > SMALL).select("node").distinct()
+    fields = [F.lit(None).cast("double").alias(c) for c in ("before", "total", "excess")]
+    live = open_.where(F.col("n") <= SMALL).select("bucket", "node", *fields)
+    rare = _by_rare_shingles(texts.join(large, "node"), threshold)
+    live = stored(live.unionByName(rare), "rare")
     hubs = HUBS
     while True:
-        labels = connected_components(links)
-        members = stored(_open_buckets(live, labels), "open")
+        near = _open_buckets(_placed(live, labels)).drop("n")
+        members = stored(_open_buckets(_possible(near, threshold)).withColumn("draw", _draw(hubs)), "open")
         if members.isEmpty():
-            return links
-        drawn = F.pmod(F.xxhash64("bucket", "node", F.lit(hubs)), F.col("n")) < hubs
-        members = members.withColumn("is_hub", (F.col("n") <= SMALL) | (F.col("node") == F.col("first")) | drawn)
-        some = members.where("is_hub").select("bucket", F.col("node").alias("hub"), F.col("component").alias("of"))
+            return labels
+        least = members.groupBy("bucket").agg(F.min("draw").alias("least"))
+        is_hub = (F.col("n") <= SMALL) | (F.col("draw") * F.col("n") < hubs) | (F.col("draw") == F.col("least"))
+        members = members.join(least, "bucket").withColumn("is_hub", is_hub)
+        some = members.where("is_hub").alias("x")
+        other = members.alias("y")
+
+        def side(name: str) -> dict[str, Column]:
+            return {c: F.col(f"{name}.{c}") for c in ("before", "total", "excess")}
+
+        bound = F.coalesce(_at_most(side("x"), side("y")), F.lit(1.0))
         pairs = (
-            members.join(some, "bucket")
-            .where("component <> of")
-            .select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v"))
+            some.join(
+                other,
+                (F.col("x.bucket") == F.col("y.bucket"))
+                & (F.col("x.component") != F.col("y.component"))
+                & (bound >= threshold - 1e-6),
+            )
+            .select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v"))
             .distinct()
             .join(tested, ["u", "v"], "left_anti")
         )
         pairs = stored(pairs, "pairs")
         links = stored(links.union(_linked(pairs, texts, threshold)), "links")
+        labels = stored(connected_components(links), "labels")
         tested = tested.union(pairs)
         # A hub has now been compared with all others of its bucket.
-        live = members.where("NOT is_hub").select("bucket", "node")
-        hubs *= 2
+        live = members.where("NOT is_hub").select("bucket", "node", "before", "total", "excess")
+        hubs *= 8
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents as ``row`` with ``row_no``, stored, so that the numbers stay what they are."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("row_no"))
+    return stored(rows, "numbered")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -220,13 +317,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ``threshold`` over shingles of five words (runs without ASCII white space); a class
     is what links connect, ``class_id`` its smallest doc_id, and exactly one row of a
     class is kept, the first that has this id. Texts without words (null or empty)
-    and rows without an id are classes of their own. ``row_no`` numbers the rows of
-    ``docs``, which has to be a table or otherwise read the same way twice.
+    and rows without an id are classes of their own. ``docs`` comes from ``numbered``.
     """
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.monotonically_increasing_id().alias("row_no"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.col("row.doc_id").cast("long").alias("doc_id"),
+        "row_no",
+        F.coalesce("row.text", F.lit("")).alias("text"),
     )
     digested = rows.withColumn("digest", F.md5(F.col("text").cast("binary")))
     sketched = stored(
@@ -245,7 +341,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     live = stored(buckets.join(shared, "bucket"), "buckets")
     wanted = live.select("node").distinct()
     texts = stored(rows.select(F.col("row_no").alias("node"), "text").join(wanted, "node"), "texts")
-    labels = connected_components(_links(live, texts, threshold))
+    labels = _labels(live, texts, threshold)
     named = nodes.select("digest", "rep").join(
         labels, F.col("rep.row_no") == F.col("node"), "left"
     ).withColumn("component", F.coalesce("component", "rep.row_no"))
@@ -262,7 +358,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id, kept; see ``classes``."""
-    return classes(docs, threshold).drop("row_no")
+    return classes(numbered(docs.select("doc_id", "text")), threshold).drop("row_no")
 
 
 def without_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -271,7 +367,6 @@ def without_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     Only the numbers of the rows to drop are joined with the texts, and only rows that
     share a class with others can be among them.
     """
-    dropped = stored(classes(docs, threshold).where("NOT kept").select("row_no"), "dropped")
-    names = docs.columns
-    packed = docs.select(F.struct(*names).alias("row")).withColumn("row_no", F.monotonically_increasing_id())
-    return packed.join(dropped, "row_no", "left_anti").select("row.*")
+    rows = numbered(docs)
+    dropped = stored(classes(rows, threshold).where("NOT kept").select("row_no"), "dropped")
+    return rows.join(dropped, "row_no", "left_anti").select("row.*")

@@ -69,7 +69,7 @@ def corpus(seed=1):
 
 def test_classes_equal_brute_force(spark):
     rows = corpus() + [(None, "a b c d e"), (3, corpus()[0][1]), (3, corpus()[0][1])]
-    got = probminhash.classes(frame(spark, rows)).collect()
+    got = probminhash.classes(probminhash.numbered(frame(spark, rows))).collect()
     assert len(got) == len(rows)
     want = Counter((i, c) for (i, _), c in zip(rows, brute_classes(rows)))
     assert Counter((r.doc_id, r.class_id) for r in got) == want

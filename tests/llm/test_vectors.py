@@ -129,8 +129,10 @@ def test_components_of_random_graphs(spark):
                 low = min(root[a], root[b])
                 changed |= root[a] != low or root[b] != low
                 root[a] = root[b] = low
-        got = components.connected_components(spark.createDataFrame(pairs, "u long, v long")).collect()
-        assert {r.node: r.component for r in got} == root and len(got) == len(root)
+        links = spark.createDataFrame(pairs, "u long, v long")
+        for one_task in (0, 10**6):
+            got = components.connected_components(links, one_task).collect()
+            assert {r.node: r.component for r in got} == root and len(got) == len(root)
 
 
 def test_components_of_nothing(spark):
