@@ -36,10 +36,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with the text as decoded from them."""
-    coded = byte_bpe.decode(byte_bpe.encode(docs, TOKENIZER).drop("ends"), TOKENIZER)
-    return coded.select(
+    return byte_bpe.transcode(docs, TOKENIZER).select(
         "doc_id",
-        F.col("decoded").cast("string").alias("text"),
+        "text",
         "lang",
         "source",
         "n_chars",

@@ -65,6 +65,8 @@ def _automaton() -> tuple[np.ndarray, np.ndarray]:
 
 AFTER, BEGINS = _automaton()
 WIDTH = 256
+#: Bytes of text of the parts in which a task takes its batches.
+SLICE_BYTES = 4 << 20
 #: Ids that are decoded in one step.
 DECODED_IDS = 1 << 17
 
@@ -290,6 +292,12 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(values.astype(np.int32)))
 
 
+def _slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with few MB of text each, which bounds what a task holds."""
+    for low, high in blocks(utf8(batch.column(text))[1], SLICE_BYTES):
+        yield batch.slice(low, high - low)
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", ends: str = "ends") -> DataFrame:
     """Adds ``ids``, and ``ends``: for each token, the UTF-8 byte of the text at which it ends.
 
@@ -301,10 +309,11 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", ends:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(file.value)
         for batch in batches:
-            tokens, bounds, stops = encode_batch(batch.column(text), words)
-            columns = [batch.column(c) for c in kept]
-            columns += [_lists(tokens, bounds), _lists(stops, bounds)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, ends])
+            for part in _slices(batch, text):
+                tokens, bounds, stops = encode_batch(part.column(text), words)
+                columns = [part.column(c) for c in kept]
+                columns += [_lists(tokens, bounds), _lists(stops, bounds)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, ends])
 
     numbers = ArrayType(IntegerType())
     fields = [df.schema[c] for c in kept] + [StructField(ids, numbers), StructField(ends, numbers)]
@@ -323,17 +332,37 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
             counts = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
             bounds = np.concatenate([[0], np.cumsum(counts)])
             data, starts = decode_batch(lists.flatten().to_numpy().astype(np.int64), bounds, words)
-            body = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data)]
-            )
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), body.cast(pa.binary())], names=[*kept, out]
+                [*(batch.column(c) for c in kept), _bodies(data, starts)], names=[*kept, out]
             )
 
     fields = [df.schema[c] for c in kept] + [StructField(out, BinaryType())]
     return df.mapInArrow(run, StructType(fields))
 
 
+def _bodies(data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, buffers).cast(pa.binary())
+
+
+def transcode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: adds ``ids``, and the text is what they decode to."""
+    file = _file(df, path)
+    kept = [c for c in df.columns if c != ids]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(file.value)
+        for batch in batches:
+            for part in _slices(batch, text):
+                tokens, bounds, _ = encode_batch(part.column(text), words)
+                said = _bodies(*decode_batch(tokens, bounds, words)).cast(pa.string())
+                columns = [said if c == text else part.column(c) for c in kept]
+                yield pa.RecordBatch.from_arrays([*columns, _lists(tokens, bounds)], names=[*kept, ids])
+
+    fields = [df.schema[c] for c in kept] + [StructField(ids, ArrayType(IntegerType()))]
+    return df.mapInArrow(run, StructType(fields))
+
+
 def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     """Encodes, decodes and digests each text: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
@@ -345,19 +374,24 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(file.value)
         for batch in batches:
-            ids, bounds, _ = encode_batch(batch.column("text"), words)
-            data, starts = decode_batch(ids, bounds, words)
-            id_bytes, body = memoryview(ids.astype("<u4")).cast("B"), memoryview(np.ascontiguousarray(data))
-            edges, cuts = bounds.tolist(), starts.tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(bounds)),
-                    pa.array([hashlib.sha256(id_bytes[4 * a : 4 * b]).hexdigest() for a, b in zip(edges, edges[1:])], pa.string()),
-                    pa.array([hashlib.sha256(body[a:b]).hexdigest() for a, b in zip(cuts, cuts[1:])], pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for part in _slices(batch, "text"):
+                ids, bounds, _ = encode_batch(part.column("text"), words)
+                data, starts = decode_batch(ids, bounds, words)
+                code, body = memoryview(ids.astype("<u4")).cast("B"), memoryview(np.ascontiguousarray(data))
+
+                def digests(view: memoryview, edges: list[int]) -> pa.Array:
+                    each = (hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(edges, edges[1:]))
+                    return pa.array(list(each), pa.string())
+
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array(np.diff(bounds)),
+                        digests(code, (4 * bounds).tolist()),
+                        digests(body, starts.tolist()),
+                    ],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
