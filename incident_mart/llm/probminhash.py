@@ -31,6 +31,8 @@ from .components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 0.8
+#: Room for the rounding of sums: a similarity of 12 / 15 counts as 0.8.
+ROUNDING = 1e-9
 #: A pair at the threshold shares no band with a probability of 5e-6.
 BANDS, ROWS = 40, 6
 #: Buckets of so many members, or fewer, compare all that are not connected at once.
@@ -152,7 +154,7 @@ def _verify(threshold: float):
                     edges = np.searchsorted(owner, np.arange(high - low + 1))
                     sets += [(value[p:q], weight[p:q]) for p, q in zip(edges, edges[1:])]
                 sides.append(sets)
-            near = [similarity(*p, *q) >= threshold for p, q in zip(*sides)]
+            near = [similarity(*p, *q) >= threshold - ROUNDING for p, q in zip(*sides)]
             yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
     return run

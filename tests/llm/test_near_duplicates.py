@@ -95,6 +95,26 @@ def test_buckets_of_many_members(spark, monkeypatch):
     assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, c) for (i, _), c in zip(rows, brute_classes(rows)))
 
 
+def at_threshold(unions):
+    """Pairs with 4 of 5 shingles in common, all of weight 1, in the order of ids."""
+    texts = []
+    for union in unions:
+        same = [f"u{union}x{i}" for i in range(union * 4 // 5 + 4)]
+        texts += [" ".join(same), " ".join(same + [f"u{union}y{i}" for i in range(union // 5)])]
+    return list(enumerate(texts))
+
+
+def test_pairs_at_the_threshold_are_near(spark):
+    rows = at_threshold([10, 15, 60, 65, 75, 80, 85, 100, 105, 500])
+    for (_, a), (_, b) in zip(rows[::2], rows[1::2]):
+        x, y = shingles(a).keys(), shingles(b).keys()
+        assert 5 * len(x & y) == 4 * len(x | y)
+    below = " ".join(f"v{i}" for i in range(83))  # 79 of 100 shingles
+    rows += [(90, below), (91, below + " " + " ".join(f"z{i}" for i in range(21)))]
+    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows[:-1]} | {91: 91}
+
+
 def test_no_documents(spark):
     assert probminhash.near_duplicates(frame(spark, [])).count() == 0
     assert probminhash.near_duplicates(frame(spark, [(1, None), (2, "")])).count() == 2
