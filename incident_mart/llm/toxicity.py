@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning: only documents have labels, sentences get scores.
 
 A sentence's score is a logistic function of its words and their stems, a document's the noisy-or of
-its sentences: it is toxic unless every sentence is clean. The model is fitted to
+its sentences: it is toxic unless every sentence is clean. Sentences without a word that
+tells either label say the same, so all of a document count as one: a text is not toxic
+for its length. The model is fitted to
 document labels alone, so the weight goes to the sentences that explain them, and the
 same sentence scores then say where a document offends.
 """
@@ -22,10 +24,12 @@ BUCKETS = 1 << 18
 EMPTY = BUCKETS
 #: Leading bytes of a word that are a feature of their own, for words with many endings.
 STEMS = (4, 5, 6)
-#: Only features of so many toxic training documents are used, and only those that are
-#: so many times as frequent in toxic documents as in all.
+#: Features of fewer documents of the label they speak for are not used; of a label with
+#: fewer than three times as many documents, a third of them is enough.
 LEAST_DOCUMENTS = 5
-LEAST_LIFT = 1.5
+#: Features tell toxic from clean documents, either way, by this log-likelihood ratio at
+#: least (chance reaches it once in 1,000). Where no feature can, the best are used.
+LEAST_RATIO = 10.83
 #: At most so many labelled documents fit the model, those with the smallest hashes.
 TRAINING_ROWS = 12_000
 ROUNDS = 120
@@ -138,6 +142,43 @@ def _counted(buckets: np.ndarray, document: np.ndarray) -> np.ndarray:
     return np.bincount(pairs % (BUCKETS + 1), minlength=BUCKETS + 1)
 
 
+def ratios(seen: np.ndarray, seen_toxic: np.ndarray, n: int, n_toxic: int) -> np.ndarray:
+    """Log-likelihood ratio of each feature and the label, from the documents that have both."""
+
+    def part(found: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return found * np.log(np.maximum(found, 1) / np.maximum(expected, 1e-300))
+
+    n_clean, seen_clean, rest = n - n_toxic, seen - seen_toxic, n - seen
+    return 2 * (
+        part(seen_toxic, seen * (n_toxic / n))
+        + part(seen_clean, seen * (n_clean / n))
+        + part(n_toxic - seen_toxic, rest * (n_toxic / n))
+        + part(n_clean - seen_clean, rest * (n_clean / n))
+    )
+
+
+def telling(seen: np.ndarray, seen_toxic: np.ndarray, n: int, n_toxic: int) -> np.ndarray:
+    """The features that speak for one label: toxic or clean."""
+    ratio = ratios(seen, seen_toxic, n, n_toxic)
+    for_toxic = seen_toxic * n > seen * n_toxic
+    label = np.where(for_toxic, n_toxic, n - n_toxic)
+    enough = np.where(for_toxic, seen_toxic, seen - seen_toxic) >= np.clip(-(-label // 3), 1, LEAST_DOCUMENTS)
+    # Of one label alone no feature tells anything.
+    able = enough & (seen > 0) & (ratio > 1e-6)
+    best = ratio[able].max(initial=0.0)
+    return np.flatnonzero(able & (ratio >= min(LEAST_RATIO, best * (1 - 1e-9))))
+
+
+def _merged(sentence: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sentences numbered anew, with the silent ones (no feature) of a document as one."""
+    silent = np.ones(len(text), bool)
+    silent[sentence] = False
+    at = np.flatnonzero(silent)
+    kept = ~silent
+    kept[at[np.unique(text[at], return_index=True)[1]]] = True
+    return (np.cumsum(kept) - 1)[sentence], text[kept]
+
+
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One task, over at most TRAINING_ROWS documents."""
     parts, toxic, texts = [], [], []
@@ -163,13 +204,14 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     labels = np.concatenate(toxic)
     seen[EMPTY] = seen_toxic[EMPTY] = 0
-    lift = seen_toxic * n_texts >= LEAST_LIFT * seen * max(int(labels.sum()), 1)
-    used = np.flatnonzero((seen_toxic >= LEAST_DOCUMENTS) & lift)
+    used = telling(seen, seen_toxic, n_texts, int((labels == 1).sum()))
     place = np.full(BUCKETS + 1, -1, np.int32)
     place[used] = np.arange(len(used))
     chosen = [(place[b[place[b] >= 0]], s[place[b] >= 0]) for b, s in parts]
     feature, sentence = (np.concatenate(x) for x in zip(*chosen))
-    weights = fit(feature, sentence.astype(np.int64), np.concatenate(texts), labels, len(used))
+    del parts, chosen
+    sentence, text = _merged(sentence, np.concatenate(texts))
+    weights = fit(feature, sentence, text, labels, len(used))
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(used, -1).astype(np.int32)), pa.array(weights.astype(np.float32))], names=["bucket", "weight"]
     )
@@ -221,8 +263,10 @@ def score_batch(texts: pa.Array, weights: np.ndarray, bias: float, offends: floa
             continue
         heads = np.flatnonzero(np.diff(sentence, prepend=-1))
         tails = np.append(heads[1:], len(sentence)) - 1
-        z = np.add.reduceat(weights[buckets].sum(axis=1, dtype=np.float64), heads) + bias
-        clean = np.bincount(text[heads], _softplus(z), high - low)
+        said = np.add.reduceat(weights[buckets].sum(axis=1, dtype=np.float64), heads)
+        z, of, silent = said + bias, text[heads], said == 0
+        clean = np.bincount(of[~silent], _softplus(z[~silent]), high - low)
+        clean = clean + (np.bincount(of[silent], minlength=high - low) > 0) * _softplus(bias)
         scores.append(-np.expm1(-clean))
         chance = _logistic(z)
         bad = np.flatnonzero(chance >= offends)

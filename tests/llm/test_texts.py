@@ -1,6 +1,8 @@
 import base64
 import hashlib
+import zlib
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -202,6 +204,48 @@ def test_toxicity_learns_from_document_labels(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in got.values())
 
 
+def predicted(spark, rows, labels):
+    docs = spark.createDataFrame(rows, DOCS)
+    given_labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    return {r.doc_id: r for r in toxicity.toxicity_report(docs, given_labels).collect()}
+
+
+def test_toxicity_of_mostly_toxic_labels(spark):
+    rows, labels = toxic_corpus()
+    bad = [(i, r[1]) for i, r in enumerate(rows) if i % 6 == 0]
+    clean = [(i, r[1]) for i, r in enumerate(rows) if i % 6 == 1][:25]
+    some = [(i, t, "x", "y", 0) for i, t in bad + clean]
+    got = predicted(spark, some, [(i, int(i % 6 == 0)) for i, _ in bad + clean])
+    right = [got[i].predicted == int(i % 6 == 0) for i, _ in bad + clean]
+    assert sum(right) >= 0.98 * len(right)
+
+
+def test_toxicity_of_three_toxic_rows(spark):
+    rows, labels = toxic_corpus()
+    plain = [r for r in rows if r[0] % 6]
+    ids = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5]
+    mean = [(i, f"word{k} thing{k} calm. you rotten fool. thing{k + 9} calm.", "x", "y", 0) for k, i in enumerate(ids[:20])]
+    known = [(i, y) for i, y in labels if i % 6] + [(r[0], 1) for r in mean[:3]]
+    got = predicted(spark, plain + mean, known)
+    assert all(got[r[0]].predicted == 1 for r in mean)
+    assert sum(got[r[0]].predicted for r in plain) <= 0.01 * len(plain)
+
+
+def test_toxicity_does_not_grow_with_length(spark):
+    rows, labels = toxic_corpus()
+    long = " ".join(f"word{i % 97} thing{i % 89} calm." for i in range(60_000))
+    got = predicted(spark, [*rows, (5000, long, "x", "y", 0), (5001, long + " you rottenax fool.", "x", "y", 0)], labels)
+    assert got[5000].predicted == 0 and got[5001].predicted == 1
+
+
+def test_toxicity_learns_clean_words():
+    seen = np.array([400, 100, 300, 3, 200])
+    seen_toxic = np.array([300, 100, 200, 3, 0])
+    assert toxicity.telling(seen, seen_toxic, 600, 400).tolist() == [0, 1, 4]
+    assert toxicity.telling(np.array([3, 30]), np.array([3, 1]), 480, 3).tolist() == [0]
+    assert not len(toxicity.telling(np.array([5, 9]), np.array([5, 9]), 9, 9))
+
+
 def test_toxicity_without_labels(spark):
     rows, _ = toxic_corpus(20)
     docs = spark.createDataFrame(rows + [(99, "some words here. " * 3000, "x", "y", 0)], DOCS)
