@@ -226,18 +226,29 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> tupl
     """The model from the documents' labels, held-out ones left out.
 
     Uses ``rows`` labelled documents at most; a document labelled twice counts as toxic
-    if either says so; null labels are none. Without labels every score is near 0.
+    if either says so; null labels are none, nor are those without a document. Of rows
+    that repeat a doc_id one text is used. Without labels every score is near 0.
     """
+    # A hot id is one row before the shuffle.
+    present = docs.select("doc_id").distinct()
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~in_holdout())
     sample = (
         known.groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
+        .join(present, "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
     sample = stored(sample, "labelled")
     # At most `rows` short rows: a proven bound.
-    labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    labelled = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(one)
+        .select("doc_id", "toxic", "one.text")
+    )
     features = labelled.mapInArrow(_features, FEATURES)
     fitted = features.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_train, "bucket int, weight float")
     weights, bias = np.zeros(BUCKETS + 1, np.float32), UNTAUGHT

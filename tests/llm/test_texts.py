@@ -238,6 +238,18 @@ def test_toxicity_does_not_grow_with_length(spark):
     assert got[5000].predicted == 0 and got[5001].predicted == 1
 
 
+def test_toxicity_learns_from_one_text_of_each_document(spark, monkeypatch):
+    rows, labels = toxic_corpus()
+    held = {i for i, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0}
+    clean = next(i for i, y in labels if not y and i not in held)
+    more = [(clean, f"you rotten{'abcdef'[k % 6]}x fool. more{k}.", "x", "y", 0) for k in range(3000)]
+    absent = [(i, k % 2) for k, i in enumerate(range(10_000, 30_000))]
+    learn = toxicity.learn
+    monkeypatch.setattr(toxicity, "learn", lambda docs, known: learn(docs, known, 450))
+    got = predicted(spark, [r for r in rows if r[0] != clean] + more, [*labels, *absent])
+    assert all(got[i].predicted == y for i, y in labels if i != clean)
+
+
 def test_toxicity_learns_clean_words():
     seen = np.array([400, 100, 300, 3, 200])
     seen_toxic = np.array([300, 100, 200, 3, 0])
