@@ -64,14 +64,20 @@ def _name(page_id: Column) -> Column:
 
 
 def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Rows ``url_key, captured_at, page_id, bytes, record``: one WARC record per page.
+    """Rows ``url_key, captured_at, page_id, row_no, bytes, record``: one WARC record per page.
 
     Of pages with equal payloads of ``least_bytes`` or more, the one with the largest
     page_id is the response (all rows that have it, if they repeat), others refer to it.
-    Only payloads that occur more than once take part in the join.
+    Only payloads that occur more than once take part in the join. ``row_no`` numbers the
+    rows of the table: after the join a task that runs again may meet them in another order.
     """
     payload = F.coalesce("html", F.lit(""))
-    read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("html"))
+    read = pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.monotonically_increasing_id().alias("row_no"),
+        "url",
+        payload.alias("html"),
+    )
     known = read.withColumns({"digest": payload_digest(F.col("html")), "bytes": text_bytes("html")})
     repeated = stored(
         known.where(F.col("bytes") >= least_bytes)
@@ -112,6 +118,7 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
             url_key(F.col("url")).alias("url_key"),
             "captured_at",
             "page_id",
+            "row_no",
             "bytes",
             F.concat(head, http, body).alias("record"),
         )
@@ -123,7 +130,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     total = pages.agg(F.sum(text_bytes("html"))).first()[0] or 0
     files = max(1, -(-total // ARCHIVE_BYTES))
     # By a row number too, so that rows which repeat part.
-    file = F.pmod(F.xxhash64("url_key", "page_id", F.monotonically_increasing_id()), F.lit(files))
+    file = F.pmod(F.xxhash64("url_key", "page_id", "row_no"), F.lit(files))
     runs = records(pages, least_bytes).repartition(files, file).sortWithinPartitions("url_key", "captured_at", "page_id")
     runs.select("record").write.option("lineSep", SEPARATOR).option("compression", "gzip").text(path)
 

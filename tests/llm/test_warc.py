@@ -33,6 +33,20 @@ def test_round_trip_equals_brute_force(spark, monkeypatch):
     assert order == sorted(order) and len({r.run for r in out}) > 2 and len({r.key_range for r in out}) > 1
 
 
+def test_a_page_goes_to_the_same_archive_however_the_join_deals_rows(spark, monkeypatch, conf):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1000)
+    pages = frame(spark, ROWS)
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    found = []
+    for partitions in ("3", "7"):
+        conf("spark.sql.shuffle.partitions", partitions)
+        out = warc.archive_round_trip(pages).collect()
+        found.append({r.page_id: r.run.split("-")[1] for r in out})
+    assert len(found[0]) == len(ROWS) and len(set(found[0].values())) > 2
+    assert found[0] == found[1]
+
+
 def test_small_payloads_are_responses(spark):
     out = warc.archive_round_trip(frame(spark, ROWS), least_bytes=5).collect()
     assert {r.record_type for r in out if r.payload_bytes < 5} == {"response"}
