@@ -7,11 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat, int8_tiles, mixing, pii, pivot_topk, probminhash, toxicity, virtual_slots, warc
+from . import (
+    byte_bpe,
+    chat,
+    int8_tiles,
+    lexical,
+    mixing,
+    pii,
+    pivot_topk,
+    probminhash,
+    repair,
+    token_counts,
+    toxicity,
+    virtual_slots,
+    warc,
+)
 from .common import table
 
 #: The vocabulary of the registered queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +75,18 @@ def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_glr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op13_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
 OP9_SQL = r"""
 WITH rows AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -133,6 +160,137 @@ SELECT page_id, strlen(html) AS payload_bytes,
 FROM known
 """
 
+OP11_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), sizes AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0
+), found AS (
+    SELECT doc, doc_id, n, term, count(*) AS tf
+    FROM (SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM items) GROUP BY doc, doc_id, n, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM found, sizes GROUP BY term, n_docs
+), scores AS (
+    SELECT item, item_id, doc, doc_id,
+        CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM items JOIN found USING (term) JOIN weights USING (term), sizes
+    GROUP BY item, item_id, doc, doc_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def _edit(state: str, cost: str, letter: str) -> str:
+    """A state, twelve digits of cost and the audit, after one more edit; null stays null."""
+    return f"printf('%012d', CAST(substr({state}, 1, 12) AS BIGINT) + {cost}) || substr({state}, 13) || '{letter}'"
+
+
+def _said(symbol: str, *states: str) -> str:
+    """The least state after a row taken as ``symbol`` from any of ``states``."""
+    worse = "CASE WHEN cut THEN 5 ELSE 0 END"
+    each = (
+        f"CASE WHEN drop THEN NULL WHEN initial = '{symbol}' THEN {_edit(s, worse, 'K')} ELSE {_edit(s, '1 + ' + worse, 'R')} END"
+        for s in states
+    )
+    return ", ".join(each)
+
+
+def op12_sql() -> str:
+    """Rows by turn, a recursion over them with one state per stack top, and the repaired lines.
+
+    The tops: nothing yet (o), a system turn (s), its user turn (u), whole pairs (p), and
+    the user turn after those (q); an ``x`` before the letter is the state with insertions.
+    """
+    step = {
+        "xu": f"least(u, {_edit('o', '5', 'I')}, {_edit('s', '5', 'I')})",
+        "xp": f"least(p, {_edit('xu', '5', 'I')}, {_edit('q', '5', 'I')})",
+        "xq": f"least(q, {_edit('xp', '5', 'I')})",
+    }
+    kept_system = f"CASE WHEN NOT drop AND initial = 's' THEN {_edit('o', 'CASE WHEN cut THEN 5 ELSE 0 END', 'K')} END"
+    after = {
+        "o": _edit("o", "2", "D"),
+        "s": f"least({_edit('s', '2', 'D')}, {kept_system})",
+        "u": f"least({_edit('xu', '2', 'D')}, {_said('u', 'o', 's')})",
+        "p": f"least({_edit('xp', '2', 'D')}, {_said('a', 'xu', 'xq')})",
+        "q": f"least({_edit('xq', '2', 'D')}, {_said('u', 'xp')})",
+    }
+    moved = ", ".join(f"{value} AS {name}" for name, value in after.items())
+
+    def inserted(rows: str) -> str:
+        inner = f"SELECT *, {step['xu']} AS xu FROM {rows}"
+        return f"SELECT *, {step['xq']} AS xq FROM (SELECT *, {step['xp']} AS xp FROM ({inner}))"
+
+    next_row = """(
+        SELECT b.conv_id, k.n, o, s, u, p, q, k.initial, k.drop, k.cut
+        FROM parsed b JOIN known k ON b.conv_id IS NOT DISTINCT FROM k.conv_id AND k.n = b.n + 1)"""
+    return rf"""
+WITH RECURSIVE bits AS (
+    SELECT list(c ORDER BY i) AS crc FROM (
+        SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+        FROM (SELECT unnest(range(256)) AS i))
+), marked AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+        list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+            lambda x: CAST(ascii(x) AS BIGINT)),
+        lambda c, x: xor(c >> 8, crc[CAST(xor(c, x) & 255 AS BIGINT) + 1]), CAST(4294967295 AS BIGINT))) % 20 AS kind
+    FROM conversations, bits
+), turns AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM marked WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role || ':' || text, role, copy) AS n FROM turns
+), told AS (
+    SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again FROM placed
+), known AS (
+    SELECT *, solid = '' AS blank, solid = '' OR again AS drop, right(solid, 1) NOT IN ('.', '!', '?') AS cut,
+        coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial NOT IN ('su', 'ua', 'au'), false) AS illegal FROM told
+), parsed AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS n, '000000000000' AS o, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u,
+        CAST(NULL AS VARCHAR) AS p, CAST(NULL AS VARCHAR) AS q
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT conv_id, n, {moved} FROM ({inserted(next_row)})
+), best AS (
+    SELECT conv_id, n, least(o, xp) AS state FROM ({inserted('parsed')})
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1
+), edits AS (
+    SELECT conv_id, unnest(range(1, length(state) - 11)) AS i, substr(state, 13) AS audit FROM best
+), acts AS (
+    SELECT conv_id, i, audit[i] AS edit, sum(CASE WHEN audit[i] = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY i) AS n FROM edits
+), kept AS (
+    SELECT a.conv_id, a.i, a.edit, k.role, k.text, k.initial, row_number() OVER (PARTITION BY a.conv_id ORDER BY a.i) AS place
+    FROM acts a LEFT JOIN known k ON a.edit <> 'I' AND a.conv_id IS NOT DISTINCT FROM k.conv_id AND a.n = k.n WHERE a.edit <> 'D'
+), lines AS (
+    SELECT conv_id, i, CASE WHEN edit = 'K' THEN role
+        WHEN (place - max(CASE WHEN place = 1 AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id)) % 2 = 1
+        THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END AS line
+    FROM kept
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (NOT drop AND cut) AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM known GROUP BY conv_id
+), said AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY i) AS whole FROM lines GROUP BY conv_id)
+SELECT b.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+    coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, CAST(substr(state, 1, 12) AS BIGINT) AS cost,
+    substr(state, 13) AS audit, sha256(coalesce(s.whole, '')) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN said s ON b.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name, in the order of the operators."""
@@ -147,6 +305,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_byte_bpe,
         op9_chat_events,
         op10_noisy_or_toxicity,
+        op11_mask_search,
+        op12_glr_repair,
+        op13_pretoken_counts,
     )
     return {f.__name__: f for f in every}
 
@@ -158,4 +319,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_pivot_topk": OP5_SQL,
         "op6_warc_index": OP6_SQL,
         "op9_chat_events": OP9_SQL,
+        "op11_mask_search": OP11_SQL,
+        "op12_glr_repair": op12_sql(),
     }
