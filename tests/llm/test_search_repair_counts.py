@@ -18,7 +18,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from incident_mart.llm import lexical, registry, repair, token_counts
+from incident_mart.llm import common, lexical, registry, repair, token_counts
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -35,20 +35,28 @@ def library_count(coder, text):
     return len(coder.encode(text or "", add_special_tokens=False).ids)
 
 
-ODD = ["it's", "a", "ΑΣ", "Σ", "é", "é", "́", " ", "\n", "\t", "\x0b", "\x1c", "\x85", " ", "　", "ﬁ", "한", "한", "İ", "12", "!?",
+ODD = ["it's", "a", "ΑΣ", "Σ", "é", "é", "́", " ", "\n", "\t", "\x0b", "\x1c", "\x85", " ", "　", "ﬁ", "한", "한", "İ", "12", "!?", "H", "\u0331", "I", "\u0307", "Don't", "<", "\u0338", "à", "×", "÷", "É", "ß", "K", "\"", "LL", "<|ENDOFTEXT|>", "re", ".", "7",
        "<|endoftext|>", "<|startoftext|>", "<|end", "'S", "'re", "😀", "漢字", "_", "\x00", "-"]
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=1000, deadline=None)
 @given(st.lists(st.sampled_from(ODD), max_size=14).map("".join))
 def test_chunks_add_up_to_the_library(coder, text):
     with open(WORDS, encoding="utf-8") as f:
-        special = token_counts.specials(f.read())
-    total = 0
-    for chunk in text.encode().split():
-        found, own = token_counts.cut(chunk.decode(), coder, special)
-        total += own + sum(n * len(coder.model.tokenize(p)) for p, n in found.items())
-    assert total == library_count(coder, text)
+        file = f.read()
+    data, starts = common.utf8(pa.array([text, "", None, text + "É"]))
+    for chunks, said in zip(token_counts.chunks_of(data, starts, token_counts.special_bytes(file)), (text, "", "", text + "É")):
+        total = 0
+        for chunk in chunks:
+            found, own = token_counts.cut(chunk.decode(), coder, token_counts.specials(file))
+            total += own + sum(n * len(coder.model.tokenize(p)) for p, n in found.items())
+        assert total == library_count(coder, said)
+
+
+def test_other_vocabularies_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="vocabulary"):
+        token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 TEXTS = [
@@ -70,7 +78,7 @@ def texts_frame(spark, texts):
     return spark.createDataFrame(listed, "doc_id long, text string, chunk string, row int")
 
 
-@pytest.mark.parametrize("frequent", [1 << 16, 3])
+@pytest.mark.parametrize("frequent", [1 << 20, 3])
 def test_token_counts(spark, coder, monkeypatch, frequent):
     # With few frequent chunks the others take the way of the join.
     monkeypatch.setattr(token_counts, "FREQUENT", frequent)
@@ -89,10 +97,12 @@ def test_token_counts_of_nothing(spark):
 
 
 def test_chunks_are_passed_on_in_parts(spark, monkeypatch):
-    text = " ".join(f"w{i % 700}" for i in range(5000))
+    words = ["".join(chr(97 + int(c)) for c in str(i % 700)) for i in range(5000)]
+    text = " ".join(words)
+    monkeypatch.setattr(token_counts, "HELD_CHUNKS", 100)
     docs = spark.createDataFrame([(i, text) for i in range(4)], "doc_id long, text string").coalesce(1)
-    totals = token_counts.chunk_totals(docs)
-    assert {bytes(r.chunk): r.n for r in totals.collect()} == {k.encode(): 4 * v for k, v in Counter(text.split()).items()}
+    totals = token_counts.chunk_totals(docs, WORDS)
+    assert {bytes(r.chunk): r.n for r in totals.collect()} == {k.encode(): 4 * v for k, v in Counter(words).items()}
 
 
 def test_frequent_chunks_have_a_bound():
