@@ -601,6 +601,35 @@ def merge_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hex_key(tables.read_table(spark, path, schema))
 
 
+@query(roles.key_sql(CRASHES, roles.CRASHES_TABLE))
+def compact_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five overlapping loads, written as one after the second and after the last, twice."""
+    path, schema = scratch_dir(spark, "compact"), CRASHES.table_schema
+    source = ops.with_surrogate_key(roles.crashes(spark, sf_dir), CRASHES.hash_columns)
+    order = F.col("crash_record_id").cast("bigint")
+    for load in range(5):
+        # Every load sends the one before it again.
+        part = source.filter((order % 5 == load) | (order % 5 == load - 1))
+        tables.insert_only_merge(part, path, schema, f"load-{load}")
+        if load in (1, 4):
+            tables.compact_table(spark, path, schema)
+    tables.remove_replaced(spark, path)
+    tables.compact_table(spark, path, schema)
+    return hex_key(tables.read_table(spark, path, schema))
+
+
+@query(roles.key_sql(CRASHES, roles.CRASHES_TABLE))
+def merge_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table laid out by the first digit of its key; the last merge reads a few prefixes only."""
+    path, schema = scratch_dir(spark, "merge-prefix"), CRASHES.table_schema
+    source = ops.with_surrogate_key(roles.crashes(spark, sf_dir), CRASHES.hash_columns)
+    late = F.hex(ROW_KEY).substr(1, 1) == "0"
+    tables.insert_only_merge(source.filter(~late), path, schema, "most", prefix_digits=1)
+    both = source.filter(late | (F.hex(ROW_KEY).substr(1, 1) == "7"))
+    tables.insert_only_merge(both, path, schema, "late")
+    return hex_key(tables.read_table(spark, path, schema))
+
+
 @query(
     """SELECT c_custkey AS key, -1 AS line FROM customer UNION ALL
        SELECT l_orderkey, l_linenumber FROM lineitem

@@ -1,4 +1,4 @@
-"""Jobs to submit: ``refresh``, ``stream`` and ``models``.
+"""Jobs to submit: ``refresh``, ``stream``, ``models`` and ``compact``.
 
     spark-submit --py-files incident_mart.zip submit.py refresh --root s3a://mart \\
         --pages crashes=s3a://landing/crashes --pages persons=s3a://landing/persons \\
@@ -13,7 +13,7 @@ import json
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .plans import KeyForm, Layout, full_refresh, publish_models
+from .plans import KeyForm, Layout, compact_feeds, full_refresh, publish_models
 from .schemas import FEEDS
 from .session import build_session, configure
 from .sources import read_json_pages
@@ -30,10 +30,11 @@ def _pair(text: str) -> tuple[str, str]:
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="incident_mart")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for job in ("refresh", "stream", "models"):
+    for job in ("refresh", "stream", "models", "compact"):
         sub = jobs.add_parser(job)
         sub.add_argument("--root", required=True, help="folder of the mart")
-        if job != "models":
+        if job in ("refresh", "stream"):
+            sub.add_argument("--prefix-digits", type=int, default=0, help="of keys, in new tables")
             sub.add_argument("--pages", type=_pair, action="append", required=True)
             sub.add_argument("--page-from", choices=["directory", "file_name"], default="directory")
             sub.add_argument("--layout", choices=["lines", "array"], default="lines")
@@ -42,12 +43,15 @@ def _arguments() -> argparse.ArgumentParser:
             sub.add_argument("--target-filter", help="SQL over the table's rows that can match")
             sub.add_argument("--key-separator", default="")
             sub.add_argument("--timestamp-suffix", default="", help="such as +00")
-        if job != "stream":
+        if job in ("refresh", "models"):
             sub.add_argument("--sample", type=int, help="rows of persons and crashes to build on")
         if job == "refresh":
             sub.add_argument("--load-id", required=True)
         if job == "models":
             sub.add_argument("--select", nargs="*", help="models to publish")
+        if job == "compact":
+            sub.add_argument("--at-least", type=int, default=2, help="loads worth a rewrite")
+            sub.add_argument("--keep-replaced", action="store_true")
         if job == "stream":
             sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--closed", type=_pair, action="append", help="marks of closed pulls")
@@ -60,8 +64,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     args = _arguments().parse_args(argv)
     spark = configure(spark) if spark else build_session()
     counts: dict[str, int] = {}
-    if args.job != "models":
+    if args.job in ("refresh", "stream"):
         options = {
+            "prefix_digits": args.prefix_digits,
             "on_error": args.on_error,
             "first_page": args.first_page,
             "target_filter": F.expr(args.target_filter) if args.target_filter else None,
@@ -77,6 +82,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         counts, _ = full_refresh(
             spark, pages, args.root, args.load_id, sample=args.sample, **options
         )
+    elif args.job == "compact":
+        compact_feeds(spark, Layout(args.root), args.at_least, args.keep_replaced)
     elif args.job == "models":
         publish_models(spark, Layout(args.root), args.sample, args.select)
     else:

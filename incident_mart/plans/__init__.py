@@ -22,7 +22,7 @@ from .models import (
     stg_traffic_data,
     stg_vehicles_data,
 )
-from .refresh import full_refresh, publish_models, read_tables
+from .refresh import compact_feeds, full_refresh, publish_models, read_tables
 
 __all__ = [
     "KeyForm",
@@ -30,6 +30,7 @@ __all__ = [
     "age_distri",
     "build_models",
     "clean_pages",
+    "compact_feeds",
     "conform",
     "conform_csv",
     "crashes_location",

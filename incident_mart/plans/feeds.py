@@ -41,9 +41,13 @@ _PRESENT = "fields_present"
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the files of a warehouse lie under one root folder."""
+    """Where the files of a warehouse lie under one root folder.
+
+    ``prefix_digits`` is that of ``create_table_if_absent``, for tables not yet there.
+    """
 
     root: str
+    prefix_digits: int = 0
 
     def staged(self, feed: Feed, load_id: str) -> str:
         return f"{self.root}/staged/{feed.name}/{load_id}"
@@ -288,6 +292,7 @@ def _merge(
         feed.table_schema,
         load_id,
         target_filter=target_filter,
+        prefix_digits=layout.prefix_digits,
     )
     refresh_views(wide.sparkSession, list(MODELS))
 

@@ -3,21 +3,31 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..schemas import FEEDS
 from ..sources.files import replace_rows
-from ..sources.tables import as_view, create_table_if_absent, read_table
+from ..sources.tables import (
+    as_view,
+    compact_table,
+    create_table_if_absent,
+    read_table,
+    refresh_views,
+    remove_replaced,
+)
 from .feeds import PLAIN_KEYS, KeyForm, Layout, load_pages
-from .models import CORE, build_models
+from .models import CORE, MODELS, build_models
 
 
 def read_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """The loaded table of each feed; a feed never loaded gives an empty one."""
     frames = {}
     for name, feed in FEEDS.items():
-        create_table_if_absent(spark, layout.table(feed), feed.table_schema)
+        create_table_if_absent(
+            spark, layout.table(feed), feed.table_schema, layout.prefix_digits
+        )
         frames[name] = read_table(spark, layout.table(feed), feed.table_schema)
     return frames
 
@@ -41,10 +51,35 @@ def publish_models(
         if name in CORE:
             replace_rows(models[name], layout.model(name))
             models[name] = spark.read.parquet(layout.model(name))
-        as_view(models[name], name)
+            as_view(models[name], name)
+        else:
+            as_view(models[name], name, partial(_model, spark, layout, sample, name))
     return {name: models[name] for name in wanted}
 
 
+def _model(spark: SparkSession, layout: Layout, sample: int | None, name: str) -> DataFrame:
+    return build_models(**read_tables(spark, layout), sample=sample)[name]
+
+
+def compact_feeds(
+    spark: SparkSession, layout: Layout, at_least: int = 2, keep_replaced: bool = False
+) -> dict[str, str | None]:
+    """Write each feed's table of many loads as one load; the new load's name by feed.
+
+    A table with fewer than ``at_least`` loads stays as it is (None), as does one that is
+    not there. ``keep_replaced`` leaves the old folders for readers that planned before;
+    ``remove_replaced`` deletes them later.
+    """
+    names = {}
+    for name, feed in FEEDS.items():
+        path = layout.table(feed)
+        names[name] = compact_table(spark, path, feed.table_schema, at_least=at_least)
+        if not keep_replaced:
+            remove_replaced(spark, path)
+    refresh_views(spark, list(MODELS))
+    return names
+
+
 def full_refresh(
     spark: SparkSession,
     pages: dict[str, DataFrame],
@@ -55,18 +90,20 @@ def full_refresh(
     sample: int | None = None,
     target_filter: Column | None = None,
     keys: KeyForm = PLAIN_KEYS,
+    prefix_digits: int = 0,
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Load each feed's pages and publish the models.
 
     ``pages`` maps feed names to page frames; feeds left out keep their tables.
     Running it again with the same pages adds nothing. ``target_filter`` is that of
-    ``insert_only_merge`` and may name columns that all these feeds have. Gives the
-    rows merged per feed and the models.
+    ``insert_only_merge`` and may name columns that all these feeds have;
+    ``prefix_digits`` lays out tables that are not yet there. Gives the rows merged per
+    feed and the models.
     """
     unknown = [name for name in pages if name not in FEEDS]
     if unknown:
         raise ValueError(f"no such feed: {', '.join(unknown)}")
-    layout = Layout(root)
+    layout = Layout(root, prefix_digits)
 
     def load(name: str) -> int:
         return load_pages(

@@ -15,20 +15,25 @@ from .files import (
 from .pages import explode_bodies, read_json_pages, read_json_stream, write_json_pages
 from .tables import (
     as_view,
+    compact_table,
     create_table_if_absent,
     insert_only_merge,
+    live_loads,
     read_table,
     refresh_views,
+    remove_replaced,
 )
 
 __all__ = [
     "append_csv",
     "append_rows",
     "as_view",
+    "compact_table",
     "create_table_if_absent",
     "exists",
     "explode_bodies",
     "insert_only_merge",
+    "live_loads",
     "preview",
     "read_csv",
     "read_json_pages",
@@ -37,6 +42,7 @@ __all__ = [
     "read_table",
     "refresh_views",
     "remove",
+    "remove_replaced",
     "replace_rows",
     "save_table",
     "store",

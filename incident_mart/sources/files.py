@@ -59,6 +59,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store_of.exists(at)
 
 
+def names_at(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths that match a glob pattern, on whatever store it names."""
+    store_of, at = _on_disk(spark, pattern)
+    return [found.getPath().toString() for found in store_of.globStatus(at) or []]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate files."""
     store_of, at = _on_disk(spark, path)

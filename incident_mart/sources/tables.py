@@ -3,12 +3,19 @@
 A load writes a folder of its own and deletes no committed one, so a load that is run
 again, after a failure or not, leaves each row once. One writer per table at a time:
 loads that one driver runs side by side take turns, several drivers must not.
+
+Two things keep a table of many loads cheap. A table made with ``prefix_digits`` has a
+folder ``key_prefix=...`` per leading hex digits of the key inside each load, and a merge
+reads only the prefixes its batch has. ``compact_table`` writes the rows of many loads as
+one; ``read_table`` takes the loads that are *live*: committed, and not replaced by a
+compaction whose mark is written.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Callable
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,42 +23,187 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.contract import required
-from ..operators.merge import FEW_KEYS, NEW, counted_keys, rows_of_new_keys, status_of
+from ..operators.merge import FEW_KEYS, KEY, NEW, counted_keys, rows_of_new_keys, status_of
 from ..operators.projection import assert_columns
 from ..schemas import LOAD_ID, ROW_KEY
-from .files import exists, remove, store
+from .files import exists, names_at, remove, store
 
 _CREATED = "created"
 #: Spark's readers skip folders whose name starts with an underscore.
 _KEYS = "_keys"
+_LAYOUT = "_layout"
+_MARKS = "_compactions"
+_COMPACT = "compact-"
+#: Directory column of tables laid out by the leading hex digits of their key.
+KEY_PREFIX = "key_prefix"
+#: 16 ** 4 prefixes are the most a merge lists.
+_MOST_DIGITS = 4
 _WRITERS: defaultdict[str, Lock] = defaultdict(Lock)
 _LOAD_NAME = re.compile(r"[A-Za-z0-9_.-]+")
+#: How to make a session's view anew.
+_VIEWS: dict[tuple[SparkSession, str], Callable[[], DataFrame]] = {}
+
+
+def key_prefix(key: Column, kind: T.DataType, digits: int) -> Column:
+    """The first hex digits of a key: of its bytes, or of the MD5 hash of any other key."""
+    if isinstance(kind, T.BinaryType):
+        return F.left(F.lower(F.hex(F.substring(key, 1, (digits + 1) // 2))), F.lit(digits))
+    return F.left(F.md5(key.cast("string")), F.lit(digits))
 
 
-def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """An empty table, unless there is one."""
+def create_table_if_absent(
+    spark: SparkSession, path: str, schema: T.StructType, prefix_digits: int = 0
+) -> None:
+    """An empty table, unless there is one.
+
+    ``prefix_digits`` (0 to 4) lays its loads out by the leading hex digits of the key, for
+    tables so large that a merge should not read every key. Two digits make 256 folders
+    a load; merge daily loads into fewer with ``compact_table``.
+    """
+    if not 0 <= prefix_digits <= _MOST_DIGITS:
+        raise ValueError(f"prefix_digits is 0 to {_MOST_DIGITS}, not {prefix_digits}")
+    folder = f"{path}/{LOAD_ID}={_CREATED}"
+    if exists(spark, f"{folder}/_SUCCESS"):
+        return
     empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").parquet(f"{path}/{LOAD_ID}={_CREATED}")
+    if prefix_digits:
+        digits = spark.createDataFrame([(str(prefix_digits),)], "value string")
+        digits.coalesce(1).write.mode("overwrite").text(f"{path}/{_LAYOUT}")
+        # Without a row there is no folder of a prefix, nor a file outside of one.
+        empty.withColumn(KEY_PREFIX, F.lit("")).write.mode("overwrite").partitionBy(
+            KEY_PREFIX
+        ).parquet(folder)
+    else:
+        empty.write.mode("overwrite").parquet(folder)
+
+
+def prefix_digits_of(spark: SparkSession, path: str) -> int:
+    """By how many digits of the key a table is laid out."""
+    if not exists(spark, f"{path}/{_LAYOUT}/_SUCCESS"):
+        return 0
+    return int(spark.read.text(f"{path}/{_LAYOUT}").first()[0])
+
+
+def _name(folder: str) -> str:
+    return folder.rsplit("/", 1)[1].partition("=")[2]
+
+
+def _marks(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """For every committed compaction, the loads that it replaced."""
+    found = {}
+    for mark in names_at(spark, f"{path}/{_MARKS}/*/_SUCCESS"):
+        folder = mark.rsplit("/", 1)[0]
+        name = folder.rsplit("/", 1)[1]
+        found[name] = [row.value for row in spark.read.text(folder).collect()]
+    return found
+
+
+def _loads(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Names of the live loads, and of the folders that are not."""
+    marks = _marks(spark, path)
+    replaced = {name for names in marks.values() for name in names}
+    whole = {_name(mark.rsplit("/", 1)[0]) for mark in names_at(spark, f"{path}/{LOAD_ID}=*/_SUCCESS")}
+    every = sorted(_name(folder) for folder in names_at(spark, f"{path}/{LOAD_ID}=*"))
+
+    def is_live(name: str) -> bool:
+        return name in whole and name not in replaced and (name in marks or not name.startswith(_COMPACT))
+
+    return [n for n in every if is_live(n)], [n for n in every if not is_live(n)]
+
+
+def live_loads(spark: SparkSession, path: str) -> list[str]:
+    """The loads whose rows are the table's."""
+    return _loads(spark, path)[0]
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, without_load: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    without_load: str | None = None,
+    prefixes: list[str] | None = None,
 ) -> DataFrame:
-    """The table's rows; ``without_load`` leaves one load's folder unread."""
-    with_load = T.StructType([*schema.fields, T.StructField(LOAD_ID, T.StringType())])
-    df = spark.read.schema(with_load).parquet(path)
+    """The table's rows; ``without_load`` leaves one load's folder unread.
+
+    Only live loads count: what a failed load or a killed compaction left is not read, nor
+    what a compaction replaced. ``prefixes`` reads these prefixes of the key alone.
+    """
+    folders = [T.StructField(LOAD_ID, T.StringType())]
+    if prefix_digits_of(spark, path):
+        folders.append(T.StructField(KEY_PREFIX, T.StringType()))
+    df = spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(path)
+    dead = _loads(spark, path)[1]
     if without_load is not None:
-        df = df.filter(F.col(LOAD_ID) != without_load)
-    return df.drop(LOAD_ID)
+        dead.append(without_load)
+    if dead:
+        df = df.filter(~F.col(LOAD_ID).isin(sorted(set(dead))))
+    if prefixes is not None:
+        df = df.filter(F.col(KEY_PREFIX).isin(prefixes))
+    return df.drop(LOAD_ID, KEY_PREFIX)
+
+
+def _write_load(rows: DataFrame, folder: str, key: str, digits: int) -> None:
+    if not digits:
+        rows.write.mode("overwrite").parquet(folder)
+        return
+    # Each prefix is gathered into files of an even size, with its keys in order.
+    prefix = key_prefix(F.col(key), rows.schema[key].dataType, digits)
+    laid_out = rows.withColumn(KEY_PREFIX, prefix).hint("rebalance", KEY_PREFIX)
+    ordered = laid_out.sortWithinPartitions(KEY_PREFIX, key)
+    ordered.write.mode("overwrite").partitionBy(KEY_PREFIX).parquet(folder)
+
+
+def compact_table(
+    spark: SparkSession, path: str, schema: T.StructType, key: str = ROW_KEY, at_least: int = 2
+) -> str | None:
+    """Write the rows of all live loads as one load; its name, or None if there are few.
+
+    The rows are written first, to a folder that no reader takes yet. Then one mark, which
+    lists the loads they come from, makes that folder live and those loads dead in a single
+    step. A rewrite that is killed before loses nothing and doubles nothing, and neither
+    does one killed after. Replaced folders stay for readers that planned before, until
+    ``remove_replaced``.
+    """
+    with _WRITERS[path]:
+        loads = [name for name in live_loads(spark, path) if name != _CREATED]
+        if len(loads) < at_least:
+            return None
+        numbers = [int(name[len(_COMPACT) :]) for name in _marks(spark, path)]
+        name = f"{_COMPACT}{max(numbers, default=0) + 1:06d}"
+        rows = read_table(spark, path, schema)
+        digits = prefix_digits_of(spark, path)
+        _write_load(rows if digits else rows.hint("rebalance"), f"{path}/{LOAD_ID}={name}", key, digits)
+        mark = spark.createDataFrame([(load,) for load in loads], "value string")
+        mark.coalesce(1).write.mode("overwrite").text(f"{path}/{_MARKS}/{name}")
+        return name
+
+
+def remove_replaced(spark: SparkSession, path: str) -> list[str]:
+    """Delete the folders of loads that are not live; their names.
+
+    Call it when no reader is left that planned before the last compaction. A mark goes
+    only after all that it replaced, and its own folder is replaced and gone too.
+    """
+    with _WRITERS[path]:
+        dead = _loads(spark, path)[1]
+        for name in dead:
+            remove(spark, f"{path}/{LOAD_ID}={name}")
+        left = {_name(folder) for folder in names_at(spark, f"{path}/{LOAD_ID}=*")}
+        for mark, replaced in sorted(_marks(spark, path).items()):
+            if mark not in left and not left.intersection(replaced):
+                remove(spark, f"{path}/{_MARKS}/{mark}")
+        return dead
 
 
 def _folder_for(spark: SparkSession, path: str, load_id: str) -> str:
     """The load's folder name; a load that was committed before gets a further one.
 
-    Without its commit mark a folder is what a failed attempt left, to be replaced.
+    Without its commit mark a folder is what a failed attempt left, to be replaced. A name
+    that a compaction has replaced is never used again.
     """
+    taken = {name for names in _marks(spark, path).values() for name in names}
     name, attempt = load_id, 1
-    while exists(spark, f"{path}/{LOAD_ID}={name}/_SUCCESS"):
+    while name in taken or exists(spark, f"{path}/{LOAD_ID}={name}/_SUCCESS"):
         attempt += 1
         name = f"{load_id}.{attempt}"
     return name
@@ -64,6 +216,7 @@ def insert_only_merge(
     load_id: str,
     key: str = ROW_KEY,
     target_filter: Column | None = None,
+    prefix_digits: int = 0,
 ) -> None:
     """Insert the source rows whose key the table lacks; change and delete nothing.
 
@@ -77,11 +230,15 @@ def insert_only_merge(
 
     ``target_filter`` narrows the rows of the table that can match (say, to the dates of
     the batch) and must hold for every row that shares a key with the source.
+    ``prefix_digits`` is that of ``create_table_if_absent``, for a table not yet there; in
+    such a table only the folders of the batch's own key prefixes are read.
     """
-    if load_id == _CREATED or not _LOAD_NAME.fullmatch(load_id):
+    reserved = load_id == _CREATED or load_id.startswith(_COMPACT)
+    if reserved or not _LOAD_NAME.fullmatch(load_id):
         raise ValueError(f"not usable as a load id: {load_id!r}")
     assert_columns(source, schema.fieldNames())
     with _WRITERS[path]:
+        create_table_if_absent(source.sparkSession, path, schema, prefix_digits)
         _merge(source, path, schema, load_id, key, target_filter)
 
 
@@ -94,18 +251,23 @@ def _merge(
     target_filter: Column | None,
 ) -> None:
     spark = source.sparkSession
-    create_table_if_absent(spark, path, schema)
     folder = _folder_for(spark, path, load_id)
-    target = read_table(spark, path, schema, without_load=folder)
-    if target_filter is not None:
-        target = target.filter(target_filter)
+    digits = prefix_digits_of(spark, path)
+
+    def lookup(prefixes: list[str] | None = None) -> DataFrame:
+        target = read_table(spark, path, schema, folder, prefixes)
+        return target if target_filter is None else target.filter(target_filter)
+
     rows = source.select(*schema.fieldNames())
     notes = f"{path}/{_KEYS}/{folder}"
-    if target.isEmpty():
+    # A look at any row would read folders that the batch does not touch.
+    is_empty = live_loads(spark, path) == [_CREATED] or (not digits and lookup().isEmpty())
+    if is_empty:
         fresh = rows
     else:
         keys = store(counted_keys(rows, key), f"{notes}/source")
         few = keys.count() <= FEW_KEYS
+        target = lookup(prefixes_of(keys, KEY, digits) if digits else None)
         status = store(status_of(keys, target, key, few_keys=few), f"{notes}/status")
         fresh = rows_of_new_keys(rows, status, key)
         if folder != load_id and status.filter(NEW).isEmpty():
@@ -113,18 +275,41 @@ def _merge(
             return
     needed = [f.name for f in schema.fields if not f.nullable]
     checked = required(fresh, needed) if needed else fresh
-    checked.write.mode("overwrite").parquet(f"{path}/{LOAD_ID}={folder}")
+    _write_load(checked, f"{path}/{LOAD_ID}={folder}", key, digits)
     remove(spark, notes)
 
 
-def as_view(df: DataFrame, name: str) -> DataFrame:
-    """Name a frame for SQL; nothing is stored. See ``refresh_views`` for later loads."""
+def prefixes_of(keys: DataFrame, key: str, digits: int) -> list[str]:
+    """The key prefixes that occur, at most 16 ** digits; a null key has none."""
+    prefix = key_prefix(F.col(key), keys.schema[key].dataType, digits).alias(KEY_PREFIX)
+    found = keys.select(prefix).distinct().filter(F.col(KEY_PREFIX).isNotNull())
+    return sorted(row[0] for row in found.collect())
+
+
+def as_view(
+    df: DataFrame, name: str, again: Callable[[], DataFrame] | None = None
+) -> DataFrame:
+    """Name a frame for SQL; nothing is stored.
+
+    ``again`` makes the frame anew when ``refresh_views`` is called.
+    """
     df.createOrReplaceTempView(name)
+    _VIEWS.pop((df.sparkSession, name), None)
+    if again is not None:
+        _VIEWS[df.sparkSession, name] = again
     return df
 
 
 def refresh_views(spark: SparkSession, names: list[str]) -> None:
-    """Make the views that this session has under these names list their files anew."""
+    """Make the views that this session has under these names read the tables as they are.
+
+    A view with an ``again`` is made anew; any other lists its files anew, and so keeps
+    the loads that were dead when it was made out, and no others.
+    """
     for name in names:
         if spark.catalog.tableExists(name):
-            spark.catalog.refreshTable(name)
+            again = _VIEWS.get((spark, name))
+            if again is None:
+                spark.catalog.refreshTable(name)
+            else:
+                again().createOrReplaceTempView(name)

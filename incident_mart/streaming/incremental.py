@@ -87,6 +87,7 @@ def start_feed_stream(
     on_error: str = "fail",
     first_page: int | None = None,
     keys: KeyForm = PLAIN_KEYS,
+    prefix_digits: int = 0,
 ) -> StreamingQuery:
     """Load the pages of ``landing`` that no earlier run has loaded.
 
@@ -99,7 +100,7 @@ def start_feed_stream(
     on its size (``max_files`` marks). ``every`` goes on looking for pulls.
     """
     name = f"{feed.name}-stream"
-    layout = Layout(root)
+    layout = Layout(root, prefix_digits)
 
     def load(pages: DataFrame, load_id: str) -> None:
         load_pages(pages, feed, layout, load_id, on_error, first_page, target_filter, keys)

@@ -211,6 +211,139 @@ def test_view_shows_later_rows(spark, tmp_path):
     assert spark.sql("select count(*) from later_rows").first()[0] == 2
 
 
+def merge(spark, path, load, keys, **options):
+    tables.insert_only_merge(frame(spark, [(k, load) for k in keys]), path, TABLE, load, key="k", **options)
+
+
+def folders(path):
+    return sorted(p.name for p in path.glob("load_id=*"))
+
+
+@pytest.mark.parametrize("digits", [0, 1])
+def test_compaction_keeps_the_rows(spark, tmp_path, digits):
+    path = str(tmp_path / "t")
+    assert tables.live_loads(spark, path) == []
+    merge(spark, path, "a", [1, 2, 2, None], prefix_digits=digits)
+    merge(spark, path, "b", range(3, 40))
+    before = rows(tables.read_table(spark, path, TABLE))
+    assert tables.compact_table(spark, path, TABLE, "k") == "compact-000001"
+    # Old folders lie beside the new one, and count no more.
+    assert rows(tables.read_table(spark, path, TABLE)) == before
+    assert tables.live_loads(spark, path) == ["compact-000001", "created"]
+    assert tables.compact_table(spark, path, TABLE, "k") is None
+    assert tables.remove_replaced(spark, path) == ["a", "b"]
+    assert folders(tmp_path / "t") == ["load_id=compact-000001", "load_id=created"]
+    assert rows(tables.read_table(spark, path, TABLE)) == before
+    # A load of an old name gets a new folder and is read.
+    merge(spark, path, "a", [1, 50])
+    assert folders(tmp_path / "t")[0] == "load_id=a.2"
+    assert rows(tables.read_table(spark, path, TABLE)) == sorted([*before, (50, "a")], key=repr)
+    assert tables.compact_table(spark, path, TABLE, "k") == "compact-000002"
+    tables.remove_replaced(spark, path)
+    assert [p.name for p in (tmp_path / "t" / "_compactions").iterdir()] == ["compact-000002"]
+    assert rows(tables.read_table(spark, path, TABLE)) == sorted([*before, (50, "a")], key=repr)
+
+
+@pytest.mark.parametrize("killed", ["before the rows", "before the mark", "within the mark"])
+def test_killed_compaction(spark, tmp_path, monkeypatch, killed):
+    path = str(tmp_path / "t")
+    merge(spark, path, "a", [1, 2])
+    merge(spark, path, "b", [3])
+    want = [(1, "a"), (2, "a"), (3, "b")]
+    assert tables.compact_table(spark, path, TABLE, "k") == "compact-000001"
+    mark = tmp_path / "t" / "_compactions" / "compact-000001"
+    (mark / "_SUCCESS").unlink()
+    if killed != "within the mark":
+        for part in mark.iterdir():
+            part.unlink()
+        mark.rmdir()
+    if killed == "before the rows":
+        (tmp_path / "t" / "load_id=compact-000001" / "_SUCCESS").unlink()
+    assert rows(tables.read_table(spark, path, TABLE)) == want
+    # Later loads and the next rewrite work on what is live.
+    merge(spark, path, "c", [3, 4])
+    assert rows(tables.read_table(spark, path, TABLE)) == [*want, (4, "c")]
+    assert tables.compact_table(spark, path, TABLE, "k") == "compact-000001"
+    assert rows(tables.read_table(spark, path, TABLE)) == [*want, (4, "c")]
+    tables.remove_replaced(spark, path)
+    assert rows(tables.read_table(spark, path, TABLE)) == [*want, (4, "c")]
+
+
+def test_killed_removal(spark, tmp_path, monkeypatch):
+    """A folder that could not be deleted stays dead, since its mark stays."""
+    path = str(tmp_path / "t")
+    for load, keys in (("a", [1]), ("b", [2])):
+        merge(spark, path, load, keys)
+    tables.compact_table(spark, path, TABLE, "k")
+    merge(spark, path, "c", [3])
+    tables.compact_table(spark, path, TABLE, "k")
+    remove = tables.remove
+
+    def fail(session, folder):
+        if "load_id=a" not in folder:
+            remove(session, folder)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "remove", fail)
+        tables.remove_replaced(spark, path)
+    assert rows(tables.read_table(spark, path, TABLE)) == [(1, "a"), (2, "b"), (3, "c")]
+    tables.remove_replaced(spark, path)
+    assert folders(tmp_path / "t") == ["load_id=compact-000002", "load_id=created"]
+
+
+def test_merge_reads_only_the_prefixes_of_its_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge(spark, path, "a", range(200), prefix_digits=1)
+    merge(spark, path, "b", range(150, 400))
+    batch = frame(spark, [(7, "x"), (1000, "x"), (1000, "y")])
+    touched = tables.prefixes_of(batch, "k", 1)
+    assert len(touched) == 2
+    shown = plan_of(tables.read_table(spark, path, TABLE, prefixes=touched).select("k"))
+    assert "PartitionFilters: [key_prefix" in shown and "IN (" in shown
+    # Any other folder is not read at all: its files may be anything.
+    for file in (tmp_path / "t").glob("load_id=*/key_prefix=*/*.parquet"):
+        if file.parent.name.partition("=")[2] not in touched:
+            file.write_bytes(b"no parquet")
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    tables.insert_only_merge(batch, path, TABLE, "c", key="k")
+    added = spark.read.parquet(f"{path}/load_id=c").select("k", "x")
+    assert rows(added) == [(1000, "x"), (1000, "y")]
+
+
+def test_prefixes_of_binary_and_other_keys(spark):
+    df = spark.sql("select unhex(md5(cast(id as string))) as b, cast(id as string) as s from range(50)")
+    by_bytes = df.select(tables.key_prefix(F.col("b"), df.schema["b"].dataType, 3)).distinct().collect()
+    by_text = df.select(tables.key_prefix(F.col("s"), df.schema["s"].dataType, 3)).distinct().collect()
+    assert sorted(by_bytes) == sorted(by_text) and all(len(r[0]) == 3 for r in by_bytes)
+    with pytest.raises(ValueError, match="prefix_digits"):
+        tables.create_table_if_absent(spark, "/nowhere", TABLE, 5)
+
+
+def test_reading_skips_what_is_not_committed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge(spark, path, "a", [1])
+    merge(spark, path, "b", [2])
+    (tmp_path / "t" / "load_id=b" / "_SUCCESS").unlink()
+    assert rows(tables.read_table(spark, path, TABLE)) == [(1, "a")]
+
+
+def test_view_made_anew_after_a_compaction(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge(spark, path, "a", [1])
+    merge(spark, path, "b", [2])
+
+    def again():
+        return tables.read_table(spark, path, TABLE)
+
+    tables.as_view(again(), "compacted_rows", again)
+    tables.compact_table(spark, path, TABLE, "k")
+    tables.refresh_views(spark, ["compacted_rows"])
+    assert spark.sql("select count(*) from compacted_rows").first()[0] == 2
+    tables.as_view(spark.range(3), "compacted_rows")
+    tables.refresh_views(spark, ["compacted_rows"])
+    assert spark.sql("select count(*) from compacted_rows").first()[0] == 3
+
+
 def test_target_filter_narrows_the_lookup(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.insert_only_merge(frame(spark, [(1, "a"), (9, "b")]), path, TABLE, "one", key="k")
@@ -227,7 +360,7 @@ def test_required_key_is_checked_on_insert(spark, tmp_path):
         tables.insert_only_merge(source, str(tmp_path / "t"), schema, "one", key="k")
 
 
-@pytest.mark.parametrize("load", ["created", "a/b", "a=b", ""])
+@pytest.mark.parametrize("load", ["created", "a/b", "a=b", "", "compact-000001"])
 def test_bad_load_names(spark, tmp_path, load):
     with pytest.raises(ValueError, match="load id"):
         tables.insert_only_merge(frame(spark, []), str(tmp_path / "t"), TABLE, load, key="k")
