@@ -26,7 +26,14 @@ from incident_mart.schemas import (
 )
 from incident_mart.session import scratch_dir
 from incident_mart.sources import files, pages, tables
-from incident_mart.streaming import close_pull, merge_stream, start_feed_stream
+from incident_mart.streaming import (
+    PullLoad,
+    close_pull,
+    merge_stream,
+    retry_set_aside,
+    set_aside_pulls,
+    start_feed_stream,
+)
 
 from . import roles
 from .roles import table
@@ -725,6 +732,100 @@ def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hex_key(tables.read_table(spark, path, CRASHES.table_schema))
 
 
+_LACKING = f"""
+SELECT * REPLACE (CASE WHEN page_no IN (2, 4) THEN NULL ELSE road_defect END AS road_defect,
+                  CASE WHEN page_no = 4 THEN NULL ELSE lighting_condition END AS lighting_condition)
+FROM ({roles.PAGES_SQL["crashes"]})
+"""
+
+
+@query(
+    roles.key_sql(
+        CRASHES,
+        roles.conform_sql(
+            CRASHES,
+            roles.clean_sql(
+                CRASHES,
+                _LACKING,
+                {"road_defect": "page_no IN (2, 4)", "lighting_condition": "page_no = 4"},
+            ),
+        ),
+    )
+)
+def load_pages_lacking_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crash pages two of which name no road defects, and one no lighting either."""
+    root = scratch_dir(spark, "load-lacking")
+    rows = roles.crash_pages(spark, sf_dir)
+    # A record that is written leaves out what is NULL, so these pages never name it.
+    lacking = rows.withColumns(
+        {
+            "road_defect": F.when(~F.col(PAGE).isin(2, 4), F.col("road_defect")),
+            "lighting_condition": F.when(F.col(PAGE) != 4, F.col("lighting_condition")),
+        }
+    )
+    pages.write_json_pages(lacking, f"{root}/landing")
+    where = (spark, f"{root}/landing", CRASHES.column_names)
+    layout = plans.Layout(f"{root}/mart")
+    sent = pages.read_sent_fields(*where)
+    plans.load_pages(pages.read_json_pages(*where), CRASHES, layout, "first", sent=sent)
+    return hex_key(tables.read_table(spark, layout.table(CRASHES), CRASHES.table_schema))
+
+
+_PULLED = f"SELECT * FROM ({roles.PAGES_SQL['crashes']}) WHERE CAST(crash_record_id AS BIGINT) % 4 = "
+
+
+def _each_pull(pulls: list[int]) -> str:
+    each = [roles.conform_sql(CRASHES, roles.clean_sql(CRASHES, f"{_PULLED}{n}")) for n in pulls]
+    return roles.key_sql(CRASHES, " UNION ALL ".join(each))
+
+
+def _pulls_with_a_bad_one(spark: SparkSession, sf_dir: str, label: str) -> PullLoad:
+    """Four pulls of crashes, loaded by a stream; the third has a position that is none."""
+    root = scratch_dir(spark, label)
+    order = F.col("crash_record_id").cast("bigint")
+    for n in range(4):
+        mine = roles.crash_pages(spark, sf_dir).filter(order % 4 == n)
+        if n == 2:
+            least = mine.agg(F.min(F.col("crash_record_id").cast("bigint"))).scalar()
+            north = F.when(order == least, "north").otherwise(F.col("latitude"))
+            # On every page of that crash a complete row, so that it counts.
+            mine = mine.withColumn("latitude", north).withColumn(
+                "weather_condition", F.when(order == least, "FOG").otherwise(F.col("weather_condition"))
+            )
+        pages.write_json_pages(mine, f"{root}/landing/pull-{n}")
+        close_pull(spark, f"{root}/closed", f"pull-{n}")
+    start_feed_stream(
+        spark,
+        CRASHES,
+        f"{root}/landing",
+        f"{root}/mart",
+        f"{root}/checkpoint",
+        closed=f"{root}/closed",
+        set_aside=True,
+    ).awaitTermination()
+    return PullLoad(CRASHES, f"{root}/landing", f"{root}/mart")
+
+
+@query(_each_pull([0, 1, 3]))
+def stream_sets_bad_pull_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is loaded when one pull of four is bad: the others, also those after it."""
+    how = _pulls_with_a_bad_one(spark, sf_dir, "stream-aside")
+    return hex_key(tables.read_table(spark, how.layout.table(CRASHES), CRASHES.table_schema))
+
+
+@query(_each_pull([0, 1, 2, 3]))
+def stream_retries_mended_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pull that was set aside, mended and loaded by the second queue."""
+    how = _pulls_with_a_bad_one(spark, sf_dir, "stream-retry")
+    order = F.col("crash_record_id").cast("bigint")
+    for name in set_aside_pulls(spark, CRASHES, how.root):
+        files.remove(spark, f"{how.landing}/{name}")
+        mended = roles.crash_pages(spark, sf_dir).filter(order % 4 == int(name[-1]))
+        pages.write_json_pages(mended, f"{how.landing}/{name}")
+    retry_set_aside(spark, how)
+    return hex_key(tables.read_table(spark, how.layout.table(CRASHES), CRASHES.table_schema))
+
+
 # -------------------------------------------------------------- whole feeds
 
 

@@ -225,10 +225,14 @@ def typed_sql(feed: Feed) -> str:
     return ", ".join(f"{_READS[c.reads_as].format(c=c.name)} AS {c.name}" for c in feed.columns)
 
 
-def clean_sql(feed: Feed, pages: str) -> str:
-    """Complete rows, typed, of the first page of each key."""
+def clean_sql(feed: Feed, pages: str, absent: dict[str, str] | None = None) -> str:
+    """Complete rows, typed, of the first page of each key.
+
+    ``absent`` says, by column, which pages lack it: there it may be NULL.
+    """
     needed = [c.name for c in feed.columns if c.name not in feed.filled_first]
-    complete = " AND ".join(f"{c} IS NOT NULL" for c in needed)
+    spared = absent or {}
+    complete = " AND ".join(f"({c} IS NOT NULL OR {spared.get(c, 'false')})" for c in needed)
     names = ", ".join(feed.column_names)
     return f"""
     SELECT page_no, {names} FROM (

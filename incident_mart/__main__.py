@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .plans import KeyForm, Layout, compact_feeds, full_refresh, publish_models
 from .schemas import FEEDS
 from .session import build_session, configure
-from .sources import read_json_pages
+from .sources import read_json_pages, read_sent_fields
 from .streaming import start_feed_stream
 
 
@@ -79,8 +79,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             )
             for name, path in args.pages
         }
+        sent = {
+            name: read_sent_fields(
+                spark, path, FEEDS[name].column_names, args.page_from, args.layout
+            )
+            for name, path in args.pages
+        }
         counts, _ = full_refresh(
-            spark, pages, args.root, args.load_id, sample=args.sample, **options
+            spark, pages, args.root, args.load_id, sample=args.sample, sent=sent, **options
         )
     elif args.job == "compact":
         compact_feeds(spark, Layout(args.root), args.at_least, args.keep_replaced)

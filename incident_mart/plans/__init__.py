@@ -10,6 +10,7 @@ from .feeds import (
     load_conformed,
     load_pages,
     page_report,
+    report_pages,
     stage_pages,
     widen,
 )
@@ -42,6 +43,7 @@ __all__ = [
     "page_report",
     "publish_models",
     "read_tables",
+    "report_pages",
     "stage_pages",
     "stg_persons_data",
     "stg_traffic_data",

@@ -35,8 +35,10 @@ from .models import MODELS
 #: Why a staged row is where it is: kept, dropped as incomplete, or ending the load.
 STATE = "row_state"
 KEPT, DROPPED, BAD = "kept", "dropped", "bad"
-#: Which of the columns a page must have are not NULL on this row.
+#: Which of the feed's columns are not NULL on this row.
 _PRESENT = "fields_present"
+#: The columns that no record of a page names.
+_ABSENT = "fields_absent"
 
 
 @dataclass(frozen=True)
@@ -85,8 +87,9 @@ def _any(flags: list[Column]) -> Column:
     return reduce(or_, flags)
 
 
-def _incomplete(feed: Feed) -> Column:
-    return _any([F.col(c.name).isNull() for c in feed.columns if c.name not in feed.filled_first])
+def _incomplete(feed: Feed, absent: Column) -> Column:
+    needed = [c.name for c in feed.columns if c.name not in feed.filled_first]
+    return _any([F.col(c).isNull() & ~F.array_contains(absent, c) for c in needed])
 
 
 def _with_page_columns(raw: DataFrame, feed: Feed) -> DataFrame:
@@ -100,15 +103,50 @@ def _used_by_name(feed: Feed) -> list[str]:
     return [c.name for c in feed.columns if c.name == feed.page_key or c.reads_as != "text"]
 
 
-def stage_pages(raw: DataFrame, feed: Feed, strict: bool = False) -> DataFrame:
+def _names(columns: list[str]) -> Column:
+    return F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+
+
+def _hollow_fields(staged: DataFrame, feed: Feed) -> DataFrame:
+    """``(page_no, field)``: the columns that are NULL on every row of a page."""
+    filled = [F.max(F.element_at(_PRESENT, i + 1)) for i in range(len(feed.columns))]
+    empty = [F.when(~f, F.lit(name)) for f, name in zip(filled, feed.column_names, strict=True)]
+    pages = staged.groupBy(PAGE).agg(F.array_compact(F.array(*empty)).alias("fields"))
+    return pages.select(PAGE, F.explode("fields").alias("field"))
+
+
+def absent_fields(staged: DataFrame, sent: DataFrame, feed: Feed, path: str) -> DataFrame:
+    """``(page_no, fields_absent)`` of the pages that lack a column altogether.
+
+    ``sent`` is that of ``sent_fields``. Only where a column is NULL on all rows of a page
+    can it be absent, so ``sent`` is read for such pages alone, and not at all if there
+    are none. Stored under ``path``.
+    """
+    hollow = store(_hollow_fields(staged, feed), f"{path}/hollow")
+    if not hollow.isEmpty():
+        named = sent.join(hollow.select(PAGE).distinct(), PAGE, "left_semi")
+        hollow = hollow.join(named, [PAGE, "field"], "left_anti")
+    return store(
+        hollow.groupBy(PAGE).agg(F.collect_set("field").alias(_ABSENT)), f"{path}/absent"
+    )
+
+
+def stage_pages(
+    raw: DataFrame, feed: Feed, strict: bool = False, absent: DataFrame | None = None
+) -> DataFrame:
     """Typed rows, none removed: a ``row_state`` says what the load does with each.
 
     Written once, this lets every later step read the few columns it needs instead of
     parsing the pages again. ``strict`` fails on a broken body or an unreadable field
-    of a complete row, where otherwise the row is marked as bad.
+    of a complete row, where otherwise the row is marked as bad. A column that ``absent``
+    (``absent_fields``) lists for a page does not make the page's rows incomplete.
     """
     pages = _with_page_columns(raw, feed)
-    incomplete = _incomplete(feed)
+    lacks = _names([])
+    if absent is not None:
+        pages = pages.withColumn(PAGE, numbered(F.col(PAGE))).join(absent, PAGE, "left")
+        lacks = F.coalesce(_ABSENT, lacks)
+    incomplete = _incomplete(feed, lacks)
     bad = _any([unreadable(F.col(c.name), c.reads_as) for c in feed.columns])
     broken = F.lit(BAD)
     if strict:
@@ -120,8 +158,7 @@ def stage_pages(raw: DataFrame, feed: Feed, strict: bool = False) -> DataFrame:
         .when(bad, F.lit(BAD))
         .otherwise(F.lit(KEPT))
     )
-    used = _used_by_name(feed)
-    present = F.array(*[F.col(c).isNotNull() for c in used])
+    present = F.array(*[F.col(c).isNotNull() for c in feed.column_names])
 
     def value(column: FeedColumn) -> Column:
         if not strict:
@@ -136,21 +173,41 @@ def stage_pages(raw: DataFrame, feed: Feed, strict: bool = False) -> DataFrame:
     )
 
 
-def _ledger(staged: DataFrame, feed: Feed) -> DataFrame:
-    """Every page and whether it is bad: a bad row, or a read column that no row has."""
-    needed = [F.element_at(_PRESENT, i + 1) for i in range(len(_used_by_name(feed)))]
-    return page_ledger(staged, PAGE, F.col(STATE) == BAD, needed)
+def _ledger(staged: DataFrame, feed: Feed, absent: DataFrame | None = None) -> DataFrame:
+    """Every page and whether it is bad: a bad row, or a read column that the page lacks.
+
+    Where it is not known what a page lacks, that is a column without any value.
+    """
+    used = _used_by_name(feed)
+    bad = F.col(STATE) == BAD
+    if absent is None:
+        places = [feed.column_names.index(c) + 1 for c in used]
+        return page_ledger(staged, PAGE, bad, [F.element_at(_PRESENT, i) for i in places])
+    lacks = F.coalesce(F.arrays_overlap(_ABSENT, _names(used)), F.lit(False))
+    pages = page_ledger(staged, PAGE, bad).join(absent, PAGE, "left")
+    return pages.select(PAGE, (F.col("bad") | lacks).alias("bad"))
 
 
-def kept_pages(staged: DataFrame, feed: Feed, first_page: int | None = None) -> DataFrame:
+def kept_pages(
+    staged: DataFrame,
+    feed: Feed,
+    first_page: int | None = None,
+    absent: DataFrame | None = None,
+) -> DataFrame:
     """Kept rows of the pages before the first bad one, as ``(page_no, columns...)``."""
-    rows = page_prefix(staged.filter(F.col(STATE) == KEPT), _ledger(staged, feed), PAGE, first_page)
+    ledger = _ledger(staged, feed, absent)
+    rows = page_prefix(staged.filter(F.col(STATE) == KEPT), ledger, PAGE, first_page)
     return rows.select(PAGE, *feed.column_names)
 
 
-def all_pages(staged: DataFrame, feed: Feed, first_page: int | None = None) -> DataFrame:
+def all_pages(
+    staged: DataFrame,
+    feed: Feed,
+    first_page: int | None = None,
+    absent: DataFrame | None = None,
+) -> DataFrame:
     """Kept rows of all pages; a page that cannot be used, or a gap, is an error."""
-    stop = first_unusable(_ledger(staged, feed), PAGE, first_page)
+    stop = first_unusable(_ledger(staged, feed, absent), PAGE, first_page)
     if stop is not None:
         raise ValueError(
             f"{feed.name}: page {stop} is missing, or none of its rows has a column that is read"
@@ -165,17 +222,34 @@ def _by_prefix(on_error: str) -> bool:
 
 
 def _staged_rows(
-    raw: DataFrame, feed: Feed, path: str, on_error: str, first_page: int | None
-) -> tuple[DataFrame, DataFrame]:
-    """The staged pages, stored, and the rows of them that a load may use."""
+    raw: DataFrame,
+    feed: Feed,
+    path: str,
+    on_error: str,
+    first_page: int | None,
+    sent: DataFrame | None,
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The staged pages, stored, the rows of them that a load may use, and absent columns."""
     prefix = _by_prefix(on_error)
-    staged = store(stage_pages(raw, feed, strict=not prefix), path)
-    rows = (kept_pages if prefix else all_pages)(staged, feed, first_page)
-    return staged, rows
+    staged = store(stage_pages(raw, feed, strict=not prefix), f"{path}/pages")
+    absent = None
+    if sent is not None:
+        absent = absent_fields(staged, sent, feed, path)
+        used = _used_by_name(feed)
+        text = [c for c in feed.column_names if c not in used]
+        if not absent.filter(F.arrays_overlap(_ABSENT, _names(text))).isEmpty():
+            # Rows that looked incomplete are not, and their fields must be read.
+            staged = store(stage_pages(raw, feed, not prefix, absent), f"{path}/pages-again")
+    rows = (kept_pages if prefix else all_pages)(staged, feed, first_page, absent)
+    return staged, rows, absent
 
 
 def clean_pages(
-    raw: DataFrame, feed: Feed, on_error: str = "fail", first_page: int | None = None
+    raw: DataFrame,
+    feed: Feed,
+    on_error: str = "fail",
+    first_page: int | None = None,
+    sent: DataFrame | None = None,
 ) -> DataFrame:
     """Text pages to typed rows: incomplete rows out, later repeats of a key out.
 
@@ -183,10 +257,14 @@ def clean_pages(
     ``first_page``, before the first gap); ``"fail"`` fails on a bad field, a broken
     body, a page without a column that is read, and with ``first_page`` on a gap. The
     pages are parsed once, into a scratch folder.
+
+    ``sent`` (``sent_fields`` of the same pages) tells a column that a page lacks from one
+    that is null. A text column that a whole page lacks then leaves its rows as they are,
+    the column NULL; without ``sent`` it counts as null, and the rows are incomplete.
     """
     _by_prefix(on_error)
     scratch = scratch_dir(raw.sparkSession, f"staged-{feed.name}")
-    _, rows = _staged_rows(raw, feed, scratch, on_error, first_page)
+    _, rows, _ = _staged_rows(raw, feed, scratch, on_error, first_page, sent)
     return first_page_wins(rows, feed.page_key, PAGE)
 
 
@@ -223,14 +301,16 @@ def keyed_rows(wide: DataFrame, feed: Feed, keys: KeyForm = PLAIN_KEYS) -> DataF
     )
 
 
-def page_report(staged: DataFrame, loaded: DataFrame, feed: Feed) -> DataFrame:
+def page_report(
+    staged: DataFrame, loaded: DataFrame, feed: Feed, absent: DataFrame | None = None
+) -> DataFrame:
     """``(page_no, rows_staged, rows_kept, is_bad)`` of every page.
 
     ``loaded`` holds the rows that the load keeps; a page that it did not reach has no
     rows kept.
     """
     staged_rows = rows_kept(staged, PAGE, "rows_staged")
-    ledger = _ledger(staged, feed).withColumnRenamed("bad", "is_bad")
+    ledger = _ledger(staged, feed, absent).withColumnRenamed("bad", "is_bad")
     found = staged_rows.join(ledger, PAGE).join(rows_kept(loaded, PAGE), PAGE, "left")
     return found.select(
         PAGE, "rows_staged", F.coalesce("rows_kept", F.lit(0)).alias("rows_kept"), "is_bad"
@@ -247,6 +327,7 @@ def load_pages(
     target_filter: Column | None = None,
     keys: KeyForm = PLAIN_KEYS,
     keep_files: bool = False,
+    sent: DataFrame | None = None,
 ) -> int:
     """Clean, conform and merge the pages into the feed's table; the rows merged.
 
@@ -254,16 +335,17 @@ def load_pages(
     one page are stored next, so that the rows need no shuffle. What every page gave is
     stored as the load's report (``page_report``), where a load that ended early shows.
     ``keep_files`` also leaves the conformed rows as files of the layout.
-    ``target_filter`` is that of ``insert_only_merge``. Staged files go when the load ends.
+    ``target_filter`` is that of ``insert_only_merge``, ``sent`` that of ``clean_pages``.
+    Staged files go when the load ends.
     """
     spark = raw.sparkSession
     _by_prefix(on_error)
     folder = f"{layout.staged(feed, load_id)}-{uuid.uuid4().hex}"
     try:
-        staged, rows = _staged_rows(raw, feed, f"{folder}/pages", on_error, first_page)
+        staged, rows, absent = _staged_rows(raw, feed, folder, on_error, first_page, sent)
         repeats = store(repeated_keys(rows, feed.page_key, PAGE), f"{folder}/repeats")
         first = drop_later_pages(rows, repeats, feed.page_key, PAGE)
-        report = store(page_report(staged, first, feed), layout.report(feed, load_id))
+        report = store(page_report(staged, first, feed, absent), layout.report(feed, load_id))
         conformed = conform(first, feed)
         if keep_files:
             conformed = store(conformed, layout.conformed(feed))
@@ -273,6 +355,17 @@ def load_pages(
         remove(spark, folder)
 
 
+def report_pages(raw: DataFrame, feed: Feed, layout: Layout, load_id: str) -> DataFrame:
+    """The report of a load that merged nothing: which of its pages are bad."""
+    folder = f"{layout.staged(feed, load_id)}-{uuid.uuid4().hex}"
+    try:
+        staged = store(stage_pages(raw, feed), f"{folder}/pages")
+        none = staged.filter(F.lit(False))
+        return store(page_report(staged, none, feed), layout.report(feed, load_id))
+    finally:
+        remove(raw.sparkSession, folder)
+
+
 def conform_csv(spark: SparkSession, path: str, feed: Feed, layout: Layout) -> None:
     """A feed's CSV, read by position under the file types, as conformed parquet."""
     replace_rows(read_csv(spark, path, feed.conformed_schema), layout.conformed(feed))

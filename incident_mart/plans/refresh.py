@@ -91,13 +91,15 @@ def full_refresh(
     target_filter: Column | None = None,
     keys: KeyForm = PLAIN_KEYS,
     prefix_digits: int = 0,
+    sent: dict[str, DataFrame] | None = None,
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Load each feed's pages and publish the models.
 
     ``pages`` maps feed names to page frames; feeds left out keep their tables.
     Running it again with the same pages adds nothing. ``target_filter`` is that of
     ``insert_only_merge`` and may name columns that all these feeds have;
-    ``prefix_digits`` lays out tables that are not yet there. Gives the rows merged per
+    ``prefix_digits`` lays out tables that are not yet there; ``sent`` maps feed names to
+    the ``sent`` of ``clean_pages``. Gives the rows merged per
     feed and the models.
     """
     unknown = [name for name in pages if name not in FEEDS]
@@ -107,7 +109,15 @@ def full_refresh(
 
     def load(name: str) -> int:
         return load_pages(
-            pages[name], FEEDS[name], layout, load_id, on_error, first_page, target_filter, keys
+            pages[name],
+            FEEDS[name],
+            layout,
+            load_id,
+            on_error,
+            first_page,
+            target_filter,
+            keys,
+            sent=(sent or {}).get(name),
         )
 
     # The feeds do not depend on each other; side by side, one fills the other's gaps.

@@ -12,7 +12,14 @@ from .files import (
     save_table,
     store,
 )
-from .pages import explode_bodies, read_json_pages, read_json_stream, write_json_pages
+from .pages import (
+    explode_bodies,
+    read_json_pages,
+    read_json_stream,
+    read_sent_fields,
+    sent_fields,
+    write_json_pages,
+)
 from .tables import (
     as_view,
     compact_table,
@@ -39,12 +46,14 @@ __all__ = [
     "read_json_pages",
     "read_json_stream",
     "read_parquet_as",
+    "read_sent_fields",
     "read_table",
     "refresh_views",
     "remove",
     "remove_replaced",
     "replace_rows",
     "save_table",
+    "sent_fields",
     "store",
     "write_json_pages",
 ]

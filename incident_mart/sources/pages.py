@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from ..functions.coercion import strict_int
 from ..schemas import BROKEN, PAGE
@@ -57,6 +58,20 @@ def read_json_pages(
     return _as_page_frame(df, columns, page_from, pattern)
 
 
+def bounded_log(
+    reader: DataStreamReader, archive: str | None, max_file_age: str | None = None
+) -> DataStreamReader:
+    """Keeps what a stream of files must remember and list from growing for ever.
+
+    ``archive`` is a folder, outside of the landing one, to which files move once a batch
+    after theirs is done, so that they are listed no more. ``max_file_age`` (``"30d"``)
+    is how far behind the newest file a file may land; older names are forgotten.
+    """
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.option("maxFileAge", max_file_age) if max_file_age else reader
+
+
 def read_json_stream(
     spark: SparkSession,
     path: str,
@@ -65,15 +80,52 @@ def read_json_stream(
     layout: str = "lines",
     pattern: str = FILE_PAGE,
     max_files: int | None = None,
+    archive: str | None = None,
+    max_file_age: str | None = None,
 ) -> DataFrame:
-    """``read_json_pages`` as a stream of newly landed files."""
+    """``read_json_pages`` as a stream of newly landed files; see ``bounded_log``."""
     reader = spark.readStream.schema(_page_schema(columns, page_from))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = bounded_log(reader, archive, max_file_age)
     df = reader.option("multiLine", layout == "array").json(path)
     return _as_page_frame(df, columns, page_from, pattern)
 
 
+def sent_fields(df: DataFrame, text: str, columns: list[str], page: str = PAGE) -> DataFrame:
+    """``(page_no, field)``: the columns that some record of a page names, be its value null.
+
+    ``text`` holds a record, or an array of records, as JSON. A page's other columns are
+    absent from it, which a frame of values cannot tell from null.
+    """
+    is_list = F.ltrim(text, F.lit(" \t\r\n")).startswith("[")
+    records = F.when(is_list, F.from_json(F.col(text), T.ArrayType(T.StringType())))
+    each = F.explode(F.coalesce(records, F.array(F.col(text))))
+    one_each = df.select(F.col(page).alias(PAGE), each.alias("__record"))
+    named = one_each.select(PAGE, F.json_object_keys("__record").alias("__named"))
+    wanted = F.array_intersect("__named", F.array(*[F.lit(c) for c in columns]))
+    return named.select(PAGE, F.explode(wanted).alias("field")).distinct()
+
+
+def read_sent_fields(
+    spark: SparkSession,
+    path: str,
+    columns: list[str],
+    page_from: str = "directory",
+    layout: str = "lines",
+    pattern: str = FILE_PAGE,
+) -> DataFrame:
+    """``sent_fields`` of landed pages; the arguments are those of ``read_json_pages``."""
+    schema = _text_schema(["value"])
+    if page_from == "directory":
+        schema = schema.add(PAGE, T.LongType())
+    df = spark.read.schema(schema).text(path, wholetext=layout == "array")
+    if page_from == "file_name":
+        page = strict_int(F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
+        df = df.select(page.alias(PAGE), "value")
+    return sent_fields(df, "value", columns)
+
+
 def write_json_pages(df: DataFrame, path: str, page: str = PAGE) -> None:
     """Land rows as ``page_no=N`` folders of JSON lines.
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +19,15 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.feeds import PLAIN_KEYS, KeyForm, Layout, load_pages
 from ..schemas import ROW_KEY, Feed
 from ..sources.files import remove, store
-from ..sources.pages import FILE_PAGE, read_json_pages, read_json_stream
+from ..sources.pages import (
+    FILE_PAGE,
+    bounded_log,
+    read_json_pages,
+    read_json_stream,
+    read_sent_fields,
+)
 from ..sources.tables import insert_only_merge
+from .pulls import LOADED, load_pull, set_aside_pulls
 
 
 def _load_name(stream_name: str, checkpoint: str, batch_id: int) -> str:
@@ -71,6 +80,57 @@ def merge_stream(
     return _start(stream, each, checkpoint, name, every)
 
 
+@dataclass(frozen=True)
+class PullLoad:
+    """How a feed's pulls are read and loaded; ``start_feed_stream`` tells what is what."""
+
+    feed: Feed
+    landing: str
+    root: str
+    page_from: str = "directory"
+    page_layout: str = "lines"
+    pattern: str = FILE_PAGE
+    target_filter: Column | None = None
+    on_error: str = "fail"
+    first_page: int | None = None
+    keys: KeyForm = PLAIN_KEYS
+    prefix_digits: int = 0
+
+    @property
+    def layout(self) -> Layout:
+        return Layout(self.root, self.prefix_digits)
+
+    @property
+    def name(self) -> str:
+        return f"{self.feed.name}-stream"
+
+    def load(self, pages: DataFrame, load_id: str, sent: DataFrame | None = None) -> int:
+        return load_pages(
+            pages,
+            self.feed,
+            self.layout,
+            load_id,
+            self.on_error,
+            self.first_page,
+            self.target_filter,
+            self.keys,
+            sent=sent,
+        )
+
+    def load_pull(self, spark: SparkSession, pull: str, set_aside: bool) -> str:
+        """Load a pull's folder; what came of it."""
+        where = (f"{self.landing}/{pull}", self.feed.column_names)
+        read = (self.page_from, self.page_layout, self.pattern)
+        pages = read_json_pages(spark, *where, *read)
+        sent = read_sent_fields(spark, *where, *read)
+        load_id = f"{self.name}-{pull}"
+        if not set_aside:
+            self.load(pages, load_id, sent)
+            return LOADED
+        whole = partial(self.load, pages, load_id, sent)
+        return load_pull(self.feed, self.layout, pull, load_id, pages, whole)
+
+
 def start_feed_stream(
     spark: SparkSession,
     feed: Feed,
@@ -88,6 +148,9 @@ def start_feed_stream(
     first_page: int | None = None,
     keys: KeyForm = PLAIN_KEYS,
     prefix_digits: int = 0,
+    set_aside: bool = False,
+    archive: str | None = None,
+    max_file_age: str | None = None,
 ) -> StreamingQuery:
     """Load the pages of ``landing`` that no earlier run has loaded.
 
@@ -97,25 +160,42 @@ def start_feed_stream(
     ``<landing>/<pull>/...``, and when it is complete a text file in the folder
     ``closed`` names it, on a line of its own. Only then is it loaded, under a load id
     of its own, so what ends up in the table depends neither on the time of a batch nor
-    on its size (``max_files`` marks). ``every`` goes on looking for pulls.
-    """
-    name = f"{feed.name}-stream"
-    layout = Layout(root, prefix_digits)
+    on its size (``max_files`` marks). ``every`` goes on looking for pulls. Pulls are
+    read with what each page names (``sent_fields``), a batch without ``closed`` is not.
 
-    def load(pages: DataFrame, load_id: str) -> None:
-        load_pages(pages, feed, layout, load_id, on_error, first_page, target_filter, keys)
+    A pull that its data make fail ends the stream, and every start after it. With
+    ``set_aside`` it is noted with its reason instead (``pull_outcomes``), its report
+    names the bad pages, and the pulls after it are loaded; ``retry_set_aside`` loads it
+    once it is mended.
 
+    The files that the stream itself watches, pages or marks, are remembered and listed
+    for ever unless ``archive`` and ``max_file_age`` bound that (``bounded_log``).
+    """
+    how = PullLoad(
+        feed, landing, root, page_from, page_layout, pattern, target_filter, on_error, first_page, keys, prefix_digits
+    )
     if closed is None:
         if every or max_files:
             raise ValueError("batches of a pull need marks of closed pulls: pass closed=")
-        pages = read_json_stream(spark, landing, feed.column_names, page_from, page_layout, pattern)
+        if set_aside:
+            raise ValueError("only closed pulls can be set aside: pass closed=")
+        pages = read_json_stream(
+            spark,
+            landing,
+            feed.column_names,
+            page_from,
+            page_layout,
+            pattern,
+            archive=archive,
+            max_file_age=max_file_age,
+        )
 
         def whole(batch: DataFrame, batch_id: int) -> None:
-            load(batch, _load_name(name, checkpoint, batch_id))
+            how.load(batch, _load_name(how.name, checkpoint, batch_id))
 
-        return _start(pages, whole, checkpoint, name, None)
+        return _start(pages, whole, checkpoint, how.name, None)
 
-    marks = spark.readStream.format("text")
+    marks = bounded_log(spark.readStream.format("text"), archive, max_file_age)
     if max_files:
         marks = marks.option("maxFilesPerTrigger", max_files)
 
@@ -123,14 +203,18 @@ def start_feed_stream(
         # As many names as pulls were closed since the last batch.
         named = batch.select(F.trim("value").alias("pull")).filter("pull <> ''").distinct()
         for (pull,) in sorted(named.collect()):
-            session = batch.sparkSession
-            folder = f"{landing}/{pull}"
-            pages = read_json_pages(
-                session, folder, feed.column_names, page_from, page_layout, pattern
-            )
-            load(pages, f"{name}-{pull}")
-
-    return _start(marks.load(closed), pulls, checkpoint, name, every)
+            how.load_pull(batch.sparkSession, pull, set_aside)
+
+    return _start(marks.load(closed), pulls, checkpoint, how.name, every)
+
+
+def retry_set_aside(spark: SparkSession, how: PullLoad) -> dict[str, str]:
+    """Load the pulls that were set aside again; what came of each.
+
+    One that still fails stays set aside, with its new reason.
+    """
+    waiting = set_aside_pulls(spark, how.feed, how.root)
+    return {pull: how.load_pull(spark, pull, set_aside=True) for pull in waiting}
 
 
 def close_pull(spark: SparkSession, closed: str, pull: str) -> None:

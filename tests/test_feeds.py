@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from incident_mart import plans
 from incident_mart.plans.feeds import KEPT, STATE, empty_pages, kept_pages
 from incident_mart.schemas import CRASHES, FEEDS, PAGE, PERSONS, ROW_KEY, VEHICLES
-from incident_mart.sources import read_json_pages, read_table
+from incident_mart.sources import read_json_pages, read_sent_fields, read_table, sent_fields
 
 CRASH = {
     "crash_record_id": "c1",
@@ -355,3 +355,89 @@ def test_publish_selected_models(spark, tmp_path):
     assert sorted(models) == ["age_distri", "stg_traffic_data"]
     with pytest.raises(ValueError, match="nothing_such"):
         plans.publish_models(spark, layout, select=["nothing_such"])
+
+
+def landed(folder, pages):
+    """Pages of records as given: a missing key is a missing key."""
+    for n, records in pages.items():
+        path = folder / f"page_no={n}"
+        path.mkdir(parents=True)
+        (path / "a.json").write_text("".join(json.dumps(r) + "\n" for r in records))
+    return str(folder)
+
+
+def without(record, *names, **changes):
+    return {k: v for k, v in {**record, **changes}.items() if k not in names}
+
+
+def sent_pages(spark, path, feed):
+    return read_json_pages(spark, path, feed.column_names), read_sent_fields(spark, path, feed.column_names)
+
+
+@pytest.mark.parametrize("on_error", ["fail", "prefix"])
+def test_text_column_that_a_page_lacks(spark, tmp_path, on_error):
+    pages = {
+        # No record names it: the rows stay. Another column of the same page is null: they go.
+        0: [without(CRASH, "road_defect", crash_record_id="a", injuries_total="x"), without(CRASH, "road_defect", crash_record_id="b")],
+        # One record names it: the others are incomplete.
+        1: [CRASH, without(CRASH, "road_defect", crash_record_id="c2")],
+        # Named, but null on all rows: all are incomplete, and the page is no bad one.
+        2: [{**CRASH, "crash_record_id": "c3", "road_defect": None}],
+        # Two columns are absent; the row that lacks a third one is incomplete.
+        3: [without(CRASH, "road_defect", "weather_condition", crash_record_id="d"),
+            without(CRASH, "road_defect", "weather_condition", crash_record_id="e", lighting_condition=None)],
+        4: [{**CRASH, "crash_record_id": "f"}],
+    }
+    raw_pages, sent = sent_pages(spark, landed(tmp_path / "landing", pages), CRASHES)
+    got = plans.clean_pages(raw_pages, CRASHES, on_error, first_page=0, sent=sent)
+    kept = rows(got, PAGE, "crash_record_id", "road_defect", "weather_condition", "injuries_total", "latitude")
+    near = float(CRASH["latitude"])
+    assert kept == [
+        (0, "a", None, "CLEAR", 0, near),
+        (0, "b", None, "CLEAR", 2, near),
+        (1, "c1", "NO DEFECTS", "CLEAR", 2, near),
+        (3, "d", None, None, 2, near),
+        (4, "f", "NO DEFECTS", "CLEAR", 2, near),
+    ]
+    # Not knowing what the pages name, such rows are incomplete.
+    plain = plans.clean_pages(raw_pages, CRASHES, on_error, first_page=0)
+    assert rows(plain, "crash_record_id") == [("c1",), ("f",)]
+
+
+@pytest.mark.parametrize("field", ["crash_record_id", "latitude", "crash_date"])
+def test_read_column_that_a_page_lacks_or_has_null(spark, tmp_path, field):
+    lacks = {0: [CRASH], 1: [without(CRASH, field)], 2: [{**CRASH, "crash_record_id": "z"}]}
+    raw_pages, sent = sent_pages(spark, landed(tmp_path / "lacks", lacks), CRASHES)
+    assert rows(plans.clean_pages(raw_pages, CRASHES, "prefix", sent=sent), "crash_record_id") == [("c1",)]
+    with pytest.raises(ValueError, match="page 1"):
+        plans.clean_pages(raw_pages, CRASHES, sent=sent)
+    # Null on all rows is no error: the rows are incomplete, the load goes on.
+    null = {0: [CRASH], 1: [{**CRASH, field: None}], 2: [{**CRASH, "crash_record_id": "z"}]}
+    raw_pages, sent = sent_pages(spark, landed(tmp_path / "null", null), CRASHES)
+    assert rows(plans.clean_pages(raw_pages, CRASHES, sent=sent), "crash_record_id") == [("c1",), ("z",)]
+
+
+def test_report_and_errors_of_pages_that_lack_a_column(spark, tmp_path):
+    pages = {
+        0: [without(CRASH, "road_defect", crash_record_id=c) for c in "ab"],
+        1: [without(CRASH, "road_defect", crash_record_id="c", latitude="north")],
+        2: [CRASH],
+    }
+    raw_pages, sent = sent_pages(spark, landed(tmp_path / "landing", pages), CRASHES)
+    layout = plans.Layout(str(tmp_path / "mart"))
+    with pytest.raises((PySparkException, Py4JJavaError), match="not a number: north"):
+        plans.load_pages(raw_pages, CRASHES, layout, "strict", sent=sent)
+    assert plans.load_pages(raw_pages, CRASHES, layout, "one", "prefix", sent=sent) == 2
+    report = spark.read.parquet(layout.report(CRASHES, "one"))
+    assert rows(report) == [(0, 2, 2, False), (1, 1, 0, True), (2, 1, 0, False)]
+    assert not list((tmp_path / "mart" / "staged" / "crashes").iterdir())
+
+
+def test_fields_named_in_lines_arrays_and_file_names(spark, tmp_path):
+    (tmp_path / "page-3.json").write_text(json.dumps([{"k": 1}, {"x": None, "other": 2}], indent=1))
+    (tmp_path / "page-4.json").write_text("[]")
+    (tmp_path / "page-5.json").write_text("<html>")
+    got = read_sent_fields(spark, str(tmp_path), ["k", "x", "y"], "file_name", "array")
+    assert rows(got) == [(3, "k"), (3, "x")]
+    lines = spark.createDataFrame([(0, '{"k": {"x": 1}}'), (0, '[{"y": 1}, 5]'), (1, None), (1, "k")], "page_no long, b string")
+    assert rows(sent_fields(lines, "b", ["k", "x", "y"])) == [(0, "k"), (0, "y")]
