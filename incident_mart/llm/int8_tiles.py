@@ -42,10 +42,10 @@ def usable(embedding: Column) -> Column:
     return F.coalesce(embedding.isNotNull() & ~bad & some, F.lit(False))
 
 
-def matrix(column: pa.Array, size: int) -> np.ndarray:
+def matrix(column: pa.Array, size: int, kind: type = np.float64) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), size)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), size)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:

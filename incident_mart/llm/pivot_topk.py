@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -25,26 +25,29 @@ PIVOTS = 32
 SAMPLE = 1024
 QUERY_ROWS = 512
 CANDIDATE_ROWS = 8192
-#: Scaled components are held to this size, so that scores fit a long.
-LARGEST = 1 << 27
+#: Whole numbers below this are exact in double precision, and those below ``LONG`` fit a long.
+EXACT, LONG = 1 << 53, 1 << 63
 
 
 def scaled(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """Rows ``vec_id, size, vector`` of whole numbers; repeated rows once.
+    """Rows ``vec_id, size, vector, copies`` of whole numbers; repeated rows are one, counted.
 
     Vectors that are null or empty, or hold null or non-finite components, are left
-    out, as are rows without an id.
+    out, as are rows without an id. A scaled component that fits no long is an error.
     """
     x = F.col("embedding")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    held = F.transform(
-        x, lambda v: F.greatest(F.lit(-LARGEST / scale), F.least(F.lit(LARGEST / scale), v.cast("double")))
-    )
-    whole = F.transform(held, lambda v: F.floor(v * scale))
+    too_large = F.raise_error(F.lit("a scaled component does not fit a long")).cast("long")
+
+    def whole(v: Column) -> Column:
+        value = v.cast("double") * scale
+        return F.when(F.abs(value) < float(LONG), F.floor(value)).otherwise(too_large)
+
     return (
         vectors.where(F.coalesce(x.isNotNull() & (F.size(x) > 0) & ~bad, F.lit(False)) & F.col("vec_id").isNotNull())
-        .select(F.col("vec_id").cast("long").alias("vec_id"), F.size(x).alias("size"), whole.alias("vector"))
-        .distinct()
+        .select(F.col("vec_id").cast("long").alias("vec_id"), F.size(x).alias("size"), F.transform(x, whole).alias("vector"))
+        .groupBy("vec_id", "size", "vector")
+        .agg(F.count("*").alias("copies"))
     )
 
 
@@ -82,14 +85,24 @@ def pivot_table(rows: DataFrame, count: int = PIVOTS) -> DataFrame:
     for (size,) in rows.select("size").distinct().collect():
         sample = rows.where(F.col("size") == size).orderBy(F.xxhash64("vector"), "vec_id").limit(SAMPLE)
         pivots[size] = far_apart(np.array([x.vector for x in sample.collect()], np.float64), count)
-    schema = "vec_id long, size int, vector array<long>, pivots array<double>"
+    schema = "vec_id long, size int, vector array<long>, copies long, pivots array<double>"
     return stored(rows.mapInArrow(_distances(pivots), schema), "pivot-table")
 
 
+def _largest(values: np.ndarray) -> int:
+    """The largest absolute value; -2**63 has none in its own type."""
+    return max(-int(values.min(initial=0)), int(values.max(initial=0)))
+
+
 def search(queries: np.ndarray, table_q: np.ndarray, rows: np.ndarray, table: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
-    """For each query the places and scores of its k best rows, ties to smaller ids."""
-    whole = np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * rows.shape[1] < 2**53
-    numbers = (rows, queries) if whole else (rows.astype(np.int64), queries.astype(np.int64))
+    """For each query the places and scores of its k best rows, ties to smaller ids.
+
+    ``queries`` and ``rows`` are 64-bit integers; sums that may not fit are made of Python's.
+    """
+    most = _largest(rows) * _largest(queries) * rows.shape[1]
+    kind = np.float64 if most < EXACT else np.int64 if most < LONG else object
+    numbers = (rows.astype(kind), queries.astype(kind))
+    rows, queries = rows.astype(np.float64), queries.astype(np.float64)
     squares = np.einsum("ij,ij->i", rows, rows)
     by_pivot = np.ascontiguousarray(table.T)
     for q in range(len(queries)):
@@ -118,18 +131,22 @@ def search(queries: np.ndarray, table_q: np.ndarray, rows: np.ndarray, table: np
 def _search_block(k: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         size = rows.column("size")[0].as_py()
-        vectors = matrix(rows.column("vector"), size)
+        vectors = matrix(rows.column("vector"), size, np.int64)
         table = matrix(rows.column("pivots"), len(rows.column("pivots")[0]))
         ids, asks = rows.column("vec_id").to_numpy(), rows.column("asks").to_numpy(zero_copy_only=False)
         q, c = np.flatnonzero(asks), np.flatnonzero(~asks)
         found = search(vectors[q], table[q], vectors[c], table[c], ids[c], ids[q], k)
-        out = {"query_key": [], "query_id": [], "vec_id": [], "score": []}
-        keys = rows.column("key").to_numpy()
+        out = {"query_key": [], "query_id": [], "queries": [], "vec_id": [], "copies": [], "score": []}
+        keys, copies = rows.column("key").to_numpy(), rows.column("copies").to_numpy()
         for i, (best, scores) in zip(q, found):
             out["query_key"] += [keys[i]] * len(best)
             out["query_id"] += [ids[i]] * len(best)
+            out["queries"] += [copies[i]] * len(best)
+            out["copies"] += copies[c[best]].tolist()
             out["vec_id"] += ids[c[best]].tolist()
             out["score"] += [int(s) for s in scores]
+            if any(not -LONG <= s < LONG for s in out["score"][-len(best) :]):
+                raise OverflowError(f"a score of query {ids[i]} does not fit a long")
         return pa.table({n: pa.array(v, pa.int64()) for n, v in out.items()})
 
     return run
@@ -147,7 +164,10 @@ def top_k(
     Queries are the vectors whose vec_id is divisible by ``every``; candidates are all
     vectors of the same length with another vec_id. Components are floor(256 x). Fewer
     candidates give fewer rows; ties go to the smaller vec_id. Unusable vectors take no
-    part, repeated rows count once, an empty table gives no rows.
+    part, an empty table gives no rows, other columns are not read. Repeated rows count as
+    often as they occur, as candidates and as queries, but are compared once. Scores are
+    exact; one that fits no long is an error. Every pair of a query block and a candidate
+    block is read; the pivots rule out candidates within it.
     """
     table = pivot_table(scaled(vectors))
     asks = F.col("vec_id") % every == 0
@@ -166,11 +186,14 @@ def top_k(
     found = (
         queries.unionByName(candidates)
         .groupBy("size", "q", "c")
-        .applyInArrow(_search_block(k), "query_key long, query_id long, vec_id long, score long")
+        .applyInArrow(_search_block(k), "query_key long, query_id long, queries long, vec_id long, copies long, score long")
     )
+    # No more than k copies of a candidate can be among the k best.
+    copied = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))))
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(order))
+        copied.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
+        .withColumn("asked", F.explode(F.sequence(F.lit(1), F.col("queries"))))
         .select("query_id", "rank", "vec_id", "score")
     )

@@ -129,13 +129,13 @@ LEFT JOIN (SELECT a, min(b) AS low FROM reached GROUP BY a) r ON r.a = e.vec_id
 
 OP5_SQL = """
 WITH usable AS (
-    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scores AS (
-    SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(x.v AS DOUBLE[])) AS BIGINT) AS score
+    SELECT q.r, q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(x.v AS DOUBLE[])) AS BIGINT) AS score
     FROM usable q JOIN usable x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id
 ), ranked AS (
-    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
+    SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

@@ -111,10 +111,52 @@ def test_top_k_equals_brute_force(spark, q, c):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
 
 
-def test_large_components_do_not_overflow(spark):
-    rows = [(0, [1e30, -1e30]), (1, [1e30, 1.0]), (2, [3e8, 0.5])]
-    got = pivot_topk.top_k(frame(spark, rows)).collect()
-    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [2, 1]
+def plain_top_k(rows, k=5):
+    """Every row is a query or a candidate, repeats too."""
+    whole = [(i, [math.floor(256 * np.float32(x).astype(float)) for x in v]) for i, v in rows]
+    want = []
+    for i, v in whole:
+        if i % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in whole if j != i)
+            want += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(scores[:k])]
+    return sorted(want)
+
+
+def test_scores_of_large_components_are_exact(spark):
+    rng = np.random.default_rng(11)
+    rows = [(50, [1.0, 1.0]), (1, [600000.0, 0.0]), (2, [700000.0, 0.0])]
+    rows += [(100 + i, [float(x) for x in rng.integers(-(10**6), 10**6, 2)]) for i in range(60)]
+    # Beyond double precision, and with partial sums beyond a long.
+    wide = [(50 * i, [float(x) for x in rng.normal(size=2) * 5e6]) for i in range(20)]
+    vast = [(0, [1.1e7, 1.1e7]), (1, [1e7, -1e7]), (2, [1.05e7, -1e7]), (3, [9e6, 1.0])]
+    for listed in (rows, wide, vast):
+        got = pivot_topk.top_k(frame(spark, listed), query_rows=7, candidate_rows=9).collect()
+        assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == plain_top_k(listed)
+
+
+def test_scores_that_fit_no_long_are_errors(spark):
+    for rows in ([(0, [1e30, -1e30]), (1, [1e30, 1.0])], [(0, [1e8, 1e8]), (1, [1e8, 1e8])]):
+        with pytest.raises(Exception, match="does not fit a long"):
+            pivot_topk.top_k(frame(spark, rows)).collect()
+
+
+def test_sums_by_size():
+    rng = np.random.default_rng(3)
+    for most in (10**3, 10**8, 10**9, 2**62):
+        rows = rng.integers(-most, most, (40, 5))
+        ids, own = np.arange(40), np.array([3])
+        gaps = np.abs(rows[:, :1].astype(float) - rows[3, :1])
+        best, scores = next(pivot_topk.search(rows[3:4], gaps[3:4] * 0, rows, gaps * 0, ids, own, 5))
+        exact = sorted((-sum(int(a) * int(b) for a, b in zip(rows[3], r)), i) for i, r in enumerate(rows) if i != 3)
+        assert [(-int(s), int(i)) for s, i in zip(scores, best)] == exact[:5]
+
+
+@pytest.mark.parametrize("candidate_rows", [8192, 5])
+def test_repeated_vectors_count_as_often_as_they_occur(spark, candidate_rows):
+    near = clustered(60, 8, 2)
+    rows = near + [near[7]] * 9 + [near[50]] * 2 + [near[9]]
+    got = pivot_topk.top_k(frame(spark, rows), candidate_rows=candidate_rows).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == plain_top_k(rows)
 
 
 def test_components_of_random_graphs(spark):
