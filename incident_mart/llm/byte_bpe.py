@@ -6,9 +6,9 @@ so turned into the symbol of an automaton whose states say what kind of piece is
 A symbol is a function from state to state; functions compose associatively, so the
 block is cut into rows, every row's function is composed at once, the rows are chained,
 and a second pass gives the state before each code point. State and symbol tell where a
-piece begins. No regular expression runs over the text. Pieces are hashed from the
-bytes, each distinct piece of a block is merged once (a cache keeps them), and the ids
-of all pieces are gathered in one step.
+piece begins. No regular expression runs over the text. Pieces are grouped by a hash and
+their bytes compared, each distinct piece of a block is merged once (a cache keeps them),
+and the ids of all pieces are gathered in one step.
 """
 
 from __future__ import annotations
@@ -170,7 +170,7 @@ class Vocabulary:
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.begins = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
-        self.cache: dict[bytes, list[int]] = {}
+        self.cache: dict[bytes, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """The lowest-ranked pair is joined again and again, the leftmost of equals first."""
@@ -203,10 +203,11 @@ class Vocabulary:
                         heapq.heappush(queue, (rank, left, pair))
         return [self.ranks[p] for p in parts if p is not None]
 
-    def ids_of(self, piece: bytes) -> list[int]:
+    def ids_of(self, piece: bytes) -> bytes:
+        """The piece's ids, four bytes each."""
         found = self.cache.get(piece)
         if found is None:
-            found = self.merge(piece)
+            found = np.array(self.merge(piece), np.uint32).tobytes()
             if len(piece) <= 256:
                 if len(self.cache) >= self.CACHED_PIECES:
                     self.cache.clear()
@@ -221,6 +222,29 @@ def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (ends - length), length) + np.arange(total)
 
 
+def distinct_pieces(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct piece, and for every piece which of these it equals.
+
+    ``data`` consists of the pieces, one after the other. Hashes propose the groups; the
+    bytes of each piece are then compared with those of its group's first.
+    """
+    _, where, kind = np.unique(SliceHash(data).of(begin, end), return_index=True, return_inverse=True)
+    length = end - begin
+    model = where[kind]
+    other = length[model] != length
+    against = data[_ranges(np.where(other, begin, begin[model]), length)]
+    other[np.searchsorted(begin, np.flatnonzero(against != data), side="right") - 1] = True
+    more: dict[bytes, int] = {}
+    places = []
+    for piece in np.flatnonzero(other).tolist():
+        body = data[begin[piece] : end[piece]].tobytes()
+        if body not in more:
+            more[body] = len(where) + len(places)
+            places.append(piece)
+        kind[piece] = more[body]
+    return np.append(where, np.array(places, where.dtype)), kind
+
+
 def encode_block(data: np.ndarray, starts: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a block of texts, and where each text's ids begin (and the last's end)."""
     if not len(data):
@@ -231,11 +255,11 @@ def encode_block(data: np.ndarray, starts: np.ndarray, words: Vocabulary) -> tup
     first[lead] = True
     begin = at[piece_starts(points, first)]
     end = np.append(begin[1:], len(data))
-    _, where, kind = np.unique(SliceHash(data).of(begin, end), return_index=True, return_inverse=True)
+    where, kind = distinct_pieces(data, begin, end)
     body = data.tobytes()
     ids = [words.ids_of(body[b:e]) for b, e in zip(begin[where].tolist(), end[where].tolist())]
-    lengths = np.array([len(x) for x in ids], np.int64)
-    flat = np.array([i for x in ids for i in x], np.uint32)
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), np.uint32)
     each = lengths[kind]
     out = flat[_ranges((np.cumsum(lengths) - lengths)[kind], each)]
     tokens_before = np.concatenate([[0], np.cumsum(each)])
@@ -367,7 +391,9 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     """Encodes, decodes and digests each text: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
     ``ids_sha256`` is over the ids as little-endian unsigned 32-bit integers,
-    ``decoded_sha256`` over the bytes decoded from the ids. Null text is empty.
+    ``decoded_sha256`` over the bytes decoded from the ids. A null text is empty: no ids,
+    the digest of nothing. Null and repeated ids and repeated rows stay as they are, other
+    columns are not read, an empty table gives no rows. A text of any length is encoded whole.
     """
     file = _file(docs, path)
 

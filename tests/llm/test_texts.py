@@ -54,6 +54,35 @@ def test_long_and_odd_texts(coder, vocabulary):
         assert data[starts[i] : starts[i + 1]].tobytes() == (text or "").encode()
 
 
+def thue_morse(letters, size):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(size))
+
+
+@pytest.mark.parametrize("size", [512, 1024, 2048, 4096])
+def test_pieces_that_share_a_hash(coder, vocabulary, size):
+    # Any polynomial modulo a power of two gives such words the same value.
+    texts = [thue_morse("ab", size), thue_morse("ba", size), thue_morse("ab", size) + " x", thue_morse("ba", size)]
+    ids, bounds, _ = byte_bpe.encode_batch(pa.array(texts), vocabulary)
+    data, starts = byte_bpe.decode_batch(ids.astype("int64"), bounds, vocabulary)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == coder.encode_ordinary(text)
+        assert data[starts[i] : starts[i + 1]].tobytes() == text.encode()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=40).map("".join), min_size=1, max_size=15))
+def test_ids_with_a_poor_hash(coder, vocabulary, texts):
+    class Poor(common.SliceHash):
+        def of(self, begin, end):
+            return super().of(begin, end) & np.uint64(3)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(byte_bpe, "SliceHash", Poor)
+        ids, bounds, _ = byte_bpe.encode_batch(pa.array(texts), vocabulary)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == coder.encode_ordinary(text)
+
+
 def test_texts_over_many_blocks(coder, vocabulary, monkeypatch):
     monkeypatch.setattr(byte_bpe, "DECODED_IDS", 7)
     monkeypatch.setattr(byte_bpe, "WIDTH", 16)
