@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +14,32 @@ from incident_mart.session import scratch_dir
 
 #: Bytes of text that a task turns into arrays at a time (a longer text goes alone).
 BLOCK_BYTES = 1 << 20
+#: Rows of an Arrow batch while a stored frame is made.
+BATCH_ROWS = 2000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside sends Python workers few rows at a time, which bounds what both sides hold.
+
+    Not more than the session asks for, which is left as it was.
+    """
+    before = int(spark.conf.get(_BATCH_SETTING))
+    if 0 < before <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written under ``spark.checkpoint.dir`` and read back.
 
@@ -27,7 +48,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -141,21 +141,28 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*kept, bands], names=["doc_id", "row_no", "digest", "bands"])
 
 
+def _sets(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Shingles and weights of each text."""
+    data, starts = utf8(column)
+    sets = []
+    for low, high in blocks(starts):
+        cut = starts[low : high + 1]
+        owner, value, weight = weighted_shingles(data[cut[0] : cut[-1]], cut - cut[0])
+        edges = np.searchsorted(owner, np.arange(high - low + 1))
+        sets += [(value[p:q], weight[p:q]) for p, q in zip(edges, edges[1:])]
+    return sets
+
+
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = []
-            for name in ("left_text", "right_text"):
-                data, starts = utf8(batch.column(name))
-                sets = []
-                for low, high in blocks(starts):
-                    cut = starts[low : high + 1]
-                    owner, value, weight = weighted_shingles(data[cut[0] : cut[-1]], cut - cut[0])
-                    edges = np.searchsorted(owner, np.arange(high - low + 1))
-                    sets += [(value[p:q], weight[p:q]) for p, q in zip(edges, edges[1:])]
-                sides.append(sets)
-            near = [similarity(*p, *q) >= threshold - ROUNDING for p, q in zip(*sides)]
-            yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+            sizes = [utf8(batch.column(name))[1] for name in ("left_text", "right_text")]
+            # As many pairs at a time as have about a MB of text on both sides.
+            for low, high in blocks(sizes[0] + sizes[1]):
+                part = batch.slice(low, high - low)
+                sides = zip(_sets(part.column("left_text")), _sets(part.column("right_text")))
+                near = [similarity(*p, *q) >= threshold - ROUNDING for p, q in sides]
+                yield part.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
     return run
 
