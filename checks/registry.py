@@ -103,6 +103,14 @@ FROM ({roles.PERSONS_TABLE}) WHERE age <> 0
 """
 
 
+_STG_PERSONS_OF_LOADS = f"""
+SELECT *, coalesce(safety_equipment, 'USAGE UNKNOWN') AS safety_equipment_updated,
+       month(crash_date) AS crash_month_number, year(crash_date) AS crash_year,
+       crash_date AS traffic_crash_date, monthname(crash_date) AS crash_month
+FROM ({roles.key_sql(PERSONS, roles.PERSONS_TABLE)}) WHERE age <> 0
+"""
+
+
 def _fact_sql(persons: str, crashes: str, ties: str) -> str:
     return f"""
     WITH p AS (
@@ -637,6 +645,23 @@ def merge_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hex_key(tables.read_table(spark, path, schema))
 
 
+@query(_STG_PERSONS_OF_LOADS)
+def catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The persons model as a view of a catalog, read by another session, after a compaction."""
+    layout = plans.Layout(scratch_dir(spark, "catalog"), prefix_digits=1)
+    source = ops.with_surrogate_key(roles.persons(spark, sf_dir), PERSONS.hash_columns)
+    path, schema = layout.table(PERSONS), PERSONS.table_schema
+    odd = F.col("crash_record_id").cast("bigint") % 2 == 1
+    database = f"mart_{layout.root[-32:]}"
+    for load, part in (("odd", source.filter(odd)), ("all", source)):
+        tables.insert_only_merge(part, path, schema, load, prefix_digits=1)
+        plans.publish_catalog(spark, layout, database)
+    tables.compact_table(spark, path, schema)
+    plans.publish_catalog(spark, layout, database)
+    tables.remove_replaced(spark, path)
+    return hex_key(spark.newSession().table(f"{database}.stg_persons_data"))
+
+
 @query(
     """SELECT c_custkey AS key, -1 AS line FROM customer UNION ALL
        SELECT l_orderkey, l_linenumber FROM lineitem

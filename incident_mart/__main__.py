@@ -13,7 +13,14 @@ import json
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .plans import KeyForm, Layout, compact_feeds, full_refresh, publish_models
+from .plans import (
+    KeyForm,
+    Layout,
+    compact_feeds,
+    full_refresh,
+    publish_catalog,
+    publish_models,
+)
 from .schemas import FEEDS
 from .session import build_session, configure
 from .sources import read_json_pages, read_sent_fields
@@ -49,6 +56,8 @@ def _arguments() -> argparse.ArgumentParser:
             sub.add_argument("--load-id", required=True)
         if job == "models":
             sub.add_argument("--select", nargs="*", help="models to publish")
+        if job != "stream":
+            sub.add_argument("--database", help="make the mart's tables and views in this one")
         if job == "compact":
             sub.add_argument("--at-least", type=int, default=2, help="loads worth a rewrite")
             sub.add_argument("--keep-replaced", action="store_true")
@@ -111,6 +120,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         ]
         for query in running:
             query.awaitTermination()
+    if args.job != "stream" and args.database:
+        publish_catalog(spark, Layout(args.root), args.database)
     return counts
 
 

@@ -1,5 +1,6 @@
 """What the operators are strung into: feed loads, models, and the whole refresh."""
 
+from .catalog import publish_catalog
 from .feeds import (
     KeyForm,
     Layout,
@@ -41,6 +42,7 @@ __all__ = [
     "load_conformed",
     "load_pages",
     "page_report",
+    "publish_catalog",
     "publish_models",
     "read_tables",
     "report_pages",

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from incident_mart import plans
 from incident_mart.operators import schema_contract, with_surrogate_key
-from incident_mart.schemas import CRASHES, PERSONS, STAGING_CONTRACTS, VEHICLES
+from incident_mart.schemas import CRASHES, FEEDS, PERSONS, STAGING_CONTRACTS, VEHICLES
+from incident_mart.sources import compact_table, insert_only_merge, remove_replaced
 
 EARLY, LATE = datetime(2024, 1, 5, 10), datetime(2024, 12, 6, 11)
 
@@ -138,3 +139,40 @@ def test_sample_applies_to_persons_and_traffic(spark):
     counts = {name: models[name].count() for name in ("stg_persons_data", "stg_traffic_data")}
     assert counts == {"stg_persons_data": 10, "stg_traffic_data": 10}
     assert models["stg_vehicles_data"].count() == 30
+
+
+def test_catalog_views_outlast_the_session(spark, tmp_path):
+    """Another session reads the mart by name, and sees what each publication found live."""
+    layout = plans.Layout(str(tmp_path / "mart"))
+    feeds = {name: keyed(spark, feed, [1, 2]) for name, feed in FEEDS.items()}
+    for name, feed in FEEDS.items():
+        insert_only_merge(feeds[name], layout.table(feed), feed.table_schema, "one")
+    plans.publish_models(spark, layout)
+    made = plans.publish_catalog(spark, layout, "lasting_mart")
+    assert len(made) == 9
+    later = spark.newSession()
+    models = plans.build_models(**plans.read_tables(spark, layout))
+    for name in plans.catalog.STAGING_SQL:
+        seen = later.table(f"lasting_mart.{name}")
+        assert seen.columns == models[name].columns
+        assert sorted(map(repr, seen.collect())) == sorted(map(repr, models[name].collect()))
+    assert later.table("lasting_mart.age_distri").count() == models["age_distri"].count()
+
+    insert_only_merge(keyed(spark, CRASHES, [2, 3]), layout.table(CRASHES), CRASHES.table_schema, "two")
+    assert later.table("lasting_mart.stg_traffic_data").count() == 2
+    plans.publish_catalog(spark, layout, "lasting_mart")
+    assert later.table("lasting_mart.stg_traffic_data").count() == 3
+    compact_table(spark, layout.table(CRASHES), CRASHES.table_schema)
+    # Old folders are still there for the view as it was made.
+    assert later.table("lasting_mart.stg_traffic_data").count() == 3
+    plans.publish_catalog(spark, layout, "lasting_mart")
+    remove_replaced(spark, layout.table(CRASHES))
+    assert spark.newSession().sql("select count(*) from lasting_mart.stg_traffic_data").first()[0] == 3
+
+
+def keyed(spark, feed, ids):
+    """A row of the feed's loaded form for each number."""
+    values = {"string": "cast(id as string)", "timestamp": "timestamp '2024-03-05 01:02:03'"}
+    columns = [f"{values.get(c.loaded, f'cast(id as {c.loaded})')} as {c.name}" for c in feed.columns]
+    frame = spark.createDataFrame([(i,) for i in ids], "id int").selectExpr(*columns)
+    return with_surrogate_key(frame, feed.hash_columns)
