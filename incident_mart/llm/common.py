@@ -59,19 +59,22 @@ def text_bytes(text: str | Column) -> Column:
     return F.coalesce(F.octet_length(column), F.lit(0)).cast("long")
 
 
-def cell_of(cells: int, heavy: Column) -> Column:
-    """A row's cell, from ``content_hash``; in the cells of ``heavy``, from ``row_no`` too."""
-    plain = F.pmod(F.col("content_hash"), F.lit(cells)).cast("int")
-    again = F.pmod(F.xxhash64("content_hash", "row_no"), F.lit(cells)).cast("int")
-    return F.when(F.array_contains(heavy, plain), again).otherwise(plain)
+def spread(groups: DataFrame, cells: int, first: Column | None = None) -> DataFrame:
+    """Groups of ``n`` equal records as rows ``cell``, ``m``: how many of them each cell gets.
 
-
-def repeated(n: Column, all_rows: Column, share: float) -> Column:
-    """Whether a cell of ``n`` rows is crowded, which for hashed rows means repeated ones.
-
-    At most ``1 / share`` cells can be, so their list is short.
+    The copies of a record, numbered from ``first`` (0), go to the cells that follow
+    ``content_hash``, one by one and round. So a record's cell depends on nothing but itself
+    and its number among its equals, a record that repeats cannot fill a cell, and a group
+    has at most ``cells`` rows here however often it repeats.
     """
-    return (n > 64) & (n > F.lit(share) * all_rows)
+    number = F.explode(F.sequence(F.lit(0), F.least("n", F.lit(cells)) - 1)).alias("step")
+    begin = F.pmod("content_hash", F.lit(cells)) + (F.lit(0) if first is None else F.pmod(first, F.lit(cells)))
+    return (
+        groups.select("*", number)
+        .withColumn("cell", F.pmod(begin + F.col("step"), F.lit(cells)).cast("int"))
+        .withColumn("m", F.floor((F.col("n") - F.col("step") + (cells - 1)) / F.lit(cells)).cast("long"))
+        .drop("step", "n")
+    )
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,8 @@ draws (its quota, a block at most twice). The vector of quotas is split down a b
 tree of output shards: a node hands its left half a multivariate hypergeometric sample
 of its draws and its right half the rest, so every shard has exact quotas that add up.
 A source's draws stand in a random order of its blocks; shards take disjoint ranges of
-it, and each shard shuffles its rows locally.
+it, and each shard shuffles its rows locally. The copies of a repeated document take
+blocks in turn, by their number among their equals.
 """
 
 from __future__ import annotations
@@ -14,15 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cell_of, repeated, stored
+from .common import spread, stored
 
 #: Blocks of a source; small sources have about one document in each.
 BLOCKS = 1024
-#: The part of a source's rows beyond which a block is crowded by repeated rows.
-CROWDED = 1 / 64
+#: Parts into which the rows of one content that differ in other columns are numbered.
+BUCKETS = 256
 WEIGHTS = (5, 2, 1)
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -128,41 +129,35 @@ def _gather(plan: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def mixing_plan(
-    rows: DataFrame,
+    groups: DataFrame,
     n_shards: int,
     weights: tuple[float, ...] = WEIGHTS,
     share: float = 1.5,
     most: float = 2.0,
     seed: int = 11,
 ) -> DataFrame:
-    """One row per source: source, source_size, target, heavy (crowded blocks), draws.
+    """One row per source: source, source_size, target, draws.
 
-    ``rows`` has source, size, content_hash, row_no. ``draws[b]`` lists the shards that
-    get block ``b``. The driver sees one row per source; blocks stay in tasks, at most
-    BLOCKS per source.
+    ``groups`` has source, size, content_hash, n: n equal documents. ``draws[b]`` lists the
+    shards that get block ``b``. The driver sees one row per source; blocks stay in tasks,
+    at most BLOCKS per source.
     """
-    spark = rows.sparkSession
-    plain = F.pmod("content_hash", F.lit(BLOCKS)).cast("int").alias("cell")
-    cells = rows.groupBy("source", plain).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
-    crowd = cells.groupBy("source").agg(
-        F.sum("words").alias("words"),
-        F.sum("n").alias("n"),
-        F.collect_list(F.struct("cell", "n")).alias("cells"),
-    )
-    over = F.filter("cells", lambda x: repeated(x["n"], F.col("n"), CROWDED))
-    sums = crowd.select("source", "words", F.transform(over, lambda x: x["cell"]).alias("heavy"))
-    found = sorted(sums.collect(), key=lambda r: (r.source is None, r.source or ""))
+    spark = groups.sparkSession
+    words = F.sum(F.col("size") * F.col("n")).alias("words")
+    found = sorted(groups.groupBy("source").agg(words).collect(), key=lambda r: (r.source is None, r.source or ""))
     sizes = [r.words for r in found]
     wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share, most)
     sources = spark.createDataFrame(
-        [(i, r.source, r.words, wanted[i], r.heavy) for i, r in enumerate(found)],
-        "source_no int, source string, source_size long, target double, heavy array<int>",
+        [(i, r.source, r.words, wanted[i]) for i, r in enumerate(found)],
+        "source_no int, source string, source_size long, target double",
     )
-    known = sources.select("source_no", F.col("source").alias("known"), "heavy")
+    known = sources.select("source_no", F.col("source").alias("known"))
     blocks = (
-        rows.join(known, F.col("source").eqNullSafe(F.col("known")))
-        .groupBy("source_no", cell_of(BLOCKS, F.col("heavy")).alias("cell"))
-        .agg(F.sum("size").alias("words"))
+        spread(groups.select("source", "size", "content_hash", "n"), BLOCKS)
+        .groupBy("source", "cell")
+        .agg(F.sum(F.col("size") * F.col("m")).alias("words"))
+        .join(known, F.col("source").eqNullSafe(F.col("known")))
+        .select("source_no", "cell", "words")
     )
     draws = stored(
         blocks.groupBy("source_no").applyInPandas(
@@ -188,29 +183,58 @@ def mixing_plan(
     return stored(sources.join(drawn, "source_no", "left").drop("source_no"), "mixing")
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """The documents with ``content_hash`` and ``row_no``, from which blocks follow."""
-    return docs.withColumns(
-        {
-            "content_hash": F.xxhash64("doc_id", "text"),
-            "row_no": F.monotonically_increasing_id(),
-        }
-    )
+def word_count(text: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def word_count(text: str) -> F.Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+#: What tells documents of the mix apart; the hashes stand in for the null-safe columns.
+IDENTITY = ("content_hash", "source_hash")
 
 
-def with_draws(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows with source_size, target and ``shards``, the shards that get a copy of the row."""
+def identified(docs: DataFrame) -> DataFrame:
+    """The documents with IDENTITY, from which their blocks follow."""
+    return docs.withColumns({"content_hash": F.xxhash64("doc_id", "text"), "source_hash": F.xxhash64("source")})
+
+
+def with_draws(cells: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows of ``spread`` with source_size, target and ``shards``, those that get the rows of the cell."""
     known = plan.withColumnRenamed("source", "known")
-    block = cell_of(BLOCKS, F.col("heavy"))
     none = F.array().cast("array<int>")
     return (
-        rows.join(known, F.col("source").eqNullSafe(F.col("known")), "left")
-        .withColumn("shards", F.coalesce(F.element_at("draws", block + 1), none))
-        .drop("known", "heavy", "draws")
+        cells.join(known, F.col("source").eqNullSafe(F.col("known")), "left")
+        .withColumn("shards", F.coalesce(F.element_at("draws", F.col("cell") + 1), none))
+        .drop("known", "draws")
+    )
+
+
+def each(cells: DataFrame) -> DataFrame:
+    """One row per document of rows with ``m``; where that is many, over all tasks."""
+    every = F.explode(F.sequence(F.lit(1), F.col("m")))
+    many = cells.where("m > 1").repartition("content_hash", "cell")
+    return cells.where("m = 1").unionByName(many).select("*", every.alias("copy_no")).drop("m")
+
+
+def _numbered(variants: DataFrame) -> DataFrame:
+    """Of documents that repeat: IDENTITY, row_hash, ``first`` (the number among all rows of
+    the same id, text and source of the first row equal to it) and ``n``, how many are equal.
+
+    Rows are numbered by ``row_hash`` within its bucket, buckets one after the other, so
+    no task sorts all rows of one content.
+    """
+    dealt = variants.withColumn("bucket", F.pmod("row_hash", F.lit(BUCKETS)))
+    buckets = dealt.groupBy(*IDENTITY, "bucket").agg(F.sum("n").alias("here"))
+    whole = Window.partitionBy(*IDENTITY)
+    past = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = buckets.select("*", F.sum("here").over(whole).alias("all"), F.sum("here").over(past).alias("past")).where("all > 1")
+    inside = Window.partitionBy(*IDENTITY, "bucket").orderBy("row_hash").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce("past", F.lit(0)) + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    return dealt.join(starts, [*IDENTITY, "bucket"]).select(*IDENTITY, "row_hash", first.alias("first"), "n")
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """Of all columns; maps, which have no hash, by their text."""
+    return F.xxhash64(
+        F.lit(1), *[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema]
     )
 
 
@@ -218,15 +242,29 @@ def mix_documents(docs: DataFrame, n_shards: int = 24, **options: object) -> Dat
     """The mix itself: each document as often as drawn, in the order of its shard.
 
     Has the columns of the documents and nothing else; rows come ordered by shard and
-    by a random order within. Extra columns are kept whatever their names.
+    by a random order within. Extra columns are kept whatever their names. Of rows that
+    are equal throughout one is carried, with their number; rows that differ in an extra
+    column only are each drawn by themselves. Nulls, empty texts and an empty table are as
+    in ``mix_report``, which tells the same draws.
     """
-    names = docs.columns
-    packed = docs.select("doc_id", "text", "source", F.struct(*names).alias("row"))
-    rows = identified(packed)
-    sizes = rows.select("source", word_count("text").alias("size"), "content_hash", "row_no")
-    plan = mixing_plan(stored(sizes, "sizes"), n_shards, **options)
-    copies = with_draws(rows, plan).select("row", "content_hash", F.posexplode("shards").alias("copy", "shard"))
-    seat = F.xxhash64("content_hash", "copy", "shard")
+    packed = identified(
+        docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("row"), _row_hash(docs).alias("row_hash"))
+    )
+    sizes = packed.select("source", word_count("text").alias("size"), *IDENTITY, "row_hash")
+    variants = stored(sizes.groupBy(*sizes.columns).agg(F.count("*").alias("n")), "sizes")
+    plan = mixing_plan(variants.groupBy("source", "size", *IDENTITY).agg(F.sum("n").alias("n")), n_shards, **options)
+    repeats = stored(_numbered(variants), "repeats")
+    key = [*IDENTITY, "row_hash"]
+    carried = packed.drop("doc_id", "text")
+    joined = carried.join(repeats, key, "left").fillna({"first": 0, "n": 1})
+    rows = joined.where("n = 1")
+    if not repeats.where("n > 1").isEmpty():
+        equal = carried.join(repeats.where("n > 1"), key).groupBy(*key, "source", "first", "n")
+        rows = rows.unionByName(equal.agg(F.first("row").alias("row")))
+    copies = each(with_draws(spread(rows, BLOCKS, F.col("first")), plan)).select(
+        "row", "content_hash", "row_hash", "cell", "copy_no", F.posexplode("shards").alias("copy", "shard")
+    )
+    seat = F.xxhash64("content_hash", "row_hash", "cell", "copy_no", "copy", "shard")
     return (
         copies.withColumn("seat", seat)
         .repartitionByRange(F.col("shard"), F.col("seat"))
@@ -241,13 +279,14 @@ def mix_report(docs: DataFrame, n_shards: int = 24, **options: object) -> DataFr
     ``size`` counts words (runs without ASCII white space), ``taken`` the words that the
     mix takes of the document, repeats counted: 0, 1 or 2 times its size. Null text has
     size 0; a null source is a source, the last; a source without words has target 0;
-    repeated rows are drawn each by itself; an empty table gives no rows. The same
-    files give the same mix.
+    repeated rows are drawn each by itself; an empty table gives no rows; other columns
+    are not used; a text of any length is one document. The same documents give the same
+    mix, in whatever order and number of splits they are read.
     """
     rows = identified(docs.select("doc_id", "text", "source"))
-    narrow = rows.select("doc_id", "source", word_count("text").alias("size"), "content_hash", "row_no")
-    sizes = stored(narrow, "sizes")
-    return with_draws(sizes, mixing_plan(sizes, n_shards, **options)).select(
+    narrow = rows.select("doc_id", "source", word_count("text").alias("size"), *IDENTITY)
+    groups = stored(narrow.groupBy(*narrow.columns).agg(F.count("*").alias("n")), "sizes")
+    return each(with_draws(spread(groups, BLOCKS), mixing_plan(groups, n_shards, **options))).select(
         "doc_id",
         "size",
         "source_size",

@@ -1,10 +1,12 @@
 """Shards from fixed virtual slots and a versioned slot-to-shard map.
 
 Every record hashes into one of thousands of virtual slots, for good. The bytes of each
-slot are summed (map-side, a row per slot), and a small map says which shard a slot is
-in. Version 1 places heavy slots first; when weights have changed or a shard is added,
-the map is edited, which moves as few slots as it takes and gives one more version. A
-record never hashes anew.
+slot are summed (map-side, a row per slot), and a small stored map says which shard a slot
+is in. Version 1 places heavy slots first; when weights have changed or a shard is added,
+the map is edited, which moves as few slots as it takes and is stored as one more version. A
+record never hashes anew: its slot follows from its id and text, and for the copies of a
+record from their number among their equals, so the slots that a corpus fills are the same
+however its files are split.
 """
 
 from __future__ import annotations
@@ -15,8 +17,11 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from .common import cell_of, repeated, stored, text_bytes
+from incident_mart.session import scratch_dir
+
+from .common import spread, stored, text_bytes
 
 SLOTS = 4096
 
@@ -120,47 +125,72 @@ class SlotMap:
             taken += weight
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """The map as rows ``version, slot, shard, weight``, to be stored beside the shards."""
-        rows = [(self.version, s, self.shard_of[s], w) for s, w in enumerate(self.weights)]
-        return spark.createDataFrame(rows, "version int, cell int, shard int, cell_bytes long")
+        """The map as rows, one per slot: see MAP."""
+        rows = [(self.version, self.n_shards, len(self.weights), s, self.shard_of[s], w) for s, w in enumerate(self.weights)]
+        return spark.createDataFrame(rows, MAP)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The map as one more version under ``path``; a version that is there is never changed."""
+        self.frame(spark).coalesce(1).write.parquet(f"{path.rstrip('/')}/map-{self.version:09d}")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, version: int | None = None) -> SlotMap | None:
+        """A stored version, the latest if none is named; nothing if there is none.
+
+        A version counts if all its slots are there, so one whose write was cut off does not.
+        """
+        try:
+            rows = spark.read.schema(MAP).parquet(f"{path.rstrip('/')}/map-*")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        whole = rows.groupBy("version", "slots").agg(F.countDistinct("cell").alias("n")).where("n = slots")
+        if version is not None:
+            whole = whole.where(F.col("version") == version)
+        latest = whole.agg(F.max("version")).first()[0]
+        if latest is None:
+            return None
+        found = sorted(rows.where(F.col("version") == latest).collect(), key=lambda r: r.cell)  # a row per slot
+        return SlotMap(latest, found[0].n_shards, tuple(r.shard for r in found), tuple(r.cell_bytes for r in found))
+
+
+#: The columns of a stored map.
+MAP = "version int, n_shards int, slots int, cell int, shard int, cell_bytes long"
 
 
 def slotted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """Rows ``doc_id, size, text_crc32, row_no, cell``, one per record, without the text.
+    """Rows ``doc_id, size, text_crc32, content_hash, cell, m``: ``m`` equal records in a slot.
 
-    ``size`` is the text's UTF-8 bytes (0 for null) plus 8. The slot (``cell``) comes
-    from the id and the text; records that fill a slot by repeating spread over others.
+    ``size`` is the text's UTF-8 bytes (0 for null) plus 8. The slot (``cell``) comes from
+    the id and the text; the copies of a record take the slots after it in turn.
     """
-    narrow = docs.select(
+    rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         (text_bytes(text) + 8).alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
         F.xxhash64(F.col(doc_id), F.col(text)).alias("content_hash"),
-        F.monotonically_increasing_id().alias("row_no"),
     )
-    rows = stored(narrow, "records")
-    counts = rows.groupBy(F.pmod("content_hash", F.lit(slots)).cast("int").alias("cell")).count()
-    crowded = counts.where(repeated(F.col("count"), F.lit(rows.count()), 1 / 256)).collect()
-    heavy = F.array(*[F.lit(x.cell) for x in crowded]).cast("array<int>")
-    return stored(rows.withColumn("cell", cell_of(slots, heavy)), "slotted")
+    groups = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    return stored(spread(groups, slots), "slotted")
 
 
 def slot_weights(rows: DataFrame, slots: int = SLOTS) -> list[int]:
     """Bytes per slot: ``slots`` numbers, however many rows there are."""
     weights = [0] * slots
-    for cell, weight in rows.groupBy("cell").agg(F.sum("size")).collect():
+    for cell, weight in rows.groupBy("cell").agg(F.sum(F.col("size") * F.col("m"))).collect():
         weights[cell] = weight
     return weights
 
 
 def shard_records(rows: DataFrame, slot_map: SlotMap, grown: SlotMap | None = None) -> DataFrame:
-    """Rows of ``slotted`` with ``shard`` and ``slot``, their gapless place in the shard.
+    """A row per record of ``slotted``, with ``shard`` and ``slot``, its gapless place in the shard.
 
     Places are counted inside a virtual slot, by doc_id, and moved by the rows of the
     shard's slots before it: no task sorts a whole shard.
     """
     spark = rows.sparkSession
-    counts = {c: n for c, n in rows.groupBy("cell").count().collect()}
+    counts = {c: n for c, n in rows.groupBy("cell").agg(F.sum("m")).collect()}
     before, offsets = [0] * slot_map.n_shards, []
     for cell, shard in enumerate(slot_map.shard_of):
         offsets.append(before[shard])
@@ -170,33 +200,54 @@ def shard_records(rows: DataFrame, slot_map: SlotMap, grown: SlotMap | None = No
         [(c, s, offsets[c], later[c]) for c, s in enumerate(slot_map.shard_of)],
         "cell int, shard int, before long, next_shard int",
     )
-    order = Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size", "row_no")
+    order = Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size", "content_hash")
+    upto = F.sum("m").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        rows.withColumn("place", F.row_number().over(order) - 1)
+        rows.withColumn("upto", upto)
         .join(F.broadcast(places), "cell")
-        .withColumn("slot", F.col("place") + F.col("before"))
+        .withColumn("last", F.col("before") + F.col("upto") - 1)
+        .withColumn("slot", F.explode(F.sequence(F.col("last") - F.col("m") + 1, F.col("last"))))
+        .drop("upto", "last", "m")
     )
 
 
-def balanced_map(rows: DataFrame, n_shards: int, slots: int = SLOTS) -> SlotMap:
-    """Version 1, and the edit that evens out what placing whole slots left."""
-    return SlotMap.first(slot_weights(rows, slots), n_shards).balanced()
-
+def current_map(rows: DataFrame, n_shards: int, path: str, slots: int = SLOTS) -> SlotMap:
+    """The map that rows are placed by: the stored one, edited for the weights of today.
 
-def shard_documents(docs: DataFrame, n_shards: int = 24) -> DataFrame:
-    """One row per document: shard and place under a map that balances bytes.
+    Where none is stored, version 1 is made and stored first. An edit that moves slots is
+    stored as the next version; if none has to move, the stored version stays.
+    """
+    spark, weights = rows.sparkSession, slot_weights(rows, slots)
+    if SlotMap.load(spark, path) is None:
+        SlotMap.first(weights, n_shards).save(spark, path)
+    known = SlotMap.load(spark, path)
+    if (known.n_shards, len(known.shard_of)) != (n_shards, slots):
+        raise ValueError(f"{path} maps {len(known.shard_of)} slots to {known.n_shards} shards")
+    edited = known.weighed(weights).balanced()
+    if edited.shard_of == known.shard_of:
+        return known
+    edited.save(spark, path)
+    return SlotMap.load(spark, path)
+
+
+def shard_documents(docs: DataFrame, n_shards: int = 24, map_path: str | None = None) -> DataFrame:
+    """One row per document: shard and place under a stored map that balances bytes.
 
     Columns: doc_id, size, text_crc32, law ('bytes'), shard, slot (place in the shard,
     0, 1, ...), grown_shard (null: under this law growing follows the bytes),
     virtual_slot, next_shard (the shard after one more is added by the next map
     version: either the same or the new one), map_version.
 
+    ``map_path`` is where the map's versions are stored; a later run over it starts from the
+    latest and moves only the slots of its edit. Without it the map is a new one.
+
     Null text has size 8 and the checksum of an empty text; null ids are records like
     any other; repeated records each get a place; an empty table gives no rows; other
-    columns are not used.
+    columns are not used; a text of any length is one record. The result does not depend
+    on the number of splits that the files are read in.
     """
     rows = slotted(docs)
-    slot_map = balanced_map(rows, n_shards)
+    slot_map = current_map(rows, n_shards, map_path or scratch_dir(docs.sparkSession, "slot_map"))
     return shard_records(rows, slot_map, slot_map.grown()).select(
         "doc_id",
         "size",

@@ -1,13 +1,15 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from incident_mart.llm import mixing, virtual_slots
+from incident_mart.llm import common, mixing, virtual_slots
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use inside.
-CLASH = ("cell", "row_no", "content_hash", "shard", "shards", "size", "heavy", "draws", "known", "row", "copy", "seat")
+CLASH = ("cell", "m", "n", "content_hash", "row_hash", "shard", "shards", "size", "first", "draws", "known", "row", "copy", "seat")
 
 
 def documents(spark, rows, extra=()):
@@ -72,6 +74,77 @@ def test_mix_documents_equals_its_report(spark):
     assert counts == {k: v for k, v in report.items() if v}
 
 
+def splits(docs, n):
+    """The same rows in another order and number of partitions."""
+    return docs.repartition(n, "n_chars") if n % 2 else docs.repartition(n)
+
+
+def test_results_do_not_depend_on_splits(spark):
+    docs = documents(spark, [(1, "same words here", "s2")] * 3000 + plain(500, 3) + [(None, None, None)] * 2)
+
+    def rows(df):
+        return sorted(map(repr, df.collect()))
+
+    mixes = [rows(mixing.mix_report(splits(docs, n))) for n in (4, 8, 31)]
+    assert mixes[0] == mixes[1] == mixes[2] and len(mixes[0]) == 3502
+    shards = [rows(virtual_slots.shard_documents(splits(docs, n))) for n in (4, 8, 31)]
+    assert shards[0] == shards[1] == shards[2] and len(shards[0]) == 3502
+    texts = [rows(mixing.mix_documents(splits(docs, n))) for n in (4, 31)]
+    assert texts[0] == texts[1]
+
+
+def test_spread_deals_copies_round(spark):
+    groups = spark.createDataFrame([(5, 1), (5, 3), (-2, 8), (2**63 - 1, 21)], "content_hash long, n long")
+    for first in (0, 6):
+        got = {}
+        for r in common.spread(groups.withColumn("of", F.col("n")), 8, F.lit(first)).collect():
+            got.setdefault(r.of, {})[r.cell] = r.m
+        for h, n in ((5, 1), (5, 3), (-2, 8), (2**63 - 1, 21)):
+            want = Counter((h + first + k) % 8 for k in range(n))
+            assert got[n] == want
+
+
+def test_mix_documents_keeps_rows_that_differ_elsewhere(spark):
+    rows = [(1, "some words here", "en", "a", i // 3) for i in range(300)] + [(2, "x", "en", "b", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    report = mixing.mix_report(docs).where("doc_id = 1").collect()
+    mixed = mixing.mix_documents(docs).where("doc_id = 1").collect()
+    assert len(mixed) == sum(len(r.shards) for r in report)
+    # Three equal rows, each drawn once or twice: none is lost while others are drawn twice as often.
+    counts = Counter(r.n_chars for r in mixed)
+    assert len(report) == 300 and all(n <= 6 for n in counts.values())
+    if all(len(r.shards) >= 1 for r in report):
+        assert set(counts) == set(range(100)) and min(counts.values()) >= 3
+
+
+def test_a_stored_map_is_edited(spark, tmp_path):
+    path = str(tmp_path / "maps")
+    docs = documents(spark, plain(600) + [(7, "again", "s")] * 5000)
+    assert virtual_slots.SlotMap.load(spark, path) is None
+    one = virtual_slots.shard_documents(docs, 6, path).toPandas()
+    known = virtual_slots.SlotMap.load(spark, path)
+    assert known.version == one.map_version.iloc[0] and virtual_slots.SlotMap.load(spark, path, 1).version == 1
+    again = virtual_slots.shard_documents(docs, 6, path).toPandas()
+    order = ["shard", "slot"]
+    assert again.sort_values(order, ignore_index=True).equals(one.sort_values(order, ignore_index=True))
+    more = docs.unionByName(documents(spark, [(5000 + i, "long text " * 400, "s") for i in range(40)]))
+    two = virtual_slots.shard_documents(more, 6, path).toPandas()
+    edited = virtual_slots.SlotMap.load(spark, path)
+    assert edited.version == known.version + 1
+    moved = {s for s in range(virtual_slots.SLOTS) if edited.shard_of[s] != known.shard_of[s]}
+    assert moved
+    old, new = (x[["virtual_slot", "shard"]].drop_duplicates().set_index("virtual_slot").shard for x in (one, two))
+    assert {s for s in old.index if old[s] != new[s]} == moved & set(old.index)
+    # Old records keep their slots.
+    key = ["doc_id", "virtual_slot"]
+    assert Counter(map(tuple, one[key].values)) == Counter(map(tuple, two[two.doc_id < 5000][key].values))
+    # A version whose write was cut off does not count.
+    edited.frame(spark).limit(9).withColumn("version", F.lit(99)).write.parquet(f"{path}/map-000000099")
+    assert virtual_slots.SlotMap.load(spark, path) == edited
+    with pytest.raises(ValueError):
+        virtual_slots.shard_documents(docs, 7, path)
+
+
 def test_empty_tables(spark):
     none = documents(spark, [])
     assert mixing.mix_report(none).count() == 0
