@@ -8,12 +8,15 @@ vote patterns (a few hundred rows, whatever the corpus) estimates how reliable e
 labeler is and how likely each pattern; a logistic span classifier is then trained on
 those probabilities. Its decisions go back to the candidates as a list of patterns.
 
-Offsets come from the text between matches, so they are exact code points.
+Offsets come from the text between matches, so they are exact code points. Every array is
+made once per text, sums and maxima run over blocks of it and text is cut from short
+chunks, so time grows with the text and its matches, not with their product.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,24 +68,92 @@ LABELERS = 4
 CONTEXT = 2
 
 _SPAN = "array<struct<start: int, end: int, said: string>>"
+_CANDIDATE = "array<struct<kind: int, start: int, end: int, base: boolean, votes: int>>"
+_PLACE = "array<struct<start: int, end: int, kind: int>>"
+#: Numbers of a block of running values, and code points of a chunk of text.
+STEP = 512
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, also where ``body`` uses it in a loop."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(numbers: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each number of an array the merge (sum or greatest) of 0 and all before it.
+
+    ``numbers`` is a column or bound by ``_let``. Runs in blocks: appending to an array
+    copies it, which for one long array would take the square of its length.
+    """
+
+    def run(part: Column) -> Column:
+        begin = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<int>").alias("each"))
+        return F.aggregate(
+            part,
+            begin,
+            lambda done, x: F.struct(
+                merge(done["at"], x).cast("int").alias("at"), F.concat(done["each"], F.array(done["at"])).alias("each")
+            ),
+        )
+
+    def joined(parts: Column) -> Column:
+        def placed(begins: Column) -> Column:
+            return F.flatten(
+                F.transform(parts, lambda p, i: F.transform(p["each"], lambda x: merge(F.get(begins, i), x).cast("int")))
+            )
+
+        return _let(run(F.transform(parts, lambda p: p["at"]))["each"], placed)
+
+    starts = F.sequence(F.lit(1), F.size(numbers), F.lit(STEP))
+
+    def block(at: Column) -> Column:
+        places = F.sequence(at, F.least(at + (STEP - 1), F.size(numbers)))
+        return run(F.transform(places, lambda i: F.get(numbers, i - 1)))
+
+    blocks = F.transform(starts, block)
+    return F.when(F.size(numbers) > 0, _let(blocks, joined)).otherwise(F.array().cast("array<int>"))
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _chunks(text: Column) -> Column:
+    """The text in pieces of STEP code points."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STEP}}}"), F.lit(0))
+    return F.when(F.length(text) <= STEP, F.array(text)).otherwise(pieces)
+
+
+def _cut(chunks: Column, begin: Column, end: Column) -> Column:
+    """Code points ``begin`` (from 0) to ``end``, or the last, of a text in chunks; only theirs are read."""
+    first = F.floor(begin / F.lit(STEP)).cast("int")
+    last = F.greatest(F.floor((end - 1) / F.lit(STEP)).cast("int"), first)
+    long = F.array_join(F.transform(F.sequence(first, last), lambda i: F.get(chunks, i)), "")
+    part = F.when(first == last, F.coalesce(F.get(chunks, first), F.lit(""))).otherwise(long)
+    return F.substring(part, begin - first * STEP + 1, end - begin)
 
 
 def _located(text: Column, pattern: str, needs: str | None) -> Column:
     """Start, end (code points) and text of every match."""
-    said = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    nothing = F.array().cast(_SPAN)
 
-    def add(done: Column, i: Column) -> Column:
-        start = done["at"] + F.length(F.get(between, i))
-        end = start + F.length(F.get(said, i))
-        span = F.struct(start.alias("start"), end.alias("end"), F.get(said, i).alias("said"))
-        return F.struct(end.cast("int").alias("at"), F.concat(done["spans"], F.array(span).cast(_SPAN)).alias("spans"))
+    def spans(x: Column) -> Column:
+        ends = F.transform(x["said"], lambda s, i: F.length(F.get(x["between"], i)) + F.length(s))
 
-    begin = F.struct(F.lit(0).cast("int").alias("at"), nothing.alias("spans"))
-    every = F.aggregate(F.sequence(F.lit(0), F.size(said) - 1), begin, add, lambda done: done["spans"])
-    found = F.when(F.size(said) > 0, every).otherwise(nothing)
-    return F.when(F.contains(text, F.lit(needs)), found).otherwise(nothing) if needs else found
+        def span(past: Column) -> Column:
+            def one(s: Column, i: Column) -> Column:
+                start = F.get(past, i) + F.length(F.get(x["between"], i))
+                return F.struct(start.alias("start"), (start + F.length(s)).alias("end"), s.alias("said"))
+
+            return F.transform(x["said"], one)
+
+        return _let(_let(ends, lambda e: _before(e, _add)), span)
+
+    def found(said: Column) -> Column:
+        parts = F.struct(said.alias("said"), F.split(text, pattern, -1).alias("between"))
+        return F.when(F.size(said) > 0, _let(parts, spans).cast(_SPAN)).otherwise(F.array().cast(_SPAN))
+
+    every = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found)
+    return F.when(F.contains(text, F.lit(needs)), every).otherwise(F.array().cast(_SPAN)) if needs else every
 
 
 def _digits(said: Column) -> Column:
@@ -119,18 +190,16 @@ def _gazetteer(kind: int, said: Column) -> Column:
     return F.rlike(said, F.lit(CARD_PREFIX if kind == CARD else AREA))
 
 
-def _candidates(text: Column, kind: int, strict: bool) -> Column:
+def _voted(spans: Column, chunks: Column, kind: int, strict: bool) -> Column:
     """Kind, start, end, whether in the base, and the labelers' votes as one number."""
-    spans = _located(text, (STRICT if strict else WIDE)[kind], NEEDS.get((kind, strict)))
 
     def vote(span: Column) -> Column:
         base = _valid(kind, span["said"]) if strict else F.lit(False)
-        reach = F.least(span["start"], F.lit(BEFORE))
-        before = F.substring(text, span["start"] - reach + 1, reach)
+        before = _cut(chunks, F.greatest(span["start"] - BEFORE, F.lit(0)), span["start"])
         around = F.concat(
-            F.substring(text, span["start"], F.when(span["start"] > 0, 1).otherwise(0)),
+            _cut(chunks, F.greatest(span["start"] - 1, F.lit(0)), span["start"]),
             F.lit(" "),
-            F.substring(text, span["end"] + 1, F.lit(1)),
+            _cut(chunks, span["end"], span["end"] + 1),
         )
         cue = F.when(F.rlike(before, F.lit(FOR_WORDS[kind])), 2).when(F.rlike(before, F.lit(AGAINST_WORDS)), 1)
         votes = [
@@ -154,8 +223,18 @@ def _candidates(text: Column, kind: int, strict: bool) -> Column:
 def with_candidates(docs: DataFrame, text: str = "text", out: str = "candidates") -> DataFrame:
     """The documents with an array of candidate spans; null text has none."""
     body = F.coalesce(F.col(text), F.lit(""))
-    found = [_candidates(body, k, True) for k in range(4)] + [_candidates(body, k, False) for k in WIDE]
-    return docs.withColumn(out, F.flatten(F.array(*found)))
+    sought = [(k, True) for k in range(4)] + [(k, False) for k in WIDE]
+    located = F.array(*[_located(body, (STRICT if strict else WIDE)[k], NEEDS.get((k, strict))) for k, strict in sought])
+
+    def voted(spans: Column) -> Column:
+        def each(chunks: Column) -> Column:
+            every = [_voted(F.get(spans, i), chunks, k, strict) for i, (k, strict) in enumerate(sought)]
+            return F.flatten(F.array(*every)).cast(_CANDIDATE)
+
+        none = F.array().cast(_CANDIDATE)
+        return F.when(F.exists(spans, lambda x: F.size(x) > 0), _let(_chunks(body), each)).otherwise(none)
+
+    return docs.withColumn(out, _let(located, voted))
 
 
 def _split(code: int) -> list[int]:
@@ -223,21 +302,39 @@ def learnt(candidates: DataFrame, column: str = "candidates") -> list[int]:
     return sorted(accepted)
 
 
+def _place(c: Column) -> Column:
+    return F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
+
+
 def decided(accepted: list[int], column: str = "candidates") -> Column:
     """All spans, by kind and start: the base, and accepted others that overlap none of it."""
     codes = F.array(*[F.lit(x) for x in accepted]).cast("array<int>")
-    every = F.col(column)
-    base = F.filter(every, lambda c: c["base"])
+    base = F.transform(F.filter(column, lambda c: c["base"]), _place)
+    others = F.transform(
+        F.filter(column, lambda c: ~c["base"] & F.array_contains(codes, c["kind"] * 3**LABELERS + c["votes"])), _place
+    )
 
-    def added(c: Column) -> Column:
-        clear = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        return ~c["base"] & F.array_contains(codes, c["kind"] * 3**LABELERS + c["votes"]) & clear
+    def edge(at: str, fixed: bool):
+        def of(s: Column) -> Column:
+            return F.struct(s[at].alias("at"), F.lit(fixed).alias("fixed"), s.alias("span"))
 
-    plain = F.transform(
-        F.filter(every, lambda c: c["base"] | added(c)),
-        lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
-    )
-    return F.array_sort(plain)
+        return of
+
+    def clear(edges: Column) -> Column:
+        # Base spans by their start, others by their end: an other overlaps none of the
+        # base if no base span that starts before its end ends after its start.
+        ends = F.transform(edges, lambda e: F.when(e["fixed"], e["span"]["end"]).otherwise(0))
+        return _let(
+            _let(ends, lambda x: _before(x, F.greatest)),
+            lambda past: F.filter(edges, lambda e, i: e["fixed"] | (F.get(past, i) <= e["span"]["start"])),
+        )
+
+    def swept(x: Column) -> Column:
+        edges = F.concat(F.transform(x["base"], edge("start", True)), F.transform(x["others"], edge("end", False)))
+        left = F.transform(_let(F.array_sort(edges), clear), lambda e: e["span"])
+        return F.array_sort(F.when(F.size(x["others"]) > 0, left).otherwise(x["base"]))
+
+    return _let(F.struct(base.alias("base"), others.alias("others")), swept)
 
 
 def _listed(spans: Column) -> Column:
@@ -251,16 +348,13 @@ def span_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
 
     Counts and the digest are of the base spans; ``spans`` lists all as
-    ``kind:start:end`` (code points, end exclusive). A null text is empty and has none.
-    Candidates are found once per text and stored without it.
+    ``kind:start:end`` (code points, end exclusive). A null text is empty and has none;
+    repeated rows are a row each; an empty table gives no rows; other columns are not used;
+    a long text takes time in proportion to its length and its matches. Candidates are found
+    once per text and stored without it.
     """
     found = stored(with_candidates(docs.select("doc_id", "text")).select("doc_id", "candidates"), "candidates")
-    base = F.array_sort(
-        F.transform(
-            F.filter("candidates", lambda c: c["base"]),
-            lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
-        )
-    )
+    base = F.array_sort(F.transform(F.filter("candidates", lambda c: c["base"]), _place))
 
     def count(kind: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -278,11 +372,37 @@ def span_report(docs: DataFrame) -> DataFrame:
     )
 
 
+def _merged(spans: Column) -> Column:
+    """Spans by start, those that overlap as one, of the first one's kind."""
+
+    def joined(past: Column) -> Column:
+        each = F.transform(
+            spans, lambda s, i: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), F.get(past, i).alias("past"))
+        )
+        longest = F.array_max(F.transform(spans, lambda s: s["end"]))
+
+        def ended(firsts: Column) -> Column:
+            return F.transform(
+                firsts,
+                lambda f, i: F.struct(
+                    f["start"].alias("start"),
+                    F.coalesce(F.get(firsts, i + 1)["past"], longest).alias("end"),
+                    f["kind"].alias("kind"),
+                ),
+            )
+
+        return _let(F.filter(each, lambda f: f["start"] >= f["past"]), ended)
+
+    ends = F.transform(spans, lambda s: s["end"])
+    return _let(_let(ends, lambda e: _before(e, F.greatest)), joined).cast(_PLACE)
+
+
 def masked(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; n_chars follows.
 
-    Spans that overlap become one, named after the first. Documents without spans are
-    unchanged. Columns stay as they are, whatever others there are.
+    Spans that overlap become one, named after the first. Documents without spans, null and
+    empty texts among them, are unchanged; repeated rows are a row each; an empty table stays
+    one. Columns stay as they are, whatever others there are.
     """
     names = docs.columns
     packed = docs.select(F.struct(*names).alias("row"), F.coalesce("text", F.lit("")).alias("body"))
@@ -293,33 +413,22 @@ def masked(docs: DataFrame) -> DataFrame:
         )
     )
     kind_names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    piece = "struct<start: int, end: int, kind: int>"
-
-    def merge(done: Column, s: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        one, longer = F.array(s).cast(f"array<{piece}>"), F.array(joined).cast(f"array<{piece}>")
-        return F.when(
-            (F.size(done) > 0) & (s["start"] < last["end"]),
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), longer),
-        ).otherwise(F.concat(done, one))
-
-    merged = F.aggregate("spans", F.array().cast(f"array<{piece}>"), merge)
-
-    def replaced(s: Column, i: Column) -> Column:
-        begin = F.when(i > 0, F.get(F.col("merged"), i - 1)["end"]).otherwise(0)
-        return F.concat(F.substring(F.col("body"), begin + 1, s["start"] - begin), F.get(kind_names, s["kind"]))
-
-    last = F.get("merged", F.size("merged") - 1)["end"]
-    rest = F.substring(F.col("body"), last + 1, F.length("body"))
-    text = F.concat(F.array_join(F.transform("merged", replaced), ""), rest)
+
+    def text(chunks: Column) -> Column:
+        def replaced(s: Column, i: Column) -> Column:
+            begin = F.when(i > 0, F.get(F.col("merged"), i - 1)["end"]).otherwise(0)
+            return F.concat(_cut(chunks, begin, s["start"]), F.get(kind_names, s["kind"]))
+
+        last = F.get("merged", F.size("merged") - 1)["end"]
+        return F.concat(F.array_join(F.transform("merged", replaced), ""), _cut(chunks, last, F.length("body")))
+
+    changed = F.size("merged") > 0
     out = (
         with_candidates(packed, "body")
         .withColumn("spans", spans)
-        .withColumn("merged", merged)
-        .withColumn("clean", F.when(F.size("merged") > 0, text).otherwise(F.col("row.text")))
+        .withColumn("merged", _merged(F.col("spans")))
+        .withColumn("clean", F.when(changed, _let(_chunks(F.col("body")), text)).otherwise(F.col("row.text")))
     )
-    changed = F.size("merged") > 0
     columns = []
     for name in names:
         column = F.col("row")[name]

@@ -10,6 +10,7 @@ import tiktoken
 from brute import base_spans, pii_row
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from incident_mart.llm import byte_bpe, chat, common, pii, toxicity
 
@@ -141,6 +142,62 @@ def test_spans_are_added_where_labelers_agree(spark):
     assert got[1005].spans == "" and got[2005].n_phone == 1
 
 
+def test_a_text_of_many_matches(spark):
+    """Offsets and masks of thousands of spans, over many blocks and chunks, in linear time."""
+    parts = [("host 10.2.%d.%d é" % (i % 256, i % 199)) if i % 3 else "😀 mail a%d@b.co, " % i for i in range(20000)]
+    text = " ".join(parts) + "x" * 1500 + "+1 212 555 0143"
+    docs = spark.createDataFrame([(1, text, 0), (2, "a@b.cd", 0)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in pii.span_report(docs).collect()}
+    assert (got[1].n_email, got[1].n_ip, got[1].n_card, got[1].n_phone, got[1].base_sha256) == pii_row(text)
+    clean, at = "", 0
+    for kind, a, b in sorted(base_spans(text), key=lambda s: s[1]):
+        clean, at = clean + text[at:a] + f"[{kind.upper()}]", b
+    clean = {r.doc_id: r.text for r in pii.masked(docs).collect()} | {0: clean + text[at:]}
+    assert clean[1] == clean[0] and clean[2] == "[EMAIL]"
+
+
+def test_running_values_and_cuts(spark):
+    def cut(a, b):
+        return pii._let(pii._chunks(F.col("t")), lambda c: pii._cut(c, F.lit(a), F.lit(b))).alias(f"cut{a}_{b}")
+
+    rows = [(list(range(n)), "aé😀b" * n) for n in (0, 1, 127, 128, 129, 1200)]
+    out = spark.createDataFrame(rows, "xs array<int>, t string").select(
+        "xs",
+        "t",
+        pii._before(F.col("xs"), lambda a, b: a + b).alias("sums"),
+        pii._before(F.col("xs"), F.greatest).alias("most"),
+        *[cut(a, b) for a, b in CUTS],
+    )
+    for r in out.collect():
+        assert list(r.sums) == [sum(r.xs[:i]) for i in range(len(r.xs))]
+        assert list(r.most) == [max(r.xs[:i], default=0) for i in range(len(r.xs))]
+        for a, b in CUTS:
+            assert r[f"cut{a}_{b}"] == r.t[a:b], (a, b, len(r.t))
+
+
+CUTS = [(0, 0), (0, 3), (500, 512), (511, 513), (512, 512), (512, 600), (100, 2000), (1024, 1025), (4799, 4801)]
+
+
+def test_spans_that_overlap_the_base_are_not_added(spark):
+    def all_pairs(candidates, accepted):
+        base = [c[:3] for c in candidates if c[3]]
+        more = [c[:3] for c in candidates if not c[3] and c[0] * 81 + c[4] in accepted]
+        return sorted(base + [c for c in more if not any(b[1] < c[2] and c[1] < b[2] for b in base)])
+
+    random = np.random.default_rng(4)
+    rows = []
+    for i in range(60):
+        spans = []
+        for a in random.integers(0, 200, random.integers(0, 40)).tolist():
+            kind, length, base, votes = (int(random.integers(n)) for n in (4, 11, 2, 3))
+            spans.append((kind, a, a + length + 1, bool(base), votes))
+        rows.append((i, spans))
+    docs = spark.createDataFrame(rows, f"doc_id long, candidates {pii._CANDIDATE}")
+    accepted = [k * 81 + v for k in range(4) for v in (0, 2)]
+    for r in docs.withColumn("all", pii.decided(accepted)).collect():
+        assert [(s.kind, s.start, s.end) for s in r["all"]] == all_pairs([tuple(c) for c in r.candidates], accepted)
+
+
 def test_masking(spark):
     rows = [
         (1, "see a@b.cd, 1.2.3.4 é x", "row", 23),
