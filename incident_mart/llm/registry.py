@@ -50,7 +50,7 @@ def op5_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without the places in files and key ranges, which depend on how tasks were dealt."""
+    """With the rank that the merge gives; without places in files and key ranges, which depend on how tasks were dealt."""
     history = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return history.drop("run", "offset", "key_range", "place")
 
@@ -156,7 +156,8 @@ SELECT page_id, strlen(html) AS payload_bytes,
     CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id <> keeper THEN keeper END AS refers_to,
     array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || substr(bare, length(host) + 1) AS url_key,
-    strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+    strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured_at,
+    row_number() OVER (ORDER BY url_key, captured_at, page_id) AS rank
 FROM known
 """
 

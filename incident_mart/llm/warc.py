@@ -14,6 +14,7 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -131,7 +132,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     files = max(1, -(-total // ARCHIVE_BYTES))
     # By a row number too, so that rows which repeat part.
     file = F.pmod(F.xxhash64("url_key", "page_id", "row_no"), F.lit(files))
-    runs = records(pages, least_bytes).repartition(files, file).sortWithinPartitions("url_key", "captured_at", "page_id")
+    # The file number is the partition; hashed again, some files would be empty and others double.
+    runs = records(pages, least_bytes).repartitionById(files, file.cast("int")).sortWithinPartitions("url_key", "captured_at", "page_id")
     runs.select("record").write.option("lineSep", SEPARATOR).option("compression", "gzip").text(path)
 
 
@@ -265,22 +267,29 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def merged_history(index: DataFrame) -> DataFrame:
-    """The index with ``key_range`` and ``place``: in that order, captures are sorted by
-    URL key, capture time and page, over all runs."""
+    """The index with ``key_range``, ``place`` in it and ``rank``, the place (from 1) in the whole
+    capture history: sorted by URL key, capture time and page, over all runs."""
     keyed = stored(index.withColumn("url_key", url_key(F.col("url"))), "index")
     ranges = max(1, -(-keyed.count() // RANGE_ROWS))
     dealt = keyed.repartitionByRange(ranges, "url_key", "captured_at", "page_id")
     merged = dealt.mapInArrow(_merge, f"{INDEX}, url_key string, place long")
-    return merged.withColumn("key_range", F.spark_partition_id())
+    history = stored(merged.withColumn("key_range", F.spark_partition_id()), "history")
+    counts = sorted(history.groupBy("key_range").count().collect())  # a row per RANGE_ROWS entries
+    before = accumulate((n for _, n in counts), initial=0)
+    starts = index.sparkSession.createDataFrame([(k, b) for (k, _), b in zip(counts, before)], "key_range int, before long")
+    ranked = history.join(F.broadcast(starts), "key_range")
+    return ranked.withColumn("rank", F.col("before") + F.col("place") + 1).drop("before")
 
 
 def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Writes all pages to archives on the shared folder, reads them back, merges the index.
 
     Columns: page_id, payload_bytes, payload_digest, record_type, refers_to, url_key,
-    captured_at, run, offset, key_range, place. Null html is an empty payload, a null
-    url an empty one; pages without an id refer to one with, if payloads are equal; a
-    repeated row is a record each; an empty table gives no rows.
+    captured_at, rank (in the order of the whole history, from 1), run, offset, key_range,
+    place. Null html is an empty payload, a null url an empty one; pages without an id come
+    first under equal URL key and time and refer to one with, if payloads are equal; a
+    repeated row is a record each, with a rank each; an empty table gives no rows; other
+    columns are not used.
     """
     spark = pages.sparkSession
     path = scratch_dir(spark, "archives")
@@ -294,6 +303,7 @@ def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         "refers_to",
         "url_key",
         "captured_at",
+        "rank",
         "run",
         "offset",
         "key_range",

@@ -30,6 +30,7 @@ def test_round_trip_equals_brute_force(spark, monkeypatch):
     out = warc.archive_round_trip(frame(spark, ROWS)).collect()
     assert got_rows(out) == warc_rows([(i, h) for i, _, h in ROWS])
     order = [(r.url_key, r.captured_at, r.page_id) for r in sorted(out, key=lambda r: (r.key_range, r.place))]
+    assert [r.rank for r in sorted(out, key=lambda r: (r.key_range, r.place))] == list(range(1, len(ROWS) + 1))
     assert order == sorted(order) and len({r.run for r in out}) > 2 and len({r.key_range for r in out}) > 1
 
 
@@ -77,6 +78,14 @@ def test_files_are_archives(spark, tmp_path):
     assert sorted(keys) == sorted(r[0] for r in ROWS)
 
 
+def test_archives_are_of_even_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 40_000)
+    rows = [(i, f"https://h{i % 50}.org/{i}", f"{i} " + "x" * (i % 200)) for i in range(4000)]
+    warc.write_archives(frame(spark, rows), str(tmp_path / "a"))
+    sizes = [len(zlib.decompress(f.read_bytes(), wbits=31)) for f in (tmp_path / "a").glob("*.gz")]
+    assert len(sizes) > 8 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+
+
 def test_damage_is_an_error():
     body = b"HTTP/1.1 200 OK\r\nContent-Length: 2\r\n\r\nok"
     record = (
