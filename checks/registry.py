@@ -135,6 +135,23 @@ def fact_latest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.fact_traffic_accidents(persons, crashes)
 
 
+@query(_fact_sql(roles.PERSONS_TABLE, roles.CRASHES_TABLE, "person_id, safety_equipment"))
+def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact kept by change over two loads that share crashes, the second one run twice."""
+    kept = plans.KeptFact(scratch_dir(spark, "kept"), parts=16)
+    persons = plans.stg_persons_data(roles.persons(spark, sf_dir))
+    crashes = plans.stg_traffic_data(roles.crashes(spark, sf_dir))
+    late = F.month("crash_date") > 6
+    first = (persons.filter(~late), crashes.filter(F.col("injuries_fatal") == 0))
+    second = (
+        persons.filter(late | late.isNull()),
+        crashes.filter(~F.col("injuries_fatal").eqNullSafe(F.lit(0))),
+    )
+    for load, rows in (("first", first), ("second", second), ("second", second)):
+        kept.bring_in(spark, load, *rows)
+    return kept.read(spark)
+
+
 @query(_STG_PERSONS)
 def stg_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.stg_persons_data(roles.persons(spark, sf_dir))

@@ -15,6 +15,7 @@ from .feeds import (
     stage_pages,
     widen,
 )
+from .kept_fact import KeptFact
 from .models import (
     age_distri,
     build_models,
@@ -27,6 +28,7 @@ from .models import (
 from .refresh import compact_feeds, full_refresh, publish_models, read_tables
 
 __all__ = [
+    "KeptFact",
     "KeyForm",
     "Layout",
     "age_distri",

@@ -84,27 +84,37 @@ def stg_vehicles_data(vehicles: DataFrame) -> DataFrame:
     )
 
 
-def fact_traffic_accidents(persons: DataFrame, crashes: DataFrame) -> DataFrame:
+def person_ties(persons: DataFrame) -> list[str]:
+    """What decides between persons of one date, in this order."""
+    return [c for c in ("person_id", ROW_KEY) if c in persons.columns] + ["safety_equipment"]
+
+
+def without_passengers(persons: DataFrame) -> DataFrame:
+    return persons.filter(F.col("person_type") != PASSENGER)
+
+
+def fact_traffic_accidents(
+    persons: DataFrame, crashes: DataFrame, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Latest non-passenger per person type and crash, with the crash's conditions.
 
     Ties on the date go to the lower ``person_id``, then to the lower surrogate key;
     the last tie-breaker is the only other person column in the result, so the rows
-    do not depend on the order of the input.
+    do not depend on the order of the input. ``carried`` names person columns to add.
     """
-    ties = [c for c in ("person_id", ROW_KEY) if c in persons.columns] + ["safety_equipment"]
     latest = latest_per_group(
-        persons.filter(F.col("person_type") != PASSENGER),
+        without_passengers(persons),
         ["person_type", "crash_record_id"],
         "traffic_crash_date",
-        ties,
+        person_ties(persons),
     )
     joined = join_on_key(
-        latest, crashes, "crash_record_id", FACT_PERSON_COLUMNS, FACT_CRASH_COLUMNS
+        latest, crashes, "crash_record_id", [*FACT_PERSON_COLUMNS, *carried], FACT_CRASH_COLUMNS
     )
     # Month and year follow from the date; made here, they are not shuffled twice.
     when = F.col("traffic_crash_date")
     calendar = {"crash_month": month_name(month_number(when)), "crash_year": year_number(when)}
-    return with_computed(joined, calendar).select(*FACT_COLUMNS)
+    return with_computed(joined, calendar).select(*FACT_COLUMNS, *carried)
 
 
 def age_distri(persons: DataFrame) -> DataFrame:

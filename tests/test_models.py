@@ -176,3 +176,45 @@ def keyed(spark, feed, ids):
     columns = [f"{values.get(c.loaded, f'cast(id as {c.loaded})')} as {c.name}" for c in feed.columns]
     frame = spark.createDataFrame([(i,) for i in ids], "id int").selectExpr(*columns)
     return with_surrogate_key(frame, feed.hash_columns)
+
+
+def test_a_kept_fact_equals_the_whole_one_and_touches_its_parts_only(spark, tmp_path):
+    def staged(data):
+        return plans.stg_persons_data(persons(spark, data))
+
+    hot = [(f"p{i}", "DRIVER", "c0", EARLY, "BELT", 30) for i in range(200)]
+    loads = [
+        (hot + [("a", "DRIVER", "c1", EARLY, "BELT", 20), ("b", "PASSENGER", "c1", LATE, "X", 20)], ["c0", "c1", "c1"]),
+        ([("c", "DRIVER", "c1", LATE, "NONE", 40), ("d", "CYCLIST", "c2", None, None, 9), ("e", None, "c1", LATE, "X", 9)], []),
+        ([], ["c2", "c3"]),
+        ([("a0", "DRIVER", "c1", LATE, "TIE", 40), ("f", "DRIVER", None, LATE, "X", 40), ("g", "DRIVER", "c9", LATE, "X", 0)], [None]),
+    ]
+    kept = plans.KeptFact(str(tmp_path / "kept"), parts=64)
+    all_people, all_crashes = [], []
+    for i, (people, ids) in enumerate(loads):
+        found = crashes(spark, [(c, EARLY, 41.5) for c in ids])
+        before = {f: f.stat().st_mtime_ns for f in (tmp_path / "kept" / "fact").rglob("*.parquet")}
+        touched = kept.bring_in(spark, f"load-{i}", staged(people), found)
+        again = kept.bring_in(spark, f"load-{i}", staged(people), found)
+        assert again == touched and len(touched) <= len(people) + len(ids)
+        for file, written in before.items():
+            if int(file.parent.name.split("=")[1]) not in touched:
+                assert file.stat().st_mtime_ns == written
+        all_people, all_crashes = all_people + people, all_crashes + ids
+        whole = plans.fact_traffic_accidents(
+            staged(all_people), crashes(spark, [(c, EARLY, 41.5) for c in all_crashes])
+        )
+        assert rows(kept.read(spark)) == rows(whole)
+    assert kept.bring_in(spark, "none", staged([]), crashes(spark, [])) == []
+
+
+def test_a_kept_fact_reads_touched_parts_only(spark, tmp_path):
+    kept = plans.KeptFact(str(tmp_path / "kept"), parts=64)
+    people = [(f"p{i}", "DRIVER", f"c{i}", EARLY, "BELT", 30) for i in range(100)]
+    some = crashes(spark, [(f"c{i}", EARLY, 41.5) for i in range(100)])
+    kept.bring_in(spark, "one", plans.stg_persons_data(persons(spark, people)), some)
+    latest = spark.read.parquet(str(tmp_path / "kept" / "latest"))
+    part = kept._read(spark, "latest", latest.schema, [3])
+    assert {f.rsplit("/", 2)[1] for f in part.inputFiles()} <= {f"crash_part={k}" for k in range(64)}
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "crash_part" in plan.split("PartitionFilters")[1]
