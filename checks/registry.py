@@ -152,6 +152,20 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.read(spark)
 
 
+@query(_fact_sql(roles.PERSONS_TABLE, roles.CRASHES_TABLE, "person_id, safety_equipment"))
+def fact_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of two loads bucketed by crash; crashes of more than five persons lie apart."""
+    root = scratch_dir(spark, "buckets")
+    kept = plans.CrashBuckets(f"buckets_{root[-32:]}", root, buckets=8, hot_rows=5)
+    persons = plans.stg_persons_data(roles.persons(spark, sf_dir))
+    crashes = plans.stg_traffic_data(roles.crashes(spark, sf_dir))
+    late = F.coalesce(F.month("crash_date") > 6, F.lit(True))
+    fatal = F.coalesce(F.col("injuries_fatal") > 0, F.lit(True))
+    kept.add(spark, "first", persons.filter(~late), crashes.filter(~fatal))
+    kept.add(spark, "second", persons.filter(late), crashes.filter(fatal))
+    return kept.fact(spark)
+
+
 @query(_STG_PERSONS)
 def stg_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.stg_persons_data(roles.persons(spark, sf_dir))

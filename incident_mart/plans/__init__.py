@@ -1,5 +1,6 @@
 """What the operators are strung into: feed loads, models, and the whole refresh."""
 
+from .bucketed import CrashBuckets
 from .catalog import publish_catalog
 from .feeds import (
     KeyForm,
@@ -28,6 +29,7 @@ from .models import (
 from .refresh import compact_feeds, full_refresh, publish_models, read_tables
 
 __all__ = [
+    "CrashBuckets",
     "KeptFact",
     "KeyForm",
     "Layout",

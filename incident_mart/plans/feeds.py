@@ -27,7 +27,14 @@ from ..operators.projection import assert_columns, keep_columns
 from ..schemas import BROKEN, PAGE, Feed
 from ..schemas import Column as FeedColumn
 from ..session import scratch_dir
-from ..sources.files import read_csv, read_parquet_as, remove, replace_rows, store
+from ..sources.files import (
+    read_csv,
+    read_parquet_as,
+    remove,
+    replace_rows,
+    store,
+    store_counted,
+)
 from ..sources.pages import numbered
 from ..sources.tables import insert_only_merge, refresh_views
 from .models import MODELS
@@ -115,20 +122,27 @@ def _hollow_fields(staged: DataFrame, feed: Feed) -> DataFrame:
     return pages.select(PAGE, F.explode("fields").alias("field"))
 
 
-def absent_fields(staged: DataFrame, sent: DataFrame, feed: Feed, path: str) -> DataFrame:
+def absent_fields(
+    staged: DataFrame, sent: DataFrame, feed: Feed, path: str
+) -> tuple[DataFrame, bool]:
     """``(page_no, fields_absent)`` of the pages that lack a column altogether.
 
+    Also says whether any of these columns is text that no page must have.
+
     ``sent`` is that of ``sent_fields``. Only where a column is NULL on all rows of a page
     can it be absent, so ``sent`` is read for such pages alone, and not at all if there
     are none. Stored under ``path``.
     """
-    hollow = store(_hollow_fields(staged, feed), f"{path}/hollow")
-    if not hollow.isEmpty():
+    found = _hollow_fields(staged, feed)
+    hollow, seen = store_counted(found, f"{path}/hollow", fields=F.count(F.lit(1)))
+    if seen["fields"]:
         named = sent.join(hollow.select(PAGE).distinct(), PAGE, "left_semi")
         hollow = hollow.join(named, [PAGE, "field"], "left_anti")
-    return store(
-        hollow.groupBy(PAGE).agg(F.collect_set("field").alias(_ABSENT)), f"{path}/absent"
-    )
+    used = _used_by_name(feed)
+    text = F.arrays_overlap(_ABSENT, _names([c for c in feed.column_names if c not in used]))
+    pages = hollow.groupBy(PAGE).agg(F.collect_set("field").alias(_ABSENT))
+    absent, seen = store_counted(pages, f"{path}/absent", text=F.count_if(text))
+    return absent, seen["text"] > 0
 
 
 def stage_pages(
@@ -234,10 +248,8 @@ def _staged_rows(
     staged = store(stage_pages(raw, feed, strict=not prefix), f"{path}/pages")
     absent = None
     if sent is not None:
-        absent = absent_fields(staged, sent, feed, path)
-        used = _used_by_name(feed)
-        text = [c for c in feed.column_names if c not in used]
-        if not absent.filter(F.arrays_overlap(_ABSENT, _names(text))).isEmpty():
+        absent, lacks_text = absent_fields(staged, sent, feed, path)
+        if lacks_text:
             # Rows that looked incomplete are not, and their fields must be read.
             staged = store(stage_pages(raw, feed, not prefix, absent), f"{path}/pages-again")
     rows = (kept_pages if prefix else all_pages)(staged, feed, first_page, absent)
@@ -345,12 +357,13 @@ def load_pages(
         staged, rows, absent = _staged_rows(raw, feed, folder, on_error, first_page, sent)
         repeats = store(repeated_keys(rows, feed.page_key, PAGE), f"{folder}/repeats")
         first = drop_later_pages(rows, repeats, feed.page_key, PAGE)
-        report = store(page_report(staged, first, feed, absent), layout.report(feed, load_id))
+        report = page_report(staged, first, feed, absent)
+        _, seen = store_counted(report, layout.report(feed, load_id), rows=F.sum("rows_kept"))
         conformed = conform(first, feed)
         if keep_files:
             conformed = store(conformed, layout.conformed(feed))
         _merge(widen(conformed, feed), feed, layout, load_id, target_filter, keys)
-        return report.agg(F.coalesce(F.sum("rows_kept"), F.lit(0))).first()[0]
+        return seen["rows"] or 0
     finally:
         remove(spark, folder)
 

@@ -11,6 +11,7 @@ from .files import (
     replace_rows,
     save_table,
     store,
+    store_counted,
 )
 from .pages import (
     explode_bodies,
@@ -55,5 +56,6 @@ __all__ = [
     "save_table",
     "sent_fields",
     "store",
+    "store_counted",
     "write_json_pages",
 ]

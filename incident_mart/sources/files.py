@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 
@@ -48,6 +50,17 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return read_parquet_as(df.sparkSession, path, df.schema)
 
 
+def store_counted(df: DataFrame, path: str, **counts: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """``store``, and aggregates over the rows that are taken while they are written.
+
+    They need no job and no second read. The write's last stage counts a row once, also
+    when tasks run again.
+    """
+    seen = Observation()
+    observed = df.observe(seen, *[count.alias(name) for name, count in counts.items()])
+    return store(observed, path), seen.get
+
+
 def _on_disk(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at

@@ -26,7 +26,7 @@ from ..operators.contract import required
 from ..operators.merge import FEW_KEYS, KEY, NEW, counted_keys, rows_of_new_keys, status_of
 from ..operators.projection import assert_columns
 from ..schemas import LOAD_ID, ROW_KEY
-from .files import exists, names_at, remove, store
+from .files import exists, names_at, remove, store_counted
 
 _CREATED = "created"
 #: Spark's readers skip folders whose name starts with an underscore.
@@ -265,12 +265,14 @@ def _merge(
     if is_empty:
         fresh = rows
     else:
-        keys = store(counted_keys(rows, key), f"{notes}/source")
-        few = keys.count() <= FEW_KEYS
+        counted = counted_keys(rows, key)
+        keys, seen = store_counted(counted, f"{notes}/source", keys=F.count(F.lit(1)))
+        few = seen["keys"] <= FEW_KEYS
         target = lookup(prefixes_of(keys, KEY, digits) if digits else None)
-        status = store(status_of(keys, target, key, few_keys=few), f"{notes}/status")
+        decided = status_of(keys, target, key, few_keys=few)
+        status, seen = store_counted(decided, f"{notes}/status", new=F.count_if(F.col(NEW)))
         fresh = rows_of_new_keys(rows, status, key)
-        if folder != load_id and status.filter(NEW).isEmpty():
+        if folder != load_id and not seen["new"]:
             remove(spark, notes)
             return
     needed = [f.name for f in schema.fields if not f.nullable]
