@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .plans import (
+    CrashBuckets,
     KeyForm,
     Layout,
     compact_feeds,
@@ -52,6 +53,7 @@ def _arguments() -> argparse.ArgumentParser:
             sub.add_argument("--timestamp-suffix", default="", help="such as +00")
         if job in ("refresh", "models"):
             sub.add_argument("--sample", type=int, help="rows of persons and crashes to build on")
+            sub.add_argument("--buckets", type=int, help="bucket persons and crashes in --database")
         if job == "refresh":
             sub.add_argument("--load-id", required=True)
         if job == "models":
@@ -70,7 +72,8 @@ def _arguments() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, int]:
     """Run one job; the rows merged per feed (``refresh`` only)."""
-    args = _arguments().parse_args(argv)
+    parser = _arguments()
+    args = parser.parse_args(argv)
     spark = configure(spark) if spark else build_session()
     counts: dict[str, int] = {}
     if args.job in ("refresh", "stream"):
@@ -81,6 +84,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             "target_filter": F.expr(args.target_filter) if args.target_filter else None,
             "keys": KeyForm(args.key_separator, args.timestamp_suffix),
         }
+    buckets = None
+    if args.job in ("refresh", "models") and args.buckets:
+        if not args.database:
+            parser.error("--buckets needs --database")
+        buckets = CrashBuckets(args.database, f"{args.root}/buckets", args.buckets)
     if args.job == "refresh":
         pages = {
             name: read_json_pages(
@@ -95,12 +103,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             for name, path in args.pages
         }
         counts, _ = full_refresh(
-            spark, pages, args.root, args.load_id, sample=args.sample, sent=sent, **options
+            spark,
+            pages,
+            args.root,
+            args.load_id,
+            sample=args.sample,
+            sent=sent,
+            buckets=buckets,
+            **options,
         )
     elif args.job == "compact":
         compact_feeds(spark, Layout(args.root), args.at_least, args.keep_replaced)
     elif args.job == "models":
-        publish_models(spark, Layout(args.root), args.sample, args.select)
+        publish_models(spark, Layout(args.root), args.sample, args.select, buckets)
     else:
         closed = dict(args.closed or [])
         running = [

@@ -8,16 +8,21 @@ follows from counts that each load leaves; rows are never moved, reads take the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import HOT_ROWS
 from ..operators.projection import assert_columns
+from ..schemas import CRASHES as CRASHES_FEED
 from ..schemas import LOAD_ID
+from ..schemas import PERSONS as PERSONS_FEED
 from ..session import scratch_dir
 from ..sources.files import names_at, remove, store
-from .models import fact_traffic_accidents
+from ..sources.tables import compactions, create_table_if_absent, live_loads, read_table
+from .feeds import Layout
+from .models import fact_traffic_accidents, stg_persons_data, stg_traffic_data
 
 ID = "crash_record_id"
 PERSONS, CRASHES = "persons", "crashes"
@@ -78,7 +83,8 @@ class CrashBuckets:
     def _notes(self, spark: SparkSession, without: str | None = None) -> DataFrame:
         folders = [f"{self.root}/notes/{load}" for load in self.loads(spark) if load != without]
         if not folders:
-            return spark.createDataFrame([], _NOTES)
+            columns = [c.rsplit(" ", 1) for c in _NOTES.split(", ")]
+            return spark.range(0).select(*[F.lit(None).cast(kind).alias(c) for c, kind in columns])
         return spark.read.schema(_NOTES).parquet(*folders)
 
     def _apart_ids(self, notes: DataFrame) -> DataFrame:
@@ -96,13 +102,23 @@ class CrashBuckets:
         many = counts.agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") >= floor)
         return many.select(F.lit(kind).alias("kind"), "apart_id", "rows", F.lit(False).alias("spread"))
 
-    def add(self, spark: SparkSession, load_id: str, persons: DataFrame, crashes: DataFrame) -> None:
-        """Add one load's rows of the staging models, or replace it; either may be empty."""
-        frames = {PERSONS: persons, CRASHES: crashes}
+    def add(
+        self,
+        spark: SparkSession,
+        load_id: str,
+        persons: DataFrame | None = None,
+        crashes: DataFrame | None = None,
+    ) -> None:
+        """Add one load's rows of the staging models, or replace those it had before.
+
+        A load that never has rows of one kind may leave it out.
+        """
+        given = {PERSONS: persons, CRASHES: crashes}
+        frames = {kind: rows for kind, rows in given.items() if rows is not None}
         scratch = scratch_dir(spark, "crash-buckets")
         try:
-            counted = self._noted(persons, PERSONS).unionByName(self._noted(crashes, CRASHES))
-            noted = store(counted, f"{scratch}/noted")
+            counted = [self._noted(rows, kind) for kind, rows in frames.items()]
+            noted = store(reduce(DataFrame.unionByName, counted), f"{scratch}/noted")
             known = self._notes(spark, without=load_id).unionByName(noted)
             apart = store(self._apart_ids(known), f"{scratch}/apart")
             for kind, rows in frames.items():
@@ -138,6 +154,33 @@ class CrashBuckets:
                 part=part,
             )
 
+    def catch_up(self, spark: SparkSession, layout: Layout) -> list[str]:
+        """Add the staging rows of each load of the feeds' tables that is not in yet; their names.
+
+        A load of a table is a load here, named after its feed. A compaction of loads that
+        are all in adds nothing, one of loads that are not is added as one; one that mixes
+        them is an error, so catch up before compacting.
+        """
+        done, added = set(self.loads(spark)), []
+        for feed, kind, staged in (
+            (PERSONS_FEED, PERSONS, stg_persons_data),
+            (CRASHES_FEED, CRASHES, stg_traffic_data),
+        ):
+            path, schema = layout.table(feed), feed.table_schema
+            create_table_if_absent(spark, path, schema, layout.prefix_digits)
+            replaced = compactions(spark, path)
+            for load in live_loads(spark, path):
+                name = f"{kind}-{load}"
+                if name in done:
+                    continue
+                known = [f"{kind}-{old}" in done for old in replaced.get(load, [])]
+                if any(known) and not all(known):
+                    raise ValueError(f"{path}: {load} replaces loads of which only some are in the buckets")
+                rows = read_table(spark, path, schema, only_load=load)
+                self.add(spark, name, **{kind: staged(rows.limit(0) if any(known) else rows)})
+                added.append(name)
+        return added
+
     def _rows(self, spark: SparkSession, kind: str, place: str) -> DataFrame:
         table = spark.table(self._attach(spark, kind, place, None))
         return table.filter(F.col(LOAD_ID).isin(self.loads(spark))).drop(LOAD_ID)

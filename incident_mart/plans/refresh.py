@@ -17,6 +17,7 @@ from ..sources.tables import (
     refresh_views,
     remove_replaced,
 )
+from .bucketed import CrashBuckets
 from .feeds import PLAIN_KEYS, KeyForm, Layout, load_pages
 from .models import CORE, MODELS, build_models
 
@@ -37,12 +38,20 @@ def publish_models(
     layout: Layout,
     sample: int | None = None,
     select: list[str] | None = None,
+    buckets: CrashBuckets | None = None,
 ) -> dict[str, DataFrame]:
     """Staging models as views, core models as tables; the frames to read them by.
 
-    ``select`` names the models to publish (default: all).
+    ``select`` names the models to publish (default: all). With ``buckets``, loads that are
+    new are added to them and the fact is made from them, without a shuffle of either side;
+    they hold all rows, so there is no ``sample`` then.
     """
+    if buckets and sample is not None:
+        raise ValueError("a fact from buckets is of all rows; leave out sample or buckets")
     models = build_models(**read_tables(spark, layout), sample=sample)
+    if buckets and (select is None or "fact_traffic_accidents" in select):
+        buckets.catch_up(spark, layout)
+        models["fact_traffic_accidents"] = buckets.fact(spark)
     wanted = list(models) if select is None else select
     unknown = [name for name in wanted if name not in models]
     if unknown:
@@ -92,6 +101,7 @@ def full_refresh(
     keys: KeyForm = PLAIN_KEYS,
     prefix_digits: int = 0,
     sent: dict[str, DataFrame] | None = None,
+    buckets: CrashBuckets | None = None,
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Load each feed's pages and publish the models.
 
@@ -99,8 +109,8 @@ def full_refresh(
     Running it again with the same pages adds nothing. ``target_filter`` is that of
     ``insert_only_merge`` and may name columns that all these feeds have;
     ``prefix_digits`` lays out tables that are not yet there; ``sent`` maps feed names to
-    the ``sent`` of ``clean_pages``. Gives the rows merged per
-    feed and the models.
+    the ``sent`` of ``clean_pages``; ``buckets`` is that of ``publish_models``. Gives the
+    rows merged per feed and the models.
     """
     unknown = [name for name in pages if name not in FEEDS]
     if unknown:
@@ -123,4 +133,4 @@ def full_refresh(
     # The feeds do not depend on each other; side by side, one fills the other's gaps.
     with ThreadPoolExecutor(max_workers=len(FEEDS)) as pool:
         counts = dict(zip(pages, pool.map(load, pages), strict=True))
-    return counts, publish_models(spark, layout, sample)
+    return counts, publish_models(spark, layout, sample, buckets=buckets)

@@ -88,7 +88,7 @@ def _name(folder: str) -> str:
     return folder.rsplit("/", 1)[1].partition("=")[2]
 
 
-def _marks(spark: SparkSession, path: str) -> dict[str, list[str]]:
+def compactions(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """For every committed compaction, the loads that it replaced."""
     found = {}
     for mark in names_at(spark, f"{path}/{_MARKS}/*/_SUCCESS"):
@@ -100,7 +100,7 @@ def _marks(spark: SparkSession, path: str) -> dict[str, list[str]]:
 
 def _loads(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """Names of the live loads, and of the folders that are not."""
-    marks = _marks(spark, path)
+    marks = compactions(spark, path)
     replaced = {name for names in marks.values() for name in names}
     whole = {_name(mark.rsplit("/", 1)[0]) for mark in names_at(spark, f"{path}/{LOAD_ID}=*/_SUCCESS")}
     every = sorted(_name(folder) for folder in names_at(spark, f"{path}/{LOAD_ID}=*"))
@@ -122,9 +122,12 @@ def read_table(
     schema: T.StructType,
     without_load: str | None = None,
     prefixes: list[str] | None = None,
+    only_load: str | None = None,
 ) -> DataFrame:
     """The table's rows; ``without_load`` leaves one load's folder unread.
 
+    ``only_load`` reads one live load's folder and no other.
+
     Only live loads count: what a failed load or a killed compaction left is not read, nor
     what a compaction replaced. ``prefixes`` reads these prefixes of the key alone.
     """
@@ -137,6 +140,8 @@ def read_table(
         dead.append(without_load)
     if dead:
         df = df.filter(~F.col(LOAD_ID).isin(sorted(set(dead))))
+    if only_load is not None:
+        df = df.filter(F.col(LOAD_ID) == only_load)
     if prefixes is not None:
         df = df.filter(F.col(KEY_PREFIX).isin(prefixes))
     return df.drop(LOAD_ID, KEY_PREFIX)
@@ -168,7 +173,7 @@ def compact_table(
         loads = [name for name in live_loads(spark, path) if name != _CREATED]
         if len(loads) < at_least:
             return None
-        numbers = [int(name[len(_COMPACT) :]) for name in _marks(spark, path)]
+        numbers = [int(name[len(_COMPACT) :]) for name in compactions(spark, path)]
         name = f"{_COMPACT}{max(numbers, default=0) + 1:06d}"
         rows = read_table(spark, path, schema)
         digits = prefix_digits_of(spark, path)
@@ -189,7 +194,7 @@ def remove_replaced(spark: SparkSession, path: str) -> list[str]:
         for name in dead:
             remove(spark, f"{path}/{LOAD_ID}={name}")
         left = {_name(folder) for folder in names_at(spark, f"{path}/{LOAD_ID}=*")}
-        for mark, replaced in sorted(_marks(spark, path).items()):
+        for mark, replaced in sorted(compactions(spark, path).items()):
             if mark not in left and not left.intersection(replaced):
                 remove(spark, f"{path}/{_MARKS}/{mark}")
         return dead
@@ -201,7 +206,7 @@ def _folder_for(spark: SparkSession, path: str, load_id: str) -> str:
     Without its commit mark a folder is what a failed attempt left, to be replaced. A name
     that a compaction has replaced is never used again.
     """
-    taken = {name for names in _marks(spark, path).values() for name in names}
+    taken = {name for names in compactions(spark, path).values() for name in names}
     name, attempt = load_id, 1
     while name in taken or exists(spark, f"{path}/{LOAD_ID}={name}/_SUCCESS"):
         attempt += 1

@@ -1,10 +1,15 @@
 """The bucketed tables: the same fact without a shuffle, and hot ids beside the buckets."""
 
+import uuid
+
 import pytest
 from helpers import plan_of, rows
+from pyspark.sql import functions as F
 from test_models import EARLY, LATE, crashes, persons
 
 from incident_mart import plans
+from incident_mart.schemas import CRASHES, PERSONS
+from incident_mart.sources import compact_table, files, insert_only_merge, store_counted
 
 
 def people(spark, data):
@@ -66,8 +71,6 @@ def test_a_load_run_again_replaces_itself_and_a_cut_one_is_not_read(spark, tmp_p
     store.add(spark, "one", people(spark, USUAL[:50]), found(spark, ["c1"]))
     one = rows(plans.fact_traffic_accidents(people(spark, USUAL[:50]), found(spark, ["c1"])))
     assert rows(store.fact(spark)) == one
-    store.add(spark, "one", people(spark, USUAL[:50]), found(spark, ["c1"]))
-    assert rows(store.fact(spark)) == one
 
     write = plans.CrashBuckets._write
 
@@ -105,3 +108,56 @@ def test_empty_loads(spark, tmp_path):
     store = kept(tmp_path)
     store.add(spark, "none", people(spark, []), found(spark, []))
     assert store.fact(spark).count() == 0 and store.rows(spark, "crashes").count() == 0
+
+
+def test_buckets_catch_up_with_the_loads_of_the_tables(spark, tmp_path):
+    layout, store = plans.Layout(str(tmp_path / "mart")), kept(tmp_path)
+
+    def load(name, some, ids):
+        insert_only_merge(persons(spark, some), layout.table(PERSONS), PERSONS.table_schema, name)
+        insert_only_merge(found(spark, ids), layout.table(CRASHES), CRASHES.table_schema, name)
+
+    load("one", USUAL[:60], ["c1", "c2"])
+    assert store.catch_up(spark, layout) == [f"{k}-{n}" for k in ("persons", "crashes") for n in ("created", "one")]
+    load("two", USUAL[50:80], ["c2", "c3"])
+    assert store.catch_up(spark, layout) == ["persons-two", "crashes-two"]
+    compact_table(spark, layout.table(PERSONS), PERSONS.table_schema)
+    assert store.catch_up(spark, layout) == ["persons-compact-000001"]
+    assert store.catch_up(spark, layout) == []
+    models = plans.build_models(**plans.read_tables(spark, layout))
+    assert rows(store.fact(spark)) == rows(models["fact_traffic_accidents"])
+    load("three", USUAL[80:90], [])
+    compact_table(spark, layout.table(PERSONS), PERSONS.table_schema)
+    with pytest.raises(ValueError, match="only some"):
+        store.catch_up(spark, layout)
+    # Buckets that start now take a compaction as one load.
+    fresh = plans.CrashBuckets(f"{store.database}_x", f"{store.root}x", buckets=4)
+    fresh.catch_up(spark, layout)
+    models = plans.build_models(**plans.read_tables(spark, layout))
+    assert rows(fresh.fact(spark)) == rows(models["fact_traffic_accidents"])
+    with pytest.raises(ValueError, match="all rows"):
+        plans.publish_models(spark, layout, sample=5, buckets=fresh)
+
+
+def test_counts_taken_while_writing_need_no_job(spark, tmp_path):
+    def jobs(work):
+        group = f"jobs-{uuid.uuid4().hex}"
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            work()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    df = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").agg(F.count("*").alias("n"))
+    got = {}
+
+    def counted():
+        got["rows"], got["seen"] = store_counted(
+            df, str(tmp_path / "a"), groups=F.count(F.lit(1)), n=F.sum("n"), big=F.count_if(F.col("n") > 142)
+        )
+
+    assert jobs(counted) == jobs(lambda: files.store(df, str(tmp_path / "b")))
+    assert got["seen"] == {"groups": 7, "n": 1000, "big": 6} and got["rows"].count() == 7
+    none, seen = store_counted(df.filter("false"), str(tmp_path / "c"), groups=F.count(F.lit(1)), n=F.sum("n"))
+    assert seen == {"groups": 0, "n": None} and none.count() == 0

@@ -30,6 +30,21 @@ def test_refresh_then_models_then_stream(spark, tmp_path):
     assert rows(spark.read.parquet(fact), "person_type") == [("BICYCLE",), ("DRIVER",)]
 
 
+def test_a_refresh_in_buckets_keeps_the_fact(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    crashes = land(tmp_path / "crashes", 0, [CRASH])
+    persons = land(tmp_path / "persons", 0, [PERSON, {**PERSON, "person_id": "O9", "person_type": "BICYCLE"}])
+    feeds = ["--root", root, "--pages", f"crashes={crashes}", "--pages", f"persons={persons}"]
+    main(["refresh", *feeds, "--load-id", "one", "--buckets", "2", "--database", "job_buckets"], spark)
+    fact = rows(spark.read.parquet(f"{root}/models/fact_traffic_accidents"))
+    assert len(fact) == 2 and spark.table("job_buckets.persons_by_crash").count() == 2
+    assert spark.table("job_buckets.fact_traffic_accidents").count() == 2
+    main(["models", "--root", root], spark)
+    assert rows(spark.read.parquet(f"{root}/models/fact_traffic_accidents")) == fact
+    with pytest.raises(SystemExit):
+        main(["models", "--root", root, "--buckets", "2"], spark)
+
+
 def test_unknown_feed_is_refused(spark, capsys):
     with pytest.raises(SystemExit):
         main(["refresh", "--root", "x", "--pages", "boats=y", "--load-id", "one"], spark)
