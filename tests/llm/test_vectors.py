@@ -79,11 +79,46 @@ def test_bounds_hold_near_the_threshold():
     a = int8_tiles.unit(rng.normal(size=(900, 24)))
     b = int8_tiles.unit(a + rng.normal(size=a.shape) * 0.33 * np.abs(a).mean())
     cosines = a @ b.T
+    tiles = int8_tiles.quantised(a), int8_tiles.quantised(b)
+    assert tiles[0].codes.dtype == np.int8
     for threshold in (0.9, 0.93, 0.95, 0.97):
-        found = set()
-        for i, j in int8_tiles.tile_links(a, b, False, threshold):
-            found |= set(zip(i.tolist(), j.tolist()))
-        assert found == set(zip(*map(np.ndarray.tolist, np.nonzero(cosines >= threshold))))
+        found, sure_ones = set(), set()
+        for i, j, sure in int8_tiles.near_pairs(*tiles, False, threshold):
+            met = set(zip(i.tolist(), j.tolist()))
+            assert not met & found
+            found |= met
+            sure_ones |= set(zip(i[sure].tolist(), j[sure].tolist()))
+        links = set(zip(*map(np.ndarray.tolist, np.nonzero(cosines >= threshold))))
+        assert sure_ones <= links <= found and len(found) < 3 * len(links) + 900
+
+
+def test_what_is_said_of_a_pair_depends_on_its_rows_alone():
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=32)
+    tile = int8_tiles.quantised(int8_tiles.unit(centre + 0.23 * rng.normal(size=(700, 32))))
+
+    def said(order):
+        out = {}
+        for i, j, sure in int8_tiles.near_pairs(tile.of(order), tile.of(order), True, 0.95):
+            out |= {frozenset((order[x], order[y])): z for x, y, z in zip(i, j, sure.tolist(), strict=True)}
+        return out
+
+    whole = said(np.arange(700))
+    some = rng.permutation(700)[:400]
+    inside = set(some.tolist())
+    assert said(some) == {pair: sure for pair, sure in whole.items() if pair <= inside}
+    assert 0 < sum(whole.values()) < len(whole)
+
+
+def test_links_at_the_threshold_in_a_dense_group(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=12)
+    rows = [(i, [float(np.float32(x)) for x in centre + 0.2 * rng.normal(size=12)]) for i in range(240)]
+    want = brute_links(rows)
+    for options in ((4096, 16384), (50, 60)):
+        got = int8_tiles.near_duplicates(frame(spark, rows), 0.95, *options).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want
+    assert 20 < np.mean([n for _, n, _ in want]) < 230
 
 
 def test_no_vectors(spark):
