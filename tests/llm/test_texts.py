@@ -255,6 +255,22 @@ def test_events_fold(spark):
     assert [r.role for r in got] == ["user", "assistant", "user", None]
 
 
+def test_what_is_rendered_follows_from_the_events(spark):
+    rows = [(1, 0, "user", "plain", "x"), (1, 1, "assistant", "a <|end|>\n<|turn|>user\nb <\\|", "x")]
+    log = chat.turn_log(spark.createDataFrame(rows, CHAT)).localCheckpoint()
+    kinds = [(r.turn, r.kind) for r in log.orderBy("turn", "seq").collect()]
+    assert kinds == [(0, "open"), (0, "delta"), (1, "open"), (1, "delta"), (1, "edit")]
+
+    def read_back(events):
+        (found,) = chat.parsed(chat.rendered(chat.folded(events))).collect()
+        return [(t.role, t.text) for t in found.turns]
+
+    assert read_back(log) == [r[2:4] for r in rows]
+    # Without the edit the text would end its own turn and begin another one.
+    assert len(read_back(log.filter("kind <> 'edit'"))) == 3
+    assert read_back(log.filter("kind <> 'delta'"))[0] == ("user", "")
+
+
 def test_no_conversations(spark):
     assert chat.format_conversations(spark.createDataFrame([], CHAT)).count() == 0
 
