@@ -22,7 +22,7 @@ from .models import (
     FACT_COLUMNS,
     FACT_CRASH_COLUMNS,
     FACT_PERSON_COLUMNS,
-    fact_traffic_accidents,
+    fact_of_latest,
     person_ties,
     without_passengers,
 )
@@ -83,10 +83,8 @@ class KeptFact:
         ties: list[str],
         scratch: str,
     ) -> list[int]:
-        def top(rows: DataFrame) -> DataFrame:
-            return latest_per_group(rows, GROUP, "traffic_crash_date", ties)
-
-        news = store(top(without_passengers(persons)).withColumn(PART, self._part()), f"{scratch}/news")
+        # Ranked once, with what was known before: the rows are shuffled a single time.
+        news = without_passengers(persons).withColumn(PART, self._part())
         columns = ["crash_record_id", *FACT_CRASH_COLUMNS]
         labels = {LOAD: F.lit(load_id), PART: self._part()}
         said = store(crashes.select(*columns).withColumns(labels), f"{scratch}/said")
@@ -95,12 +93,13 @@ class KeptFact:
         if not touched:
             return []
         before = self._read(spark, "latest", news.schema, touched)
+        every = before.unionByName(news)
         # Stored first: a folder cannot be read and replaced by one plan.
-        latest = store(top(before.unionByName(news)), f"{scratch}/latest")
+        latest = store(latest_per_group(every, GROUP, "traffic_crash_date", ties), f"{scratch}/latest")
         self._replace(said, "conditions", PART, LOAD)
         self._replace(latest, "latest", PART)
         known = self._read(spark, "conditions", said.schema, touched).drop(PART)
-        self._replace(fact_traffic_accidents(latest, known, carried=(PART,)), "fact", PART)
+        self._replace(fact_of_latest(latest, known, carried=(PART,)), "fact", PART)
         return touched
 
     def read(self, spark: SparkSession) -> DataFrame:

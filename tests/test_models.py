@@ -208,6 +208,24 @@ def test_a_kept_fact_equals_the_whole_one_and_touches_its_parts_only(spark, tmp_
     assert kept.bring_in(spark, "none", staged([]), crashes(spark, [])) == []
 
 
+def test_a_kept_fact_ranks_each_load_once(spark, tmp_path, monkeypatch):
+    from incident_mart.plans import kept_fact, models
+
+    ranked = []
+    for where in (kept_fact, models):
+        rank = where.latest_per_group
+        monkeypatch.setattr(where, "latest_per_group", lambda *a, rank=rank: ranked.append(1) or rank(*a))
+    kept = plans.KeptFact(str(tmp_path / "kept"), parts=4)
+    people = [(f"p{i}", "DRIVER", f"c{i % 9}", LATE if i % 2 else EARLY, "BELT", 30) for i in range(40)]
+    found = crashes(spark, [(f"c{i}", EARLY, 41.5) for i in range(9)])
+    for load, some in (("one", people[:25]), ("two", people[25:])):
+        kept.bring_in(spark, load, plans.stg_persons_data(persons(spark, some)), found.limit(9 if load == "one" else 0))
+    assert len(ranked) == 2
+    monkeypatch.undo()
+    whole = plans.fact_traffic_accidents(plans.stg_persons_data(persons(spark, people)), found)
+    assert rows(kept.read(spark)) == rows(whole)
+
+
 def test_a_kept_fact_reads_touched_parts_only(spark, tmp_path):
     kept = plans.KeptFact(str(tmp_path / "kept"), parts=64)
     people = [(f"p{i}", "DRIVER", f"c{i}", EARLY, "BELT", 30) for i in range(100)]
