@@ -88,6 +88,21 @@ def test_written_pages_read_back(spark, tmp_path, conf):
     assert got.count() == 20000
 
 
+def test_compressed_pages_are_cut_by_size_too(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    df = spark.range(0, 20000, 1, 8).selectExpr(
+        "case when id < 15000 then 0L else id div 1000 end as page_no", "md5(string(id)) as k", "'same' as x"
+    )
+    landed = {}
+    for kind in ("none", "gzip"):
+        pages.write_json_pages(df, str(tmp_path / kind), compression=kind)
+        landed[kind] = [f.stat().st_size for f in (tmp_path / kind).rglob("*.json*")]
+        got = pages.read_json_pages(spark, str(tmp_path / kind), ["k", "x"]).drop("body_broken")
+        assert got.exceptAll(df).isEmpty() and got.count() == 20000
+    assert sum(landed["gzip"]) < sum(landed["none"]) / 2
+    assert len(list((tmp_path / "gzip/page_no=0").glob("*.json.gz"))) > 3
+
+
 SCHEMA = schema_of([("id", "string"), ("n", "int"), ("t", "timestamp")])
 
 
