@@ -325,6 +325,40 @@ def test_merge_reads_only_the_prefixes_of_its_batch(spark, tmp_path):
     assert rows(added) == [(1000, "x"), (1000, "y")]
 
 
+@pytest.mark.parametrize("digits", [0, 1])
+def test_merges_and_compactions_of_many_keys(spark, tmp_path, monkeypatch, digits):
+    """Many keys are neither stored by themselves nor looked up by prefix; rows are not gathered."""
+    monkeypatch.setattr(tables, "FEW_KEYS", 5)
+    monkeypatch.setattr(tables, "_LARGE_LOAD", 5)
+    monkeypatch.setattr(tables, "_FILE_BYTES", 1500)
+    path = str(tmp_path / "t")
+    stored, written = [], []
+    keep, write = tables.store_counted, tables._write_load
+    monkeypatch.setattr(tables, "store_counted", lambda df, p, **c: stored.append(p.rsplit("/", 1)[1]) or keep(df, p, **c))
+    monkeypatch.setattr(tables, "_write_load", lambda df, *a: written.append(plan_of(df)) or write(df, *a))
+    loads = {"one": range(20), "all-new": range(20, 40), "most-new": [None, None, *range(38, 60)], "most-known": [None, *range(61)]}
+    want = []
+    for load, ks in loads.items():
+        known = {k for k, _ in want} - {None}
+        fresh = [(k, load) for k in ks for _ in range(2) if k not in known]
+        source = frame(spark, [(k, load) for k in ks for _ in range(2)])
+        tables.insert_only_merge(source, path, TABLE, load, key="k", prefix_digits=digits)
+        want += fresh
+        assert same(tables.read_table(spark, path, TABLE), want)
+    assert stored == ["status"] * 3
+    joined = [plan.count("Join") for plan in written]
+    assert joined[:2] == [0, 0] and all(joined[2:])
+    assert tables.compact_table(spark, path, TABLE, "k") == "compact-000001"
+    assert same(tables.read_table(spark, path, TABLE), want)
+    assert len(written) == len(loads)
+    (made,) = (tmp_path / "t").glob("load_id=compact-*")
+    assert len(list(made.rglob("*.parquet"))) < len(list((tmp_path / "t").glob("load_id=[!c]*/**/*.parquet")))
+    # No file holds more than a task may, and prefixes are not put into one task.
+    tasks = {f.name.split("-")[1] for f in made.rglob("*.parquet")}
+    assert len(tasks) > (10 if digits else 1)
+    assert not digits or all(f.parent.name.startswith("key_prefix=") for f in made.rglob("*.parquet"))
+
+
 def test_prefixes_of_binary_and_other_keys(spark):
     df = spark.sql("select unhex(md5(cast(id as string))) as b, cast(id as string) as s from range(50)")
     by_bytes = df.select(tables.key_prefix(F.col("b"), df.schema["b"].dataType, 3)).distinct().collect()
