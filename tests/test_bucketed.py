@@ -40,6 +40,21 @@ def test_neither_rank_nor_join_shuffles(spark, tmp_path, conf):
     assert rows(fact) == rows(plans.fact_traffic_accidents(people(spark, USUAL), found(spark, ids)))
 
 
+def test_large_buckets_are_ranked_in_slices(spark, tmp_path, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    store = kept(tmp_path)
+    ids = [f"c{i}" for i in range(50)]
+    store.add(spark, "one", people(spark, USUAL[:120]), found(spark, ids[:30]))
+    store.add(spark, "two", people(spark, USUAL[120:]), found(spark, ids[30:]))
+    monkeypatch.setattr(plans.bucketed, "SLICE_ROWS", 10)
+    fact = store.fact(spark)
+    plan = plan_of(fact)
+    # 200 rows in 4 buckets: five slices, each with a task of its own for every bucket.
+    assert plan.count("SortMergeJoin") == 5 and "Exchange" not in plan
+    assert fact.rdd.getNumPartitions() == 20
+    assert rows(fact) == rows(plans.fact_traffic_accidents(people(spark, USUAL), found(spark, ids)))
+
+
 def test_hot_ids_and_missing_ones_lie_beside_the_buckets(spark, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     store = kept(tmp_path, hot_rows=50)
