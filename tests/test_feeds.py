@@ -3,12 +3,13 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
-from helpers import rows
+from helpers import plan_of, rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from incident_mart import plans
+from incident_mart.plans import feeds
 from incident_mart.plans.feeds import KEPT, STATE, empty_pages, kept_pages
 from incident_mart.schemas import CRASHES, FEEDS, PAGE, PERSONS, ROW_KEY, VEHICLES
 from incident_mart.sources import read_json_pages, read_sent_fields, read_table, sent_fields
@@ -273,6 +274,44 @@ def test_two_loads_of_a_feed_at_once_do_not_share_files(spark, tmp_path):
     assert table.count() == 10
 
 
+@pytest.mark.parametrize("limit, joins", [(0, False), (1, True)])
+def test_rows_are_matched_once_with_many_repeated_keys(spark, tmp_path, monkeypatch, limit, joins):
+    """More keys on several pages than the limit: the report and the merge read stored rows."""
+    monkeypatch.setattr(feeds, "_MANY_REPEATS", limit, raising=False)
+    plan, layout = {}, plans.Layout(str(tmp_path))
+
+    def noted(step, place):
+        inner = getattr(feeds, step)
+
+        def run(*args, **named):
+            plan[step] = plan_of(args[place])
+            return inner(*args, **named)
+
+        monkeypatch.setattr(feeds, step, run)
+
+    noted("page_report", 1)
+    noted("_merge", 0)
+    two = [{}, {}, {"crash_record_id": "b"}]
+    pages = raw(spark, CRASHES, {0: two, 1: [{"latitude": "9"}, {"crash_record_id": "c"}], 2: [{}]})
+    assert plans.load_pages(pages, CRASHES, layout, "one") == 4
+    assert {step: "LeftAnti" in text for step, text in plan.items()} == {"page_report": joins, "_merge": joins}
+    loaded = read_table(spark, layout.table(CRASHES), CRASHES.table_schema)
+    assert [r[0] for r in rows(loaded, "crash_record_id", "latitude")] == ["b", "c", "c1", "c1"]
+    assert loaded.filter("latitude = 9").isEmpty()
+    report = spark.read.parquet(layout.report(CRASHES, "one"))
+    assert rows(report) == [(0, 3, 3, False), (1, 2, 1, False), (2, 1, 0, False)]
+    assert not list((tmp_path / "staged" / "crashes").iterdir())
+
+
+def test_feed_of_more_columns_than_bits(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "_BITS", 4, raising=False)
+    pages = raw(spark, CRASHES, {0: [{"longitude": None}, {"latitude": None}], 1: [{"longitude": None}]})
+    staged = plans.stage_pages(pages, CRASHES)
+    assert "array" not in staged.drop(STATE).schema.simpleString()
+    assert rows(feeds._hollow_fields(staged, CRASHES)) == [(1, "longitude")]
+    assert ids(kept_pages(staged, CRASHES), CRASHES) == []
+
+
 def test_views_show_the_next_load(spark, tmp_path):
     root = str(tmp_path)
     plans.full_refresh(spark, {"crashes": raw(spark, CRASHES, {0: [{}]})}, root, "one")
