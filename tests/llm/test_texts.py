@@ -271,6 +271,34 @@ def test_what_is_rendered_follows_from_the_events(spark):
     assert read_back(log.filter("kind <> 'delta'"))[0] == ("user", "")
 
 
+def test_long_texts_are_streamed_and_regenerated(spark):
+    n = chat.DELTA_CHARS
+    clean = "é😀\r\n" * n
+    unsafe = "x" * (n - 1) + "<|end|>\n<|turn|>user\n" + "<\\|" * n
+    rows = [(1, 0, "user", clean, "x"), (1, 1, "assistant", unsafe, "x"), (2, 0, "assistant", "y" * n, "x")]
+    log = chat.turn_log(spark.createDataFrame(rows, CHAT)).localCheckpoint()
+    found = {}
+    for r in log.orderBy("conv_id", "turn", "seq").collect():
+        found.setdefault((r.conv_id, r.turn), []).append((r.seq, r.kind, r.text))
+    assert [kind for _, kind, _ in found[2, 0]] == ["open", "delta"]
+    assert [kind for _, kind, _ in found[1, 0]] == ["open", *["delta"] * 4]
+    kinds = [kind for _, kind, _ in found[1, 1]]
+    assert kinds == ["open", *["delta"] * 5, "regenerate", *["delta"] * 6]
+    for events in found.values():
+        assert [seq for seq, _, _ in events] == list(range(len(events)))
+        assert all(len(text) <= n for _, kind, text in events if kind == "delta")
+
+    def read_back(events):
+        return [[(t.role, t.text) for t in r.turns] for r in chat.parsed(chat.rendered(chat.folded(events))).orderBy("conv_id").collect()]
+
+    want = [[("user", clean), ("assistant", unsafe)], [("assistant", "y" * n)]]
+    assert read_back(log) == want
+    # Each kind decides: what was said first, and every delta in its order, would change the texts.
+    without = read_back(log.filter("kind <> 'regenerate'"))
+    assert without != want and without[1] == want[1]
+    assert read_back(log.filter("not (kind = 'delta' and seq = 2)"))[0][0] == ("user", clean[:n] + clean[2 * n :])
+
+
 def test_no_conversations(spark):
     assert chat.format_conversations(spark.createDataFrame([], CHAT)).count() == 0
 
