@@ -80,6 +80,42 @@ def test_hot_ids_and_missing_ones_lie_beside_the_buckets(spark, tmp_path, conf):
     assert "hashpartitioning(crash_record_id" not in bucketed.split(":- ", 2)[1]
 
 
+def test_many_apart_ids_are_not_broadcast(spark, tmp_path, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(plans.bucketed, "FEW_IDS", 3, raising=False)
+    monkeypatch.setattr(plans.bucketed, "HOT_ROWS", 50)
+    store = kept(tmp_path, hot_rows=5)
+    hot = [(f"h{i}", f"T{i % 3}", "hot", EARLY, "BELT", 30) for i in range(60)]
+    none = [(f"n{i}", "DRIVER", None, EARLY, "BELT", 30) for i in range(9)]
+    few = [(f"f{i}", "DRIVER", f"f{i % 30}", EARLY, "BELT", 30) for i in range(60)]
+    # One id is apart in the first load, 41 and the hot one later, with rows in the buckets by then.
+    loads = [USUAL[:160] + few + USUAL[:6] * 3, hot + none + USUAL[160:], []]
+    ids = [["c0", *[f"f{i}" for i in range(9)]], [None, "hot", "c1", "c1"], ["hot", "c2"]]
+    for i, (some, which) in enumerate(zip(loads, ids, strict=True)):
+        store.add(spark, f"l{i}", people(spark, some), found(spark, which))
+        so_far, crashed = people(spark, sum(loads[: i + 1], [])), found(spark, sum(ids[: i + 1], []))
+        assert rows(store.rows(spark, "persons")) == rows(so_far.select(*store.rows(spark, "persons").columns))
+        assert rows(store.rows(spark, "crashes")) == rows(crashed.select(*store.rows(spark, "crashes").columns))
+        fact = store.fact(spark)
+        assert rows(fact) == rows(plans.fact_traffic_accidents(so_far, crashed))
+        for kind in ("persons", "crashes"):
+            for load in range(i + 1):
+                parts = files.names_at(spark, f"{store.root}/{kind}_by_crash/load_id=l{load}/*.parquet")
+                assert len(parts) <= store.buckets
+            assert not spark.catalog.tableExists(f"{store.database}.{kind}_dealt")
+            assert not files.exists(spark, f"{store.root}/{kind}_dealt")
+    assert spark.table(f"{store.database}.persons_apart").filter("crash_record_id = 'hot'").count() == 60
+    # Only ids above HOT_ROWS are broadcast. The others are joined, and in the buckets nothing but
+    # their list is shuffled.
+    lines = plan_of(store.fact(spark)).splitlines()
+    sent = [i for i, line in enumerate(lines) if "BroadcastExchange" in line]
+    assert sent and all("> 50" in " ".join(lines[i + 1 : i + 4]) for i in sent)
+    usual = lines[: next(i for i, line in enumerate(lines) if line.startswith("   +- "))]
+    assert sum("SortMergeJoin" in line and "LeftAnti" in line for line in usual) == 2
+    shuffled = [line for line in usual if " Exchange " in line]
+    assert shuffled and all("hashpartitioning(apart_id" in line and ", 4)" in line for line in shuffled)
+
+
 def test_a_load_run_again_replaces_itself_and_a_cut_one_is_not_read(spark, tmp_path, monkeypatch):
     store = kept(tmp_path)
     store.add(spark, "one", people(spark, USUAL), found(spark, ["c1", "c2"]))
